@@ -16,6 +16,7 @@ from __future__ import annotations
 import json
 import os
 import re
+from array import array
 from functools import lru_cache
 
 import pyarrow as pa
@@ -27,6 +28,8 @@ from pyspark.sql import functions as F
 #: Chunks whose counts a worker keeps; beyond it the memo starts afresh.
 MEMO_ENTRIES = 600_000
 
+#: Beyond this character pre-tokens are left to the tokenizer: letter tables differ by Unicode version.
+LAST_LATIN = "\u024f"
 #: Python's str.split() takes these as white space and the tokenizer doesn't.
 _ODD_SPACE = re.compile("[\x1c-\x1f]")
 #: The tokenizer's own pre-token pattern, for lower-cased text without white space.
@@ -68,6 +71,24 @@ def prove_whole_tokens(path: str, end_mark: str = "</w>") -> frozenset[str]:
     return frozenset(t for t, e in zip(texts, found) if e.ids == [candidates[t]])
 
 
+class Merger:
+    """Token ids of single pre-tokens by the tokenizer's own merges, with a bounded memo."""
+
+    def __init__(self, tokenizer, entries: int = MEMO_ENTRIES):
+        self.merge, self.entries, self.memo = tokenizer.model.tokenize, entries, {}
+        self.spelled = {b: c for c, b in _byte_alphabet().items()}
+
+    def ids(self, pre: str) -> bytes:
+        """Little-endian 32-bit ids."""
+        found = self.memo.get(pre)
+        if found is None:
+            if len(self.memo) >= self.entries:
+                self.memo.clear()
+            text = pre.encode("utf-8").decode("latin-1").translate(self.spelled)
+            found = self.memo[pre] = array("I", [t.id for t in self.merge(text)]).tobytes()
+        return found
+
+
 class ChunkCounter:
     """Counts tokens of chunks: proved pre-tokens directly, the rest by merging."""
 
@@ -77,25 +98,27 @@ class ChunkCounter:
         self.tokenizer, self.whole, self.limit = _tokenizer(path), whole, memo_entries
         self.pre_token = regex.compile(_PRE_TOKEN)
         self.special = tuple(t.content for t in self.tokenizer.get_added_tokens_decoder().values())
-        self.byte_chars = {b: c for c, b in _byte_alphabet().items()}
+        self.merger = Merger(self.tokenizer, memo_entries)
         self.memo: dict[str, int] = {}
 
     def _learn(self, chunks: set[str]) -> None:
-        whole, owners, merge, normal = self.whole, [], [], self.tokenizer.normalizer
+        whole, normal, ids = self.whole, self.tokenizer.normalizer.normalize_str, self.merger.ids
         memo, ascii_find, find = self.memo, _ASCII_PRE_TOKEN.findall, self.pre_token.findall
         for chunk in chunks:
-            if "<|" in chunk and any(s in chunk for s in self.special):
+            if chunk.isascii():
+                if "<|" in chunk and any(s in chunk for s in self.special):
+                    memo[chunk] = len(self.tokenizer.encode(chunk, add_special_tokens=False).ids)
+                    continue
+                pre = ascii_find(chunk.lower())
+            elif "<|" in chunk or max(chunk) > LAST_LATIN:
                 memo[chunk] = len(self.tokenizer.encode(chunk, add_special_tokens=False).ids)
                 continue
-            pre = ascii_find(chunk.lower()) if chunk.isascii() else find(normal.normalize_str(chunk))
-            rest = [p for p in pre if p not in whole]
-            memo[chunk] = len(pre) - len(rest)
-            owners += [chunk] * len(rest)
-            merge += rest
-        spelled, merged = self.byte_chars, self.tokenizer.model.tokenize
-        sizes = {p: len(merged(p if p.isascii() else "".join([spelled[b] for b in p.encode("utf-8")]))) for p in set(merge)}
-        for chunk, p in zip(owners, merge):
-            memo[chunk] += sizes[p]
+            else:
+                pre = find(normal(chunk))
+            n = 0
+            for p in pre:
+                n += 1 if p in whole else len(ids(p)) >> 2
+            memo[chunk] = n
 
     def count(self, texts: list[str]) -> list[int]:
         chunked = [None if _ODD_SPACE.search(t) else t.split() for t in texts]
