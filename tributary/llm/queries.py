@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from .common import read_table
 from .langid import identify
 from .packing import pack_documents
+from .simhash import near_duplicates
 from .token_count import count_tokens
 
 
@@ -17,6 +18,10 @@ def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return count_tokens(read_table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), limit=2048)
 
 
+def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(read_table(spark, sf_dir, "documents"), words=3, radius=2)
+
+
 def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(read_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), capacity=2048, end_id=0)
 
@@ -28,6 +33,7 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_token_counts": op1_token_counts,
+        "op7_simhash": op7_simhash,
         "op9_best_fit_packing": op9_best_fit_packing,
         "op10_language_id": op10_language_id,
     }
