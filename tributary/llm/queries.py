@@ -8,6 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from .common import read_table
+from .html_extract import extract
 from .langid import identify
 from .packing import pack_documents
 from .simhash import near_duplicates
@@ -19,6 +20,10 @@ def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return count_tokens(read_table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), limit=2048)
 
 
+def op6_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract(read_table(spark, sf_dir, "pages"))
+
+
 def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(read_table(spark, sf_dir, "documents"), words=3, radius=2)
 
@@ -38,6 +43,7 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_token_counts": op1_token_counts,
+        "op6_html_extraction": op6_html_extraction,
         "op7_simhash": op7_simhash,
         "op8_toxicity": op8_toxicity,
         "op9_best_fit_packing": op9_best_fit_packing,
