@@ -8,6 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from .common import read_table
+from .decontaminate import find_contained
 from .html_extract import extract
 from .langid import identify
 from .packing import pack_documents
@@ -20,6 +21,10 @@ def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return count_tokens(read_table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), limit=2048)
 
 
+def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return find_contained(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"), words=5, containment=0.8)
+
+
 def op6_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extract(read_table(spark, sf_dir, "pages"))
 
@@ -43,6 +48,7 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_token_counts": op1_token_counts,
+        "op2_decontamination": op2_decontamination,
         "op6_html_extraction": op6_html_extraction,
         "op7_simhash": op7_simhash,
         "op8_toxicity": op8_toxicity,
