@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from .common import read_table
 from .decontaminate import find_contained
+from .fingerprint import fingerprint_edits
 from .html_extract import extract
 from .langid import identify
 from .packing import pack_documents
@@ -25,6 +26,10 @@ def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return find_contained(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"), words=5, containment=0.8)
 
 
+def op3_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprint_edits(read_table(spark, sf_dir, "documents"))
+
+
 def op6_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extract(read_table(spark, sf_dir, "pages"))
 
@@ -49,6 +54,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_token_counts": op1_token_counts,
         "op2_decontamination": op2_decontamination,
+        "op3_fingerprints": op3_fingerprints,
         "op6_html_extraction": op6_html_extraction,
         "op7_simhash": op7_simhash,
         "op8_toxicity": op8_toxicity,
