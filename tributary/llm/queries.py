@@ -12,7 +12,9 @@ from .decontaminate import find_contained
 from .fingerprint import fingerprint_edits
 from .html_extract import extract
 from .langid import identify
+from .licenses import scan_licenses
 from .packing import pack_documents
+from .quality import classify
 from .simhash import near_duplicates
 from .token_count import count_tokens
 from .toxicity import score_documents
@@ -30,6 +32,14 @@ def op3_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprint_edits(read_table(spark, sf_dir, "documents"))
 
 
+def op4_license_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scan_licenses(read_table(spark, sf_dir, "documents"), coverage=0.8)
+
+
+def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return classify(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+
+
 def op6_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extract(read_table(spark, sf_dir, "pages"))
 
@@ -55,6 +65,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op1_token_counts": op1_token_counts,
         "op2_decontamination": op2_decontamination,
         "op3_fingerprints": op3_fingerprints,
+        "op4_license_scans": op4_license_scans,
+        "op5_quality": op5_quality,
         "op6_html_extraction": op6_html_extraction,
         "op7_simhash": op7_simhash,
         "op8_toxicity": op8_toxicity,

@@ -278,7 +278,7 @@ def _band_keys(hashes: np.ndarray) -> list[int]:
 
 
 def described(docs: DataFrame, words: int, id_column: str, text_column: str) -> DataFrame:
-    """(id, node, fp, bands, shingles): ``node`` is a hash of the text's set of shingles.
+    """(id, h, node, fp, bands, shingles): ``h`` is a hash of the text, ``node`` of its set of shingles.
 
     ``shingles``: that set as sorted 32-bit hashes. Texts without words have an empty set.
     """
@@ -295,12 +295,13 @@ def described(docs: DataFrame, words: int, id_column: str, text_column: str) ->
         for batch in batches:
             for at in range(0, batch.num_rows, 1000):
                 part = batch.slice(at, 1000)
-                columns = list(zip(*map(one, part.column(1).to_pylist())))
+                columns = list(zip(*map(one, part.column(2).to_pylist())))
                 types = [pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.binary()]
-                yield pa.record_batch([part.column(0), *(pa.array(c, t) for c, t in zip(columns, types))], names=["id", "node", "fp", "bands", "shingles"])
+                yield pa.record_batch([part.column(0), part.column(1), *(pa.array(c, t) for c, t in zip(columns, types))], names=["id", "h", "node", "fp", "bands", "shingles"])
 
-    rows = docs.select(F.col(id_column), without_nulls(F.col(text_column)).alias("text"))
-    return rows.mapInArrow(all_of, f"id {kind}, node long, fp long, bands array<long>, shingles binary")
+    text = without_nulls(F.col(text_column))
+    rows = docs.select(F.col(id_column), F.xxhash64(text).alias("h"), text.alias("text"))
+    return rows.mapInArrow(all_of, f"id {kind}, h long, node long, fp long, bands array<long>, shingles binary")
 
 
 def similarity_links(distinct: DataFrame, similarity: float, tile: int = TILE) -> DataFrame:
@@ -342,20 +343,42 @@ def similarity_links(distinct: DataFrame, similarity: float, tile: int = TILE) -
     return full.repartition("pair").sortWithinPartitions("pair").mapInArrow(linked, "src long, dst long").distinct()
 
 
+def _grouped(docs: DataFrame, words: int, similarity: float, id_column: str, text_column: str) -> DataFrame:
+    """(id, h, label): ``label`` names the connected group of each row's text."""
+    rows = materialise(described(docs, words, id_column, text_column), "described")
+    # rows of one node have the same set; their fingerprints may differ by repeats, and the least stands for all
+    of = [F.min("fp").alias("fp"), F.first("bands").alias("bands"), F.first("shingles").alias("shingles")]
+    distinct = materialise(rows.groupBy("node").agg(*of), "nodes")
+    edges = materialise(similarity_links(distinct, similarity), "edges")
+    labels = component_labels(distinct.select("node"), edges)
+    named = distinct.select("node").join(labels, "node", "left").select("node", F.coalesce("label", "node").alias("label"))
+    return materialise(rows.select("id", "h", "node").join(named, "node").select("id", "h", "label"), "groups")
+
+
 def similar_groups(docs: DataFrame, words: int = 5, similarity: float = 0.8, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """(id, group_id): connected groups of texts with that similarity of their shingle sets.
 
     ``group_id`` is the group's smallest id. Candidates share a min-wise key,
     stand within SIMILAR_RADIUS bits by the tiled comparison, and are verified
     by the Jaccard similarity of their whole sets. Null, empty and white texts
-    have the empty set and form one group. Repeated rows collapse first.
+    have the empty set and form one group. Repeated rows collapse first; an
+    empty table gives an empty result.
     """
-    rows = materialise(described(docs, words, id_column, text_column), "described")
-    distinct = rows.groupBy("node").agg(F.min("id").alias("first"))
-    heads = rows.join(distinct.select("node", F.col("first").alias("id")), ["node", "id"]).dropDuplicates(["node"])
-    edges = materialise(similarity_links(heads, similarity), "edges")
-    labels = component_labels(distinct.select("node"), edges)
-    member = distinct.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
-    groups = member.groupBy("label").agg(F.min("first").alias("group_id"))
-    named = member.join(groups, "label").select("node", "group_id")
-    return rows.select("id", "node").join(named, "node").select(F.col("id").alias(id_column), "group_id")
+    rows = _grouped(docs, words, similarity, id_column, text_column)
+    least = rows.groupBy("label").agg(F.min("id").alias("group_id"))
+    return rows.join(least, "label").select(F.col("id").alias(id_column), "group_id")
+
+
+def drop_near_duplicates(docs: DataFrame, words: int = 5, similarity: float = 0.8, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
+    """One row, with all its columns, of each group of ``similar_groups``: the one with the smallest id.
+
+    Of rows that repeat that id the one with the smallest hash of its text
+    stays, and of rows that repeat both any one. A null id comes first.
+    """
+    rows = _grouped(docs, words, similarity, id_column, text_column)
+    heads = rows.groupBy("label").agg(F.min(F.struct("id", "h")).alias("head")).select(F.xxhash64("head.id").alias("_kid"), F.col("head.h").alias("_h"))
+    names = docs.columns
+    own = [f"c{i}" for i in range(len(names))]
+    tagged = docs.toDF(*own).withColumn("_kid", F.xxhash64(own[names.index(id_column)])).withColumn("_h", F.xxhash64(without_nulls(F.col(own[names.index(text_column)]))))
+    kept = tagged.join(heads.hint("shuffle_hash"), ["_kid", "_h"], "left_semi").dropDuplicates(["_kid", "_h"])
+    return kept.select(*[F.col(c).alias(n) for c, n in zip(own, names)])
