@@ -18,8 +18,6 @@ partition, are counted and sampled there, and no row leaves it but signatures.
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -77,8 +75,9 @@ def signatures(bodies: DataFrame, key: list[str], samples: int = SAMPLES) -> Dat
 
 def likeness(left: Column, right: Column, samples: int = SAMPLES) -> Column:
     """The share of samples in which two fingerprints agree."""
-    part = lambda c, k: F.substring(c, DIGITS * k + 1, DIGITS)
-    return reduce(lambda a, b: a + b, [(part(left, k) == part(right, k)).cast("int") for k in range(samples)]) / F.lit(float(samples))
+    part = lambda c, k: c.substr(k * DIGITS + 1, F.lit(DIGITS))
+    agreeing = F.filter(F.sequence(F.lit(0), F.lit(samples - 1)), lambda k: part(left, k) == part(right, k))
+    return F.size(agreeing) / F.lit(float(samples))
 
 
 def following(rows: DataFrame) -> DataFrame:

@@ -17,6 +17,8 @@ import re
 from bisect import bisect_left
 from collections import Counter, defaultdict
 from collections.abc import Iterator
+from itertools import groupby
+from operator import itemgetter
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -160,13 +162,17 @@ class Scanner:
             size = len(self.templates[k][1])
             slack = 2 + size // 4
             runs: list[list[int]] = []
-            for i, place in own:
+            for i, places in groupby(own, key=itemgetter(0)):
+                due = runs[-1][2] + i - runs[-1][1] if runs else 0
+                place = min((p for _, p in places), key=lambda p: abs(p - due))
                 # a run ends where the text strays or starts the template again
-                if not runs or i - runs[-1][1] > size // 2 + slack or place < runs[-1][2] - slack:
+                if not runs or i - runs[-1][1] > size // 2 + slack or place < runs[-1][2] - size // 4:
                     runs.append([i, i, place, place])
                 runs[-1][1], runs[-1][2] = i, max(runs[-1][2], place)
-            for first, last, top, bottom in runs:
-                yield k, max(0, first - bottom - slack), min(len(words), last + 2 + size - top + slack)
+            edges = [0, *(run[1] + 2 for run in runs[:-1])], [*(run[0] for run in runs[1:]), len(words)]
+            for (first, last, top, bottom), low, high in zip(runs, *edges):
+                # as far as the template may reach, but not into the runs beside
+                yield k, max(min(low, first), first - bottom - slack), min(max(high, last + 2), last + 2 + size - top + slack)
 
     def scan(self, text: str) -> list[tuple[str, float, int, int, int]]:
         """(licence, coverage, first character, end, matched words) of the passages, in text order.
