@@ -207,7 +207,7 @@ def main_text(root: Node, template: frozenset[int] | set[int] = frozenset()) ->
 
 
 def _host(url) -> F.Column:
-    return F.coalesce(F.lower(F.parse_url(F.regexp_replace(url, r"[\s\\^`{}|<>\"]", ""), F.lit("HOST"))), F.lit(""))
+    return F.coalesce(F.lower(F.try_parse_url(F.regexp_replace(url, r"[\s\\^`{}|<>\"]", ""), F.lit("HOST"))), F.lit(""))
 
 
 def site_templates(pages: DataFrame) -> DataFrame:
