@@ -128,7 +128,26 @@ def test_streaming_dedupe(spark, tmp_path):
     query.processAllAvailable()
     query.stop()
     assert sorted(r.k for r in spark.table("deduped").collect()) == [1, 2]
-    assert within_ttl(stream.select("k"), ["k"], 60).columns == ["k"]
+
+
+def test_time_to_live_outlasts_a_batch(spark, tmp_path):
+    import time
+
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in/a.json").write_text('{"k":1,"v":1}\n{"k":1,"v":2}\n{"k":2,"v":3}\n')
+    stream = spark.readStream.schema("k int, v int").json(str(tmp_path / "in"))
+    query = to_memory(within_ttl(stream, ["k"], 3600), "alive")
+
+    def rows(n):
+        end = time.time() + 60
+        while time.time() < end and spark.table("alive").count() < n:
+            time.sleep(0.5)
+        return sorted((r.k, r.v) for r in spark.table("alive").collect())
+
+    assert rows(2) == [(1, 1), (2, 3)]
+    (tmp_path / "in/b.json").write_text('{"k":1,"v":5}\n{"k":3,"v":6}\n')
+    assert rows(3) == [(1, 1), (2, 3), (3, 6)]
+    query.stop()
 
 
 def test_checkpoint_rule():
