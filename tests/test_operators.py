@@ -2,7 +2,7 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
-from tributary.functions.text import named_groups, pod_of, url_decoded
+from tributary.functions.text import named_groups, pod_of, url_decoded, xml_value
 from tributary.functions.timestamps import millis, parsed
 from tributary.operators import dedupe, envelopes, events, feeds, framing, predicates
 from tributary.operators.running import running_sum
@@ -98,3 +98,11 @@ def test_predicates_on_nulls(spark):
     count = lambda p, v=None: rows.where(predicates.all_of([("c", p, v)])).count()
     assert [count("is", "ab"), count("isNot", "ab"), count("contains", "a"), count("notContains", "a"), count("isEmpty"), count("isNotEmpty")] == [1, 2, 1, 2, 2, 1]
     assert predicates.included(rows, "c", None, "a").count() == 2
+
+
+def test_members_of_records(spark):
+    rows = spark.createDataFrame([(1, '{"a":1,"in":{"a":2,"b":3}}'), (2, '{"a":1}'), (3, "no")], "i int, t string")
+    got = {r.i: (r.f, r.b) for r in rows.select("i", events.flattened(F.try_parse_json("t"), "in").alias("f"), events.root_or_below(F.col("t"), "b", "int").cast("int").alias("b")).collect()}
+    assert got == {1: ('{"b":3,"a":1}', 3), 2: ('{"a":1}', None), 3: (None, None)}
+    docs = spark.createDataFrame([("<a><b>x</b></a>",), ("<a/>",), ("broken <",), (None,)], "d string")
+    assert [r.x for r in docs.select(xml_value(F.col("d"), "a/b").alias("x")).collect()] == ["x", None, None, None]

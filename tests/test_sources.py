@@ -7,6 +7,7 @@ import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
+from tributary.operators.dedupe import unseen
 from tributary.plans import checkpoint, config, ingest
 from tributary.sources import catalogue, files, http
 from tributary.sources.paged import Feed, Page, paged_source, slices, walk
@@ -90,6 +91,10 @@ def test_files(spark, tmp_path):
     with pytest.raises(files.TooLarge):
         files.unpacked(gzip.compress(b"x" * 5000), most=100)
     assert sorted(r.text for r in files.lines(spark, str(tmp_path / "in"), "*.txt*").collect()) == ["one", "three", "two"]
+    before = files.versions(spark, str(tmp_path / "in")).toPandas()
+    (tmp_path / "in/plain.txt").write_bytes(b"three, again")
+    changed = unseen(files.versions(spark, str(tmp_path / "in")), spark.createDataFrame(before), ["path", "length"]).collect()
+    assert [r.path.rsplit("/")[-1] for r in changed] == ["plain.txt"]
     (tmp_path / "rows.parquet").write_bytes(buffer.getvalue())
     assert [r.text for r in files.parquet_rows(spark, str(tmp_path / "rows.parquet")).collect()][1] == '{"a":null,"b":null}'
     marks = spark.read.format("binaryFile").load(str(tmp_path / "in")).select("path", files.is_parquet(F.col("path"), F.col("content")).alias("p")).collect()

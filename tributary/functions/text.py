@@ -56,3 +56,8 @@ def pod_of(path: Column) -> Column:
     parts = [F.regexp_extract(path, r".*/([^/]+)_([^/]+)_([^/]+)/([^/]+)/[^/]+\.log$", n) for n in (1, 2, 3, 4)]
     names = ("namespace", "pod_name", "pod_id", "container_name")
     return F.when(F.length(parts[0]) > 0, F.struct(*[p.alias(n) for p, n in zip(parts, names)]))
+
+
+def xml_value(document: Column, xpath: str) -> Column:
+    """The text at an XPath of an XML document; null where the document is broken or has none."""
+    return F.nullif(F.xpath_string(F.when(F.regexp_like(F.trim(document), F.lit("(?s)^<.*>$")), document), F.lit(xpath)), F.lit(""))

@@ -70,6 +70,21 @@ def mapped(variant: Column, fields: dict[str, str], rename_only: bool = False) -
     return F.to_json(F.map_concat(rest, moved))
 
 
+def root_or_below(text: Column, name: str, kind: str = "string") -> Column:
+    """A member of the record, or else of one of its members."""
+    return F.coalesce(find_one(text, name, kind), find_one(text, f"?/{name}", kind))
+
+
+def flattened(variant: Column, member_name: str) -> Column:
+    """The record as JSON text with an object's members beside its own, which count where names clash."""
+    from ..functions.json_path import field
+
+    whole = field(variant, "", "object")
+    inner = F.coalesce(field(variant, member_name, "object"), F.map_filter(whole, lambda k, _: F.lit(False)))
+    own = F.map_filter(whole, lambda k, _: k != member_name)
+    return F.to_json(F.map_concat(F.map_filter(inner, lambda k, _: ~F.map_contains_key(own, k)), own))
+
+
 def to_events(rows: DataFrame, mapping: Mapping, text: str = "text", path: str | None = None, offset: str | None = None) -> DataFrame:
     """Canonical events of raw records in the column ``text``.
 

@@ -9,11 +9,13 @@ from pyspark.sql import functions as F
 
 from .functions import clean_json
 from .functions.json_path import field, find, find_one, has, keys
-from .functions.text import content_hash, named_groups, url_decoded
+from .functions.text import composite_key, content_hash, named_groups, url_decoded, xml_value
 from .functions.timestamps import millis, parsed
 from .operators import dedupe, envelopes, events, feeds, framing, predicates
 from .plans.checkpoint import watermark
 from .sources import files
+from .streaming.dedupe import within_watermark
+from .streaming.sinks import run_once
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -301,6 +303,48 @@ def canonical_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select(field(F.col("payload"), "id", "int").cast("long").alias("c_custkey"), "sensor_key", "event_type", millis(F.col("event_time")).alias("event_ms"), "payload_kind", "dedupe_key")
 
 
+@query("SELECT s_suppkey, s_name AS name, CAST(s_nationkey AS VARCHAR) AS nation FROM supplier")
+def xml_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fields of XML records."""
+    record = F.concat(F.lit("<Event><Data Name='n'>"), "s_name", F.lit("</Data><Nation>"), "s_nationkey", F.lit("</Nation></Event>"))
+    return table(spark, sf_dir, "supplier").select("s_suppkey", xml_value(record, "Event/Data[@Name='n']").alias("name"), xml_value(record, "Event/Nation").alias("nation"))
+
+
+@query("SELECT c_custkey, c_name AS name, c_mktsegment AS segment, c_nationkey AS nation FROM customer")
+def flatten_members(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A nested object's members move beside the record's own, which count where names clash."""
+    inner = F.struct(F.col("c_mktsegment").alias("segment"), F.col("c_nationkey").alias("nation"), F.lit("other").alias("name"))
+    record = F.to_json(F.struct(F.col("c_name").alias("name"), inner.alias("fields")))
+    out = table(spark, sf_dir, "customer").select("c_custkey", F.try_parse_json(events.flattened(F.parse_json(record), "fields")).alias("v"))
+    return out.select("c_custkey", field(F.col("v"), "name").alias("name"), field(F.col("v"), "segment").alias("segment"), field(F.col("v"), "nation", "int").cast("int").alias("nation"))
+
+
+@query("SELECT event_id, CAST(json_extract(props, '$.k') AS BIGINT) AS k FROM events")
+def member_root_or_below(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A member at the root of even events and one level down in the others."""
+    record = F.when(F.col("event_id") % 2 == 0, F.col("props")).otherwise(F.concat(F.lit('{"inner":'), "props", F.lit("}")))
+    return table(spark, sf_dir, "events").select("event_id", events.root_or_below(record, "k", "int").cast("long").alias("k"))
+
+
+@query("SELECT l_orderkey || '|' || l_linenumber AS key, count(*) AS n FROM lineitem GROUP BY ALL")
+def composite_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "lineitem").groupBy(composite_key(F.col("l_orderkey"), F.col("l_linenumber")).alias("key")).agg(F.count("*").alias("n"))
+
+
+@query("SELECT c_custkey, c_name FROM customer UNION ALL SELECT s_suppkey AS c_custkey, NULL AS c_name FROM supplier")
+def feed_union_missing_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Feeds with different columns."""
+    customers = table(spark, sf_dir, "customer").select("c_custkey", "c_name")
+    return feeds.union_tagged({"c": customers, "s": table(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("c_custkey"))}).select("c_custkey", "c_name")
+
+
+@query("SELECT DISTINCT user_id, event_type FROM events")
+def stream_dedupe_watermark(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A stream without repeats of its keys, run over what there is now."""
+    stream = spark.readStream.schema(table(spark, sf_dir, "events").schema).parquet(f"{sf_dir}/events.parquet*")
+    return run_once(within_watermark(stream.select("user_id", "event_type", "ts"), ["user_id", "event_type"], "ts", "1000 days").select("user_id", "event_type"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return dict(QUERIES)
 

@@ -54,6 +54,16 @@ def is_parquet(name: Column, content: Column) -> Column:
     return F.lower(name).endswith(".parquet") | F.coalesce(marked, F.lit(False))
 
 
+def versions(spark: SparkSession, path: str, glob: str | None = None) -> DataFrame:
+    """(path, modificationTime, length) of files; their contents aren't read.
+
+    A file that is written anew is another version: ``dedupe.unseen`` by all
+    three columns against those that were read gives what is to be read again.
+    """
+    reader = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
+    return (reader.option("pathGlobFilter", glob) if glob else reader).load(path).select("path", "modificationTime", "length")
+
+
 def json_rows(rows: DataFrame, out: str = "text") -> DataFrame:
     """Each row of a table as JSON text; nulls stay, as nulls."""
     return rows.select(F.to_json(F.struct(*rows.columns), {"ignoreNullFields": "false"}).alias(out))

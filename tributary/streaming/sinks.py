@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import tempfile
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame
@@ -25,3 +27,12 @@ def to_each(rows: DataFrame, write: Callable[[DataFrame, int], None], checkpoint
 def to_memory(rows: DataFrame, name: str) -> StreamingQuery:
     """A table in the driver's memory, for tests."""
     return rows.writeStream.format("memory").queryName(name).outputMode("append").start()
+
+
+def run_once(rows: DataFrame) -> DataFrame:
+    """What a stream gives for the input there is now, as a table in the session's shared folder."""
+    spark = rows.sparkSession
+    base = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="tributary-")
+    path = f"{base.rstrip('/')}/stream-{uuid.uuid4().hex}"
+    to_parquet(rows, f"{path}/rows", f"{path}/checkpoint", once=True).awaitTermination()
+    return spark.read.schema(rows.schema).parquet(f"{path}/rows")
