@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field as member
+from dataclasses import dataclass
+from dataclasses import field as member
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import clean_json
-from ..functions.json_path import find_one, steps
+from ..functions.json_path import field, find_one, steps
 from ..functions.text import content_hash, named_groups
 from ..functions.timestamps import first_known, parsed
 
@@ -34,21 +35,32 @@ class Mapping:
     rename_only: bool = False  # keep the other fields too
 
 
-def _scalar(text: Column, path: str) -> Column:
+def _is_name(path: str) -> bool:
+    """Whether a path is one name, for which an object needs no more than a look inside the JVM."""
+    own = steps(path)
+    return len(own) == 1 and own[0] not in ("*", "?")
+
+
+def value_at(record: Column, text: Column, path: str, kind: str) -> Column:
+    """The first value of a kind at a path of a record, an object: by its VARIANT for one name, else by its text."""
+    return field(record, path, kind) if _is_name(path) else find_one(text, path, kind)
+
+
+def _scalar(record: Column, text: Column, path: str) -> Column:
     """The first string or integer at a path, as a string."""
-    return F.coalesce(find_one(text, path, "string"), find_one(text, path, "int").cast("string"))
+    return F.coalesce(value_at(record, text, path, "string"), value_at(record, text, path, "int").cast("string"))
 
 
-def identity(text: Column, paths: tuple[str, ...] = ID_FIELDS) -> Column:
+def identity(record: Column, text: Column, paths: tuple[str, ...] = ID_FIELDS) -> Column:
     """A record's id by the first path that has one, strings or integers, else its content's hash."""
-    return F.coalesce(*[_scalar(text, p) for p in paths], content_hash(text))
+    return F.coalesce(*[_scalar(record, text, p) for p in paths], content_hash(text))
 
 
-def event_time(text: Column, paths: tuple[str, ...] = TIME_FIELDS) -> Column:
+def event_time(record: Column, text: Column, paths: tuple[str, ...] = TIME_FIELDS) -> Column:
     """A record's time by the first path that has a readable one: a text, or milliseconds since 1970. Null if none has."""
     tries = []
     for p in paths:
-        tries += [parsed(find_one(text, p, "string")), F.timestamp_millis(find_one(text, p, "int").cast("long"))]
+        tries += [parsed(value_at(record, text, p, "string")), F.timestamp_millis(value_at(record, text, p, "int").cast("long"))]
     return F.coalesce(*tries)
 
 
@@ -58,8 +70,6 @@ def mapped(variant: Column, fields: dict[str, str], rename_only: bool = False) -
     Paths are of names and ``[n]``. With ``rename_only`` the members that aren't
     moved stay; else only the moved ones are left. A member that is absent is left out.
     """
-    from ..functions.json_path import field
-
     whole = field(variant, "", "object")
     moved = F.map_from_arrays(F.array(*[F.lit(n) for n in fields.values()]), F.array(*[field(variant, p, "any") for p in fields]))
     moved = F.map_filter(moved, lambda _, v: v.isNotNull())
@@ -77,8 +87,6 @@ def root_or_below(text: Column, name: str, kind: str = "string") -> Column:
 
 def flattened(variant: Column, member_name: str) -> Column:
     """The record as JSON text with an object's members beside its own, which count where names clash."""
-    from ..functions.json_path import field
-
     whole = field(variant, "", "object")
     inner = F.coalesce(field(variant, member_name, "object"), F.map_filter(whole, lambda k, _: F.lit(False)))
     own = F.map_filter(whole, lambda k, _: k != member_name)
@@ -98,20 +106,20 @@ def to_events(rows: DataFrame, mapping: Mapping, text: str = "text", path: str |
         own = own.withColumn(text, F.coalesce(F.when(F.regexp_like(raw, F.lit(mapping.pattern.replace("(?P<", "(?<"))), F.to_json(named_groups(raw, mapping.pattern))), raw))
     payload = clean_json.parse(raw)
     own = own.withColumn("_payload", F.when(F.schema_of_variant(payload).startswith("OBJECT"), payload))
-    is_json = F.col("_payload").isNotNull()
-    time = event_time(raw, (mapping.event_time_path,) if mapping.event_time_path else TIME_FIELDS)
-    shaped = mapped(F.col("_payload"), mapping.fields, mapping.rename_only) if mapping.fields else raw
+    record, is_json = F.col("_payload"), F.col("_payload").isNotNull()
+    time = event_time(record, raw, (mapping.event_time_path,) if mapping.event_time_path else TIME_FIELDS)
+    shaped = mapped(record, mapping.fields, mapping.rename_only) if mapping.fields else raw
     final = F.when(is_json, shaped).otherwise(raw)
     return own.select(
         F.lit(mapping.source).alias("source"),
-        (_scalar(raw, mapping.sensor_key_path) if mapping.sensor_key_path else F.lit(mapping.sensor_key).cast("string")).alias("sensor_key"),
-        (F.coalesce(_scalar(raw, mapping.event_type_path), F.lit(mapping.event_type)) if mapping.event_type_path else F.lit(mapping.event_type).cast("string")).alias("event_type"),
+        (_scalar(record, raw, mapping.sensor_key_path) if mapping.sensor_key_path else F.lit(mapping.sensor_key).cast("string")).alias("sensor_key"),
+        (F.coalesce(_scalar(record, raw, mapping.event_type_path), F.lit(mapping.event_type)) if mapping.event_type_path else F.lit(mapping.event_type).cast("string")).alias("event_type"),
         first_known(time).alias("event_time"),
         F.current_timestamp().alias("ingest_time"),
         F.when(is_json, "json").otherwise("text").alias("payload_kind"),
         final.alias("text"),
         F.when(is_json, F.try_parse_json(final)).alias("payload"),
-        identity(raw, mapping.id_paths).alias("dedupe_key"),
+        identity(record, raw, mapping.id_paths).alias("dedupe_key"),
         F.struct((F.col(path) if path else F.lit(None)).cast("string").alias("path"), (F.col(offset) if offset else F.lit(None)).cast("bigint").alias("offset")).alias("provenance"),
     )
 
