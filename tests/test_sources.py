@@ -5,6 +5,8 @@ import json
 import pyarrow as pa
 import pyarrow.parquet as pq
 import pytest
+from hypothesis import given
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from tributary.operators.dedupe import unseen
@@ -165,6 +167,17 @@ def test_checkpoint_rule():
     assert checkpoint.is_stuck(100, w(newest=100, complete=False)) and not checkpoint.is_stuck(100, w(newest=100))
 
 
+@given(st.integers(0, 10**6), st.none() | st.integers(0, 10**6), st.booleans(), st.booleans(), st.integers(0, 10**6), st.integers(0, 10**4))
+def test_checkpoints_never_go_back_nor_pass_what_was_read(start, newest, complete, failed, now, lag):
+    walk = checkpoint.Walk(newest, complete, failed)
+    after = checkpoint.advanced(start, walk, now, lag)
+    assert after >= start and (after == start or after <= now - lag)
+    if failed:
+        assert after == start
+    if not complete:
+        assert after == start or after <= newest
+
+
 def test_config():
     got = config.parse_pairs(["a.b[0].c=1", "a.b[2].c=x", "a.flag=true", "bare", "z=", "n=007", "v=a=b"], {"n": str})
     assert got == {"a": {"b": [{"c": 1}, None, {"c": "x"}], "flag": True}, "z": "", "n": "007", "v": "a=b"}
