@@ -30,9 +30,11 @@ BEGIN, END = "\x02", "\x03"
 #: Most bytes of a model's arrays.
 MODEL_BYTES = 256 << 20
 #: Distinct words whose counts a training task holds before it hands them on.
-COUNTED_WORDS = 200_000
+COUNTED_WORDS = 100_000
 #: Distinct words whose scores a worker keeps; beyond it the memo starts afresh.
-MEMO_ENTRIES = 400_000
+MEMO_ENTRIES = 150_000
+#: Texts whose words a worker holds at once, and words that it scores at once.
+HELD_TEXTS, HELD_WORDS = 200, 10_000
 
 _P = np.uint64(0x9E3779B97F4A7C15)
 
@@ -249,7 +251,7 @@ class WordScorer:
         new = list(unseen.difference(self.index))
         if len(self.index) + len(new) > MEMO_ENTRIES:
             self.index, self.table, new = {}, self.table[:0], list(unseen)
-        found = [self.model.word_scores(new[i : i + 20_000]) for i in range(0, len(new), 20_000)]
+        found = [self.model.word_scores(new[i : i + HELD_WORDS]) for i in range(0, len(new), HELD_WORDS)]
         self.index.update(zip(new, range(len(self.index), len(self.index) + len(new))))
         self.table = np.concatenate([self.table, *found])
         get = self.index.__getitem__

@@ -34,7 +34,7 @@ MINIMA = 32
 #: Bytes of items' texts that are sent to the tasks at once.
 BLOCK_BYTES = 4 << 20
 #: Bytes of documents that a task hashes at once.
-_BATCH_BYTES = 4 << 20
+_BATCH_BYTES = 1 << 20
 
 _P = 0x100000001B3
 _P_INVERSE = pow(_P, -1, 1 << 64)

@@ -47,8 +47,8 @@ def score(rows: DataFrame, model: charlm.Model | None, sharpness: float = 0.5) -
     def scored(batches):
         fitted = sent.value
         for batch in batches:
-            for at in range(0, batch.num_rows, 1000):
-                part = batch.slice(at, 1000)
+            for at in range(0, batch.num_rows, charlm.HELD_TEXTS):
+                part = batch.slice(at, charlm.HELD_TEXTS)
                 texts = part.column(part.schema.get_field_index("text")).to_pylist()
                 best, share, entropy = [UNDETERMINED] * len(texts), np.zeros(len(texts)), np.full(len(texts), np.nan)
                 if fitted is not None:

@@ -34,7 +34,7 @@ from .common import materialise, without_nulls
 from .token_count import _ODD_SPACE, LAST_LATIN, Merger, _tokenizer
 
 #: Units whose ids a worker keeps; beyond it the memo starts afresh.
-MEMO_ENTRIES = 600_000
+MEMO_ENTRIES = 250_000
 
 #: No pre-token of the byte-level pattern runs from a visible character into white space.
 _UNITS = re.compile(r"\s*\S+|\s+").findall
