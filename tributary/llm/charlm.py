@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialise
+from .common import by_small_batches, materialise
 
 #: Begin and end marks of a word.
 BEGIN, END = "\x02", "\x03"
@@ -75,26 +75,28 @@ def fold_grams(grams: pd.Series, bits: int) -> pd.Series:
     return pd.Series(out)
 
 
+def _handed_on(held: dict[str, Counter], name: str) -> Iterator[pa.RecordBatch]:
+    """Batches (class, name, n) of the counts, which are emptied."""
+    for k, c in held.items():
+        if c:
+            yield pa.record_batch([pa.array([k] * len(c)), pa.array(list(c)), pa.array(list(c.values()), pa.int64())], names=["class", name, "n"])
+    held.clear()
+
+
 def word_counts(rows: DataFrame, words_of: Callable[[str], Iterable[str]]) -> DataFrame:
     """(class, word, n) over all rows of (class, text), summed within each task first."""
 
     def counted(batches):
         held: dict[str, Counter] = {}
 
-        def out():
-            for k, c in held.items():
-                if c:
-                    yield pa.record_batch([pa.array([k] * len(c)), pa.array(list(c)), pa.array(list(c.values()), pa.int64())], names=["class", "word", "n"])
-            held.clear()
-
         for batch in batches:
             for k, t in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 held.setdefault(k, Counter()).update(words_of(t))
             if sum(map(len, held.values())) > COUNTED_WORDS:
-                yield from out()
-        yield from out()
+                yield from _handed_on(held, "word")
+        yield from _handed_on(held, "word")
 
-    return rows.mapInArrow(counted, "class string, word string, n long")
+    return by_small_batches(rows).mapInArrow(counted, "class string, word string, n long")
 
 
 def gram_counts(words: DataFrame, order: int) -> DataFrame:
@@ -102,14 +104,15 @@ def gram_counts(words: DataFrame, order: int) -> DataFrame:
     lead = BEGIN * (order - 1)
 
     def spelled(batches):
+        held: dict[str, Counter] = {}
         for batch in batches:
-            held: dict[str, Counter] = {}
             for k, w, n in zip(*(c.to_pylist() for c in batch.columns)):
                 count, text = held.setdefault(k, Counter()), f"{lead}{w}{END}"
                 for i in range(len(w) + 1):
                     count[text[i : i + order]] += n
-            for k, c in held.items():
-                yield pa.record_batch([pa.array([k] * len(c)), pa.array(list(c)), pa.array(list(c.values()), pa.int64())], names=["class", "gram", "n"])
+            if sum(map(len, held.values())) > COUNTED_WORDS:
+                yield from _handed_on(held, "gram")
+        yield from _handed_on(held, "gram")
 
     return words.mapInArrow(spelled, "class string, gram string, n long").groupBy("class", "gram").agg(F.sum("n").alias("n"))
 

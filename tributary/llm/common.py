@@ -39,6 +39,18 @@ def materialise(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+#: Rows of an Arrow batch: of Spark's 10,000, whole texts can take more memory than a task has.
+BATCH_ROWS = 1000
+
+
+def by_small_batches(rows: DataFrame) -> DataFrame:
+    """``rows``, after lowering the session's Arrow batches to BATCH_ROWS, where they are larger."""
+    conf = rows.sparkSession.conf
+    if not 0 < int(conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) <= BATCH_ROWS:
+        conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
+    return rows
+
+
 def fold_of(doc_id) -> F.Column:
     """crc32 of the id's decimal text, modulo 4; 2 marks the held-out rows."""
     return F.crc32(doc_id.cast("string")) % 4

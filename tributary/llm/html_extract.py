@@ -19,7 +19,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialise, without_nulls
+from .common import by_small_batches, materialise, without_nulls
 
 #: A subtree is template where it stands on this share of its host's pages, and on so many.
 TEMPLATE_SHARE, TEMPLATE_PAGES = 0.3, 4
@@ -227,7 +227,7 @@ def site_templates(pages: DataFrame) -> DataFrame:
                 hashes += [-1, *own]  # -1 counts the pages
             yield pa.record_batch([pa.array(hosts, pa.string()), pa.array(hashes, pa.int64())], names=["host", "hash"])
 
-    counts = pages.select("host", "html").mapInArrow(hashed, "host string, hash long").groupBy("host", "hash").agg(F.count("*").alias("n"))
+    counts = by_small_batches(pages).select("host", "html").mapInArrow(hashed, "host string, hash long").groupBy("host", "hash").agg(F.count("*").alias("n"))
     often = counts.where(F.col("n") >= TEMPLATE_PAGES)
     often = materialise(often, "subtrees")
     totals = often.where("hash = -1").select("host", F.col("n").alias("pages"))
@@ -270,4 +270,4 @@ def extract(pages: DataFrame, id_column: str = "page_id", url_column: str = "url
                 ids, urls = (part.column(part.schema.get_field_index(c)) for c in ("page_id", "url"))
                 yield pa.record_batch([ids, urls, pa.array(texts, pa.string()), pa.array(list(map(len, texts)), pa.int64())], names=["page_id", "url", "text", "n_chars"])
 
-    return rows.mapInArrow(extracted, f"page_id {kind}, url string, text string, n_chars long")
+    return by_small_batches(rows).mapInArrow(extracted, f"page_id {kind}, url string, text string, n_chars long")

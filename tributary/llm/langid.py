@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import charlm
-from .common import fold_of, materialise
+from .common import by_small_batches, fold_of, materialise
 
 UNDETERMINED = "und"
 #: Runs of letters, lower-cased.
@@ -67,7 +67,7 @@ def score(rows: DataFrame, model: charlm.Model | None, sharpness: float = 0.5) -
                 yield pa.record_batch([*kept, pa.array(best), pa.array(share), pa.array(entropy, from_pandas=True)], names=[*names, "lang_pred", "score", "cross_entropy"])
 
     kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema if f.name != "text")
-    return rows.mapInArrow(scored, f"{kinds}, lang_pred string, score double, cross_entropy double")
+    return by_small_batches(rows).mapInArrow(scored, f"{kinds}, lang_pred string, score double, cross_entropy double")
 
 
 def rejection_bounds(scored: DataFrame, quantile: float) -> dict[str, float]:

@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import materialise, without_nulls
+from .common import by_small_batches, materialise, without_nulls
 from .token_count import _ODD_SPACE, LAST_LATIN, Merger, _tokenizer
 
 #: Units whose ids a worker keeps; beyond it the memo starts afresh.
@@ -58,6 +58,10 @@ class UnitEncoder:
         self.merger = Merger(self.tokenizer, memo_entries)
         self.find = regex.compile(_PRE_TOKEN).findall
 
+    def forget(self) -> None:
+        self.memo.clear()
+        self.merger.memo.clear()
+
     def whole(self, text: str) -> bytes:
         """By the tokenizer alone."""
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
@@ -117,9 +121,10 @@ def token_pieces(docs: DataFrame, tokenizer_file: str, capacity: int = 2048, end
                     columns = list(zip(*rows))
                     types = [part.schema.field(0).type, pa.int32(), pa.int64(), pa.int64(), pa.int64()]
                     yield pa.record_batch([pa.array(c, t) for c, t in zip(columns, types)], names=[id_column, "piece", "start", "length", "ids_crc32"])
+        encoder.forget()  # the worker outlives the task and may have other work next
 
     rows = docs.select(F.col(id_column), without_nulls(F.col(text_column)).alias("text"))
-    return rows.mapInArrow(cut, f"`{id_column}` {kind}, piece int, start long, length long, ids_crc32 long")
+    return by_small_batches(rows).mapInArrow(cut, f"`{id_column}` {kind}, piece int, start long, length long, ids_crc32 long")
 
 
 #: Sequences of one layout: how many, and the (length, number) runs of each.

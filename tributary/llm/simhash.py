@@ -23,7 +23,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialise, without_nulls
+from .common import by_small_batches, materialise, without_nulls
 
 #: Fingerprints of a tile.
 TILE = 2048
@@ -76,7 +76,7 @@ def fingerprints(docs: DataFrame, words: int = 3, id_column: str = "doc_id", tex
             fps = [_signed(simhash(shingle_hashes(t, words))) for t in batch.column(1).to_pylist()]
             yield pa.record_batch([batch.column(0), pa.array(fps, pa.int64())], names=["id", "fp"])
 
-    return docs.select(F.col(id_column), without_nulls(F.col(text_column)).alias("text")).mapInArrow(hashed, f"id {kind}, fp long")
+    return by_small_batches(docs).select(F.col(id_column), without_nulls(F.col(text_column)).alias("text")).mapInArrow(hashed, f"id {kind}, fp long")
 
 
 def close_pairs(left: np.ndarray, right: np.ndarray, radius: int):
@@ -301,7 +301,7 @@ def described(docs: DataFrame, words: int, id_column: str, text_column: str) ->
 
     text = without_nulls(F.col(text_column))
     rows = docs.select(F.col(id_column), F.xxhash64(text).alias("h"), text.alias("text"))
-    return rows.mapInArrow(all_of, f"id {kind}, h long, node long, fp long, bands array<long>, shingles binary")
+    return by_small_batches(rows).mapInArrow(all_of, f"id {kind}, h long, node long, fp long, bands array<long>, shingles binary")
 
 
 def similarity_links(distinct: DataFrame, similarity: float, tile: int = TILE) -> DataFrame:

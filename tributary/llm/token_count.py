@@ -22,7 +22,7 @@ from functools import lru_cache
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from .common import without_nulls
+from .common import by_small_batches, without_nulls
 from pyspark.sql import functions as F
 
 #: Chunks whose counts a worker keeps; beyond it the memo starts afresh.
@@ -170,4 +170,4 @@ def count_tokens(docs: DataFrame, tokenizer_file: str, limit: int = 2048, id_col
                 )
 
     rows = docs.select(F.col(id_column), without_nulls(F.col(text_column)).alias("text"))
-    return rows.mapInArrow(counted, f"`{id_column}` {kind}, n_bytes long, n_tokens long, over_limit boolean")
+    return by_small_batches(rows).mapInArrow(counted, f"`{id_column}` {kind}, n_bytes long, n_tokens long, over_limit boolean")

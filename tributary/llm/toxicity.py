@@ -31,7 +31,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import fold_of, materialise, without_nulls
+from .common import by_small_batches, fold_of, materialise, without_nulls
 
 # Word lists of the grammar (English, German, French, Spanish).
 THREATS = frozenset("kill destroy hurt punish crush murder strangle töten umbringen vernichten schlagen tuer frapper détruire écraser matar destruir golpear aplastar".split())
@@ -203,7 +203,7 @@ def induce(rows: DataFrame, min_contexts: int = MIN_CONTEXTS, max_clean: float =
     sizes = {bool(r[0]): r[1] for r in rows.groupBy("toxic").count().collect()}
     if not sizes.get(True) or not sizes.get(False):
         return frozenset(), frozenset()
-    of = rows.select("text", "toxic").mapInArrow(counted, "feature string, toxic int, context int, n long")
+    of = by_small_batches(rows).select("text", "toxic").mapInArrow(counted, "feature string, toxic int, context int, n long")
     table = of.groupBy("feature").agg(
         F.sum(F.when(F.col("toxic") == 1, F.col("n")).otherwise(0)).alias("in_toxic"),
         F.sum(F.when(F.col("toxic") == 0, F.col("n")).otherwise(0)).alias("in_clean"),
@@ -295,7 +295,7 @@ def score(rows: DataFrame, grammar: Grammar, text_column: str = "text", keep: li
             yield pa.record_batch([*kept, *out], names=[*keep, "score", "predicted", "clauses"])
 
     kinds = ", ".join(f"`{c}` {rows.schema[c].dataType.simpleString()}" for c in keep)
-    return rows.mapInArrow(scored, f"{kinds}, score double, predicted int, clauses long")
+    return by_small_batches(rows).mapInArrow(scored, f"{kinds}, score double, predicted int, clauses long")
 
 
 def score_documents(docs: DataFrame, labels: DataFrame, threshold: float = 0.3) -> DataFrame:
