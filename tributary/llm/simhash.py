@@ -264,6 +264,8 @@ def near_duplicates(docs: DataFrame, words: int = 3, radius: int = 2, id_column:
 SIMILAR_RADIUS = 22
 #: Min-wise keys: bands of so many minima each. Of pairs at 0.8, all but 5 in a million share one.
 BANDS, MINIMA = 12, 2
+#: Most nodes whose keys are sent to all tasks to pick out their sets; more are picked out by a shuffle.
+BROADCAST_NODES = 4_000_000
 
 
 def _band_keys(hashes: np.ndarray) -> list[int]:
@@ -304,12 +306,18 @@ def described(docs: DataFrame, words: int, id_column: str, text_column: str) ->
     return by_small_batches(rows).mapInArrow(all_of, f"id {kind}, h long, node long, fp long, bands array<long>, shingles binary")
 
 
-def similarity_links(distinct: DataFrame, similarity: float, tile: int = TILE) -> DataFrame:
-    """(src, dst): forest edges that connect all nodes whose shingle sets have that Jaccard similarity."""
+def similarity_links(distinct: DataFrame, rows: DataFrame, similarity: float, tile: int = TILE) -> DataFrame:
+    """(src, dst): forest edges that connect all nodes whose shingle sets have that Jaccard similarity.
+
+    ``distinct`` has (node, fp, bands), a row for each node; ``rows`` has (node, shingles).
+    """
     light = distinct.select("node", "fp", "bands", F.posexplode("bands").alias("band", "key"), F.lit(SIMILAR_RADIUS).alias("radius"))
-    dealt = _bucketed(light, tile, ["node", "bands"])
+    dealt = materialise(_bucketed(light, tile, ["node", "bands"]), "dealt")
+    # only the sets of nodes that share a bucket are shuffled
     wanted = dealt.select("node").distinct()
-    sets = distinct.join(wanted, "node", "left_semi").select("node", "shingles")
+    if wanted.count() <= BROADCAST_NODES:
+        wanted = F.broadcast(wanted)
+    sets = rows.select("node", "shingles").join(wanted, "node", "left_semi").groupBy("node").agg(F.first("shingles").alias("shingles"))
     full = dealt.join(sets, "node").select("pair", "side", "fp", "node", "bands", "shingles")
 
     def linked(batches):
@@ -347,9 +355,8 @@ def _grouped(docs: DataFrame, words: int, similarity: float, id_column: str, tex
     """(id, h, label): ``label`` names the connected group of each row's text."""
     rows = materialise(described(docs, words, id_column, text_column), "described")
     # rows of one node have the same set; their fingerprints may differ by repeats, and the least stands for all
-    of = [F.min("fp").alias("fp"), F.first("bands").alias("bands"), F.first("shingles").alias("shingles")]
-    distinct = materialise(rows.groupBy("node").agg(*of), "nodes")
-    edges = materialise(similarity_links(distinct, similarity), "edges")
+    distinct = materialise(rows.groupBy("node").agg(F.min("fp").alias("fp"), F.min("bands").alias("bands")), "nodes")
+    edges = materialise(similarity_links(distinct, rows, similarity), "edges")
     labels = component_labels(distinct.select("node"), edges)
     named = distinct.select("node").join(labels, "node", "left").select("node", F.coalesce("label", "node").alias("label"))
     return materialise(rows.select("id", "h", "node").join(named, "node").select("id", "h", "label"), "groups")
