@@ -53,3 +53,25 @@ def test_the_join_gives_what_the_broadcast_gives(spark, monkeypatch):
     wanted = sorted(map(tuple, extract(rows).collect()))
     monkeypatch.setattr(html_extract, "BROADCAST_BYTES", -1)
     assert sorted(map(tuple, extract(rows).collect())) == wanted and len(wanted) == rows.count()
+
+
+def test_furniture_within_articles_is_template(spark):
+    box, author = "<div class='x1'>Tell your friends about us</div>", "<section><p>Ann writes for this site since long ago</p></section>"
+    passage = "<p>A passage that many of the articles share</p>"
+    page = lambda i, tag: f"<body><{tag}><h2>What we found</h2><p>Text number {i} of many, longer than the boxes that stand around it</p>{passage}{box}{author}</{tag}></body>"
+    pages = [(i, "https://a.test/", page(i, "article")) for i in range(6)] + [(10 + i, "https://b.test/", page(i, "main")) for i in range(6)]
+    # one article at many addresses, its date aside
+    mirrored = "<h1>Head</h1><div><p>The first part of one article</p></div><div><p>The second part of one article</p></div><div><p>The third part of one article</p></div><div><p>The fourth part, last of one article</p></div>"
+    pages += [(20 + i, "https://c.test/", f"<body><article><time>{i} May</time>{mirrored}</article></body>") for i in range(8)]
+    # a box of a section of a site, on fewer than the share of its pages
+    pages += [(100 + i, "https://d.test/", f"<body><article><p>Text number {i} of many, longer than the box that stands below it</p>{box if i < 110 else ''}</article></body>") for i in range(400)]
+    by = {r.page_id: r.text for r in extract(spark.createDataFrame(pages, "page_id long, url string, html string")).collect()}
+    for k in (0, 10):
+        assert [by[k + i] for i in range(6)] == [f"What we found\n\nText number {i} of many, longer than the boxes that stand around it\n\nA passage that many of the articles share" for i in range(6)]
+    assert by[20].split("\n\n") == ["0 May", "Head", "The first part of one article", "The second part of one article", "The third part of one article", "The fourth part, last of one article"]
+    assert not any("friends" in by[100 + i] for i in range(400)) and by[499].startswith("Text number 399")
+
+
+def test_ids_of_headings_and_paragraphs_are_no_marks_within_articles():
+    assert text_of("<article><h2 id='related-work'>Related work</h2><p id=comments>On it</p><p class=share>Share</p></article>") == "Related work\n\nOn it"
+    assert text_of("<body><p id=cookie-notice>We use</p><p>Text</p></body>") == "Text"

@@ -1,12 +1,17 @@
 """Main text of web pages by removal of site templates.
 
 Every element's subtree is hashed (tag, kind and content). Spark counts, for
-each host, on how many of its pages each hash stands; subtrees that recur on
-many pages of their host are template and are deleted, as are elements whose tag
-or class says that they are no article text. Of what is left the article is
-kept: the ``article`` or ``main`` elements where a page has them, which template
-counts never touch (a host may serve one article at many addresses), else the
-whole body.
+each host, in how many different surroundings each hash stands; subtrees that
+recur in many are template and are deleted, as are elements whose tag or class
+says that they are no article text. Of what is left the article is kept: the
+``article`` or ``main`` elements where a page has them, else the whole body.
+
+Surroundings are told apart by the longest texts outside the subtree: a host may
+serve one article at many addresses, and its parts then count once. Counts
+within articles and outside them are kept apart. Within an article only whole
+containers (boxes, lists, sections) can be template: a heading, a paragraph or a
+run of words that several articles share is their text, and so is a container
+that holds over half of its article.
 """
 
 from __future__ import annotations
@@ -21,8 +26,14 @@ from pyspark.sql import functions as F
 
 from .common import by_small_batches, materialise, without_nulls
 
-#: A subtree is template where it stands on this share of its host's pages, and on so many.
+#: A subtree is template where it stands on this share of its host's pages (or articles), and on so many.
 TEMPLATE_SHARE, TEMPLATE_PAGES = 0.3, 4
+#: So many pages, and this share of very large hosts, are enough too: furniture of a section of the site.
+SECTION_SHARE, SECTION_PAGES = 0.01, 100
+#: Stand for a page and an article as a whole among the hashes, those within articles being negative.
+PAGES, ARTICLES = 0, -1
+#: Longest texts outside a subtree by which its surroundings are told apart.
+LONGEST = 3
 #: Text under this many characters recurs by chance and is template only with its surroundings.
 TEMPLATE_CHARS = 8
 #: Most bytes of template hashes that are sent to all tasks; more are joined by host.
@@ -35,6 +46,10 @@ BLOCKS = frozenset(
     "address article aside blockquote body caption center dd details dialog dir div dl dt fieldset figcaption figure footer form frameset h1 h2 h3 h4 h5 h6 head header hgroup hr html legend li main menu nav ol optgroup option p pre section select summary table tbody td tfoot th thead tr ul".split()
 )
 NEVER = frozenset("script style noscript template iframe svg math canvas head title nav aside footer form menu select button input textarea dialog object embed audio video map".split())
+#: What can be template within an article.
+BOXES = frozenset("address aside center details div dl fieldset figure footer header hgroup menu ol section table ul".split())
+#: Within the article an id of these names a place in the text.
+TITLES = frozenset("h1 h2 h3 h4 h5 h6 p".split())
 #: ``p`` ends where one of these begins.
 ENDS_P = frozenset("address article aside blockquote details div dl fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr main menu nav ol p pre section table ul".split())
 #: Words of class, id and role that mark what is no article text.
@@ -46,7 +61,7 @@ _HEADER = re.compile(r"(?:^|[\s_-])header(?:$|[\s_-])")
 #: Marks of an ``article`` element that is not the page's article.
 _OTHER_ARTICLE = re.compile(r"(?:^|[\s_-])(?:ad|ads|advert|comment|comments|promo|related|reply|sponsored|teaser|recommended)(?:$|[\s_-])")
 _MARKUP = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*(?:\"|\Z)|'[^']*(?:'|\Z))*)(?:>|\Z)", re.S)
-_KIND = re.compile(r"\b(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
+_KIND = re.compile(r"\b(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
 _HIDDEN = re.compile(r"\b(?:hidden(?:\s|=|$)|aria-hidden\s*=\s*[\"']?true|style\s*=\s*[\"'][^\"']*display\s*:\s*none)", re.I)
 _CAMEL = re.compile(r"([a-z])([A-Z])")
 
@@ -59,6 +74,10 @@ class Node:
         self.hash, self.chars = 0, 0
 
 
+def _hyphened(kinds) -> str:
+    return _CAMEL.sub(r"\1-\2", " ".join(kinds)).lower()
+
+
 def parse(page: str) -> Node:
     """A tree of the page; end tags may be missing, and stray ones are ignored."""
     root = Node("#root")
@@ -84,7 +103,7 @@ def parse(page: str) -> Node:
                 del stack[depth:]
             continue
         attributes = found.group(3)
-        kind = " ".join(a or b or c for a, b, c in _KIND.findall(attributes)) if attributes else ""
+        kinds = [(n.lower(), a or b or c) for n, a, b, c in _KIND.findall(attributes)] if attributes else []
         if tag in ENDS_P and any(n.tag == "p" for n in stack[-4:]):
             depth = max(k for k, n in enumerate(stack) if n.tag == "p")
             del stack[depth:]
@@ -95,9 +114,11 @@ def parse(page: str) -> Node:
                 stack.pop()
         elif tag == "option" and stack[-1].tag == "option":
             stack.pop()
-        kind = _CAMEL.sub(r"\1-\2", kind).lower()
+        kind = _hyphened(k for _, k in kinds)
         marks = {"html": None, "body": None, "main": None, "article": _OTHER_ARTICLE}.get(tag, BOILERPLATE)
         marked = bool(kind) and marks is not None and bool(marks.search(kind))
+        if marked and tag in TITLES and any(map(_is_main, stack)):
+            marked = bool(marks.search(_hyphened(k for n, k in kinds if n != "id")))
         node = Node(tag, kind, tag in NEVER or marked or bool(attributes) and bool(_HIDDEN.search(attributes)))
         stack[-1].parts.append(node)
         if tag in VOID or attributes.rstrip().endswith("/") and tag not in BLOCKS:
@@ -121,13 +142,13 @@ def _walk(root: Node):
 
 
 def hash_subtrees(root: Node) -> None:
-    """Sets each node's ``hash`` (of tag, kind and content, white space evened out) and ``chars``."""
+    """Sets each node's ``hash`` (of tag, kind and content, white space evened out) and ``chars`` (of what isn't dropped)."""
     for node in _walk(root):
         held, node.chars = [node.tag, node.kind], 0
         for part in node.parts:
             if isinstance(part, Node):
                 held.append(str(part.hash))
-                node.chars += part.chars
+                node.chars += 0 if part.drop else part.chars
             else:
                 text = " ".join(part.split())
                 held.append(text)
@@ -156,21 +177,62 @@ def _mains(root: Node) -> list[Node]:
     return articles or mains
 
 
-def template_candidates(root: Node) -> set[int]:
-    """Hashes of the subtrees outside the article that could be template."""
-    found, todo = set(), [root]
+def _surroundings(top: Node):
+    """(node, within an article below ``top``, hash of the longest texts outside the node) of the nodes that aren't dropped.
+
+    For ``top`` itself the longest texts are its own.
+    """
+    texts: list[tuple[int, str]] = []
+    spans: list[tuple[Node, bool, int, int]] = []
+    todo: list[tuple] = [(top, False, -1)]
     while todo:
-        node = todo.pop()
-        if _is_main(node) or node.drop:
-            continue
-        if node.tag not in ("#root", "html", "body") and node.chars >= TEMPLATE_CHARS:
-            found.add(node.hash)
-        todo += [p for p in node.parts if isinstance(p, Node)]
+        part, within, first = todo.pop()
+        if isinstance(part, str):
+            if text := " ".join(part.split()):
+                texts.append((len(text), text))
+        elif first >= 0:
+            spans.append((part, within, first, len(texts)))
+        elif not part.drop:
+            inner = within or part is not top and _is_main(part)
+            todo.append((part, inner, len(texts)))
+            todo += [(p, inner, -1) for p in reversed(part.parts)]
+    before: list[list] = [[]]
+    for t in texts:
+        before.append(sorted([*before[-1], t], reverse=True)[:LONGEST])
+    after: list[list] = [[]]
+    for t in reversed(texts):
+        after.append(sorted([*after[-1], t], reverse=True)[:LONGEST])
+    for node, within, first, end in spans:
+        rest = before[-1] if node is top else sorted(before[first] + after[len(texts) - end], reverse=True)[:LONGEST]
+        yield node, within, xxhash.xxh64_intdigest("\x1f".join(t for _, t in rest), 42) >> 1
+
+
+def template_candidates(root: Node) -> set[tuple[int, int]]:
+    """(hash, surroundings) of the subtrees outside the article that could be template."""
+    return {(node.hash, rest) for node, within, rest in _surroundings(root) if not within and node.tag not in ("#root", "html", "body") and node.chars >= TEMPLATE_CHARS}
+
+
+def _is_box(node: Node, top: Node) -> bool:
+    """Whether a node within the article ``top`` can be template."""
+    return node.tag in BOXES and TEMPLATE_CHARS <= node.chars <= top.chars / 2
+
+
+def article_candidates(top: Node) -> set[tuple[int, int]]:
+    """(hash, surroundings) of the subtrees of an article that could be template, hashes inverted, and of the article as ARTICLES."""
+    found = set()
+    for node, _, rest in _surroundings(top):
+        if node is top:
+            found.add((ARTICLES, rest))
+        elif _is_box(node, top):
+            found.add((~node.hash, rest))
     return found
 
 
 def main_text(root: Node, template: frozenset[int] | set[int] = frozenset()) -> str:
-    """The article's blocks, trimmed and joined by empty lines."""
+    """The article's blocks, trimmed and joined by empty lines.
+
+    ``template``: hashes outside articles, inverted ones within them.
+    """
     mains = _mains(root)
     inside = bool(mains)
     blocks: list[str] = []
@@ -190,7 +252,7 @@ def main_text(root: Node, template: frozenset[int] | set[int] = frozenset()) ->
                 line.append(step)
             elif step is None:
                 flush()
-            elif step.drop or not inside and step.hash in template:
+            elif step.drop or (~step.hash in template and step is not top and _is_box(step, top) if inside else step.hash in template):
                 continue
             elif not inside and (step.tag == "header" or _HEADER.search(step.kind)) and step.tag not in ("html", "body"):
                 continue
@@ -211,27 +273,35 @@ def _host(url) -> F.Column:
 
 
 def site_templates(pages: DataFrame) -> DataFrame:
-    """(host, hashes): subtrees that recur on many pages of the host.
+    """(host, hashes): subtrees that recur on many pages, or in many articles (inverted), of the host.
 
     ``pages`` has columns host and html. A page's share is bounded by its
-    elements, so a host has at most (elements of a page) / TEMPLATE_SHARE of them.
+    elements, so a host has at most (elements of a page) / SECTION_SHARE of
+    them, or (elements of all pages) / TEMPLATE_PAGES if that is less.
     """
     def hashed(batches):
         for batch in batches:
-            hosts, hashes = [], []
+            hosts, hashes, rests = [], [], []
             for host, page in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 root = parse(page)
                 hash_subtrees(root)
                 own = template_candidates(root)
-                hosts += [host] * (len(own) + 1)
-                hashes += [-1, *own]  # -1 counts the pages
-            yield pa.record_batch([pa.array(hosts, pa.string()), pa.array(hashes, pa.int64())], names=["host", "hash"])
-
-    counts = by_small_batches(pages).select("host", "html").mapInArrow(hashed, "host string, hash long").groupBy("host", "hash").agg(F.count("*").alias("n"))
+                own |= {(PAGES, rest) for node, _, rest in _surroundings(root) if node is root}
+                for top in _mains(root):
+                    own |= article_candidates(top)
+                hosts += [host] * len(own)
+                hashes += [h for h, _ in own]
+                rests += [r for _, r in own]
+            yield pa.record_batch([pa.array(hosts, pa.string()), pa.array(hashes, pa.int64()), pa.array(rests, pa.int64())], names=["host", "hash", "rest"])
+
+    each = by_small_batches(pages).select("host", "html").mapInArrow(hashed, "host string, hash long, rest long").distinct()
+    counts = each.groupBy("host", "hash").agg(F.count("*").alias("n"))
     often = counts.where(F.col("n") >= TEMPLATE_PAGES)
     often = materialise(often, "subtrees")
-    totals = often.where("hash = -1").select("host", F.col("n").alias("pages"))
-    return often.where("hash <> -1").join(totals, "host").where(F.col("n") >= TEMPLATE_SHARE * F.col("pages")).groupBy("host").agg(F.collect_list("hash").alias("hashes"))
+    totals = often.where(F.col("hash").isin(PAGES, ARTICLES)).select("host", (F.col("hash") == ARTICLES).alias("within"), F.col("n").alias("pages"))
+    rest = often.where(~F.col("hash").isin(PAGES, ARTICLES)).withColumn("within", F.col("hash") < 0)
+    least = F.least(TEMPLATE_SHARE * F.col("pages"), F.greatest(F.lit(float(SECTION_PAGES)), SECTION_SHARE * F.col("pages")))
+    return rest.join(totals, ["host", "within"]).where(F.col("n") >= least).groupBy("host").agg(F.collect_list("hash").alias("hashes"))
 
 
 def extract(pages: DataFrame, id_column: str = "page_id", url_column: str = "url", html_column: str = "html") -> DataFrame:
