@@ -108,3 +108,39 @@ def test_dropping_keeps_one_of_repeats_and_odd_ids(spark):
     got = sh.drop_near_duplicates(rows).collect()
     assert sorted((str(r.doc_id), r.text) for r in got) == [("1", "a b c d e f"), ("1", "x y z u v w"), ("None", "q r s t u p")]
     assert sh.drop_near_duplicates(rows.limit(0)).count() == 0 and sh.near_duplicates(rows.limit(0)).count() == 0
+
+
+def test_repeated_lines_and_tiny_sets_are_no_reason_to_miss_a_near_copy(spark):
+    rng = random.Random(3)
+    words = lambda n: ["".join(rng.choices("abcdefghijklm", k=7)) for _ in range(n)]
+    texts = []
+    for _ in range(20):  # 300 shingles, and 10 more of a line that is repeated
+        base = words(304)
+        texts += [" ".join(base), " ".join(base + words(6) * 20)]
+    while len(texts) < 44:  # 4 shingles against 5, of unlike fingerprints
+        base = words(9)
+        a, b = " ".join(base[:8]), " ".join(base)
+        if (sh.simhash(sh.shingle_hashes(a, 5)) ^ sh.simhash(sh.shingle_hashes(b, 5))).bit_count() > 22:
+            texts += [a, b]
+    rows = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: r.group_id for r in sh.similar_groups(rows).collect()}
+    assert [got[i] for i in range(len(texts))] == [i - i % 2 for i in range(len(texts))]
+
+
+@pytest.mark.parametrize("tile", [2, 5])
+def test_small_tiles_give_the_same_groups(spark, monkeypatch, tile):
+    texts = near_texts(random.Random(7), 2, 24, 80)
+    rows = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    wanted = {r.doc_id: r.group_id for r in sh.similar_groups(rows).collect()}
+    links = sh.similarity_links
+    monkeypatch.setattr(sh, "similarity_links", lambda distinct, rows, similarity: links(distinct, rows, similarity, tile))
+    assert {r.doc_id: r.group_id for r in sh.similar_groups(rows).collect()} == wanted
+
+
+def test_parities_differ_in_no_more_bits_than_the_sets_in_members():
+    rng = np.random.default_rng(2)
+    for n in (3, 300, 5000):
+        a = np.unique(rng.integers(0, 1 << 32, n, dtype=np.uint32))
+        b = np.unique(np.concatenate([a[n // 10 :], rng.integers(0, 1 << 32, n // 5, dtype=np.uint32)]))
+        x, y = sh.parities([a, b])
+        assert int(np.bitwise_count(x ^ y).sum()) <= len(np.setxor1d(a, b))

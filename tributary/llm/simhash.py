@@ -6,7 +6,9 @@ bits (two fingerprints at k bits or fewer agree in two blocks at least); for
 shingle similarity, min-wise keys of the shingles. Within a bucket, fingerprints
 stand in tiles by population count, and tiles are compared exactly by exclusive-or
 and bit counts in numpy. Tile pairs whose population counts differ beyond the
-radius are skipped, for they can hold no link.
+radius are skipped, for they can hold no link. For shingle similarity a
+fingerprint only says in which tile a set stands; what is compared are parities
+of the sets, whose differing bits are never more than the sets' differing shingles.
 
 A bucket larger than a tile is dealt out, tile pair by tile pair, to tasks of
 its own. Each task hands on a spanning forest of the links it finds, never all
@@ -260,8 +262,8 @@ def near_duplicates(docs: DataFrame, words: int = 3, radius: int = 2, id_column:
     return out.select(F.col("id").alias(id_column), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
-#: Bits by which the fingerprints of texts of similarity 0.8 differ at most, but for one pair in some 100,000.
-SIMILAR_RADIUS = 22
+#: Bits of a set's parities, a power of two.
+PARITY_BITS = 2048
 #: Min-wise keys: bands of so many minima each. Of pairs at 0.8, all but 5 in a million share one.
 BANDS, MINIMA = 12, 2
 #: Most nodes whose keys are sent to all tasks to pick out their sets; more are picked out by a shuffle.
@@ -291,7 +293,7 @@ def described(docs: DataFrame, words: int, id_column: str, text_column: str) ->
         distinct = np.unique(hashes)
         node = _signed(xxhash.xxh64_intdigest(distinct.tobytes(), SEED))
         bands = _band_keys(distinct) if len(distinct) else [0] * BANDS
-        return node, _signed(simhash(hashes)), bands, np.unique((distinct >> np.uint64(32)).astype("<u4")).tobytes()
+        return node, _signed(simhash(distinct)), bands, np.unique((distinct >> np.uint64(32)).astype("<u4")).tobytes()
 
     def all_of(batches):
         for batch in batches:
@@ -306,12 +308,29 @@ def described(docs: DataFrame, words: int, id_column: str, text_column: str) ->
     return by_small_batches(rows).mapInArrow(all_of, f"id {kind}, h long, node long, fp long, bands array<long>, shingles binary")
 
 
+def all_pairs(n: int, split: int):
+    """Blocks of index pairs: of the first ``split`` with the rest, or of all ``n`` if there is no rest."""
+    for x in range(split):
+        ys = np.arange(split if split < n else x + 1, n)
+        yield np.full(len(ys), x), ys
+
+
+def parities(sets: list[np.ndarray]) -> np.ndarray:
+    """For each set a row of bits: whether an odd number of its members fall there.
+
+    A member that only one of two sets has changes one bit, so the rows of two
+    sets differ in no more bits than the sets differ in members.
+    """
+    odd = np.array([np.bincount(s & np.uint32(PARITY_BITS - 1), minlength=PARITY_BITS) & 1 for s in sets], np.uint8)
+    return np.packbits(odd, axis=1).view(np.uint64)
+
+
 def similarity_links(distinct: DataFrame, rows: DataFrame, similarity: float, tile: int = TILE) -> DataFrame:
     """(src, dst): forest edges that connect all nodes whose shingle sets have that Jaccard similarity.
 
     ``distinct`` has (node, fp, bands), a row for each node; ``rows`` has (node, shingles).
     """
-    light = distinct.select("node", "fp", "bands", F.posexplode("bands").alias("band", "key"), F.lit(SIMILAR_RADIUS).alias("radius"))
+    light = distinct.select("node", "fp", "bands", F.posexplode("bands").alias("band", "key"), F.lit(64).alias("radius"))
     dealt = materialise(_bucketed(light, tile, ["node", "bands"]), "dealt")
     # only the sets of nodes that share a bucket are shuffled
     wanted = dealt.select("node").distinct()
@@ -322,16 +341,20 @@ def similarity_links(distinct: DataFrame, rows: DataFrame, similarity: float, ti
 
     def linked(batches):
         for (band, *_), (side, fps, nodes, bands, shingles) in _groups(batches, 6):
-            order, blocks = _compared(side.to_numpy(), fps.to_numpy(), SIMILAR_RADIUS)
+            side = side.to_numpy()
+            order = np.lexsort((nodes.to_numpy(), side))
             nodes = nodes.to_numpy()[order]
             before = bands.flatten().to_numpy().reshape(len(nodes), -1)[order][:, :band]
             sets = [np.frombuffer(shingles[int(k)].as_py(), "<u4") for k in order]
             sizes = np.array([len(s) for s in sets])
+            odd = parities(sets) if len(sets) > 16 else None
 
             def alike(x: int, ys: np.ndarray) -> np.ndarray:
                 mask = ~(before[ys] == before[x]).any(axis=1)  # an earlier band compares these
                 small, large = np.minimum(sizes[ys], sizes[x]), np.maximum(sizes[ys], sizes[x])
                 mask &= small >= similarity * large
+                if odd is not None:  # sets of that similarity differ in so many members at most
+                    mask &= np.bitwise_count(odd[ys] ^ odd[x]).sum(axis=1) <= (1 - similarity) / (1 + similarity) * (sizes[ys] + sizes[x]) + 1e-6
                 own = np.flatnonzero(mask)
                 if len(own) and sizes[x]:
                     flat = np.concatenate([sets[y] for y in ys[own]])
@@ -343,6 +366,7 @@ def similarity_links(distinct: DataFrame, rows: DataFrame, similarity: float, ti
                     mask[own] = shared >= similarity * (n + sizes[x] - shared)
                 return mask
 
+            blocks = all_pairs(len(nodes), int((side == 0).sum()))
             edges = list(forest_edges(len(nodes), blocks, alike))
             if edges:
                 src, dst = np.array(edges).T
@@ -354,7 +378,7 @@ def similarity_links(distinct: DataFrame, rows: DataFrame, similarity: float, ti
 def _grouped(docs: DataFrame, words: int, similarity: float, id_column: str, text_column: str) -> DataFrame:
     """(id, h, label): ``label`` names the connected group of each row's text."""
     rows = materialise(described(docs, words, id_column, text_column), "described")
-    # rows of one node have the same set; their fingerprints may differ by repeats, and the least stands for all
+    # rows of one node have the same set, and so the same fingerprint and bands
     distinct = materialise(rows.groupBy("node").agg(F.min("fp").alias("fp"), F.min("bands").alias("bands")), "nodes")
     edges = materialise(similarity_links(distinct, rows, similarity), "edges")
     labels = component_labels(distinct.select("node"), edges)
@@ -365,9 +389,9 @@ def _grouped(docs: DataFrame, words: int, similarity: float, id_column: str, tex
 def similar_groups(docs: DataFrame, words: int = 5, similarity: float = 0.8, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """(id, group_id): connected groups of texts with that similarity of their shingle sets.
 
-    ``group_id`` is the group's smallest id. Candidates share a min-wise key,
-    stand within SIMILAR_RADIUS bits by the tiled comparison, and are verified
-    by the Jaccard similarity of their whole sets. Null, empty and white texts
+    ``group_id`` is the group's smallest id. Candidates share a min-wise key;
+    all that do are compared, tile by tile, and verified by the Jaccard
+    similarity of their whole sets. Null, empty and white texts
     have the empty set and form one group. Repeated rows collapse first; an
     empty table gives an empty result.
     """
