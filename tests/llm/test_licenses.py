@@ -61,3 +61,38 @@ def test_rows(spark):
     got = sorted((r.doc_id, r.license, r.first) for r in scan_licenses(rows).collect())
     assert got[:2] == [(1, "MIT", 0)] * 2 and [g[:2] for g in got[2:]] == [(4, "CC-BY-NC-4.0")] * 3
     assert scan_licenses(rows.limit(0)).count() == 0
+
+
+def names(text):
+    return [f[0] for f in Scanner().scan(text)]
+
+
+def test_a_notice_that_misses_its_rarest_words_is_found_whatever_stands_around_it():
+    """With every share of its words missing that the coverage allows."""
+    scanner = Scanner()
+    for (name, words), needed in zip(scanner.templates, scanner.needed):
+        assert needed == -(-4 * len(words) // 5)
+        for gone in (sorted(set(words)), sorted(set(words), key=lambda w: w not in scanner.keys)):
+            left, n = list(words), len(words) - needed
+            for w in gone:
+                if left.count(w) <= n - (len(words) - len(left)):
+                    left = [x for x in left if x != w]
+            assert not scanner.keys.isdisjoint(left), (name, words)
+
+
+def test_notices_need_the_names_of_their_licence():
+    assert names("Licensed under the MIT License.") == ["MIT"] == names("Licensed under the M.I.T. License.")
+    assert names("Licensed under the Apache License.") == [] == names("Licensed under the ISC License.")
+    assert names("Licensed under the Apache License, Version 1.1") == []
+    assert names("Licensed under the Apache License, Version 2") == ["Apache-2.0"]
+    assert names("Licensed under CC BY-ND 4.0.") == [] and names("Licensed under CC BY-SA 4.0.") == ["CC-BY-SA-4.0"]
+    assert names("This work is licensed under the GNU Lesser General Public License, version 3.") == ["LGPL-3.0"]
+    assert names("This library is licensed under the GNU General Public License, version 3.") == ["GPL-3.0"]
+    assert names("This work is licensed under a Creative Commons Attribution 3.0 International License.") == []
+
+
+def test_longer_notices_of_other_versions():
+    gpl = TEMPLATES["GPL-3.0"][0]
+    assert names(gpl) == ["GPL-3.0"] and names(gpl.replace("version 3", "version 2")) == ["GPL-2.0"]
+    assert names(gpl.replace("GNU General", "GNU Lesser General")) == ["LGPL-3.0"] and names(gpl.replace("version 3", "version 9")) == []
+    assert names(TEMPLATES["Apache-2.0"][0].replace("Version 2.0", "Version 1.1")) == []

@@ -13,6 +13,7 @@ public licence texts and notices, so every text is read where it lies, once.
 
 from __future__ import annotations
 
+import math
 import re
 from bisect import bisect_left
 from collections import Counter, defaultdict
@@ -73,6 +74,20 @@ TEMPLATES = {
     "CC0-1.0": ("To the extent possible under law, the author has waived all copyright and related or neighboring rights to this work.", "SPDX-License-Identifier: CC0-1.0"),
 }
 
+# Notices that differ from another's in the licence's name or version alone.
+_GPL = TEMPLATES["GPL-3.0"][0]
+TEMPLATES["GPL-2.0"] += (_GPL.replace("version 3", "version 2"),)
+TEMPLATES["LGPL-3.0"] += (_GPL.replace("GNU General", "GNU Lesser General"),)
+TEMPLATES["AGPL-3.0"] += (_GPL.replace("GNU General", "GNU Affero General"),)
+
+#: Words that name a licence, as versions do.
+NAMES = frozenset("mit apache gnu lesser affero mozilla cc by by-sa by-nc creative attribution attribution-sharealike attribution-noncommercial".split())
+#: Words that make another licence of a name that they stand within.
+QUALIFIERS = frozenset("lesser library affero noncommercial non-commercial sharealike share-alike noderivatives noderivs no-derivatives".split())
+#: Words of a notice at most; in longer texts a name may be missing, but not be another.
+NOTICE = 40
+
+_VERSION = re.compile(r"\d+(?:\.\d+)*")
 _TOKEN = re.compile(r"[^\W_]+(?:[.\-'][^\W_]+)*")
 
 
@@ -128,8 +143,16 @@ def patience(text: list[str], template: list[str]) -> list[tuple[int, int]]:
     return sorted(found)
 
 
+def _plain(word: str) -> str:
+    """A name or version without the ways in which it may be spelled."""
+    return word.removesuffix(".0").replace(".", "")
+
+
 class Scanner:
-    """Finds licence passages in texts."""
+    """Finds licence passages in texts.
+
+    A passage must have the names and versions that its template has (see ``_named``).
+    """
 
     def __init__(self, templates: dict[str, tuple[str, ...]] = TEMPLATES, coverage: float = 0.8):
         self.coverage = coverage
@@ -138,11 +161,14 @@ class Scanner:
         for k, (_, words) in enumerate(self.templates):
             for place, pair in enumerate(zip(words, words[1:])):
                 self.pairs[pair].append((k, place))
-        # Fewer than 1 - coverage of a template's words may be missing, so a match has one of these: its rarest, one more than may be missing.
+        self.needed = [math.ceil(round(coverage * len(words), 9)) for _, words in self.templates]
+        # where each of a template's names and versions stands first
+        self.names = [sorted({w: c for c, w in reversed(list(enumerate(words))) if _VERSION.fullmatch(w) or w in NAMES and (w != "by" or "cc" in words)}.values()) for _, words in self.templates]
+        # A match has one of these: of each template its rarest words, one more than may be missing.
         often = Counter(w for _, words in self.templates for w in set(words))
         self.keys = frozenset()
-        for _, words in self.templates:
-            missing = int((1 - coverage) * len(words)) + 1
+        for (_, words), needed in zip(self.templates, self.needed):
+            missing = len(words) - needed + 1
             picked, held = set(), 0
             for w, n in sorted(Counter(words).items(), key=lambda x: (often[x[0]] + 20 * (len(x[0]) < 3), -len(x[0]), x[0])):
                 if held >= missing:
@@ -174,6 +200,30 @@ class Scanner:
                 # as far as the template may reach, but not into the runs beside
                 yield k, max(min(low, first), first - bottom - slack), min(max(high, last + 2), last + 2 + size - top + slack)
 
+    def _named(self, k: int, text: list[str], matched: list[tuple[int, int]]) -> bool:
+        """Whether a passage names the template's licence, and no other.
+
+        A notice must have all its names and versions, be they spelled another
+        way. A longer text may lack them, but not have another version or
+        name in their place.
+        """
+        places, template = self.names[k], self.templates[k][1]
+        at = {c: a for a, c in matched}
+        found = []
+        for c in places:
+            if c in at:
+                found.append(at[c])
+                continue
+            beside = [text[a] for a in (at.get(c - 1, -9) + 1, at.get(c + 1, -9) - 1) if 0 <= a < len(text)]
+            if any(_plain(w) == _plain(template[c]) for w in beside):
+                continue
+            if len(template) <= NOTICE or any(w in NAMES or _VERSION.fullmatch(w) for w in beside):
+                return False
+        if not found:
+            return True
+        own = set(at.values())
+        return not any(text[a] in QUALIFIERS and a not in own for a in range(min(found), max(found)))
+
     def scan(self, text: str) -> list[tuple[str, float, int, int, int]]:
         """(licence, coverage, first character, end, matched words) of the passages, in text order.
 
@@ -186,7 +236,7 @@ class Scanner:
         for k, first, end in self._passages(words):
             name, template = self.templates[k]
             matched = patience(words[first:end], template)
-            if matched and len(matched) >= self.coverage * len(template):
+            if len(matched) >= self.needed[k] and self._named(k, words[first:end], matched):
                 spans = spans or [m.span() for m in _TOKEN.finditer(text.lower())]
                 found.append((len(matched), len(matched) / len(template), name, spans[first + matched[0][0]][0], spans[first + matched[-1][0]][1]))
         kept: list[tuple[str, float, int, int, int]] = []
