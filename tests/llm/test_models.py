@@ -1,25 +1,29 @@
 """The learned operators: their smoothing by hand, and their accuracy on held-out rows."""
 
 import math
-from collections import Counter, defaultdict
+import zlib
+from collections import Counter
 
+import numpy as np
 import pytest
+from hypothesis import given
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from tributary.llm import charlm
-from tributary.llm.langid import identify
-from tributary.llm.quality import classify, drop_poor
-from tributary.llm.toxicity import Grammar, Reader, drop_toxic, score_documents
+from tributary.llm import charlm, langid
+from tributary.llm.langid import identify, letters
+from tributary.llm.quality import ORDER, classify, drop_poor, evened
+from tributary.llm.toxicity import CASCADE, FEATURES, SYMBOLS, Grammar, Reader, composed, drop_toxic, score_documents
 
 SF = "/root/testdata/sf0.01"
 
 
-def plain_model(words, order):
+def plain_model(texts, order):
     """Interpolated modified Kneser-Ney probabilities of one class, straight from the definition."""
     top = Counter()
-    for w in words:
-        text = charlm.BEGIN * (order - 1) + w + charlm.END
-        top.update(text[i : i + order] for i in range(len(w) + 1))
+    for t in texts:
+        stream = charlm.BEGIN * (order - 1) + t + charlm.END
+        top.update(stream[i : i + order] for i in range(len(t) + 1))
     tables = {order: top}
     raw = {order: top}
     for n in range(order - 1, 0, -1):
@@ -49,20 +53,94 @@ def plain_model(words, order):
     return p
 
 
-@pytest.mark.parametrize("order", [2, 3])
-def test_smoothing_is_the_definition(spark, order):
-    texts = ["the cat sat the mat", "a cat a hat that", "on the mat"]
-    rows = spark.createDataFrame([("x", t) for t in texts], "class string, text string")
-    model = charlm.fit(rows, str.split, order)
-    p = plain_model(" ".join(texts).split(), order)
-    for word in ("the", "cat", "zzz", "ha", "tt"):
-        text = charlm.BEGIN * (order - 1) + word + charlm.END
-        wanted = sum(math.log(p(text[i : i + order])) for i in range(len(word) + 1))
-        assert model.word_scores([word])[0][0] == pytest.approx(wanted, abs=1e-3)
+def plain_total(p, text, order):
+    stream = charlm.BEGIN * (order - 1) + text + charlm.END
+    return sum(math.log(p(stream[i : i + order])) for i in range(len(text) + 1))
+
 
+TEXTS = ["the cat sat on the mat", "a cat, a hat, that", "on the mat \x02 the cat", "the the the"]
 
-def test_no_training_text(spark):
-    assert charlm.fit(spark.createDataFrame([], "class string, text string"), str.split, 3) is None
+
+@pytest.mark.parametrize("order", [2, 3])
+def test_smoothing_is_the_definition(spark, order):
+    rows = spark.createDataFrame([("x", t) for t in TEXTS], "class string, text string")
+    model = charlm.smoothed(charlm.gram_counts(rows, evened, order), order)
+    p = plain_model([evened(charlm.unmarked(t)) for t in TEXTS], order)
+    new = ["the cat", "zzz", "hat mat", "tt", "the " * 9]
+    wanted = [plain_total(p, evened(t), order) for t in new]
+    totals, lengths = charlm.as_arrays(model, ["x"]).totals([evened(t) for t in new])
+    assert totals[:, 0] == pytest.approx(wanted, abs=1e-4) and lengths.tolist() == [len(evened(t)) + 1 for t in new]
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(new)] + [(0, new[0]), (9, " ")], "i int, text string")
+    grams = charlm.gram_counts(docs.select(F.lit("").alias("class"), "text"), evened, order).select("gram")
+    got = {r.i: r for r in charlm.score_by_joins(docs, charlm.scored_grams(grams, model, ["x"]), evened, order, ["x"]).collect()}
+    assert [got[i].total_0 for i in range(len(new))] == pytest.approx(wanted, abs=1e-9)
+    assert (got[0].copies, got[1].copies, got[9].length) == (2, 1, 0)
+
+
+def test_windows_cover_long_texts():
+    texts = ["ab" * 40, "", "c", "de" * 17]
+    for chars in (5, 7, 1000):
+        seen = Counter()
+        for w in charlm.windows(texts, 3, chars):
+            seen.update((int(t), w.stream[p - 2 : p + 1]) for t, p in zip(w.text, w.place))
+        assert seen == Counter((i, f"\x02\x02{t}\x03"[k : k + 3]) for i, t in enumerate(texts) for k in range(len(t) + 1))
+
+
+def held_out(i):
+    return zlib.crc32(str(i).encode()) % 4 == 2
+
+
+def test_quality_equals_a_plain_model(spark):
+    some = ["the cat sat on the mat", "a cat and a hat", "the hat on the cat", "that cat sat", "on a mat the cat sat"]
+    docs = [(i, some[i % 5] + " and so on" * (i % 3), "en" if i % 4 else None) for i in range(60)] + [(100, "qx zzq xqz " * 4, "en"), (101, "the cat " * 150_000, "fr"), (5, some[0] + " and so on" * 2, "en")]
+    labels = [(i, 1) for i in range(0, 60)] + [(7, 0)]
+    rows = spark.createDataFrame([(*d, "x") for d in docs], "doc_id long, text string, lang string, deviation string")
+    got = classify(rows, spark.createDataFrame(labels, "doc_id long, quality int")).collect()
+    assert Counter(r.doc_id for r in got) == Counter(d[0] for d in docs)
+    trusted = {i for i, _ in labels} - {7}
+    p = plain_model([evened(t) for i, t, _ in docs if i in trusted and not held_out(i)], ORDER)
+    memo = {}
+    for r in got:
+        text = evened(next(t for i, t, _ in docs if i == r.doc_id))
+        if len(text) < 1000:
+            if text not in memo:
+                memo[text] = math.exp(-plain_total(p, text, ORDER) / (len(text) + 1))
+            assert r.perplexity == pytest.approx(memo[text], rel=1e-9) and r.n_tokens == len(text.split())
+            assert r.kept == (r.low <= r.deviation <= r.high)
+    by = {r.doc_id: r for r in got}
+    assert not by[100].kept and by[101].n_tokens == 300_000
+
+
+def test_languages_equal_plain_models_by_either_route(spark, monkeypatch):
+    words = {"aa": "the cat sat on the mat", "bb": "die katze sitzt im haus", "cc": "le chat est sur la table"}
+    docs = [(i, f"{t} {t[: i % 9]} {i}", k) for i in range(40) for k, t in words.items()]
+    docs += [(200, "the katze chat", "zz1"), (201, "\u00bd \u00b2 \u2167", "aa"), (202, "\u4e00\u4e8c", None), (203, None, "aa"), (200, "the katze chat", "bb"), (None, "la table", "cc")]
+    rows = spark.createDataFrame([(*d, 1) for d in docs], "doc_id long, text string, lang string, score int")
+    found = {}
+    for route in (charlm.ARRAY_ROWS, -1):
+        monkeypatch.setattr(charlm, "ARRAY_ROWS", route)
+        found[route] = identify(rows).collect()
+    assert Counter((r.doc_id, r.lang_pred) for r in found[-1]) == Counter((r.doc_id, r.lang_pred) for r in found[charlm.ARRAY_ROWS if charlm.ARRAY_ROWS > 0 else 3_000_000])
+    train = [(i, letters(t), k) for i, t, k in docs if t and k and letters(t) and (i is None or not held_out(i))]
+    models = {k: plain_model([t for _, t, own in train if own == k], langid.ORDER) for k in {k for *_, k in train}}
+    for got in found.values():
+        assert Counter(r.doc_id for r in got) == Counter(d[0] for d in docs)
+        for r in got:
+            texts = {letters(t or "") for i, t, _ in docs if i == r.doc_id}
+            if texts == {""}:
+                assert (r.lang_pred, r.score, r.rejected) == ("und", 0.0, True)
+                continue
+            totals = [{k: plain_total(p, t, langid.ORDER) for k, p in models.items()} for t in texts]
+            best = [max(sorted(t), key=t.get) for t in totals]
+            assert r.lang_pred in best
+            if len(texts) == 1:
+                n = len(next(iter(texts))) + 1
+                assert r.cross_entropy == pytest.approx(-totals[0][best[0]] / n, abs=1e-4)
+                assert r.score == pytest.approx(1 / sum(math.exp((x - totals[0][best[0]]) / n * n**0.5) for x in totals[0].values()), abs=1e-3)
+
+
+def test_letters_are_of_category_l():
+    assert letters("Ab \u00bdc\u00b2 9x_y \u2167 \u4e00") == "ab c x y \u4e00"
 
 
 def test_languages_of_held_out_documents(spark):
@@ -97,14 +175,44 @@ def test_quality_without_labels_or_text(spark):
 
 def test_grammar_scores_clauses():
     reader = Reader(Grammar(words=frozenset(["dolt"]), stems=frozenset(["blen"])))
-    names = dict(zip(("affirmed", "targeted", "denied", "reported", "threats", "clauses", "repeated"), range(7)))
-    at = lambda text, f: reader.features(text)[names[f]]
+    at = lambda text, f: reader.features(text)[FEATURES.index(f)]
     assert at("You are a dolt.", "affirmed") == 1 and at("You are a dolt.", "targeted") == 1
     assert at("You are not a dolt.", "denied") == 1 and at("You are not a dolt.", "affirmed") == 0
     assert at("She said: fine. She called him a dolt.", "reported") == 1
-    assert at("I will kill you.", "threats") == 1 and at("I will not kill you.", "threats") == 0 and at("kill time", "threats") == 0
     assert at("not now. dolt", "affirmed") == 1 and at("blending blender", "repeated") == 1
-    assert reader.features("plain text") == [0.0] * 7
+    assert not reader.features("plain text").any() and not reader.features("").any()
+
+
+def test_threats_in_each_language():
+    reader = Reader(Grammar())
+    at = lambda text: reader.features(text)[FEATURES.index("threats")]
+    for text in ("I will kill you.", "ich werde dich töten", "er will euch umbringen", "te voy a matar", "je vais te tuer", "je vais le tuer"):
+        assert at(text) == 1, text
+    for text in ("I will not kill you.", "kill time", "tuer le temps", "he said he would kill you", "wir wollen die zeit töten"):
+        assert at(text) == 0, text
+
+
+@given(st.lists(st.sampled_from(SYMBOLS), max_size=40))
+def test_the_composed_transducer_does_what_the_cascade_does(symbols):
+    passed, events = list(symbols), Counter()
+    for make in CASCADE:
+        passed, own = make().run(passed)
+        events += own
+    arcs, final = composed()
+    total, state = np.zeros(len(FEATURES)), 0
+    for symbol in symbols:
+        weight, state = arcs[state][SYMBOLS.index(symbol)]
+        total += 0 if weight is None else weight
+    total += 0 if final[state] is None else final[state]
+    assert dict(zip(FEATURES, total)) == {f: events[f] for f in FEATURES}
+
+
+def test_toxicity_of_odd_rows(spark):
+    docs = spark.createDataFrame([(1, "you dolt " * 120_000, "a"), (1, "you dolt " * 120_000, "a"), (2, None, "b"), (3, "x" * 300_000, "c")], ["doc_id", "text", "meta.url"])
+    labels = spark.createDataFrame([(1, 1), (1, 0), (2, 0), (None, 1), (3, None)], "doc_id long, toxic int")
+    got = score_documents(docs, labels).collect()
+    assert sorted(r.doc_id for r in got) == [1, 1, 2, 3] and len({r.score for r in got if r.doc_id == 1}) == 1
+    assert drop_toxic(docs, labels).columns == docs.columns
 
 
 def test_toxicity_of_held_out_documents(spark):

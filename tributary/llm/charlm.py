@@ -2,20 +2,23 @@
 
 Counts are gathered and smoothed in Spark over all training rows, for several
 classes (languages, streams) at once; the tables of each order are joined by
-context and by suffix, sharded by those keys. A finished model is a set of
-sorted hash arrays. Hashes are folded to so few bits that the arrays fit a
-fixed number of bytes whatever the corpus, so they can be broadcast.
-
-Words are spelled apart: each is preceded by ``order - 1`` begin marks and
-followed by an end mark, and no context reaches over a word's start. So counts
-of distinct words carry all there is to learn, and scores of distinct words all
-there is to score.
+context and by suffix, sharded by those keys. Texts are scored in one of two
+ways, with the same results:
+
+* ``score_by_joins``: the distinct n-grams of the texts are joined to the count
+  tables, each text's n-grams to their scores, and summed by text;
+* ``Model``: sorted hash arrays of all n-grams with full 64-bit keys, for models
+  up to a stated size, which are sent to all tasks.
+
+A text is one stream of characters: ``order - 1`` begin marks, its characters,
+an end mark. Contexts reach over the ends of words.
 """
 
 from __future__ import annotations
 
 from collections import Counter
-from collections.abc import Callable, Iterable, Iterator
+from collections.abc import Callable, Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
@@ -23,39 +26,56 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import by_small_batches, materialise
+from .common import by_small_batches, discard, if_small, materialise, returning_memory
 
-#: Begin and end marks of a word.
+#: Begin and end marks of a text; within it they count as white space.
 BEGIN, END = "\x02", "\x03"
-#: Most bytes of a model's arrays.
-MODEL_BYTES = 256 << 20
-#: Distinct words whose counts a training task holds before it hands them on.
-COUNTED_WORDS = 100_000
-#: Distinct words whose scores a worker keeps; beyond it the memo starts afresh.
-MEMO_ENTRIES = 150_000
-#: Texts whose words a worker holds at once, and words that it scores at once.
-HELD_TEXTS, HELD_WORDS = 200, 10_000
+_MARKS = str.maketrans({BEGIN: " ", END: " "})
+#: Most rows (class, n-gram) of a model that is sent to all tasks as arrays, of 16 bytes a row or so.
+ARRAY_ROWS = 3_000_000
+#: Most scored n-grams that are sent to all tasks; more are joined by a shuffle.
+BROADCAST_ROWS = 2_000_000
+#: Characters of a window, and cells of a block of scores.
+WINDOW_CHARS, CELLS = 1 << 19, 1 << 21
+#: Distinct n-grams whose counts a task holds before it hands them on.
+COUNTED_GRAMS = 300_000
+#: Stands among a text's n-grams for the text itself.
+TEXT_KEY = 0
 
 _P = np.uint64(0x9E3779B97F4A7C15)
 
 
-def _folded(key: np.ndarray, bits: int) -> np.ndarray:
-    """The upper bits of a mixed 64-bit key."""
+def unmarked(text: str | None) -> str:
+    """The text without begin and end marks; null counts as empty."""
+    text = text or ""
+    return text.translate(_MARKS) if BEGIN in text or END in text else text
+
+
+def _mixed(key: np.ndarray) -> np.ndarray:
     key = (key ^ (key >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
     key = (key ^ (key >> np.uint64(29))) * np.uint64(0xD6E8FEB86659FD93)
-    return (key >> np.uint64(64 - bits)).astype(np.uint32)
+    return key ^ (key >> np.uint64(32))
 
 
-def _gram_keys(codes: np.ndarray, order: int) -> list[np.ndarray]:
-    """For n = 0 .. order, the 64-bit keys of the n-grams that end at each position."""
+def _sums(codes: np.ndarray, order: int) -> list[np.ndarray]:
+    """For n = 0 .. order, a 64-bit sum over the n characters that end at each position."""
     found = [np.zeros(len(codes), np.uint64)]
     power = np.uint64(1)
-    with np.errstate(over="ignore"):
-        for n in range(1, order + 1):
-            shifted = np.zeros(len(codes), np.uint64)
-            shifted[n - 1 :] = codes[: len(codes) - n + 1] if n > 1 else codes
-            found.append(found[-1] + (shifted + np.uint64(n)) * power)
-            power *= _P
+    for n in range(1, order + 1):
+        shifted = np.zeros(len(codes), np.uint64)
+        shifted[n - 1 :] = codes[: len(codes) - n + 1]
+        found.append(found[-1] + (shifted + np.uint64(n)) * power)
+        power = np.uint64(int(power) * int(_P) % (1 << 64))
+    return found
+
+
+def _top(codes: np.ndarray, order: int) -> np.ndarray:
+    """The last of ``_sums``, without the others."""
+    found, power = np.zeros(len(codes), np.uint64), np.uint64(1)
+    for n in range(1, order + 1):
+        found[n - 1 :] += codes[: len(codes) - n + 1] * power
+        found += np.uint64(n * int(power) % (1 << 64))
+        power = np.uint64(int(power) * int(_P) % (1 << 64))
     return found
 
 
@@ -63,58 +83,92 @@ def _codes(text: str) -> np.ndarray:
     return np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64)
 
 
-def fold_grams(grams: pd.Series, bits: int) -> pd.Series:
-    """The array key of each gram (a string of its characters)."""
-    out = np.zeros(len(grams), np.int64)
+def gram_keys(grams: pd.Series) -> pd.Series:
+    """The 64-bit key of each n-gram (a string of its characters), as a signed long."""
+    out = np.zeros(len(grams), np.uint64)
     lengths = grams.str.len().to_numpy()
     for n in np.unique(lengths):
         own = np.flatnonzero(lengths == n)
         if n:
-            keys = _gram_keys(_codes("".join(grams.iloc[own])), int(n))[int(n)]
-            out[own] = _folded(keys[n - 1 :: n], bits)
-    return pd.Series(out)
+            sums = _sums(_codes("".join(grams.iloc[own])), int(n))[int(n)]
+            out[own] = _mixed(sums[n - 1 :: n])
+    return pd.Series(out.view(np.int64))
 
 
-def _handed_on(held: dict[str, Counter], name: str) -> Iterator[pa.RecordBatch]:
-    """Batches (class, name, n) of the counts, which are emptied."""
-    for k, c in held.items():
-        if c:
-            yield pa.record_batch([pa.array([k] * len(c)), pa.array(list(c)), pa.array(list(c.values()), pa.int64())], names=["class", name, "n"])
-    held.clear()
+@dataclass
+class Window:
+    """Some characters of some texts: ``text`` is the number of the text of each scored position in ``place``."""
 
+    stream: str
+    codes: np.ndarray
+    place: np.ndarray
+    text: np.ndarray
 
-def word_counts(rows: DataFrame, words_of: Callable[[str], Iterable[str]]) -> DataFrame:
-    """(class, word, n) over all rows of (class, text), summed within each task first."""
 
-    def counted(batches):
-        held: dict[str, Counter] = {}
+def windows(texts: list[str], order: int, chars: int = WINDOW_CHARS) -> Iterator[Window]:
+    """All positions of the texts that are scored, in windows of bounded size; longer texts take several."""
+    lead, held, owners, size = BEGIN * (order - 1), [], [], 0
 
-        for batch in batches:
-            for k, t in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                held.setdefault(k, Counter()).update(words_of(t))
-            if sum(map(len, held.values())) > COUNTED_WORDS:
-                yield from _handed_on(held, "word")
-        yield from _handed_on(held, "word")
+    def made() -> Window:
+        stream = "".join(held)
+        sizes = np.array([len(h) for h in held])
+        scored = np.ones(len(stream), bool)
+        starts = np.concatenate(([0], np.cumsum(sizes)[:-1]))
+        for k in range(order - 1):
+            scored[starts + k] = False
+        place = np.flatnonzero(scored)
+        return Window(stream, _codes(stream), place, np.repeat(np.array(owners), sizes)[place])
+
+    for i, text in enumerate(texts):
+        full = f"{lead}{text}{END}"
+        for at in range(0, len(full) - order + 1, chars):
+            part = full[at : at + chars + order - 1]
+            if held and size + len(part) > chars:
+                yield made()
+                held, owners, size = [], [], 0
+            held.append(part)
+            owners.append(i)
+            size += len(part)
+    if held:
+        yield made()
+
+
+def counts_by_text(text: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(text, key, number) of the distinct n-grams of each text, in order of text.
+
+    Sorted by text and the upper bits of the key; should two keys of a text agree
+    in these, one of them may come in several parts, which does no harm to sums.
+    """
+    order = np.argsort((text.astype(np.uint64) << np.uint64(44)) | (keys >> np.uint64(20)))
+    text, keys = text[order], keys[order]
+    first = np.flatnonzero(np.concatenate(([True], (text[1:] != text[:-1]) | (keys[1:] != keys[:-1])))) if len(text) else np.zeros(0, np.int64)
+    return text[first], keys[first], np.diff(np.append(first, len(text)))
 
-    return by_small_batches(rows).mapInArrow(counted, "class string, word string, n long")
 
+def gram_counts(rows: DataFrame, spelled: Callable[[str], str], order: int) -> DataFrame:
+    """(class, gram, n): how often each gram of ``order`` characters ends at some character, over all rows of (class, text)."""
 
-def gram_counts(words: DataFrame, order: int) -> DataFrame:
-    """(class, gram, n): how often each gram of ``order`` characters ends at some character of a word."""
-    lead = BEGIN * (order - 1)
+    def handed_on(held: dict) -> Iterator[pa.RecordBatch]:
+        for k, c in held.items():
+            yield pa.record_batch([pa.array([k] * len(c), pa.string()), pa.array(list(c), pa.string()), pa.array(list(c.values()), pa.int64())], names=["class", "gram", "n"])
+        held.clear()
 
-    def spelled(batches):
-        held: dict[str, Counter] = {}
+    def counted(batches):
+        held: dict[str | None, Counter] = {}
         for batch in batches:
-            for k, w, n in zip(*(c.to_pylist() for c in batch.columns)):
-                count, text = held.setdefault(k, Counter()), f"{lead}{w}{END}"
-                for i in range(len(w) + 1):
-                    count[text[i : i + order]] += n
-            if sum(map(len, held.values())) > COUNTED_WORDS:
-                yield from _handed_on(held, "gram")
-        yield from _handed_on(held, "gram")
+            classes, texts = (c.to_pylist() for c in batch.columns)
+            for k in dict.fromkeys(classes):
+                own = held.setdefault(k, Counter())
+                for w in windows([spelled(unmarked(t)) for c, t in zip(classes, texts) if c == k], order, 2 * WINDOW_CHARS):
+                    _, at, n = np.unique(_top(w.codes, order)[w.place], return_index=True, return_counts=True)
+                    for end, many in zip((w.place[at] + 1).tolist(), n.tolist()):
+                        own[w.stream[end - order : end]] += many
+            if sum(map(len, held.values())) > COUNTED_GRAMS:
+                yield from handed_on(held)
+        yield from handed_on(held)
 
-    return words.mapInArrow(spelled, "class string, gram string, n long").groupBy("class", "gram").agg(F.sum("n").alias("n"))
+    found = by_small_batches(rows).mapInArrow(returning_memory(counted), "class string, gram string, n long")
+    return found.groupBy("class", "gram").agg(F.sum("n").alias("n"))
 
 
 def _order_below(counts: DataFrame) -> DataFrame:
@@ -123,18 +177,34 @@ def _order_below(counts: DataFrame) -> DataFrame:
     return lower.select("class", "gram", F.when(F.col("gram").startswith(BEGIN), F.col("raw")).otherwise(F.col("kinds")).alias("n"), "raw")
 
 
-def smoothed(counts: DataFrame, order: int) -> DataFrame:
-    """(class, gram, logp, log_rest) of all orders.
+@dataclass
+class Smoothed:
+    """Tables of a smoothed model, each written to the shared folder.
 
-    ``logp``: interpolated probability of the gram's last character after the
-    others. ``log_rest``: the weight that the gram, as a context, leaves to the
-    order below. Each is null where the gram was not seen in that role.
+    ``grams[n]``: (class, gram, logp), the interpolated probability of the last
+    of n characters after the others. ``rests[n]``: (class, gram, total, log_rest), the
+    weight that a context of n characters leaves to the order below. ``floor``:
+    (class, logp) of a character never seen, before that weight.
     """
+
+    order: int
+    grams: dict[int, DataFrame]
+    rests: dict[int, DataFrame]
+    floor: DataFrame | None = None
+
+    def discard(self) -> None:
+        discard(*self.grams.values(), *self.rests.values(), self.floor)
+
+    def rows(self) -> int:
+        return sum(t.count() for t in (*self.grams.values(), *self.rests.values()))
+
+
+def smoothed(counts: DataFrame, order: int) -> Smoothed:
+    """The model of ``counts`` (class, gram, n), grams of ``order`` characters."""
     tables = [counts.withColumn("raw", F.col("n"))]
     for _ in range(order - 1):
-        tables.insert(0, _order_below(tables[0]))
-    tables = [materialise(t, "grams") for t in tables]
-    n, done, lower = F.col("n"), [], None
+        tables.insert(0, materialise(_order_below(tables[0]), "grams"))
+    n, found, lower = F.col("n"), Smoothed(order, {}, {}), None
     for k, table in enumerate(tables, 1):
         of = [F.sum((n == i).cast("long")).alias(f"n{i}") for i in (1, 2, 3, 4)]
         d = table.groupBy("class").agg(*of)  # one row for each class
@@ -143,120 +213,154 @@ def smoothed(counts: DataFrame, order: int) -> DataFrame:
         d = d.select("class", bounded(1, "n1", "n2").alias("d1"), bounded(2, "n2", "n3").alias("d2"), bounded(3, "n3", "n4").alias("d3"))
         less = F.when(n == 1, F.col("d1")).when(n == 2, F.col("d2")).otherwise(F.col("d3"))
         seen = table.join(F.broadcast(d), "class").withColumn("context", F.expr("left(gram, length(gram) - 1)")).withColumn("less", less)
-        contexts = seen.groupBy("class", "context").agg(F.sum("n").alias("total"), F.sum("less").alias("rest")).withColumn("rest", F.col("rest") / F.col("total"))
-        joined = seen.join(contexts, ["class", "context"])
+        contexts = seen.groupBy("class", "context").agg(F.sum("n").alias("total"), F.sum("less").alias("rest"))
+        contexts = contexts.select("class", F.col("context").alias("gram"), "total", F.log(F.col("rest") / F.col("total")).alias("log_rest"))
+        found.rests[k - 1] = materialise(contexts, "contexts")
+        joined = seen.join(found.rests[k - 1].withColumnRenamed("gram", "context"), ["class", "context"])
         if lower is None:
-            kinds = table.groupBy("class").agg((F.count("*") + 1).alias("kinds"))
-            joined = joined.join(F.broadcast(kinds), "class").withColumn("p_below", 1 / F.col("kinds"))
+            found.floor = materialise(table.groupBy("class").agg((-F.log(F.count("*") + 1)).alias("logp")), "floor")
+            joined = joined.join(F.broadcast(found.floor), "class").withColumn("p_below", F.exp("logp"))
         else:
-            joined = joined.withColumn("suffix", F.substring("gram", 2, 1 << 20)).join(lower.select("class", F.col("gram").alias("suffix"), F.col("p").alias("p_below")), ["class", "suffix"])
-        p = (n - F.col("less")) / F.col("total") + F.col("rest") * F.col("p_below")
-        lower = materialise(joined.select("class", "gram", p.alias("p")), "smoothed")
-        done.append(lower.select("class", "gram", F.log("p").alias("logp"), F.lit(None).cast("double").alias("log_rest")))
-        done.append(contexts.select("class", F.col("context").alias("gram"), F.lit(None).cast("double").alias("logp"), F.log("rest").alias("log_rest")))
-    out = done[0]
-    for t in done[1:]:
-        out = out.unionByName(t)
-    return out
+            joined = joined.withColumn("suffix", F.substring("gram", 2, 1 << 20)).join(lower.select("class", F.col("gram").alias("suffix"), F.exp("logp").alias("p_below")), ["class", "suffix"])
+        p = (n - F.col("less")) / F.col("total") + F.exp("log_rest") * F.col("p_below")
+        lower = found.grams[k] = materialise(joined.select("class", "gram", F.log(p).alias("logp")), "smoothed")
+    discard(*tables[:-1])
+    return found
+
+
+def scored_grams(grams: DataFrame, model: Smoothed, classes: list[str]) -> DataFrame:
+    """(class, gram, logp) of each gram of ``grams`` (distinct, of full order) under each class.
+
+    From the shortest to the longest suffix: a gram that was seen has its
+    interpolated probability, another what its context leaves times the
+    probability of its suffix. The tables are joined by class and gram.
+    """
+    suffix = F.substring("gram", 2, 1 << 20)
+    wanted = {model.order: grams.select("gram")}
+    for k in range(model.order - 1, 0, -1):
+        wanted[k] = wanted[k + 1].select(suffix.alias("gram")).distinct()
+    each = F.explode(F.array(*map(F.lit, classes)))
+    below = model.floor.withColumnRenamed("logp", "below")
+    for k in range(1, model.order + 1):
+        own = wanted[k].select(each.alias("class"), "gram")
+        own = own.withColumn("context", F.expr("left(gram, length(gram) - 1)")).withColumn("suffix", suffix)
+        own = own.join(F.broadcast(below), "class") if k == 1 else own.join(below, ["class", "suffix"])
+        own = own.join(model.grams[k], ["class", "gram"], "left")
+        own = own.join(model.rests[k - 1].select("class", F.col("gram").alias("context"), "log_rest"), ["class", "context"], "left")
+        own = own.select("class", "gram", F.coalesce("logp", F.coalesce("log_rest", F.lit(0.0)) + F.col("below")).alias("logp"))
+        below = own.select("class", F.col("gram").alias("suffix"), F.col("logp").alias("below"))
+    return own
+
+
+def score_by_joins(rows: DataFrame, scores: DataFrame, spelled: Callable[[str], str], order: int, classes: list[str]) -> DataFrame:
+    """The distinct rows of ``rows`` with ``copies``, ``length`` and, for each class, ``total_i``: the summed log probability.
+
+    ``rows`` has (text, and columns that don't identify it alone); ``scores``
+    (class, gram, logp) covers all their n-grams. ``length`` is the number of
+    characters and end marks that are scored; a text that is spelled empty has 0. Each
+    text's distinct n-grams are joined to their scores and summed by text; the
+    scores go to all tasks if they are at most BROADCAST_ROWS, else both
+    sides are shuffled by n-gram.
+    """
+    keep = [c for c in rows.columns if c != "text"]
+    kinds = ", ".join(f"`{c}` {rows.schema[c].dataType.simpleString()}" for c in keep)
+    pairs = pa.struct([("key", pa.int64()), ("n", pa.int32())])
+
+    def cut(batches):
+        for batch in batches:
+            texts = [spelled(unmarked(t)) for t in batch.column(batch.schema.get_field_index("text")).to_pylist()]
+            sizes = np.array([len(t) + 1 if t else 0 for t in texts], np.int64)
+            held = [i for i, t in enumerate(texts) if t]
+            for i in range(0, len(texts), 1 << 16):  # one entry for each text itself
+                own = np.arange(i, min(len(texts), i + (1 << 16)))
+                ones = pa.StructArray.from_arrays([pa.array(np.full(len(own), TEXT_KEY, np.int64)), pa.array(np.ones(len(own), np.int32))], fields=list(pairs))
+                lists = pa.ListArray.from_arrays(pa.array(np.arange(len(own) + 1), pa.int32()), ones)
+                yield record(batch, own, sizes, lists)
+            for w in windows([texts[i] for i in held], order):
+                at, keys, n = counts_by_text(w.text, _mixed(_top(w.codes, order)[w.place]))
+                own, first = np.unique(at, return_index=True)
+                entries = pa.StructArray.from_arrays([pa.array(keys.view(np.int64)), pa.array(n.astype(np.int32))], fields=list(pairs))
+                lists = pa.ListArray.from_arrays(pa.array(np.append(first, len(at)), pa.int32()), entries)
+                yield record(batch, np.array(held)[own], sizes, lists)
+
+    def record(batch, own, sizes, lists):
+        kept = [batch.column(batch.schema.get_field_index(c)).take(pa.array(own)) for c in keep]
+        return pa.record_batch([*kept, pa.array(sizes[own]), lists], names=[*keep, "_length", "_grams"])
+
+    spread = by_small_batches(rows).mapInArrow(returning_memory(cut), f"{kinds}, _length long, _grams array<struct<key: long, n: int>>")
+    spread = spread.select(*keep, "_length", F.explode("_grams").alias("_g")).select(*keep, "_length", F.col("_g.key").alias("_key"), F.col("_g.n").alias("_n"))
+    picks = [F.max(F.when(F.col("class") == c, F.col("logp"))).alias(f"_p{i}") for i, c in enumerate(classes)]
+    keyed = scores.withColumn("_key", F.pandas_udf(gram_keys, "long")("gram")).groupBy("_key").agg(*picks)
+    keyed = materialise(keyed, "scores")
+    joined = spread.join(if_small(keyed, BROADCAST_ROWS), "_key", "left")
+    sums = [F.coalesce(F.sum(F.col("_n") * F.col(f"_p{i}")), F.lit(0.0)).alias(f"total_{i}") for i in range(len(classes))]
+    copies = F.sum(F.when(F.col("_key") == TEXT_KEY, F.col("_n")).otherwise(0))
+    found = joined.groupBy(*keep, "_length").agg(copies.alias("copies"), *sums)
+    return found.select(*keep, "copies", F.col("_length").alias("length"), *[(F.col(f"total_{i}") / F.col("copies")).alias(f"total_{i}") for i in range(len(classes))])
 
 
 class Model:
     """Sorted hash arrays of a smoothed model, for all its classes."""
 
-    def __init__(self, classes: list[str], order: int, bits: int, keys: list[np.ndarray], values: list[np.ndarray], rests: list[tuple[np.ndarray, np.ndarray]], floor: np.ndarray):
-        self.classes, self.order, self.bits, self.floor = classes, order, bits, floor
-        self.keys, self.values, self.rests = keys, values, rests
+    def __init__(self, classes: list[str], order: int, floor: np.ndarray, grams: dict[int, tuple], rests: dict[int, tuple]):
+        self.classes, self.order, self.floor = classes, order, floor
+        self.grams, self.rests = grams, rests
 
     @staticmethod
-    def _find(keys: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    def _entries(table: tuple, wanted: np.ndarray):
+        """(place in ``wanted``, class, value) of all entries whose key is wanted."""
+        keys, bounds, classes, values = table
         if not len(keys):
-            return np.zeros(len(wanted), np.int64), np.zeros(len(wanted), bool)
+            return (np.zeros(0, np.int64),) * 2 + (np.zeros(0, np.float32),)
         at = np.searchsorted(keys, wanted)
         at[at == len(keys)] = 0
-        return at, keys[at] == wanted
-
-    def word_scores(self, words: list[str]) -> np.ndarray:
-        """Summed log probability of each word's characters and end mark: words x classes."""
-        if not words:
-            return np.zeros((0, len(self.classes)), np.float32)
-        lead = BEGIN * (self.order - 1)
-        codes = _codes("".join([f"{lead}{w}{END}" for w in words]))
-        sizes = np.fromiter(map(len, words), np.int64, len(words)) + self.order
-        starts = np.concatenate(([0], np.cumsum(sizes)[:-1]))
-        scored = np.ones(len(codes), bool)
-        for k in range(self.order - 1):
-            scored[starts + k] = False
-        keys = _gram_keys(codes, self.order)
-        place = np.flatnonzero(scored)
-        total = np.tile(self.floor, (len(place), 1))
+        hit = np.flatnonzero(keys[at] == wanted)
+        first, many = bounds[at[hit]], bounds[at[hit] + 1] - bounds[at[hit]]
+        place = np.repeat(hit, many)
+        entry = np.repeat(first - np.concatenate(([0], np.cumsum(many)[:-1])), many) + np.arange(len(place))
+        return place, classes[entry], values[entry]
+
+    def scores(self, keys: dict[int, np.ndarray], contexts: dict[int, np.ndarray]) -> np.ndarray:
+        """Log probabilities of n-grams given as the keys of their suffixes and contexts: n-grams x classes."""
+        total = np.tile(self.floor, (len(keys[1]), 1))
         for n in range(1, self.order + 1):
-            # what the context leaves to the orders below, then the gram itself where it was seen
-            if n == 1:
-                total += self.rests[0][1][0] if len(self.rests[0][1]) else 0
-            else:
-                at, hit = self._find(self.rests[n - 1][0], _folded(keys[n - 1][place - 1], self.bits))
-                total[hit] += self.rests[n - 1][1][at[hit]]
-            at, hit = self._find(self.keys[n - 1], _folded(keys[n][place], self.bits))
-            own = self.values[n - 1][at[hit]]
-            here = total[hit]
-            total[hit] = np.where(np.isnan(own), here, own)
-        counts = sizes - self.order + 1
-        return np.add.reduceat(total, np.concatenate(([0], np.cumsum(counts)[:-1])), axis=0).astype(np.float32)
-
-
-def fit(rows: DataFrame, words_of: Callable[[str], Iterable[str]], order: int, classes: list[str] | None = None) -> Model | None:
-    """A model from all rows of (class, text); None if they have no word.
-
-    The arrays' keys are folded to as many bits as keep them under MODEL_BYTES:
-    with every key in use they could take no more. So what the driver gathers
-    and broadcasts is bounded by that, not by the corpus.
-    """
-    counts = materialise(gram_counts(word_counts(rows, words_of), order), "counts")
-    if classes is None:
-        classes = sorted(r[0] for r in counts.select("class").distinct().collect())
-    if not classes:
-        return None
-    bits = max(8, int(np.log2(MODEL_BYTES / (2 * order * (4 + 4 * len(classes))))))
-    fold = F.pandas_udf(lambda g: fold_grams(g, bits), "long")
-    table = smoothed(counts, order).withColumn("size", F.length("gram")).withColumn("key", fold("gram"))
-    picks = [F.max(F.when(F.col("class") == c, F.col(v))).cast("float").alias(f"{v}_{i}") for v in ("logp", "log_rest") for i, c in enumerate(classes)]
-    # at most 2 ** bits rows of each size
-    frame = table.groupBy("size", "key").agg(*picks).toPandas().sort_values(["size", "key"])
-    keys, values, rests = [], [], []
-    for n in range(order + 1):
-        part = frame[frame["size"] == n]
-        own = part["key"].to_numpy(np.uint32)
-        logp = part[[f"logp_{i}" for i in range(len(classes))]].to_numpy(np.float32)
-        rest = part[[f"log_rest_{i}" for i in range(len(classes))]].to_numpy(np.float32)
-        used = ~np.isnan(logp).all(axis=1)
-        if n:
-            keys.append(own[used])
-            values.append(logp[used])
-        used = ~np.isnan(rest).all(axis=1)
-        if n < order:
-            rests.append((own[used], np.nan_to_num(rest[used], nan=0.0)))
-    kinds = (~np.isnan(values[0])).sum(axis=0) + 1
-    return Model(classes, order, bits, keys, values, rests, -np.log(kinds).astype(np.float32))
-
-
-class WordScorer:
-    """Scores words of texts by a model, with a bounded memo over distinct words."""
-
-    def __init__(self, model: Model):
-        self.model, self.index = model, {}
-        self.table = np.zeros((0, len(model.classes)), np.float32)
-
-    def indices(self, words: list[list[str]]) -> Iterator[np.ndarray]:
-        """For each text, the rows of ``table`` of its words."""
-        unseen: set[str] = set()
-        for w in words:
-            unseen.update(w)
-        new = list(unseen.difference(self.index))
-        if len(self.index) + len(new) > MEMO_ENTRIES:
-            self.index, self.table, new = {}, self.table[:0], list(unseen)
-        found = [self.model.word_scores(new[i : i + HELD_WORDS]) for i in range(0, len(new), HELD_WORDS)]
-        self.index.update(zip(new, range(len(self.index), len(self.index) + len(new))))
-        self.table = np.concatenate([self.table, *found])
-        get = self.index.__getitem__
-        for w in words:
-            yield np.fromiter(map(get, w), np.int64, len(w))
+            place, k, value = self._entries(self.rests[n - 1], contexts[n - 1])
+            total[place, k] += value
+            place, k, value = self._entries(self.grams[n], keys[n])
+            total[place, k] = value
+        return total
+
+    def totals(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """(summed log probability, texts x classes; characters and end marks scored) of spelled texts."""
+        out = np.zeros((len(texts), len(self.classes)))
+        for w in windows(texts, self.order):
+            sums = _sums(w.codes, self.order)
+            top = _mixed(sums[self.order][w.place])
+            distinct, at = np.unique(top, return_index=True)
+            text, keys, n = counts_by_text(w.text, top)
+            place = w.place[at]
+            found = self.scores({k: _mixed(sums[k][place]) for k in range(1, self.order + 1)}, {k: _mixed(sums[k][place - 1]) if k else np.zeros(len(place), np.uint64) for k in range(self.order)})
+            row = np.searchsorted(distinct, keys)
+            step = max(1, CELLS // len(self.classes))
+            for i in range(0, len(row), step):
+                part = slice(i, i + step)
+                own, first = np.unique(text[part], return_index=True)
+                out[own] += np.add.reduceat(found[row[part]] * n[part, None], first, axis=0, dtype=np.float64)
+        return out, np.array([len(t) + 1 for t in texts])
+
+
+def as_arrays(model: Smoothed, classes: list[str]) -> Model:
+    """The model's tables, of ARRAY_ROWS rows at most, as arrays on the driver."""
+    code = F.element_at(F.create_map(*[x for i, c in enumerate(classes) for x in (F.lit(c), F.lit(i))]), F.col("class"))
+    key = F.pandas_udf(gram_keys, "long")
+
+    def table(rows: DataFrame, value: str) -> tuple:
+        frame = rows.select(key("gram").alias("key"), code.cast("int").alias("code"), F.col(value).cast("float").alias("value")).toPandas()
+        keys = frame["key"].to_numpy(np.int64).view(np.uint64)
+        order = np.lexsort((frame["code"].to_numpy(), keys))
+        keys = keys[order]
+        first = np.flatnonzero(np.concatenate(([True], keys[1:] != keys[:-1]))) if len(keys) else np.zeros(0, np.int64)
+        return keys[first], np.append(first, len(keys)), frame["code"].to_numpy(np.int32)[order], frame["value"].to_numpy(np.float32)[order]
+
+    floor = {r["class"]: r["logp"] for r in model.floor.collect()}
+    return Model(classes, model.order, np.array([floor[c] for c in classes], np.float32), {n: table(t, "logp") for n, t in model.grams.items()}, {n: table(t, "log_rest") for n, t in model.rests.items()})

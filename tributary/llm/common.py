@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+import ctypes
 import tempfile
 import uuid
+import weakref
+from collections.abc import Callable
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -14,14 +18,25 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spread(table: DataFrame) -> DataFrame:
+    """A plain table, dealt to all cores where its few files would keep only some of them busy."""
+    cores = table.sparkSession.sparkContext.defaultParallelism
+    if len(table.inputFiles()) < cores and table.rdd.getNumPartitions() <= cores:
+        return table.repartition(cores)
+    return table
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder that driver and executors share for intermediate tables.
 
-    It is the session's ``spark.checkpoint.dir``. A session without that
-    setting (a local test) gets a temporary folder.
+    It is the session's ``spark.checkpoint.dir``. A local session without that
+    setting (a test) gets a temporary folder; on a cluster it must be set, for
+    executors don't see each other's folders.
     """
     path = spark.conf.get("spark.checkpoint.dir", None)
     if not path:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         path = tempfile.mkdtemp(prefix="tributary-")
         spark.conf.set("spark.checkpoint.dir", path)
     return path
@@ -36,7 +51,44 @@ def materialise(df: DataFrame, label: str) -> DataFrame:
     spark = df.sparkSession
     path = f"{shared_dir(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
     df.write.option("compression", "zstd").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    table = spark.read.schema(df.schema).parquet(path)
+    _PATHS[table] = path
+    return table
+
+
+#: Where the tables of ``materialise`` stand.
+_PATHS: weakref.WeakKeyDictionary = weakref.WeakKeyDictionary()
+
+
+def discard(*tables: DataFrame) -> None:
+    """Deletes tables of ``materialise`` that nothing reads any more; others are left alone."""
+    for table in tables:
+        path = _PATHS.pop(table, None)
+        if path:
+            target = table.sparkSession._jvm.org.apache.hadoop.fs.Path(path)
+            target.getFileSystem(table.sparkSession._jsc.hadoopConfiguration()).delete(target, True)
+
+
+def if_small(table: DataFrame, rows: int) -> DataFrame:
+    """The table, to be sent to all tasks if it has at most so many rows."""
+    return F.broadcast(table) if table.count() <= rows else table
+
+
+def returning_memory(batches_to_batches: Callable) -> Callable:
+    """The function for ``mapInArrow``, which gives freed memory back to the system when a task ends.
+
+    Python workers outlive their tasks, and what the allocators keep counts
+    against the executor while the next stage runs.
+    """
+
+    def run(batches):
+        yield from batches_to_batches(batches)
+        pa.default_memory_pool().release_unused()
+        trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+        if trim:
+            trim(0)
+
+    return run
 
 
 #: Rows of an Arrow batch: of Spark's 10,000, whole texts can take more memory than a task has.

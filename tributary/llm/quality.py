@@ -1,79 +1,81 @@
 """Quality by perplexity under a Kneser-Ney model of trusted text.
 
 The model is an interpolated modified Kneser-Ney n-gram model over the
-characters of white-space tokens, trained on all documents with a label of good
-quality but a held-out fold. Its counts are joined by context and by suffix,
-sharded by those keys (``charlm``); the finished hash arrays have a fixed bound
-and go to all tasks, so a document's perplexity is a narrow step.
+characters of texts with evened white space, trained on all documents with a
+label of good quality but a held-out fold. Its contexts reach over the ends of
+words. All is done by joins of counts (``charlm``): the n-grams of all documents
+are joined to the smoothed counts by context and by suffix, each document's
+n-grams to their scores, and summed to its perplexity.
 
 A document's cross-entropy a character spreads about its language's centre as
 one over the root of its number of tokens. So the deviation is scaled by that
-root, and the bounds are quantiles of the trusted held-out documents' deviations
-in each language. Both tails are rejected: text that the model finds too strange
-and text that repeats a few easy words.
+root, and the bounds are quantiles of trusted documents' deviations in each
+language: the upper one of held-out documents, for trained ones look too
+ordinary; the lower one of held-out and trained documents, for these are the
+more ordinary ones and aren't to be rejected for it. Both tails are rejected:
+text that the model finds too strange and text that repeats a few easy words.
 """
 
 from __future__ import annotations
 
-import numpy as np
-import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import charlm
-from .common import by_small_batches, fold_of, materialise, without_nulls
+from .common import discard, fold_of, if_small, materialise, without_nulls
 
 #: Share of a language's trusted held-out documents within each bound.
 QUANTILE = 0.9995
 #: Characters of an n-gram.
-ORDER = 4
-#: Most rows (ids of trusted documents, bounds of languages) that are sent to all tasks; more are joined by a shuffle.
-BROADCAST_ROWS = 5_000_000
-
-
-def trusted_texts(docs: DataFrame, labels: DataFrame, id_column: str = "doc_id") -> DataFrame:
-    """(id, text, lang) of the documents with a label of good quality."""
-    ids = labels.where("quality = 1").select(F.col(id_column).alias("id")).where("id is not null").distinct()
-    ids = materialise(ids, "trusted")
-    if ids.count() <= BROADCAST_ROWS:
-        ids = F.broadcast(ids)
-    return docs.select(F.col(id_column).alias("id"), "text", "lang").where("text is not null").join(ids, "id")
-
-
-def train(trusted: DataFrame, order: int = ORDER) -> charlm.Model | None:
-    """From all trusted rows outside the held-out fold."""
-    rows = trusted.where(fold_of(F.col("id")) != 2)
-    return charlm.fit(rows.select(F.lit("trusted").alias("class"), "text"), str.split, order, ["trusted"])
-
-
-def score(rows: DataFrame, model: charlm.Model | None, text_column: str, keep: list[str]) -> DataFrame:
-    """``rows``' columns ``keep`` with ``n_tokens`` and ``cross_entropy`` (nats a character; null without tokens)."""
-    sent = rows.sparkSession.sparkContext.broadcast(model)
-    scorers: list[charlm.WordScorer] = []
-
-    def scored(batches):
-        if not scorers and sent.value is not None:
-            scorers.append(charlm.WordScorer(sent.value))
-        for batch in batches:
-            for at in range(0, batch.num_rows, charlm.HELD_TEXTS):
-                part = batch.slice(at, charlm.HELD_TEXTS)
-                tokens = [(t or "").split() for t in part.column(part.schema.get_field_index(text_column)).to_pylist()]
-                entropy: list[float | None] = [None] * len(tokens)
-                if scorers:
-                    for i, index in enumerate(scorers[0].indices(tokens)):
-                        if len(index):
-                            entropy[i] = -float(scorers[0].table[index].sum(dtype=np.float64)) / (sum(map(len, tokens[i])) + len(tokens[i]))
-                kept = [part.column(part.schema.get_field_index(c)) for c in keep]
-                yield pa.record_batch([*kept, pa.array(list(map(len, tokens)), pa.int64()), pa.array(entropy, pa.float64())], names=[*keep, "n_tokens", "cross_entropy"])
-
-    kinds = ", ".join(f"`{c}` {rows.schema[c].dataType.simpleString()}" for c in keep)
-    return by_small_batches(rows).mapInArrow(scored, f"{kinds}, n_tokens long, cross_entropy double")
-
-
-def calibrate(trusted: DataFrame, model: charlm.Model | None, quantile: float = QUANTILE) -> tuple[DataFrame, tuple]:
-    """(lang, centre, low, high) from the trusted documents; and the same over all languages."""
-    rows = trusted.select((fold_of(F.col("id")) == 2).alias("held_out"), "text", F.coalesce("lang", F.lit("")).alias("lang"))
-    rows = materialise(score(rows, model, "text", ["lang", "held_out"]).where("cross_entropy is not null"), "calibration")
+ORDER = 5
+#: Most rows (ids of trusted or poor documents, bounds of languages) that are sent to all tasks; more are joined by a shuffle.
+BROADCAST_ROWS = 1_000_000
+
+
+def evened(text: str) -> str:
+    """The text with each run of white space as one space."""
+    return " ".join(text.split())
+
+
+def _key(doc_id, lang, text) -> F.Column:
+    """Names a document by all that its judgement depends on; rows that repeat it share it."""
+    marked = [F.coalesce(c.cast("string"), F.lit("\x00")) for c in (doc_id, lang)]
+    return F.xxhash64(*marked, without_nulls(text))
+
+
+def trusted_ids(labels: DataFrame) -> DataFrame:
+    """(id, trusted) of the documents with a label of good quality and none of poor quality."""
+    rows = labels.where("doc_id is not null and quality is not null").groupBy(F.col("doc_id").alias("id")).agg(F.min("quality").alias("q"))
+    return rows.where("q = 1").select("id", F.lit(True).alias("trusted"))
+
+
+def scored(docs: DataFrame, labels: DataFrame, order: int = ORDER) -> DataFrame:
+    """(k, doc_id, lang, trusted, held_out, n_tokens, copies, cross_entropy) of the distinct rows of ``docs`` (doc_id, text, lang).
+
+    ``cross_entropy`` (nats a character) is null without tokens or without any trusted text.
+    """
+    ids = materialise(trusted_ids(labels), "trusted")
+    key = _key(F.col("doc_id"), F.col("lang"), F.col("text"))
+    rows = docs.select(key.alias("k"), "doc_id", without_nulls(F.col("text")).alias("text"), F.coalesce("lang", F.lit("")).alias("lang"))
+    rows = rows.withColumn("held_out", F.coalesce(fold_of(F.col("doc_id")) == 2, F.lit(False)))
+    rows = rows.join(if_small(ids.withColumnRenamed("id", "doc_id"), BROADCAST_ROWS), "doc_id", "left").withColumn("trusted", F.coalesce("trusted", F.lit(False)))
+    role = F.when(F.col("trusted") & ~F.col("held_out"), "trusted")
+    grams = materialise(charlm.gram_counts(rows.select(role.alias("class"), "text"), evened, order), "grams")
+    counts = grams.where("class = 'trusted' and gram <> ''")
+    model = charlm.smoothed(counts, order)
+    scores = materialise(charlm.scored_grams(grams.select("gram").distinct(), model, ["trusted"]), "grams")
+    model.discard()
+    n_tokens = F.size(F.expr(r"filter(split(text, '\\s+'), w -> w <> '')"))
+    found = charlm.score_by_joins(rows.select("k", "doc_id", "lang", "trusted", "held_out", n_tokens.alias("n_tokens"), "text"), scores, evened, order, ["trusted"])
+    entropy = F.when((F.col("length") > 0) & (F.col("total_0") < 0), -F.col("total_0") / F.col("length"))
+    found = materialise(found.select("k", "doc_id", "lang", "trusted", "held_out", "n_tokens", "copies", entropy.alias("cross_entropy")), "scored")
+    discard(ids, grams, scores)
+    return found
+
+
+def bounds_of(rows: DataFrame, quantile: float) -> tuple[DataFrame, tuple]:
+    """(lang, centre, low, high) from the trusted ones of the scored rows; and the same over all languages."""
+    rows = rows.where("trusted and cross_entropy is not null")
     middle = F.percentile_approx(F.when(F.col("held_out"), F.col("cross_entropy")), 0.5, 10_000)
     low = F.percentile_approx("deviation", 1 - quantile, 10_000)
     high = F.percentile_approx(F.when(F.col("held_out"), F.col("deviation")), quantile, 10_000)
@@ -86,22 +88,15 @@ def calibrate(trusted: DataFrame, model: charlm.Model | None, quantile: float =
     return materialise(bounds, "bounds"), (centre, overall["low"], overall["high"])
 
 
-def judge(rows: DataFrame, docs: DataFrame, labels: DataFrame, text_column: str, lang_column: str, keep: list[str], quantile: float = QUANTILE) -> DataFrame:
-    """``rows``' columns ``keep`` with ``n_tokens``, ``cross_entropy``, ``perplexity``, ``deviation``, ``low``, ``high`` and ``kept``.
-
-    The model and the bounds come from ``docs`` and ``labels``.
-    """
-    trusted = trusted_texts(docs, labels)
-    model = train(trusted)
-    bounds, (centre, low, high) = calibrate(trusted, model, quantile)
-    scored = score(rows.withColumn("_lang", F.coalesce(F.col(lang_column), F.lit(""))), model, text_column, [*keep, "_lang"])
-    bounds = bounds.withColumnRenamed("lang", "_lang")
-    joined = scored.join(F.broadcast(bounds) if bounds.count() <= BROADCAST_ROWS else bounds, "_lang", "left")
+def judge(docs: DataFrame, labels: DataFrame, quantile: float = QUANTILE) -> DataFrame:
+    """The scored rows of ``docs`` (doc_id, text, lang) with ``perplexity``, ``deviation``, ``low``, ``high`` and ``kept``."""
+    rows = scored(docs, labels)
+    bounds, (centre, low, high) = bounds_of(rows, quantile)
+    joined = rows.join(if_small(bounds, BROADCAST_ROWS), "lang", "left")
     or_all = lambda c, x: F.coalesce(F.col(c), F.lit(x).cast("double"))
     joined = joined.withColumn("deviation", (F.col("cross_entropy") - or_all("centre", centre)) * F.sqrt("n_tokens"))
     joined = joined.withColumn("low", or_all("low", low)).withColumn("high", or_all("high", high)).withColumn("perplexity", F.exp("cross_entropy"))
-    kept = F.coalesce(F.col("deviation").between(F.col("low"), F.col("high")), F.lit(True))
-    return joined.select(*keep, "n_tokens", "cross_entropy", "perplexity", "deviation", "low", "high", kept.alias("kept"))
+    return joined.withColumn("kept", F.coalesce(F.col("deviation").between(F.col("low"), F.col("high")), F.lit(True)))
 
 
 def classify(docs: DataFrame, labels: DataFrame, quantile: float = QUANTILE, id_column: str = "doc_id", text_column: str = "text", lang_column: str = "lang") -> DataFrame:
@@ -109,20 +104,28 @@ def classify(docs: DataFrame, labels: DataFrame, quantile: float = QUANTILE, id_
 
     Null, empty and blank texts have no perplexity and are kept: the model has
     nothing against them. Without trusted documents nothing can be judged and
-    all are kept. A language without held-out trusted documents takes the bounds
-    of all trusted documents together; a null language counts as one of its own. Repeated rows are
-    judged each, other columns are ignored, an empty table gives an empty result.
+    all are kept. A document with labels of both kinds isn't trusted. A language
+    without held-out trusted documents takes the bounds of all trusted documents
+    together; null and empty languages count as one of their own. Repeated rows are
+    judged each, other columns are ignored, an empty table gives an empty
+    result. Texts are scored whole, however long.
     """
     plain = docs.select(F.col(id_column).alias("doc_id"), F.col(text_column).alias("text"), F.col(lang_column).cast("string").alias("lang"))
-    rows = plain.select("doc_id", "lang", without_nulls(F.col("text")).alias("text"))
-    found = judge(rows, plain, labels, "text", "lang", ["doc_id"], quantile)
+    found = judge(plain, labels, quantile).withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))))
     return found.select(F.col("doc_id").alias(id_column), "perplexity", "n_tokens", "deviation", "low", "high", "kept")
 
 
 def drop_poor(docs: DataFrame, labels: DataFrame, quantile: float = QUANTILE) -> DataFrame:
-    """The rows of ``docs`` that are kept, with all their columns. Has the columns doc_id, text and lang."""
+    """The rows of ``docs`` that ``classify`` keeps, with all their columns.
+
+    ``docs`` is a table that reads alike each time and has the columns doc_id,
+    text and lang; others may have any name.
+    """
     names = docs.columns
     own = [f"c{i}" for i in range(len(names))]
-    plain = docs.select("doc_id", "text", F.col("lang").cast("string").alias("lang"))
-    found = judge(docs.toDF(*own), plain, labels, own[names.index("text")], own[names.index("lang")], own, quantile)
-    return found.where("kept").select(*[F.col(c).alias(n) for c, n in zip(own, names)])
+    doc_id, text, lang = (names.index(c) for c in ("doc_id", "text", "lang"))
+    rows = docs.toDF(*own)
+    plain = rows.select(F.col(own[doc_id]).alias("doc_id"), F.col(own[text]).alias("text"), F.col(own[lang]).cast("string").alias("lang"))
+    poor = materialise(judge(plain, labels, quantile).where("not kept").select("k"), "poor")
+    kept = rows.withColumn("k", _key(F.col(own[doc_id]), F.col(own[lang]), F.col(own[text]))).join(if_small(poor, BROADCAST_ROWS), "k", "left_anti")
+    return kept.select(*[F.col(c).alias(n) for c, n in zip(own, names)])

@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from .common import read_table
+from .common import read_table, spread
 from .decontaminate import find_contained
 from .fingerprint import fingerprint_edits
 from .html_extract import extract
@@ -21,43 +21,43 @@ from .toxicity import score_documents
 
 
 def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return count_tokens(read_table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), limit=2048)
+    return count_tokens(spread(read_table(spark, sf_dir, "documents")), public_tokenizers.path("word_bpe_49k.json"), limit=2048)
 
 
 def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return find_contained(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"), words=5, containment=0.8)
+    return find_contained(spread(read_table(spark, sf_dir, "documents")), read_table(spark, sf_dir, "benchmark"), words=5, containment=0.8)
 
 
 def op3_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return fingerprint_edits(read_table(spark, sf_dir, "documents"))
+    return fingerprint_edits(spread(read_table(spark, sf_dir, "documents")))
 
 
 def op4_license_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return scan_licenses(read_table(spark, sf_dir, "documents"), coverage=0.8)
+    return scan_licenses(spread(read_table(spark, sf_dir, "documents")), coverage=0.8)
 
 
 def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return classify(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+    return classify(spread(read_table(spark, sf_dir, "documents")), read_table(spark, sf_dir, "labels"))
 
 
 def op6_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return extract(read_table(spark, sf_dir, "pages"))
+    return extract(spread(read_table(spark, sf_dir, "pages")))
 
 
 def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return near_duplicates(read_table(spark, sf_dir, "documents"), words=3, radius=2)
+    return near_duplicates(spread(read_table(spark, sf_dir, "documents")), words=3, radius=2)
 
 
 def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return score_documents(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"), threshold=0.3)
+    return score_documents(spread(read_table(spark, sf_dir, "documents")), read_table(spark, sf_dir, "labels"), threshold=0.3)
 
 
 def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return pack_documents(read_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), capacity=2048, end_id=0)
+    return pack_documents(spread(read_table(spark, sf_dir, "documents")), public_tokenizers.path("byte_bpe_50k.json"), capacity=2048, end_id=0)
 
 
 def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return identify(read_table(spark, sf_dir, "documents"))
+    return identify(spread(read_table(spark, sf_dir, "documents")))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

@@ -1,29 +1,34 @@
 """Toxicity by a weighted finite-state pattern grammar.
 
-A text's words become symbols: INSULT, THREAT, TARGET, NEGATION, REPORT, BREAK
-(end of a clause) and OTHER. Five small transducers read the symbols, each with
-its own states; composed, they are one machine that runs once over a text and
-writes a weight for each clause that an insult or a threat stands in:
-
-* insult: a clause with insults, heavier with each;
-* threat: a threat word that a target follows within a few words;
-* target: an addressee near the insult makes it an attack;
-* negation: a negation shortly before the insult takes it back;
-* reported speech: a verb of saying before it makes it a quotation.
-
-So isolated words never score alone: an insult counts as affirmed, denied or
-reported by the clause around it. The threat, target, negation and report words
-are fixed lists; insults are induced from labelled texts, as whole words or as
-stems: strings that labelled-toxic texts use in many different contexts and
-clean texts (almost) never. A logistic regression over the clause weights,
-fitted to labelled rows too, turns them to a score from 0 to 1.
+A text's words become symbols: INSULT, THREAT, TARGET, OBJECT and CLITIC (who is
+addressed), NEGATION, REPORT and OTHER; punctuation and line ends part clauses.
+Five transducers, written as tables of arcs (state and input to output, weight
+and next state), read the symbols of a clause in turn, each the output of the one
+before:
+
+* reported speech: an insult or threat after a verb of saying is a quotation;
+* negation: one shortly after a negation is taken back;
+* threat: a threat word with somebody threatened within a few words, on either side;
+* target: an addressee beside the insult makes it an attack;
+* insult: an insult that is left is affirmed, more than one repeated.
+
+They are composed once to one transducer, which runs over each clause. A weight
+is a vector of events, which add up along a path. A logistic regression fitted to
+labelled rows gives each event its part in the score: so isolated words never
+score alone, but matched clauses by the weights of their paths.
+
+The threat, target, negation and report words are fixed lists; insults are induced
+from labelled texts, as whole words or as stems: strings that labelled-toxic
+texts use in many different contexts and clean texts (almost) never.
 """
 
 from __future__ import annotations
 
 import re
 from collections import Counter
+from collections.abc import Callable, Iterable
 from dataclasses import dataclass, field
+from functools import lru_cache, reduce
 
 import numpy as np
 import pyarrow as pa
@@ -31,16 +36,25 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import by_small_batches, fold_of, materialise, without_nulls
+from .common import by_small_batches, discard, fold_of, materialise, returning_memory, without_nulls
 
-# Word lists of the grammar (English, German, French, Spanish).
+# Word lists of the grammar (English, German, French, Spanish). An object form is threatened on
+# either side of the threat; a clitic, else an article, only right before it.
 THREATS = frozenset("kill destroy hurt punish crush murder strangle töten umbringen vernichten schlagen tuer frapper détruire écraser matar destruir golpear aplastar".split())
-TARGETS = frozenset("you your youre he she they them him her people du dich dir ihr euch sie er tu toi vous il elle ils elles tú ti usted ustedes él ella ellos ellas".split())
+TARGETS = frozenset("you your youre he she they him her them people du ihr er tu toi il elle ils elles tú ti usted ustedes él ella ellos ellas".split())
+OBJECTS = frozenset("dich dir euch sie ihn ihm ihnen te vous os".split())
+CLITICS = frozenset("le la les lo los las se nous nos".split())
 NEGATIONS = frozenset("not never no isn't aren't wasn't nicht nie kein keine niemals ne pas jamais aucun nunca jamás tampoco".split())
 REPORTS = frozenset("said says called calls wrote writes claimed reported quoted sagte sagt nannte schrieb dit appelle écrit dijo dice llamó escribió".split())
 
-#: Clause features, in order: what the composed machine writes.
+#: Input symbols.
+SYMBOLS = ("OTHER", "INSULT", "THREAT", "TARGET", "OBJECT", "CLITIC", "NEGATION", "REPORT")
+#: Symbols that transducers write for later ones.
+INNER = ("DENIED", "QUOTED")
+#: Events, in order: the components of a weight.
 FEATURES = ("affirmed", "targeted", "denied", "reported", "threats", "clauses", "repeated")
+#: Words over which a negation or a threat reaches; a report reaches twice as far.
+REACH = 4
 
 _TOKENS = re.compile(r"[^\W\d_]+(?:'[^\W\d_]+)?|[.!?;:\n]").findall
 _BREAKS = frozenset(".!?;:\n")
@@ -54,11 +68,142 @@ STEMS = (4, 5, 6, 7, 8)
 MIN_CONTEXTS = 8
 #: Clean texts that may use it, as a share of the toxic ones that do, each by share of its class.
 MAX_CLEAN = 0.02
+#: Words and their characters whose symbols a worker keeps.
+MEMO_ENTRIES, MEMO_CHARS = 200_000, 40
+
+#: Features that a task holds before it hands them on.
+HELD_FEATURES = 500_000
+
+Events = tuple[str, ...]
+
+
+@dataclass(frozen=True)
+class Transducer:
+    """A deterministic transducer with weights: ``arcs[state, input] = (output, events, next state)``.
+
+    State 0 is the start, at the beginning of each clause. A missing arc hands
+    the input on, without events, and stays. ``final[state]``: events of a clause
+    that ends there.
+    """
+
+    arcs: dict[tuple[int, str], tuple[str, Events, int]]
+    final: dict[int, Events] = field(default_factory=dict)
+
+    def step(self, state: int, symbol: str) -> tuple[str, Events, int]:
+        return self.arcs.get((state, symbol), (symbol, (), state))
+
+    def run(self, symbols: Iterable[str]) -> tuple[list[str], Counter]:
+        """The output of one clause and its events."""
+        state, out, events = 0, [], Counter()
+        for symbol in symbols:
+            written, own, state = self.step(state, symbol)
+            out.append(written)
+            events.update(own)
+        events.update(self.final.get(state, ()))
+        return out, events
+
+
+def compose(first: Transducer, second: Transducer) -> Transducer:
+    """The transducer that does at once what ``second`` does with the output of ``first``."""
+    number, todo = {(0, 0): 0}, [(0, 0)]
+    arcs, final = {}, {}
+    while todo:
+        a, b = todo.pop()
+        for symbol in SYMBOLS:
+            between, events_a, next_a = first.step(a, symbol)
+            out, events_b, next_b = second.step(b, between)
+            if (next_a, next_b) not in number:
+                number[next_a, next_b] = len(number)
+                todo.append((next_a, next_b))
+            arcs[number[a, b], symbol] = (out, events_a + events_b, number[next_a, next_b])
+        if events := first.final.get(a, ()) + second.final.get(b, ()):
+            final[number[a, b]] = events
+    return Transducer(arcs, final)
+
+
+def _shortly_after(mark: str, reach: int, changed: dict[str, tuple[str, Events]]) -> Transducer:
+    """Within ``reach`` words after ``mark``, symbols are rewritten as ``changed`` says; state k: k words since the mark, and 0 for more."""
+    arcs = {}
+    for state in range(reach + 1):
+        for symbol in (*SYMBOLS, *INNER):
+            out, events = changed.get(symbol, (symbol, ())) if state else (symbol, ())
+            arcs[state, symbol] = (out, events, (state + 1) % (reach + 1) if state else 0)
+        arcs[state, mark] = ("OTHER", (), 1)
+    return Transducer(arcs)
+
+
+def reported_speech(reach: int = 2 * REACH) -> Transducer:
+    return _shortly_after("REPORT", reach, {"INSULT": ("QUOTED", ("reported",)), "THREAT": ("QUOTED", ("reported",))})
+
+
+def negation(reach: int = REACH) -> Transducer:
+    return _shortly_after("NEGATION", reach, {"INSULT": ("DENIED", ("denied",)), "THREAT": ("DENIED", ("denied",))})
+
+
+def threat(reach: int = REACH) -> Transducer:
+    """States: 0 nothing; 1 .. reach, so many words since an object; reach + 1 a clitic just before; then, so many words since a threat."""
+    clitic, arcs = reach + 1, {}
+    since = lambda k: clitic + k
+    for state in range(2 * reach + 2):
+        after_object, after_threat = 1 <= state <= reach, state > clitic
+        later = 0
+        if after_object and state < reach or after_threat and state < since(reach):
+            later = state + 1
+        for symbol in (*SYMBOLS, *INNER):
+            arcs[state, symbol] = (symbol, (), later)
+        met = ("threats",) if after_threat else ()
+        arcs[state, "TARGET"] = ("TARGET", met, 0 if after_threat else later)
+        arcs[state, "OBJECT"] = ("TARGET", met, 1)
+        arcs[state, "CLITIC"] = ("OTHER", (), later or clitic)
+        arcs[state, "THREAT"] = ("OTHER", ("threats",), 0) if after_object or state == clitic else ("OTHER", (), since(1))
+    return Transducer(arcs)
+
+
+def target() -> Transducer:
+    """States: 0 nothing, 1 an addressee, 2 an insult, 3 both."""
+    return Transducer(
+        {
+            (0, "TARGET"): ("OTHER", (), 1),
+            (1, "TARGET"): ("OTHER", (), 1),
+            (2, "TARGET"): ("OTHER", ("targeted",), 3),
+            (3, "TARGET"): ("OTHER", (), 3),
+            (0, "INSULT"): ("INSULT", (), 2),
+            (1, "INSULT"): ("INSULT", ("targeted",), 3),
+        }
+    )
+
+
+def insult() -> Transducer:
+    """States: 0 nothing, 1 denied or quoted ones, 2 one affirmed, 3 several."""
+    return Transducer(
+        {
+            **{(0, symbol): ("OTHER", (), 1) for symbol in INNER},
+            (0, "INSULT"): ("OTHER", ("affirmed",), 2),
+            (1, "INSULT"): ("OTHER", ("affirmed",), 2),
+            (2, "INSULT"): ("OTHER", ("affirmed", "repeated"), 3),
+            (3, "INSULT"): ("OTHER", ("affirmed",), 3),
+        },
+        {1: ("clauses",), 2: ("clauses",), 3: ("clauses",)},
+    )
+
+
+#: The cascade, in the order in which the transducers read.
+CASCADE: tuple[Callable[[], Transducer], ...] = (reported_speech, negation, threat, target, insult)
+
+
+@lru_cache(maxsize=1)
+def composed() -> tuple[list[list[tuple[np.ndarray | None, int]]], list[np.ndarray | None]]:
+    """The composed cascade as tables: by state and symbol (weight, next state), and by state the final weight; no weight is None."""
+    machine = reduce(compose, (make() for make in CASCADE))
+    weight = lambda events: np.array([events.count(f) for f in FEATURES], float) if events else None
+    states = 1 + max(state for state, _ in machine.arcs)
+    arcs = [[(weight(machine.arcs[state, symbol][1]), machine.arcs[state, symbol][2]) for symbol in SYMBOLS] for state in range(states)]
+    return arcs, [weight(machine.final.get(state, ())) for state in range(states)]
 
 
 @dataclass
 class Grammar:
-    """The induced lexicon and the fitted weights; small, and sent to all tasks."""
+    """The induced lexicon and the fitted weights of the events; small, and sent to all tasks."""
 
     words: frozenset[str] = frozenset()
     stems: frozenset[str] = frozenset()
@@ -68,101 +213,52 @@ class Grammar:
     def insult(self, word: str) -> bool:
         return word in self.words or any(word[:n] in self.stems for n in STEMS if len(word) >= n)
 
-
-@dataclass
-class Machine:
-    """The composed transducer's state within a clause, and the clause weights written so far.
-
-    ``since_negation`` and the like count the words since that symbol; they are
-    the states of the single transducers, of which each has a bounded number.
-    """
-
-    reach: int = 4
-    insults: int = 0
-    seen_target: bool = False
-    since_negation: int = 99
-    since_report: int = 99
-    pending_threat: int = 99
-    denied: int = 0
-    reported: int = 0
-    out: Counter = field(default_factory=Counter)
-
-    def step(self, symbol: str) -> None:
-        if symbol == "BREAK":
-            self.close()
-            return
-        self.since_negation = min(99, self.since_negation + 1)
-        self.since_report = min(99, self.since_report + 1)
-        self.pending_threat = min(99, self.pending_threat + 1)
-        if symbol == "NEGATION":
-            self.since_negation = 0
-        elif symbol == "REPORT":
-            self.since_report = 0
-        elif symbol == "THREAT":
-            self.pending_threat = 0 if self.since_negation > self.reach else 99
-        elif symbol == "TARGET":
-            self.seen_target = True
-            if self.pending_threat <= self.reach:
-                self.out["threats"] += 1
-                self.pending_threat = 99
-        elif symbol == "INSULT":
-            if self.since_report <= 2 * self.reach:
-                self.reported += 1
-            elif self.since_negation <= self.reach:
-                self.denied += 1
-            else:
-                self.insults += 1
-
-    def close(self) -> None:
-        if self.insults:
-            self.out["affirmed"] += self.insults
-            self.out["targeted"] += self.seen_target
-            self.out["repeated"] += self.insults > 1
-        if self.insults or self.denied or self.reported:
-            self.out["clauses"] += 1
-            self.out["denied"] += self.denied
-            self.out["reported"] += self.reported
-        self.insults = self.denied = self.reported = 0
-        self.seen_target = False
-        self.since_negation = self.since_report = self.pending_threat = 99
+    def symbol(self, word: str) -> str:
+        if self.insult(word):
+            return "INSULT"
+        for name, words in (("THREAT", THREATS), ("NEGATION", NEGATIONS), ("REPORT", REPORTS), ("TARGET", TARGETS), ("OBJECT", OBJECTS), ("CLITIC", CLITICS)):
+            if word in words:
+                return name
+        return "OTHER"
 
 
 class Reader:
-    """Runs the machine over texts, with a bounded memo of words' symbols."""
+    """Runs the composed transducer over texts, with a bounded memo of words' symbols."""
 
-    def __init__(self, grammar: Grammar, memo_entries: int = 500_000):
-        self.grammar, self.limit, self.memo = grammar, memo_entries, {}
+    BREAK = len(SYMBOLS)
 
-    def _symbol(self, word: str) -> str:
-        if word in _BREAKS:
-            return "BREAK"
-        if self.grammar.insult(word):
-            return "INSULT"
-        for name, words in (("THREAT", THREATS), ("NEGATION", NEGATIONS), ("REPORT", REPORTS), ("TARGET", TARGETS)):
-            if word in words:
-                return name
-        return "OTHER"
+    def __init__(self, grammar: Grammar):
+        self.grammar, self.memo = grammar, {}
+        self.starts = {SYMBOLS.index("INSULT"), SYMBOLS.index("THREAT")}
+
+    def _code(self, word: str) -> int:
+        return self.BREAK if word in _BREAKS else SYMBOLS.index(self.grammar.symbol(word))
 
-    def features(self, text: str) -> list[float]:
+    def features(self, text: str) -> np.ndarray:
+        """The summed weights of the paths of all clauses."""
         tokens = _TOKENS(text.lower())
         unseen = set(tokens).difference(self.memo)
-        if len(self.memo) + len(unseen) > self.limit:
+        if len(self.memo) + len(unseen) > MEMO_ENTRIES:
             self.memo.clear()
             unseen = set(tokens)
-        for word in unseen:
-            self.memo[word] = self._symbol(word)
-        symbols = list(map(self.memo.__getitem__, tokens))
-        if "INSULT" not in symbols and "THREAT" not in symbols:
-            return [0.0] * len(FEATURES)
-        machine = Machine()
-        for symbol in symbols:
-            machine.step(symbol)
-        machine.close()
-        return [float(machine.out[f]) for f in FEATURES]
-
-
-def _damped(features: np.ndarray) -> np.ndarray:
-    return np.log1p(features)
+        found = {word: self._code(word) for word in unseen}
+        codes = [self.memo[t] if t in self.memo else found[t] for t in tokens] if self.memo else list(map(found.__getitem__, tokens))
+        self.memo.update((w, c) for w, c in found.items() if len(w) <= MEMO_CHARS)
+        if len(self.memo) > MEMO_ENTRIES:  # one text with more different words than that
+            self.memo.clear()
+        total = np.zeros(len(FEATURES))
+        if self.starts.isdisjoint(codes):
+            return total
+        arcs, final = composed()
+        state = 0
+        for code in codes:
+            if code == self.BREAK:
+                weight, state = final[state], 0
+            else:
+                weight, state = arcs[state][code]
+            if weight is not None:
+                total += weight
+        return total if final[state] is None else total + final[state]
 
 
 def induce(rows: DataFrame, min_contexts: int = MIN_CONTEXTS, max_clean: float = MAX_CLEAN) -> tuple[frozenset[str], frozenset[str]]:
@@ -174,44 +270,49 @@ def induce(rows: DataFrame, min_contexts: int = MIN_CONTEXTS, max_clean: float =
     under ``max_clean`` of the share of toxic ones. Stems that only repeat one
     kept word, and words that a kept stem covers, are left out.
     """
-    def counted(batches):
+    def features_of(word: str) -> list[str]:
+        return [word + "$", *(word[:n] for n in STEMS if len(word) >= n)]
+
+    def in_contexts(batches):
         held: Counter = Counter()
         for batch in batches:
-            for text, toxic in zip(*(c.to_pylist() for c in batch.columns)):
-                tokens = [t for t in _TOKENS(text.lower()) if t not in _BREAKS]
-                if not toxic:
-                    held.update((c, 0, 0) for w in set(tokens) for c in {w + "$", *(w[:n] for n in STEMS if len(w) >= n)})
-                else:
-                    found = {}
-                    for before, w, after in zip(["", *tokens], tokens, [*tokens[1:], ""]):
-                        context = xxhash.xxh32_intdigest(f"{before} {w} {after}")
-                        for c in (w + "$", *(w[:n] for n in STEMS if len(w) >= n)):
-                            found.setdefault(c, context)
-                    held.update((c, 1, context % 64) for c, context in found.items())
-                if len(held) > 1_000_000:
+            for text in batch.column(0).to_pylist():
+                tokens, found = [t for t in _TOKENS(text.lower()) if t not in _BREAKS], {}
+                for before, w, after in zip(["", *tokens], tokens, [*tokens[1:], ""]):
+                    context = xxhash.xxh32_intdigest(f"{before} {w} {after}")
+                    for c in features_of(w):
+                        found.setdefault(c, context % 64)
+                held.update(found.items())
+                if len(held) > HELD_FEATURES:
                     yield _counts(held)
                     held = Counter()
         yield _counts(held)
 
     def _counts(held: Counter):
         keys = list(held)
-        return pa.record_batch(
-            [pa.array([k[0] for k in keys], pa.string()), pa.array([k[1] for k in keys], pa.int32()), pa.array([k[2] for k in keys], pa.int32()), pa.array([held[k] for k in keys], pa.int64())],
-            names=["feature", "toxic", "context", "n"],
-        )
+        return pa.record_batch([pa.array([k[0] for k in keys], pa.string()), pa.array([k[1] for k in keys], pa.int32()), pa.array([held[k] for k in keys], pa.int64())], names=["feature", "context", "n"])
+
+    def among(wanted: frozenset[str]):
+        def counted(batches):
+            held: Counter = Counter()
+            for batch in batches:
+                for text in batch.column(0).to_pylist():
+                    held.update({c for w in set(_TOKENS(text.lower())) for c in features_of(w)} & wanted)
+            yield pa.record_batch([pa.array(list(held), pa.string()), pa.array(list(held.values()), pa.int64())], names=["feature", "n"])
+
+        return counted
 
     sizes = {bool(r[0]): r[1] for r in rows.groupBy("toxic").count().collect()}
     if not sizes.get(True) or not sizes.get(False):
         return frozenset(), frozenset()
-    of = by_small_batches(rows).select("text", "toxic").mapInArrow(counted, "feature string, toxic int, context int, n long")
-    table = of.groupBy("feature").agg(
-        F.sum(F.when(F.col("toxic") == 1, F.col("n")).otherwise(0)).alias("in_toxic"),
-        F.sum(F.when(F.col("toxic") == 0, F.col("n")).otherwise(0)).alias("in_clean"),
-        F.countDistinct(F.when(F.col("toxic") == 1, F.col("context"))).alias("contexts"),
-    )
-    kept = table.where((F.col("contexts") >= min_contexts) & (F.col("in_clean") / sizes[False] <= max_clean * F.col("in_toxic") / sizes[True]))
-    # at most (words of FIT_ROWS toxic texts) / min_contexts rows
-    support = {r["feature"]: r["in_toxic"] for r in kept.select("feature", "in_toxic").collect()}
+    toxic, clean = (by_small_batches(rows.where(F.col("toxic") == label)).select("text") for label in (1, 0))
+    table = toxic.mapInArrow(returning_memory(in_contexts), "feature string, context int, n long").groupBy("feature")
+    table = table.agg(F.sum("n").alias("in_toxic"), F.countDistinct("context").alias("contexts")).where(F.col("contexts") >= min_contexts)
+    # at most (words of FIT_ROWS toxic texts) x (lengths of stems) / min_contexts rows; so few texts of the clean class are counted
+    support = {r["feature"]: r["in_toxic"] for r in table.select("feature", "in_toxic").collect()}
+    counts = clean.mapInArrow(returning_memory(among(frozenset(support))), "feature string, n long").groupBy("feature").agg(F.sum("n").alias("n"))
+    in_clean = {r["feature"]: r["n"] for r in counts.collect()}
+    support = {f: n for f, n in support.items() if in_clean.get(f, 0) / sizes[False] <= max_clean * n / sizes[True]}
     words = {f[:-1]: n for f, n in support.items() if f.endswith("$")}
     stems = {f for f in support if not f.endswith("$")}
     # a stem stands for itself only where it reaches clearly more texts than any one word
@@ -221,20 +322,29 @@ def induce(rows: DataFrame, min_contexts: int = MIN_CONTEXTS, max_clean: float =
             best[w[:k]] = max(best[w[:k]], n)
     stems = {s for s in stems if support[s] > 1.2 * best[s]}
     # of stems that reach the same texts, the longest
-    longer = {s[:k]: max(support[t] for t in stems if t.startswith(s[:k]) and len(t) > k) for s in stems for k in STEMS if k < len(s)}
+    longer: Counter = Counter()
+    for s in stems:
+        for k in STEMS:
+            if k < len(s):
+                longer[s[:k]] = max(longer[s[:k]], support[s])
     stems = {s for s in stems if longer.get(s, 0) < 0.97 * support[s]}
     stems = {s for s in stems if not any(s[:k] in stems for k in STEMS if k < len(s))}
     words = {w for w in words if not any(w[:k] in stems for k in STEMS if len(w) >= k)}
     return frozenset(words), frozenset(stems)
 
 
-def _logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1.0, steps: int = 50) -> tuple[np.ndarray, float]:
-    """Ridge logistic regression by Newton's method."""
+#: What the events weigh where labelled texts say nothing: a threat counts as toxic until they do.
+PRIOR = np.array([6.0 if f == "threats" else 0.0 for f in FEATURES])
+
+
+def _logistic(x: np.ndarray, y: np.ndarray, prior: np.ndarray, ridge: float = 1.0, steps: int = 50) -> tuple[np.ndarray, float]:
+    """Logistic regression by Newton's method, its weights drawn to ``prior``."""
     x1 = np.column_stack([x, np.ones(len(x))])
-    w, penalty = np.zeros(x1.shape[1]), np.diag([ridge] * x.shape[1] + [1e-3])
+    base, penalty = np.append(prior, 0.0), np.diag([ridge] * x.shape[1] + [1e-3])
+    w = base.copy()
     for _ in range(steps):
         p = 1 / (1 + np.exp(-np.clip(x1 @ w, -30, 30)))
-        gradient = x1.T @ (p - y) + penalty @ w
+        gradient = x1.T @ (p - y) + penalty @ (w - base)
         change = np.linalg.solve((x1 * (p * (1 - p))[:, None]).T @ x1 + penalty, gradient)
         w -= np.clip(change, -5, 5)
         if np.abs(change).max() < 1e-6:
@@ -249,7 +359,7 @@ def fit_sample(docs: DataFrame, labels: DataFrame, fit_rows: dict[int, int] = FI
     bounded number, are sent to the documents.
     """
     marked = labels.where("toxic is not null").select(F.col("doc_id").alias("id"), F.col("toxic").cast("int").alias("toxic"))
-    marked = marked.where(fold_of(F.col("id")) != 2).dropDuplicates(["id"])
+    marked = marked.where(fold_of(F.col("id")) != 2).groupBy("id").agg(F.max("toxic").alias("toxic"))
     picked = None
     for label, most in fit_rows.items():
         own = marked.where(F.col("toxic") == label).orderBy(F.xxhash64("id"), "id").limit(most)
@@ -267,35 +377,37 @@ def learn(docs: DataFrame, labels: DataFrame) -> Grammar:
     def read(batches):
         reader = Reader(grammar)
         for batch in batches:
-            values = [reader.features(t) for t in batch.column(0).to_pylist()]
+            values = [reader.features(t).tolist() for t in batch.column(0).to_pylist()]
             yield pa.record_batch([pa.array(values, pa.list_(pa.float64())), batch.column(1)], names=["x", "toxic"])
 
-    frame = rows.mapInArrow(read, f"x array<double>, toxic {rows.schema['toxic'].dataType.simpleString()}").toPandas()
+    frame = by_small_batches(rows).mapInArrow(returning_memory(read), f"x array<double>, toxic {rows.schema['toxic'].dataType.simpleString()}").toPandas()
     if frame["toxic"].nunique() == 2:
-        x = _damped(np.array(frame["x"].tolist()))
-        grammar.weights, grammar.bias = _logistic(x, frame["toxic"].to_numpy(float))
+        grammar.weights, grammar.bias = _logistic(_damped(np.array(frame["x"].tolist())), frame["toxic"].to_numpy(float), PRIOR)
+    discard(rows)
     return grammar
 
 
+def _damped(features: np.ndarray) -> np.ndarray:
+    """Each further clause with the same event counts for less, so that long texts aren't judged by their length."""
+    return np.log1p(features)
+
+
 def score(rows: DataFrame, grammar: Grammar, text_column: str = "text", keep: list[str] | None = None, threshold: float = 0.3) -> DataFrame:
     """``rows``' columns ``keep`` (all, if None) with ``score``, ``predicted`` and ``clauses``; narrow."""
-    sent = rows.sparkSession.sparkContext.broadcast(grammar)
     keep = rows.columns if keep is None else keep
-    readers: list[Reader] = []
 
     def scored(batches):
-        if not readers:
-            readers.append(Reader(sent.value))
+        reader = Reader(grammar)
         for batch in batches:
             at = batch.schema.get_field_index(text_column)
-            x = np.array([readers[0].features(t or "") for t in batch.column(at).to_pylist()]).reshape(-1, len(FEATURES))
-            p = 1 / (1 + np.exp(-(_damped(x) @ sent.value.weights + sent.value.bias)))
+            x = np.array([reader.features(t or "") for t in batch.column(at).to_pylist()]).reshape(-1, len(FEATURES))
+            p = 1 / (1 + np.exp(-(_damped(x) @ grammar.weights + grammar.bias)))
             kept = [batch.column(batch.schema.get_field_index(c)) for c in keep]
             out = [pa.array(p), pa.array((p >= threshold).astype(np.int32)), pa.array(x[:, FEATURES.index("clauses")].astype(np.int64))]
             yield pa.record_batch([*kept, *out], names=[*keep, "score", "predicted", "clauses"])
 
     kinds = ", ".join(f"`{c}` {rows.schema[c].dataType.simpleString()}" for c in keep)
-    return by_small_batches(rows).mapInArrow(scored, f"{kinds}, score double, predicted int, clauses long")
+    return by_small_batches(rows).mapInArrow(returning_memory(scored), f"{kinds}, score double, predicted int, clauses long")
 
 
 def score_documents(docs: DataFrame, labels: DataFrame, threshold: float = 0.3) -> DataFrame:
@@ -304,8 +416,8 @@ def score_documents(docs: DataFrame, labels: DataFrame, threshold: float = 0.3)
     Learns only from labelled rows whose id has a crc32 other than 2 modulo 4.
     Null and empty texts have no clause and get the score of a text without
     one. Without labels of both kinds nothing is learned and all scores are
-    low. Of several labels for an id any one counts. Repeated rows are scored
-    each; other columns are ignored.
+    low. A document with labels of both kinds counts as toxic. Repeated rows are
+    scored each; other columns are ignored. Texts are read whole, however long.
     """
     grammar = learn(docs, labels)
     rows = docs.select("doc_id", F.coalesce(fold_of(F.col("doc_id")) == 2, F.lit(False)).alias("held_out"), without_nulls(F.col("text")).alias("text"))
@@ -313,7 +425,8 @@ def score_documents(docs: DataFrame, labels: DataFrame, threshold: float = 0.3)
 
 
 def drop_toxic(docs: DataFrame, labels: DataFrame, threshold: float = 0.3) -> DataFrame:
-    """The rows of ``docs`` whose score is under ``threshold``, with all their columns."""
+    """The rows of ``docs`` whose score is under ``threshold``, with all their columns, whatever their names."""
     names = docs.columns
-    scored = score(docs.toDF(*[f"c{i}_{n}" for i, n in enumerate(names)]), learn(docs, labels), text_column=f"c{names.index('text')}_text", threshold=threshold)
-    return scored.where("predicted = 0").select(*[F.col(f"c{i}_{n}").alias(n) for i, n in enumerate(names)])
+    own = [f"c{i}" for i in range(len(names))]
+    found = score(docs.toDF(*own), learn(docs, labels), text_column=own[names.index("text")], threshold=threshold)
+    return found.where("predicted = 0").select(*[F.col(c).alias(n) for c, n in zip(own, names)])
