@@ -75,3 +75,41 @@ def test_furniture_within_articles_is_template(spark):
 def test_ids_of_headings_and_paragraphs_are_no_marks_within_articles():
     assert text_of("<article><h2 id='related-work'>Related work</h2><p id=comments>On it</p><p class=share>Share</p></article>") == "Related work\n\nOn it"
     assert text_of("<body><p id=cookie-notice>We use</p><p>Text</p></body>") == "Text"
+
+
+def test_article_text_that_looks_like_furniture_stays():
+    page = "<main><p>Lead</p><article><div id='related-work'>Related work</div><p class=search-results>Results of the search</p><p>Let <math><mi>x</mi></math> be</p></article><p>After</p></main>"
+    assert text_of(page) == "Lead\n\nRelated work\n\nResults of the search\n\nLet x be\n\nAfter"
+    assert text_of("<article><p title=it's>one</p><p>it's two</p><p>three</p></article>") == "one\n\nit's two\n\nthree"
+    assert text_of("<article><p title = 'a>b' alt=\"c>d\" x=>one</p></article>") == "one"
+
+
+def test_templates_equal_plain_counts(spark):
+    import random
+    from collections import defaultdict
+
+    from tributary.llm import html_extract as h
+
+    rng, boxes = random.Random(5), [f"<div>Box number {i} of the site</div>" for i in range(12)]
+    pages = []
+    for i in range(60):
+        own = "".join(rng.sample(boxes[: rng.choice((3, 12))], 2))
+        pages.append((i, f"https://h{i % 3}.test/{i}", f"<body>{own}<article><p>Text {i // 2} of the article, which is longer than its boxes are</p>{rng.choice(boxes[:2])}</article><footer>All rights reserved</footer></body>"))
+    rows = spark.createDataFrame(pages, "page_id long, url string, html string").selectExpr("parse_url(url, 'HOST') AS host", "html")
+    got = {r.host: set(r.hashes) for r in h.site_templates(rows).collect()}
+    seen = defaultdict(set)
+    for _, url, page in pages:
+        root = h.parse(page)
+        h.hash_subtrees(root)
+        host = url.split("/")[2]
+        own = h.template_candidates(root).union(*map(h.article_candidates, h._mains(root)))
+        own |= {(h.PAGES, rest) for node, _, rest in h._surroundings(root) if node is root}
+        for mark, rest in own:
+            seen[host, mark].add(rest)
+    wanted = defaultdict(set)
+    for (host, mark), rests in seen.items():
+        total = len(seen[host, h.ARTICLES if mark < 0 else h.PAGES])
+        least = min(h.TEMPLATE_SHARE * total, max(h.SECTION_PAGES, h.SECTION_SHARE * total))
+        if mark not in (h.PAGES, h.ARTICLES) and len(rests) >= max(h.TEMPLATE_PAGES, least):
+            wanted[host].add(mark)
+    assert got == dict(wanted) and any(m < 0 for m in got["h0.test"]) and any(m > 0 for m in got["h0.test"])

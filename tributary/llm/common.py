@@ -95,9 +95,22 @@ def returning_memory(batches_to_batches: Callable) -> Callable:
 BATCH_ROWS = 1000
 
 
+#: Bytes of an Arrow batch, but for a single longer row.
+BATCH_BYTES = 8 << 20
+#: Longer words and runs aren't kept in memos, so that a memo's entries bound its bytes.
+MEMO_CHARS = 64
+
+
 def by_small_batches(rows: DataFrame) -> DataFrame:
-    """``rows``, after lowering the session's Arrow batches to BATCH_ROWS, where they are larger."""
+    """``rows``, after lowering the session's Arrow batches to BATCH_ROWS and BATCH_BYTES, where they are larger.
+
+    The session keeps these settings: they act when the rows are read, which is
+    after this call. They change no result.
+    """
     conf = rows.sparkSession.conf
+    size = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if not 0 < int(conf.get(size).rstrip("b")) <= BATCH_BYTES:
+        conf.set(size, BATCH_BYTES)
     if not 0 < int(conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) <= BATCH_ROWS:
         conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
     return rows

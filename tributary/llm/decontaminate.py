@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import by_small_batches, without_nulls
+from .common import by_small_batches, returning_memory, without_nulls
 
 #: Min-wise values of a signature.
 MINIMA = 32
@@ -255,7 +255,7 @@ def find_contained(docs: DataFrame, items: DataFrame, words: int = 5, containmen
                 keys = pa.array([built[0].keys[i] for i in item])
                 yield pa.record_batch([batch.column(0).take(pa.array(at, pa.int64())), keys if len(keys) else pa.array([], pa.int64()), pa.array(shared, pa.int64()), pa.array(size, pa.int64())], names=[id_column, item_column, "shared", "shingles"])
 
-        part = by_small_batches(rows).mapInArrow(search, schema)
+        part = by_small_batches(rows).mapInArrow(returning_memory(search), schema)
         found = part if found is None else found.unionByName(part)
     return found.withColumn("containment", F.col("shared") / F.col("shingles"))
 
@@ -276,5 +276,5 @@ def drop_contaminated(docs: DataFrame, items: DataFrame, words: int = 5, contain
                 bad = {m[0] for m in built[0].matches(texts, containment)}
                 yield batch.filter(pa.array([i not in bad for i in range(len(texts))], pa.bool_()))
 
-        rows = by_small_batches(rows).mapInArrow(clean, kinds)
+        rows = by_small_batches(rows).mapInArrow(returning_memory(clean), kinds)
     return rows.toDF(*names)

@@ -24,7 +24,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import by_small_batches, materialise, without_nulls
+from .common import by_small_batches, materialise, returning_memory, without_nulls
 
 #: A subtree is template where it stands on this share of its host's pages (or articles), and on so many.
 TEMPLATE_SHARE, TEMPLATE_PAGES = 0.3, 4
@@ -41,11 +41,11 @@ BROADCAST_BYTES = 32 << 20
 
 # Elements without end tag, elements of raw text, blocks, and what is no article text.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW = frozenset("script style textarea title noscript iframe template svg math canvas".split())
+RAW = frozenset("script style textarea title noscript iframe template svg canvas".split())
 BLOCKS = frozenset(
     "address article aside blockquote body caption center dd details dialog dir div dl dt fieldset figcaption figure footer form frameset h1 h2 h3 h4 h5 h6 head header hgroup hr html legend li main menu nav ol optgroup option p pre section select summary table tbody td tfoot th thead tr ul".split()
 )
-NEVER = frozenset("script style noscript template iframe svg math canvas head title nav aside footer form menu select button input textarea dialog object embed audio video map".split())
+NEVER = frozenset("script style noscript template iframe svg canvas head title nav aside footer form menu select button input textarea dialog object embed audio video map".split())
 #: What can be template within an article.
 BOXES = frozenset("address aside center details div dl fieldset figure footer header hgroup menu ol section table ul".split())
 #: Within the article an id of these names a place in the text.
@@ -56,11 +56,14 @@ ENDS_P = frozenset("address article aside blockquote details div dl fieldset fig
 BOILERPLATE = re.compile(
     r"(?:^|[\s_-])(?:ad|ads|advert|adverts|advertisement|advertising|banner|breadcrumb|breadcrumbs|comment|comments|commentlist|disqus|cookie|cookies|consent|gdpr|disclaimer|footer|masthead|login|menu|modal|nav|navbar|navigation|newsletter|notice|notices|notification|pager|pagination|popup|promo|related|recommended|replies|respond|search|share|sharing|sidebar|signup|skip|social|sponsor|sponsored|subscribe|subscription|tags|toolbar|widget|widgets|complementary|contentinfo|alert|alertdialog)(?:$|[\s_-])"
 )
+#: Such words that within an article may just as well mark its own text; boxes that recur there are found by their counts.
+_TEXT_MARKS = frozenset("search tags related recommended notice notices disclaimer complementary".split())
+_MARK = re.compile(r"[\s_-]+")
 #: Marks of a header; within the article it holds the headline, elsewhere it is site furniture.
 _HEADER = re.compile(r"(?:^|[\s_-])header(?:$|[\s_-])")
 #: Marks of an ``article`` element that is not the page's article.
 _OTHER_ARTICLE = re.compile(r"(?:^|[\s_-])(?:ad|ads|advert|comment|comments|promo|related|reply|sponsored|teaser|recommended)(?:$|[\s_-])")
-_MARKUP = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*(?:\"|\Z)|'[^']*(?:'|\Z))*)(?:>|\Z)", re.S)
+_MARKUP = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"'=]|=\s*(?:\"[^\"]*(?:\"|\Z)|'[^']*(?:'|\Z)|[^\s>\"'][^\s>]*)|[\"'=])*)(?:>|\Z)", re.S)
 _KIND = re.compile(r"\b(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
 _HIDDEN = re.compile(r"\b(?:hidden(?:\s|=|$)|aria-hidden\s*=\s*[\"']?true|style\s*=\s*[\"'][^\"']*display\s*:\s*none)", re.I)
 _CAMEL = re.compile(r"([a-z])([A-Z])")
@@ -117,8 +120,9 @@ def parse(page: str) -> Node:
         kind = _hyphened(k for _, k in kinds)
         marks = {"html": None, "body": None, "main": None, "article": _OTHER_ARTICLE}.get(tag, BOILERPLATE)
         marked = bool(kind) and marks is not None and bool(marks.search(kind))
-        if marked and tag in TITLES and any(map(_is_main, stack)):
-            marked = bool(marks.search(_hyphened(k for n, k in kinds if n != "id")))
+        if marked and any(map(_is_main, stack)):
+            own = _hyphened(k for n, k in kinds if n != "id" or tag not in TITLES)
+            marked = bool(marks.search(" ".join(w for w in _MARK.split(own) if w not in _TEXT_MARKS) if marks is BOILERPLATE else own))
         node = Node(tag, kind, tag in NEVER or marked or bool(attributes) and bool(_HIDDEN.search(attributes)))
         stack[-1].parts.append(node)
         if tag in VOID or attributes.rstrip().endswith("/") and tag not in BLOCKS:
@@ -161,20 +165,17 @@ def _is_main(node: Node) -> bool:
 
 
 def _mains(root: Node) -> list[Node]:
-    """The outermost articles in page order; without any, the outermost mains."""
-    articles, mains, todo = [], [], [(root, False)]
+    """The outermost articles and mains in page order; a main has its articles and what stands beside them."""
+    found, todo = [], [root]
     while todo:
-        node, within = todo.pop()
+        node = todo.pop()
         if node.drop:
             continue
-        if node.tag == "article":
-            articles.append(node)
-            continue
-        if not within and _is_main(node):
-            mains.append(node)
-            within = True
-        todo += [(p, within) for p in reversed(node.parts) if isinstance(p, Node)]
-    return articles or mains
+        if _is_main(node):
+            found.append(node)
+        else:
+            todo += [p for p in reversed(node.parts) if isinstance(p, Node)]
+    return found
 
 
 def _surroundings(top: Node):
@@ -294,7 +295,7 @@ def site_templates(pages: DataFrame) -> DataFrame:
                 rests += [r for _, r in own]
             yield pa.record_batch([pa.array(hosts, pa.string()), pa.array(hashes, pa.int64()), pa.array(rests, pa.int64())], names=["host", "hash", "rest"])
 
-    each = by_small_batches(pages).select("host", "html").mapInArrow(hashed, "host string, hash long, rest long").distinct()
+    each = by_small_batches(pages).select("host", "html").mapInArrow(returning_memory(hashed), "host string, hash long, rest long").distinct()
     counts = each.groupBy("host", "hash").agg(F.count("*").alias("n"))
     often = counts.where(F.col("n") >= TEMPLATE_PAGES)
     often = materialise(often, "subtrees")
@@ -340,4 +341,4 @@ def extract(pages: DataFrame, id_column: str = "page_id", url_column: str = "url
                 ids, urls = (part.column(part.schema.get_field_index(c)) for c in ("page_id", "url"))
                 yield pa.record_batch([ids, urls, pa.array(texts, pa.string()), pa.array(list(map(len, texts)), pa.int64())], names=["page_id", "url", "text", "n_chars"])
 
-    return by_small_batches(rows).mapInArrow(extracted, f"page_id {kind}, url string, text string, n_chars long")
+    return by_small_batches(rows).mapInArrow(returning_memory(extracted), f"page_id {kind}, url string, text string, n_chars long")

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import by_small_batches, without_nulls
+from .common import by_small_batches, returning_memory, without_nulls
 
 # Public licence texts and the notices by which texts refer to licences.
 TEMPLATES = {
@@ -271,4 +271,4 @@ def scan_licenses(docs: DataFrame, templates: dict[str, tuple[str, ...]] = TEMPL
             )
 
     rows = docs.select(F.col(id_column), without_nulls(F.col(text_column)).alias("text"))
-    return by_small_batches(rows).mapInArrow(scanned, f"`{id_column}` {kind}, license string, coverage double, first long, end long, words long")
+    return by_small_batches(rows).mapInArrow(returning_memory(scanned), f"`{id_column}` {kind}, license string, coverage double, first long, end long, words long")

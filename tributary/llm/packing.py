@@ -30,8 +30,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import by_small_batches, materialise, without_nulls
-from .token_count import _ODD_SPACE, LAST_LATIN, Merger, _tokenizer
+from .common import MEMO_CHARS, by_small_batches, materialise, returning_memory, without_nulls
+from .token_count import _ODD_SPACE, LAST_LATIN, Merger, _tokenizer, is_as_known
 
 #: Units whose ids a worker keeps; beyond it the memo starts afresh.
 MEMO_ENTRIES = 250_000
@@ -43,6 +43,10 @@ _PRE_TOKEN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(
 _ASCII_PRE_TOKEN = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?[A-Za-z]+| ?[0-9]+| ?[^\sA-Za-z0-9]+|\s+(?!\S)|\s+")
 
 
+#: What this module knows to do by itself; files that say otherwise are left to the library.
+KNOWN = {"normalizer": None, "pre_tokenizer": {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": True}, "end_of_word_suffix": None}
+
+
 class UnitEncoder:
     """Token ids of whole texts as little-endian 32-bit bytes, by memos over units and pre-tokens.
 
@@ -54,7 +58,7 @@ class UnitEncoder:
     def __init__(self, path: str, memo_entries: int = MEMO_ENTRIES):
         import regex
 
-        self.tokenizer, self.limit, self.memo = _tokenizer(path), memo_entries, {}
+        self.tokenizer, self.limit, self.memo, self.known = _tokenizer(path), memo_entries, {}, is_as_known(path, KNOWN)
         self.merger = Merger(self.tokenizer, memo_entries)
         self.find = regex.compile(_PRE_TOKEN).findall
 
@@ -76,7 +80,7 @@ class UnitEncoder:
                 memo[unit] = ids(pre[0]) if len(pre) == 1 else b"".join([ids(p) for p in pre])
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        cut = [None if _ODD_SPACE.search(t) else _UNITS(t) for t in texts]
+        cut = [None if not self.known or _ODD_SPACE.search(t) else _UNITS(t) for t in texts]
         unseen: set[str] = set()
         for units in cut:
             unseen.update(units or ())
@@ -86,7 +90,11 @@ class UnitEncoder:
             new = unseen
         self._learn(new)
         get = self.memo.__getitem__
-        return [self.whole(t) if c is None else b"".join(map(get, c)) for t, c in zip(texts, cut)]
+        found = [self.whole(t) if c is None else b"".join(map(get, c)) for t, c in zip(texts, cut)]
+        for unit in unseen:
+            if len(unit) > MEMO_CHARS:
+                del self.memo[unit]
+        return found
 
 
 @lru_cache(maxsize=2)
@@ -124,7 +132,7 @@ def token_pieces(docs: DataFrame, tokenizer_file: str, capacity: int = 2048, end
         encoder.forget()  # the worker outlives the task and may have other work next
 
     rows = docs.select(F.col(id_column), without_nulls(F.col(text_column)).alias("text"))
-    return by_small_batches(rows).mapInArrow(cut, f"`{id_column}` {kind}, piece int, start long, length long, ids_crc32 long")
+    return by_small_batches(rows).mapInArrow(returning_memory(cut), f"`{id_column}` {kind}, piece int, start long, length long, ids_crc32 long")
 
 
 #: Sequences of one layout: how many, and the (length, number) runs of each.
@@ -274,7 +282,7 @@ def assign(pieces: DataFrame, capacity: int, id_column: str = "doc_id") -> DataF
                 offset[own] = start + (t - first) % each * size
             yield pa.record_batch([*(batch.column(n) for n in names), pa.array(sequence), pa.array(offset)], names=[*names, "sequence_id", "offset"])
 
-    return ranked.mapInArrow(place, f"{kinds}, sequence_id long, offset long")
+    return ranked.mapInArrow(returning_memory(place), f"{kinds}, sequence_id long, offset long")
 
 
 def pack_documents(docs: DataFrame, tokenizer_file: str, capacity: int = 2048, end_id: int = 0, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:

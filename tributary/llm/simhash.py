@@ -25,7 +25,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import by_small_batches, materialise, without_nulls
+from .common import by_small_batches, materialise, returning_memory, without_nulls
 
 #: Fingerprints of a tile.
 TILE = 2048
@@ -78,7 +78,7 @@ def fingerprints(docs: DataFrame, words: int = 3, id_column: str = "doc_id", tex
             fps = [_signed(simhash(shingle_hashes(t, words))) for t in batch.column(1).to_pylist()]
             yield pa.record_batch([batch.column(0), pa.array(fps, pa.int64())], names=["id", "fp"])
 
-    return by_small_batches(docs).select(F.col(id_column), without_nulls(F.col(text_column)).alias("text")).mapInArrow(hashed, f"id {kind}, fp long")
+    return by_small_batches(docs).select(F.col(id_column), without_nulls(F.col(text_column)).alias("text")).mapInArrow(returning_memory(hashed), f"id {kind}, fp long")
 
 
 def close_pairs(left: np.ndarray, right: np.ndarray, radius: int):
@@ -208,7 +208,7 @@ def radius_links(distinct: DataFrame, radius: int, tile: int = TILE) -> DataFram
                 yield pa.record_batch([pa.array(raw[src]), pa.array(raw[dst])], names=["src", "dst"])
 
     sorted_ = dealt.repartition("pair").sortWithinPartitions("pair")
-    return sorted_.mapInArrow(linked, "src long, dst long").distinct()
+    return sorted_.mapInArrow(returning_memory(linked), "src long, dst long").distinct()
 
 
 def component_labels(nodes: DataFrame, edges: DataFrame) -> DataFrame:
@@ -305,7 +305,7 @@ def described(docs: DataFrame, words: int, id_column: str, text_column: str) ->
 
     text = without_nulls(F.col(text_column))
     rows = docs.select(F.col(id_column), F.xxhash64(text).alias("h"), text.alias("text"))
-    return by_small_batches(rows).mapInArrow(all_of, f"id {kind}, h long, node long, fp long, bands array<long>, shingles binary")
+    return by_small_batches(rows).mapInArrow(returning_memory(all_of), f"id {kind}, h long, node long, fp long, bands array<long>, shingles binary")
 
 
 def all_pairs(n: int, split: int):
@@ -372,7 +372,7 @@ def similarity_links(distinct: DataFrame, rows: DataFrame, similarity: float, ti
                 src, dst = np.array(edges).T
                 yield pa.record_batch([pa.array(nodes[src]), pa.array(nodes[dst])], names=["src", "dst"])
 
-    return full.repartition("pair").sortWithinPartitions("pair").mapInArrow(linked, "src long, dst long").distinct()
+    return full.repartition("pair").sortWithinPartitions("pair").mapInArrow(returning_memory(linked), "src long, dst long").distinct()
 
 
 def _grouped(docs: DataFrame, words: int, similarity: float, id_column: str, text_column: str) -> DataFrame:

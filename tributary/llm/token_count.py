@@ -22,11 +22,11 @@ from functools import lru_cache
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from .common import by_small_batches, without_nulls
+from .common import MEMO_CHARS, by_small_batches, returning_memory, without_nulls
 from pyspark.sql import functions as F
 
 #: Chunks whose counts a worker keeps; beyond it the memo starts afresh.
-MEMO_ENTRIES = 600_000
+MEMO_ENTRIES = 400_000
 
 #: Beyond this character pre-tokens are left to the tokenizer: letter tables differ by Unicode version.
 LAST_LATIN = "\u024f"
@@ -52,6 +52,31 @@ def _byte_alphabet() -> dict[str, int]:
     return {chr(b): b for b in plain} | {chr(256 + i): b for i, b in enumerate(rest)}
 
 
+#: What this module knows to do by itself; files that say otherwise are left to the library.
+KNOWN = {
+    "normalizer": {"type": "Sequence", "normalizers": [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "}, {"type": "Lowercase"}]},
+    "pre_tokenizer": {
+        "type": "Sequence",
+        "pretokenizers": [
+            {"type": "Split", "pattern": {"Regex": r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"}, "behavior": "Removed", "invert": True},
+            {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False},
+        ],
+    },
+    "end_of_word_suffix": "</w>",
+}
+
+
+def is_as_known(path: str, known: dict) -> bool:
+    """Whether a tokenizer's file has these settings, a plain BPE model, and special tokens that all begin with ``<|``."""
+    with open(path, encoding="utf-8") as file:
+        own = json.load(file)
+    model = own["model"]
+    plain = model.get("type", "BPE") == "BPE" and not any(model.get(k) for k in ("dropout", "unk_token", "continuing_subword_prefix", "byte_fallback", "ignore_merges"))
+    special = all(t["content"].startswith("<|") and not (t["normalized"] or t["single_word"] or t["lstrip"] or t["rstrip"]) for t in own["added_tokens"])
+    same = own["normalizer"] == known["normalizer"] and own["pre_tokenizer"] == known["pre_tokenizer"] and model.get("end_of_word_suffix") == known["end_of_word_suffix"]
+    return plain and special and same and not own.get("truncation") and not own.get("padding")
+
+
 def prove_whole_tokens(path: str, end_mark: str = "</w>") -> frozenset[str]:
     """The strings that the tokenizer encodes, alone, as their one vocabulary entry."""
     with open(path, encoding="utf-8") as file:
@@ -82,10 +107,12 @@ class Merger:
         """Little-endian 32-bit ids."""
         found = self.memo.get(pre)
         if found is None:
-            if len(self.memo) >= self.entries:
-                self.memo.clear()
             text = pre.encode("utf-8").decode("latin-1").translate(self.spelled)
-            found = self.memo[pre] = array("I", [t.id for t in self.merge(text)]).tobytes()
+            found = array("I", [t.id for t in self.merge(text)]).tobytes()
+            if len(pre) <= MEMO_CHARS:
+                if len(self.memo) >= self.entries:
+                    self.memo.clear()
+                self.memo[pre] = found
         return found
 
 
@@ -95,7 +122,7 @@ class ChunkCounter:
     def __init__(self, path: str, whole: frozenset[str], memo_entries: int = MEMO_ENTRIES):
         import regex
 
-        self.tokenizer, self.whole, self.limit = _tokenizer(path), whole, memo_entries
+        self.tokenizer, self.whole, self.limit, self.known = _tokenizer(path), whole, memo_entries, is_as_known(path, KNOWN)
         self.pre_token = regex.compile(_PRE_TOKEN)
         self.special = tuple(t.content for t in self.tokenizer.get_added_tokens_decoder().values())
         self.merger = Merger(self.tokenizer, memo_entries)
@@ -121,6 +148,8 @@ class ChunkCounter:
             memo[chunk] = n
 
     def count(self, texts: list[str]) -> list[int]:
+        if not self.known:
+            return [len(self.tokenizer.encode(t, add_special_tokens=False).ids) for t in texts]
         chunked = [None if _ODD_SPACE.search(t) else t.split() for t in texts]
         unseen: set[str] = set()
         for chunks in chunked:
@@ -129,10 +158,11 @@ class ChunkCounter:
             self.memo.clear()
         self._learn(unseen.difference(self.memo))
         get = self.memo.__getitem__
-        return [
-            len(self.tokenizer.encode(t, add_special_tokens=False).ids) if c is None else sum(map(get, c))
-            for t, c in zip(texts, chunked)
-        ]
+        counts = [len(self.tokenizer.encode(t, add_special_tokens=False).ids) if c is None else sum(map(get, c)) for t, c in zip(texts, chunked)]
+        for chunk in unseen:
+            if len(chunk) > MEMO_CHARS:
+                del self.memo[chunk]
+        return counts
 
 
 _COUNTERS: dict[tuple[str, int], ChunkCounter] = {}
@@ -145,6 +175,7 @@ def count_tokens(docs: DataFrame, tokenizer_file: str, limit: int = 2048, id_col
     each; other columns are ignored, whatever their names. An empty table gives
     an empty result. Texts of any length are counted whole; a special token's
     string inside a text counts as the tokenizer's default has it: one token.
+    A tokenizer file with another pattern or normalizer than KNOWN is left to the library.
     No shuffle: one narrow stage from the scan.
     """
     spark = docs.sparkSession
@@ -170,4 +201,4 @@ def count_tokens(docs: DataFrame, tokenizer_file: str, limit: int = 2048, id_col
                 )
 
     rows = docs.select(F.col(id_column), without_nulls(F.col(text_column)).alias("text"))
-    return by_small_batches(rows).mapInArrow(counted, f"`{id_column}` {kind}, n_bytes long, n_tokens long, over_limit boolean")
+    return by_small_batches(rows).mapInArrow(returning_memory(counted), f"`{id_column}` {kind}, n_bytes long, n_tokens long, over_limit boolean")
