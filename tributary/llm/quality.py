@@ -81,8 +81,8 @@ def bounds_of(rows: DataFrame, quantile: float) -> tuple[DataFrame, tuple]:
     high = F.percentile_approx(F.when(F.col("held_out"), F.col("deviation")), quantile, 10_000)
     tails = [low.alias("low"), high.alias("high")]
     deviation = (F.col("cross_entropy") - F.col("centre")) * F.sqrt("n_tokens")
-    centres = rows.groupBy("lang").agg(middle.alias("centre"))
-    bounds = rows.join(centres, "lang").withColumn("deviation", deviation).groupBy("lang").agg(F.first("centre").alias("centre"), *tails)
+    centres = materialise(rows.groupBy("lang").agg(middle.alias("centre")), "centres")
+    bounds = rows.join(if_small(centres, BROADCAST_ROWS), "lang").withColumn("deviation", deviation).groupBy("lang").agg(F.first("centre").alias("centre"), *tails)
     centre = rows.agg(middle.alias("centre")).first()["centre"]
     overall = rows.withColumn("centre", F.lit(centre).cast("double")).withColumn("deviation", deviation).agg(*tails).first()
     return materialise(bounds, "bounds"), (centre, overall["low"], overall["high"])
