@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from tributary.operators.dedupe import unseen
 from tributary.plans import checkpoint, config, ingest
-from tributary.sources import catalogue, files, http
+from tributary.sources import catalogue, files, http, retry
 from tributary.sources.paged import Feed, Page, paged_source, slices, walk
 from tributary.sources.queues import queue_source
 from tributary.streaming.dedupe import within_ttl, within_watermark
@@ -202,3 +202,80 @@ def test_http_reading(monkeypatch):
     assert list(walk(client, feed, 1000, 2000)) == [{"id": 1, "t": 5}] and asked[1] == "https://x.test/a?from=1&to=2&n=2&c=k"
     assert feed.id_of({"id": 1}) == "1" and feed.time_of({"t": "2024-01-01T00:00:00.1234567Z"}) == 1704067200123
     assert catalogue.requests("okta", host="h.test")["log"].url == "https://h.test/api/v1/logs"
+
+
+class Ignorant:
+    """A service that ignores bounds: five records, one of them without a time."""
+
+    def __init__(self, forbidden=False):
+        self.forbidden = forbidden
+
+    def fetch(self, feed, since, until, cursor):
+        if self.forbidden:
+            raise retry.Refused(403)
+        return Page([{"id": i, "t": i * 1000} for i in range(5)])
+
+
+def test_records_outside_the_range_are_dropped(spark):
+    whole = Feed("g", FEED.id_of, FEED.time_of, lag=0, slice=1_000, bounded=False)
+    spark.dataSource.register(paged_source("ignorant", [Feed("f", FEED.id_of, FEED.time_of, lag=0, slice=1_000), whole], Ignorant(), clock=lambda: 30_000))
+    got = spark.read.format("ignorant").option("since", 1000).option("until", 4000).load().collect()
+    assert sorted((r.feed, r.id) for r in got) == [(f, str(i)) for f in "fg" for i in (1, 2, 3)]
+    spark.dataSource.register(paged_source("forbidden", [whole], Ignorant(forbidden=True), clock=lambda: 30_000))
+    assert spark.read.format("forbidden").option("skip_forbidden", "true").load().count() == 0
+    with pytest.raises(Exception, match="refused with status 403"):
+        spark.read.format("forbidden").load().count()
+
+
+def test_pages_before_the_range_end_a_descending_walk():
+    asked = []
+
+    class Service:
+        def fetch(self, feed, since, until, cursor):
+            asked.append(cursor)
+            at = cursor or 0
+            return Page([{"id": i, "t": (100 - i) * 1000} for i in range(at, at + 10)], at + 10)
+
+    feed = Feed("f", FEED.id_of, FEED.time_of, newest_first=True)
+    assert len(list(walk(Service(), feed, 85_000, 95_000))) == 30 and asked == [None, 10, 20]
+
+
+def test_requests_of_services():
+    def client(service, **settings):
+        requests = catalogue.requests(service, **settings)
+        return http.HttpClient(requests), next(iter(requests))
+
+    c, feed = client("servicenow", instance="i", table="sys_audit", query="x=1")
+    url, body = c.asked(feed, 1_700_000_000_000, 1_700_000_060_000, 1000)
+    assert body is None and "sysparm_query=x%3D1%5Esys_created_on%3E%3D2023-11-14+22%3A13%3A20%5Esys_created_on%3C2023-11-14+22%3A14%3A20%5EORDERBYsys_created_on%5EORDERBYsys_id" in url and "sysparm_offset=1000" in url
+    assert http.feeds_of(c.requests)[0].bounded
+    c, feed = client("defender")
+    assert "%24filter=createdDateTime+ge+2023-11-14T22%3A13%3A20.000Z+and+createdDateTime+lt+" in c.asked(feed, 1_700_000_000_000, 1_700_000_060_000, None)[0]
+    c, feed = client("mimecast")
+    body = c.asked(feed, 0, 1000, "p2")[1]
+    assert body == {"data": [{"startDateTime": "1970-01-01T00:00:00.000Z", "endDateTime": "1970-01-01T00:00:01.000Z"}], "meta": {"pagination": {"pageSize": 100, "pageToken": "p2"}}}
+    c, feed = client("zendesk", host="h")
+    assert c.asked(feed, 0, 1000, None)[0].count("filter%5Bcreated_at%5D%5B%5D=") == 2
+    c, feed = client("threatlocker", instance="i", path="p")
+    assert c.asked(feed, 0, 1000, None)[1]["isAscending"] is True
+    assert not http.feeds_of(client("sophos", host="h")[0].requests)[0].bounded
+
+
+def test_details_of_records(monkeypatch):
+    answers = {"https://protectapi.cylance.com/detections/v2/a%2Fb/details": {"Id": "a/b", "more": 1}, "https://blob/1": [{"Id": "x"}, {"Id": "y"}]}
+    c = http.HttpClient(catalogue.requests("cylance") | catalogue.requests("office365", tenant="t", content_type="c"))
+    monkeypatch.setattr(c, "_get", lambda url, body=None: (answers.get(url) or ({"page_items": [{"Id": "a/b"}]} if "cylance" in url else [{"contentUri": "https://blob/1"}]), None))
+    assert c.fetch("detections", 0, 1, None).items == [{"Id": "a/b", "more": 1}]
+    assert c.fetch("content", 0, 1, None).items == [{"Id": "x"}, {"Id": "y"}]
+
+
+def test_nothing_is_lost_silently(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in/bad.gz").write_bytes(b"no gzip")
+    (tmp_path / "in/large.txt").write_bytes(b"x" * 5000)
+    (tmp_path / "in/log.txt").write_bytes(b"same\nother\nsame\n")
+    assert sorted(r.path.rsplit("/")[-1] for r in files.bundles(spark, str(tmp_path / "in"), max_bytes=4000).where("error is not null").collect()) == ["bad.gz", "large.txt"]
+    (tmp_path / "in/large.txt").unlink()
+    got = ingest.events(spark, [{"bundles": {"path": str(tmp_path / "in")}}]).collect()
+    assert sorted(r.text for r in got if r.payload_kind == "text") == ["other", "same", "same"]
+    assert [r.text.startswith("bad gzip") for r in got if r.payload_kind == "error"] == [True]

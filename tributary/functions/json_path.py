@@ -133,6 +133,24 @@ def find_one(text: Column | str, path: str, kind: str = "string", expand: bool =
     return F.try_element_at(find(text, path, kind, expand), F.lit(1))
 
 
+def find_first(text: Column | str, wanted: dict[str, tuple[str, str]]) -> Column:
+    """A struct of first values: ``wanted`` names a path and a kind each. A text is read once for all of them."""
+    own = {name: (steps(path), kind) for name, (path, kind) in wanted.items()}
+
+    def first(root: Any, path: list[str], kind: str):
+        for v in matches(root, path):
+            ok, held = _as_kind(v, kind)
+            if ok:
+                return _decimal(held) if kind == "int" else held
+        return None
+
+    def evaluate(texts: pd.Series) -> pd.DataFrame:
+        roots = [None if t is None else loads(t) for t in texts]
+        return pd.DataFrame({name: pd.Series([None if r is None else first(r, *of) for r in roots], dtype=object) for name, of in own.items()})
+
+    return F.pandas_udf(evaluate, ", ".join(f"`{name}` {KINDS[kind]}" for name, (_, kind) in own.items()))(text)
+
+
 def has(text: Column | str, path: str) -> Column:
     """Whether the path reaches anything. An empty path always does; lists don't take up ``*`` and ``?`` here."""
     wanted = steps(path)

@@ -51,6 +51,14 @@ def named_groups(line: Column, pattern: str) -> Column:
     return F.struct(*[F.when(matched, F.regexp_extract(line, java, n)).alias(name) for name, n in names])
 
 
+def jwt_expiry(token: Column) -> Column:
+    """The time at which a JSON web token ends, by its payload; null for what isn't one. The signature isn't checked."""
+    part = F.regexp_extract(token, r"^[\w-]+\.([\w-]+)\.[\w-]*$", 1)
+    padded = F.rpad(F.translate(part, "-_", "+/"), (F.ceil(F.length(part) / 4) * 4).cast("int"), F.lit("="))
+    payload = F.try_to_binary(padded, F.lit("base64")).cast("string")
+    return F.timestamp_seconds(F.get_json_object(payload, "$.exp").try_cast("long"))
+
+
 def pod_of(path: Column) -> Column:
     """(namespace, pod_name, pod_id, container_name) of a pod log's path; null if it isn't one."""
     parts = [F.regexp_extract(path, r".*/([^/]+)_([^/]+)_([^/]+)/([^/]+)/[^/]+\.log$", n) for n in (1, 2, 3, 4)]

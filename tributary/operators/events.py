@@ -9,11 +9,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import clean_json
-from ..functions.json_path import field, find_one, steps
+from ..functions.json_path import field, find_first, steps
 from ..functions.text import content_hash, named_groups
 from ..functions.timestamps import first_known, parsed
 
-SCHEMA = "source string, sensor_key string, event_type string, event_time timestamp, ingest_time timestamp, payload_kind string, text string, payload variant, dedupe_key string, provenance struct<path:string,offset:bigint>"
+SCHEMA = "source string, sensor_key string, hostname string, event_type string, event_time timestamp, ingest_time timestamp, payload_kind string, text string, payload variant, dedupe_key string, provenance struct<path:string,offset:bigint>"
 #: Members that often hold a record's id, and its time.
 ID_FIELDS = ("id", "uuid", "eventId", "event_id")
 TIME_FIELDS = ("time", "eventTime", "timestamp")
@@ -27,6 +27,7 @@ class Mapping:
     pattern: str | None = None  # named groups turn a line into JSON
     sensor_key_path: str | None = None
     sensor_key: str | None = None
+    sensor_hostname_path: str | None = None
     event_type_path: str | None = None
     event_type: str | None = None
     event_time_path: str | None = None
@@ -41,14 +42,18 @@ def _is_name(path: str) -> bool:
     return len(own) == 1 and own[0] not in ("*", "?")
 
 
-def value_at(record: Column, text: Column, path: str, kind: str) -> Column:
-    """The first value of a kind at a path of a record, an object: by its VARIANT for one name, else by its text."""
-    return field(record, path, kind) if _is_name(path) else find_one(text, path, kind)
+def _either(record: Column, text: Column, path: str) -> tuple[Column, Column]:
+    """The first string and the first integer at a path of a record, an object: by its VARIANT for one name, else by its text, read once."""
+    if _is_name(path):
+        return field(record, path, "string"), field(record, path, "int")
+    found = find_first(text, {"s": (path, "string"), "i": (path, "int")})
+    return found["s"], found["i"]
 
 
 def _scalar(record: Column, text: Column, path: str) -> Column:
     """The first string or integer at a path, as a string."""
-    return F.coalesce(value_at(record, text, path, "string"), value_at(record, text, path, "int").cast("string"))
+    string, number = _either(record, text, path)
+    return F.coalesce(string, number.cast("string"))
 
 
 def identity(record: Column, text: Column, paths: tuple[str, ...] = ID_FIELDS) -> Column:
@@ -60,7 +65,8 @@ def event_time(record: Column, text: Column, paths: tuple[str, ...] = TIME_FIELD
     """A record's time by the first path that has a readable one: a text, or milliseconds since 1970. Null if none has."""
     tries = []
     for p in paths:
-        tries += [parsed(value_at(record, text, p, "string")), F.timestamp_millis(value_at(record, text, p, "int").cast("long"))]
+        string, number = _either(record, text, p)
+        tries += [parsed(string), F.timestamp_millis(number.cast("long"))]
     return F.coalesce(*tries)
 
 
@@ -82,7 +88,8 @@ def mapped(variant: Column, fields: dict[str, str], rename_only: bool = False) -
 
 def root_or_below(text: Column, name: str, kind: str = "string") -> Column:
     """A member of the record, or else of one of its members."""
-    return F.coalesce(find_one(text, name, kind), find_one(text, f"?/{name}", kind))
+    found = find_first(text, {"root": (name, kind), "below": (f"?/{name}", kind)})
+    return F.coalesce(found["root"], found["below"])
 
 
 def flattened(variant: Column, member_name: str) -> Column:
@@ -93,8 +100,8 @@ def flattened(variant: Column, member_name: str) -> Column:
     return F.to_json(F.map_concat(F.map_filter(inner, lambda k, _: ~F.map_contains_key(own, k)), own))
 
 
-def to_events(rows: DataFrame, mapping: Mapping, text: str = "text", path: str | None = None, offset: str | None = None) -> DataFrame:
-    """Canonical events of raw records in the column ``text``.
+def to_events(rows: DataFrame, mapping: Mapping, text: str = "text", path: str | None = None, offset: str | None = None, keep: tuple[str, ...] = ()) -> DataFrame:
+    """Canonical events of raw records in the column ``text``, and the columns ``keep`` of the raw records.
 
     A record that is a clean JSON object is of kind ``json``; any other text is
     of kind ``text`` with a null payload. Null texts are left out. Times that
@@ -113,6 +120,7 @@ def to_events(rows: DataFrame, mapping: Mapping, text: str = "text", path: str |
     return own.select(
         F.lit(mapping.source).alias("source"),
         (_scalar(record, raw, mapping.sensor_key_path) if mapping.sensor_key_path else F.lit(mapping.sensor_key).cast("string")).alias("sensor_key"),
+        (_scalar(record, raw, mapping.sensor_hostname_path) if mapping.sensor_hostname_path else F.lit(None).cast("string")).alias("hostname"),
         (F.coalesce(_scalar(record, raw, mapping.event_type_path), F.lit(mapping.event_type)) if mapping.event_type_path else F.lit(mapping.event_type).cast("string")).alias("event_type"),
         first_known(time).alias("event_time"),
         F.current_timestamp().alias("ingest_time"),
@@ -121,6 +129,7 @@ def to_events(rows: DataFrame, mapping: Mapping, text: str = "text", path: str |
         F.when(is_json, F.try_parse_json(final)).alias("payload"),
         identity(record, raw, mapping.id_paths).alias("dedupe_key"),
         F.struct((F.col(path) if path else F.lit(None)).cast("string").alias("path"), (F.col(offset) if offset else F.lit(None)).cast("bigint").alias("offset")).alias("provenance"),
+        *keep,
     )
 
 

@@ -18,13 +18,14 @@ def with_details(rows: DataFrame, details: DataFrame, keys: list[str]) -> DataFr
     return rows.join(details, keys, "inner")
 
 
-def reconcile(active: DataFrame, desired: DataFrame, keys: list[str], static: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
+def reconcile(active: DataFrame, desired: DataFrame, keys: list[str], static: DataFrame | None = None, complete: bool = True) -> tuple[DataFrame, DataFrame]:
     """(to start, to stop): the keys that are desired and not active, and the other way round.
 
     Nothing is stopped where ``desired`` is empty, for an empty listing is more
-    likely a failed one; what is ``static`` is always desired.
+    likely a failed one, nor where the listing isn't ``complete``; what is
+    ``static`` is always desired.
     """
-    listed = not desired.isEmpty()
+    listed = complete and not desired.isEmpty()
     wanted = desired.select(*keys)
     wanted = (wanted if static is None else wanted.unionByName(static.select(*keys))).distinct()
     running = active.select(*keys).distinct()

@@ -7,7 +7,7 @@ from typing import Any
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.dedupe import first_of
+from ..functions.text import content_hash
 from ..operators.events import ID_FIELDS, Mapping, to_events
 from ..operators.feeds import union_tagged
 from ..sources import files
@@ -21,6 +21,7 @@ def mapping_of(source: str, settings: dict[str, Any]) -> Mapping:
         pattern=of.get("parsing_re"),
         sensor_key_path=of.get("sensor_key_path"),
         sensor_key=own.get("sensor_seed_key"),
+        sensor_hostname_path=of.get("sensor_hostname_path"),
         event_type_path=of.get("event_type_path"),
         event_type=settings.get("event_type"),
         event_time_path=of.get("event_time_path"),
@@ -31,12 +32,12 @@ def mapping_of(source: str, settings: dict[str, Any]) -> Mapping:
 
 
 def raw(spark: SparkSession, source: str, settings: dict[str, Any]) -> DataFrame:
-    """(path, text): a source's raw records."""
+    """(path, text): a source's raw records; bundles have an ``error`` too, in place of the text."""
     path = settings.get("file_path") or settings.get("path") or settings.get("root")
     if source in ("file", "s3", "gcs", "simulator", "stdin"):
         return files.parquet_rows(spark, path).withColumn("path", F.lit(path)) if path.lower().endswith(".parquet") else files.lines(spark, path, settings.get("glob"))
     if source == "bundles":
-        return files.bundles(spark, path, settings.get("glob")).where("error is null").select("path", "text")
+        return files.bundles(spark, path, settings.get("glob")).select("path", "text", "error")
     if source == "k8s_pods":
         return files.pod_logs(spark, path, settings.get("include_pods_re"), settings.get("exclude_pods_re"))
     if source == "bigquery":
@@ -45,10 +46,29 @@ def raw(spark: SparkSession, source: str, settings: dict[str, Any]) -> DataFrame
 
 
 def events(spark: SparkSession, settings: list[dict[str, dict[str, Any]]], dedupe: bool = True) -> DataFrame:
-    """All sources of all settings, united; of rows that share source and dedupe_key the first by time stays."""
+    """All sources of all settings, united.
+
+    A bundle that can't be decoded gives an event of kind ``error`` with the
+    reason for its text. With ``dedupe``, of records that share source and id
+    the first by time stays; records without an id of their own (lines of a log
+    that repeat, for one) are all kept.
+    """
     found = {}
     for n, document in enumerate(settings):
         for source, own in document.items():
-            found[f"{source}-{n}"] = to_events(raw(spark, source, own), mapping_of(source, own), path="path")
+            rows = raw(spark, source, own)
+            failed = F.col("error") if "error" in rows.columns else F.lit(None).cast("string")
+            rows = rows.select("path", F.coalesce("text", failed).alias("text"), failed.isNotNull().alias("_failed"), content_hash(F.coalesce("text", failed)).alias("_hash"))
+            table = to_events(rows, mapping_of(source, own), path="path", keep=("_failed", "_hash"))
+            table = table.withColumn("payload_kind", F.when(F.col("_failed"), "error").otherwise(F.col("payload_kind")))
+            found[f"{source}-{n}"] = table.withColumn("_named", F.col("dedupe_key") != F.col("_hash")).drop("_failed", "_hash")
     rows = union_tagged(found, "_feed").drop("_feed")
-    return first_of(rows.withColumn("payload", F.to_json("payload")), ["source", "dedupe_key"], ["event_time", "text"]).withColumn("payload", F.try_parse_json("payload")) if dedupe else rows
+    if not dedupe:
+        return rows.drop("_named")
+    # rows without an id are counted, for they are alike, and given back as often
+    columns = [c for c in rows.columns if c != "_named"]
+    plain = rows.withColumn("payload", F.to_json("payload"))
+    place = F.when(~F.col("_named"), F.col("provenance.path"))
+    first = plain.groupBy("source", "dedupe_key", "_named", place.alias("_place")).agg(F.min_by(F.struct(*columns), F.struct("event_time", "text")).alias("row"), F.count("*").alias("n"))
+    copies = F.when(F.col("_named"), F.array(F.lit(1))).otherwise(F.sequence(F.lit(1), F.col("n").cast("int")))
+    return first.select("row", F.explode(copies).alias("_copy")).select("row.*").withColumn("payload", F.try_parse_json("payload"))

@@ -8,14 +8,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .functions import clean_json
-from .functions.json_path import field, find, find_one, has, keys
-from .functions.text import composite_key, content_hash, named_groups, url_decoded, xml_value
+from .functions.json_path import field, find, find_first, find_one, has, keys, values
+from .functions.text import address, composite_key, content_hash, jwt_expiry, named_groups, pod_of, url_decoded, xml_value
 from .functions.timestamps import millis, parsed
 from .operators import dedupe, envelopes, events, feeds, framing, predicates
+from .plans import ingest
 from .plans.checkpoint import watermark
-from .sources import files
+from .sources import files, paged
 from .streaming.dedupe import within_watermark
-from .streaming.sinks import run_once
+from .streaming.sinks import run_once, shared_folder
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -98,12 +99,13 @@ def path_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("""
-SELECT event_id, n, n IN (0, 1, 2) AS clean FROM events, (SELECT unnest([0, 1, 2, 3, 4]) AS n)
+SELECT event_id, n, CASE n WHEN 0 THEN event_id % 2 = 0 WHEN 3 THEN FALSE WHEN 4 THEN event_id % 10 < 6 ELSE TRUE END AS clean FROM events, (SELECT unnest([0, 1, 2, 3, 4]) AS n)
 """)
 def clean_json_numbers(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Whole 64-bit integers and doubles with a dot are clean; an exponent without a dot and wider integers are not."""
-    numbers = ["2.0", "18446744073709551615", "-7", "1e5", "18446744073709551616"]
-    rows = table(spark, sf_dir, "events").select("event_id", F.posexplode(F.array(*map(F.lit, numbers))).alias("n", "number"))
+    spelled = F.concat("event_id", F.when(F.col("event_id") % 2 == 0, ".5").otherwise("e5"))
+    numbers = F.array(spelled, F.concat(F.lit("-"), "event_id"), F.concat("event_id", F.lit(".0")), F.concat("event_id", F.lit("E-7")), F.concat(F.lit("1844674407370955161"), F.col("event_id") % 10))
+    rows = table(spark, sf_dir, "events").select("event_id", F.posexplode(numbers).alias("n", "number"))
     doc = F.concat(F.lit('{"1e5": "2e9", "x": '), "number", F.lit("}"))
     return rows.select("event_id", "n", clean_json.parse(doc).isNotNull().alias("clean"))
 
@@ -133,12 +135,13 @@ def envelope_explode(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("conv_id", field(F.col("item"), "turn", "int").cast("long").alias("turn"), field(F.col("item"), "role").alias("role"))
 
 
-@query("SELECT n_nationkey, n_name, n_regionkey FROM nation")
+@query("SELECT p_partkey, p_name, p_size, p_retailprice, TRUE AS spelled FROM part")
 def parquet_to_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Parquet rows as JSON text and back."""
-    text = files.parquet_rows(spark, f"{sf_dir}/nation.parquet")
+    """Parquet rows as JSON text and back: integers stay whole, doubles doubles."""
+    text = files.parquet_rows(spark, f"{sf_dir}/part.parquet")
     v = F.try_parse_json("text")
-    return text.select(field(v, "n_nationkey", "int").cast("int").alias("n_nationkey"), field(v, "n_name").alias("n_name"), field(v, "n_regionkey", "int").cast("int").alias("n_regionkey"))
+    size = field(v, "p_size", "int").cast("int")
+    return text.select(field(v, "p_partkey", "int").cast("long").alias("p_partkey"), field(v, "p_name").alias("p_name"), size.alias("p_size"), find_one("text", "p_retailprice", "double").alias("p_retailprice"), F.contains("text", F.concat(F.lit('"p_size":'), size)).alias("spelled"))
 
 
 @query("SELECT o_orderkey, CASE WHEN o_orderkey % 4 = 3 THEN -1 ELSE epoch_us(o_orderdate) // 1000 END AS ms FROM orders")
@@ -283,10 +286,12 @@ def rename_mapping(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("p_partkey", field(F.col("v"), "title").alias("title"), field(F.col("v"), "size", "int").cast("int").alias("size"), field(F.col("v"), "p_brand").alias("kept"))
 
 
-@query("SELECT page_id, url AS key FROM pages")
+@query("SELECT page_id, CASE page_id % 3 WHEN 0 THEN 'a b/' || page_id || '&é' WHEN 1 THEN url END AS key FROM pages")
 def url_decode_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = table(spark, sf_dir, "pages").select("page_id", F.url_encode("url").alias("escaped"))
-    return rows.select("page_id", url_decoded(F.col("escaped")).alias("key"))
+    """Escapes of one and two bytes, a plus sign, escaped addresses, and broken escapes."""
+    form = F.col("page_id") % 3
+    escaped = F.when(form == 0, F.concat(F.lit("a+b%2F"), "page_id", F.lit("%26%C3%A9"))).when(form == 1, F.url_encode("url")).otherwise(F.concat("page_id", F.lit("%zz")))
+    return table(spark, sf_dir, "pages").select("page_id", url_decoded(escaped).alias("key"))
 
 
 @query("""
@@ -345,6 +350,164 @@ def stream_dedupe_watermark(spark: SparkSession, sf_dir: str) -> DataFrame:
     return run_once(within_watermark(stream.select("user_id", "event_type", "ts"), ["user_id", "event_type"], "ts", "1000 days").select("user_id", "event_type"))
 
 
+@query("SELECT event_id, CAST(json_extract(props, '$.k') AS BIGINT) + 1 AS k FROM events")
+def path_list_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``[n]`` takes one element of a list, and nothing beyond its end."""
+    rows = table(spark, sf_dir, "events").select("event_id", F.concat(F.lit('{"a":[{"k":-1},'), "props", F.lit("]}")).alias("doc"))
+    found = find_one("doc", "a/[1]/k", "int").cast("long")
+    return rows.select("event_id", (found + F.when(find_one("doc", "a/[2]/k", "int").isNull(), 1)).alias("k"))
+
+
+@query("SELECT o_orderkey, o_orderkey + o_custkey AS total FROM orders")
+def path_list_wildcard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``*`` on a list takes every element, once."""
+    rows = table(spark, sf_dir, "orders").select("o_orderkey", F.to_json(F.struct(F.array("o_orderkey", "o_custkey").alias("l"))).alias("doc"))
+    return rows.select("o_orderkey", F.aggregate(find("doc", "l/*", "int"), F.lit(0).cast("long"), lambda a, x: a + x.cast("long")).alias("total"))
+
+
+@query("""
+SELECT c_custkey, c_acctbal > 0 AS positive, c_acctbal AS balance, '[' || c_custkey || ',"' || c_mktsegment || '"]' AS parts, c_mktsegment AS first_text, CAST(c_nationkey AS BIGINT) AS first_int FROM customer
+""")
+def path_typed_finds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Booleans, doubles and lists by their kind, and several finds of one reading."""
+    record = F.struct((F.col("c_acctbal") > 0).alias("b"), F.col("c_acctbal").alias("d"), F.struct(F.col("c_nationkey").alias("n")).alias("o"))
+    doc = F.concat(F.regexp_replace(F.to_json(record), r"\}$", ',"l":['), "c_custkey", F.lit(',"'), "c_mktsegment", F.lit('"]}'))
+    rows = table(spark, sf_dir, "customer").select("c_custkey", doc.alias("doc"))
+    several = find_first("doc", {"s": ("?/*", "string"), "i": ("?/n", "int")})
+    return rows.select("c_custkey", find_one("doc", "b", "bool").alias("positive"), find_one("doc", "d", "double").alias("balance"), find_one("doc", "l", "list").alias("parts"), several["s"].alias("first_text"), several["i"].cast("long").alias("first_int"))
+
+
+@query("SELECT c_custkey, CAST(c_custkey AS VARCHAR) || ',' || c_nationkey AS members FROM customer")
+def path_values(spark: SparkSession, sf_dir: str) -> DataFrame:
+    record = F.parse_json(F.to_json(F.struct(F.col("c_custkey").alias("a"), F.col("c_nationkey").alias("b"))))
+    return table(spark, sf_dir, "customer").select("c_custkey", F.array_join(F.transform(values(record), lambda v: v.cast("string")), ",").alias("members"))
+
+
+@query("SELECT p_partkey, CASE p_partkey % 4 WHEN 0 THEN TRUE WHEN 1 THEN p_size > 10 ELSE FALSE END AS parquet FROM part")
+def parquet_marks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """By the name in any case, or by the mark at both ends; one end is not enough."""
+    form = F.col("p_partkey") % 4
+    name = F.concat("p_name", F.when(form == 0, ".PARQUET").otherwise(".bin"))
+    marked = F.concat(F.lit("PAR1"), "p_brand", F.when(F.col("p_size") > 10, "PAR1").otherwise("PAR2"))
+    content = F.when(form == 1, marked).when(form == 2, F.concat(F.lit("PAR1"), "p_brand")).when(form == 3, F.lit("PAR1")).otherwise(F.lit(""))
+    return table(spark, sf_dir, "part").select("p_partkey", files.is_parquet(name, content.cast("binary")).alias("parquet"))
+
+
+@query("SELECT kind, c_custkey, c_name FROM customer, (SELECT unnest(['packed', 'rows', 'plain']) AS kind)")
+def bundle_routing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Small files of three kinds, each read as its kind is."""
+    rows = table(spark, sf_dir, "customer").select("c_custkey", "c_name")
+    path = shared_folder(spark, "bundles")
+    rows.coalesce(2).write.parquet(f"{path}/rows")
+    files.json_rows(rows).coalesce(2).write.option("compression", "gzip").text(f"{path}/packed")
+    files.json_rows(rows).coalesce(2).write.text(f"{path}/plain")
+    found = files.bundles(spark, f"{path}/*", "part-*").where("error is null").withColumn("v", F.try_parse_json("text"))
+    return found.select(F.regexp_extract("path", "/(rows|packed|plain)/", 1).alias("kind"), field(F.col("v"), "c_custkey", "int").cast("long").alias("c_custkey"), field(F.col("v"), "c_name").alias("c_name"))
+
+
+@query("SELECT c_custkey, CASE WHEN c_custkey % 5 > 0 THEN c_mktsegment END AS namespace, CASE WHEN c_custkey % 5 > 0 THEN 'pod-' || c_custkey END AS pod_name, CASE WHEN c_custkey % 5 > 0 THEN 'n' || c_nationkey END AS container_name FROM customer")
+def pod_paths(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pod logs' paths, and paths that aren't."""
+    path = F.concat(F.lit("/var/log/pods/"), "c_mktsegment", F.lit("_pod-"), "c_custkey", F.lit("_u1/n"), "c_nationkey", F.when(F.col("c_custkey") % 5 > 0, "/0.log").otherwise("/0.txt"))
+    return table(spark, sf_dir, "customer").select("c_custkey", pod_of(path).alias("p")).select("c_custkey", "p.namespace", "p.pod_name", "p.container_name")
+
+
+@query("""
+SELECT conv_id, turn, part_no, CASE part_no WHEN 0 THEN 'text/plain' ELSE 'application/octet-stream' END AS content_type,
+  CASE part_no WHEN 0 THEN sha256('turn ' || turn) ELSE sha256(text) END AS sha256, CASE part_no WHEN 0 THEN 'turn ' || turn END AS body, CASE part_no WHEN 1 THEN CAST(strlen(text) AS BIGINT) ELSE -1 END AS size
+FROM conversations, (SELECT unnest([0, 1]) AS part_no) WHERE text IS NOT NULL
+""")
+def mail_attachments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Messages of two parts, the second one an attachment with its hash."""
+    rows = table(spark, sf_dir, "conversations").where("text is not null")
+    mark = "--part\n"
+    body = F.concat(F.lit(f"MIME-Version: 1.0\nContent-Type: multipart/mixed; boundary=part\n\n{mark}Content-Type: text/plain\n\nturn "), "turn", F.lit(f"\n{mark}Content-Type: application/octet-stream\nContent-Transfer-Encoding: base64\n\n"), F.base64(F.col("text").cast("binary")), F.lit("\n--part--\n"))
+    parts = files.mail_parts(rows.select("conv_id", "turn", body.alias("text")))
+    return parts.select("conv_id", "turn", "part_no", "content_type", "sha256", "body", F.coalesce(F.octet_length("attachment"), F.lit(-1)).cast("long").alias("size"))
+
+
+@query("SELECT o_orderkey, CASE WHEN o_orderstatus <> 'F' THEN o_orderstatus ELSE 'none' END AS status, 'orders' AS source FROM orders")
+def filled_defaults(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "orders").select("o_orderkey", F.when(F.col("o_orderstatus") != "F", F.col("o_orderstatus")).alias("status"))
+    return events.filled(rows, status=F.lit("none"), source=F.lit("orders")).select("o_orderkey", "status", "source")
+
+
+@query("SELECT doc_id, place - 1 AS place, 'doc-' || doc_id AS path, sha256(line) AS dedupe_key, 'text' AS payload_kind FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS place FROM documents) WHERE line <> ''")
+def provenance_of_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Where each event's record stood, with a content hash for its id."""
+    lines = framing.lines(table(spark, sf_dir, "documents").select("doc_id", "text")).withColumn("path", F.concat(F.lit("doc-"), "doc_id"))
+    out = events.to_events(lines, events.Mapping("documents"), text="line", path="path", offset="place")
+    return out.select(F.substring("provenance.path", 5, 20).cast("long").alias("doc_id"), F.col("provenance.offset").alias("place"), "provenance.path", "dedupe_key", "payload_kind")
+
+
+@query("""
+SELECT 'json' AS kind, CAST(c_custkey AS VARCHAR) AS name, CAST(1 AS BIGINT) AS n, 'host-' || c_nationkey AS hostname FROM customer
+UNION ALL SELECT 'text' AS kind, 'line ' || c_nationkey AS name, 2 * count(*) AS n, NULL AS hostname FROM customer GROUP BY c_nationkey
+""")
+def ingest_plan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Settings to events: records with an id once, equal lines of a log each."""
+    rows = table(spark, sf_dir, "customer")
+    path = shared_folder(spark, "plan")
+    record = F.to_json(F.struct(F.col("c_custkey").alias("id"), F.struct(F.concat(F.lit("host-"), "c_nationkey").alias("name")).alias("host")))
+    twice = F.explode(F.array(F.lit(1), F.lit(2)))
+    rows.select(record.alias("value")).select("value", twice.alias("c")).select("value").write.text(f"{path}/records")
+    rows.select(F.concat(F.lit("line "), "c_nationkey").alias("value"), twice.alias("c")).select("value").write.text(f"{path}/lines")
+    settings = [{"file": {"file_path": f"{path}/records", "client_options": {"mapping": {"sensor_hostname_path": "host/name"}}}}, {"file": {"file_path": f"{path}/lines"}}]
+    found = ingest.events(spark, settings)
+    name = F.when(F.col("payload_kind") == "json", F.col("dedupe_key")).otherwise(F.col("text"))
+    return found.groupBy(F.col("payload_kind").alias("kind"), name.alias("name"), "hostname").agg(F.count("*").alias("n"))
+
+
+class _HeldService:
+    """A service that gives all its records, newest first, whatever the range that is asked for."""
+
+    def __init__(self, records: list[dict]):
+        self.records = records
+
+    def fetch(self, feed: str, since: int, until: int, cursor) -> paged.Page:
+        at = cursor or 0
+        return paged.Page(self.records[at : at + 100], at + 100 if at + 100 < len(self.records) else None)
+
+
+@query("""
+SELECT c_custkey, 1700000000000 + 60000 * c_custkey AS ms, slice FROM customer, (SELECT unnest(['bounded', 'whole']) AS slice)
+WHERE c_custkey >= 20 AND c_custkey < 140
+""")
+def feed_range(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A range of two feeds of a service that ignores bounds: each record once, sliced or whole."""
+    ids = [r[0] for r in table(spark, sf_dir, "customer").select("c_custkey").collect()]  # the fake service's records
+    start = 1_700_000_000_000
+    service = _HeldService([{"id": i, "t": start + 60_000 * i} for i in sorted(ids, reverse=True)])
+    of = lambda name, **own: paged.Feed(name, lambda r: str(r["id"]), lambda r: r["t"], **own)
+    source = paged.paged_source("held_service", [of("bounded", slice=1_000_000), of("whole", bounded=False, newest_first=True)], service)
+    spark.dataSource.register(source)
+    rows = spark.read.format("held_service").option("since", start + 60_000 * 20).option("until", start + 60_000 * 140).load()
+    return rows.select(F.col("id").cast("long").alias("c_custkey"), millis(F.col("event_time")).alias("ms"), F.col("feed").alias("slice"))
+
+
+@query("SELECT c_custkey, CASE WHEN c_custkey % 7 > 0 THEN 1700000000 + c_custkey ELSE -1 END AS expires FROM customer")
+def token_expiry(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """When JSON web tokens end; broken ones don't say."""
+    part = lambda c: F.translate(F.regexp_replace(F.base64(c.cast("binary")), r"[=\r\n]", ""), "+/", "-_")
+    payload = F.concat(F.lit('{"sub":"'), "c_name", F.lit('","exp":'), F.col("c_custkey") + 1_700_000_000, F.lit("}"))
+    token = F.concat(part(F.lit('{"alg":"none"}')), F.lit("."), part(payload), F.when(F.col("c_custkey") % 7 > 0, ".").otherwise(""))
+    return table(spark, sf_dir, "customer").select("c_custkey", F.coalesce(F.unix_seconds(jwt_expiry(token)), F.lit(-1)).alias("expires"))
+
+
+@query("SELECT c_custkey, lower(c_name) AS mailbox FROM customer")
+def mailbox_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "customer").select("c_custkey", address(F.concat(F.lit("  "), F.upper("c_name"), F.lit(" "))).alias("mailbox"))
+
+
+@query("SELECT c_custkey, 'start' AS action FROM (SELECT c_custkey FROM customer WHERE c_acctbal > 0 EXCEPT SELECT o_custkey FROM orders)")
+def reconcile_truncated(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A listing that broke off starts what is new and stops nothing."""
+    desired = table(spark, sf_dir, "customer").where("c_acctbal > 0").select("c_custkey")
+    active = table(spark, sf_dir, "orders").select(F.col("o_custkey").alias("c_custkey"))
+    start, stop = feeds.reconcile(active, desired, ["c_custkey"], complete=False)
+    return start.withColumn("action", F.lit("start")).unionByName(stop.withColumn("action", F.lit("stop")))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return dict(QUERIES)
 

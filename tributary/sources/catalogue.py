@@ -1,8 +1,8 @@
 """Known feeds of public APIs. None could be called where this was written: only their reading is tested.
 
-Addresses in braces are filled from the settings. Services that need more than
-plain paged requests (tasks that run first, a subscription, a query language)
-are listed by what their clients have to do.
+Addresses in braces are filled from the settings, ``{since}``, ``{until}`` and the
+members of records aside. A service that takes no upper bound, or none, is read
+in one slice, and what is outside the range is dropped.
 """
 
 from __future__ import annotations
@@ -14,26 +14,26 @@ FEEDS: dict[str, dict[str, Request]] = {
     "bitwarden": {"events": Request("https://api.bitwarden.com/public/events", "data", ("itemId",), ("date",), "start", "end", paging="cursor", position="continuationToken", following="continuationToken")},
     "box": {"events": Request("https://api.box.com/2.0/events", "entries", ("event_id",), ("created_at",), "created_after", "created_before", paging="cursor", position="stream_position", following="next_stream_position", fixed={"stream_type": "admin_logs"})},
     "cylance": {
-        "detections": Request("https://protectapi.cylance.com/detections/v2", "page_items", ("Id",), ("ReceivedTime",), "start", "end", paging="page", position="page", size=("page_size", 200)),
+        "detections": Request("https://protectapi.cylance.com/detections/v2", "page_items", ("Id",), ("ReceivedTime",), "start", "end", paging="page", position="page", size=("page_size", 200), detail="https://protectapi.cylance.com/detections/v2/{Id}/details"),
         "threats": Request("https://protectapi.cylance.com/threats/v2", "page_items", ("sha256",), ("last_found",), "start_time", "end_time", paging="page", position="page", size=("page_size", 200)),
         "memory": Request("https://protectapi.cylance.com/memoryprotection/v2", "page_items", ("device_image_file_event_id",), ("created",), "start_time", "end_time", paging="page", position="page", size=("page_size", 200)),
     },
-    "defender": {"alerts": Request("https://graph.microsoft.com/v1.0/security/alerts_v2", "value", ("id",), ("createdDateTime",), paging="url", following="@odata.nextLink")},
+    "defender": {"alerts": Request("https://graph.microsoft.com/v1.0/security/alerts_v2", "value", ("id",), ("createdDateTime",), paging="url", following="@odata.nextLink", filter=("$filter", "createdDateTime ge {since} and createdDateTime lt {until}"))},
     "duo": {
         "auth": Request("https://{host}/admin/v2/logs/authentication", "response/authlogs", ("txid",), ("isotimestamp",), "mintime", "maxtime", "ms", "cursor", "next_offset", "response/metadata/next_offset"),
         "admin": Request("https://{host}/admin/v1/logs/administrator", "response", ("timestamp",), ("timestamp",), "mintime", None, "s"),
     },
-    "entraid": {"risks": Request("https://graph.microsoft.com/v1.0/identityProtection/riskDetections", "value", ("id",), ("activityDateTime",), paging="url", following="@odata.nextLink")},
+    "entraid": {"risks": Request("https://graph.microsoft.com/v1.0/identityProtection/riskDetections", "value", ("id",), ("activityDateTime",), paging="url", following="@odata.nextLink", filter=("$filter", "activityDateTime ge {since} and activityDateTime lt {until}"))},
     "hubspot": {"audit": Request("https://api.hubapi.com/account-info/v3/activity/audit-logs", "results", ("id",), ("occurredAt",), "occurredAfter", "occurredBefore", paging="cursor", position="after", following="paging/next/after")},
     "itglue": {"logs": Request("https://api.itglue.com/logs", "data", ("id",), ("attributes/created-at",), "filter[created_at]", paging="url", following="links/next")},
-    "mimecast": {"audit": Request("https://api.services.mimecast.com/api/audit/get-audit-events", "data", ("id",), ("eventTime",), "startDateTime", "endDateTime", paging="cursor", position="pageToken", following="meta/pagination/next")},
-    "ms_graph": {"any": Request("https://graph.microsoft.com/v1.0/{resource}", "value", ("id",), ("createdDateTime",), paging="url", following="@odata.nextLink")},
-    "office365": {"content": Request("https://manage.office.com/api/v1.0/{tenant}/activity/feed/subscriptions/content", "", ("contentId",), ("contentCreated",), "startTime", "endTime", paging="link", fixed={"contentType": "{content_type}"})},
+    "mimecast": {"audit": Request("https://api.services.mimecast.com/api/audit/get-audit-events", "data", ("id",), ("eventTime",), "data/[0]/startDateTime", "data/[0]/endDateTime", paging="cursor", position="meta/pagination/pageToken", following="meta/pagination/next", size=("meta/pagination/pageSize", 100), body={})},
+    "ms_graph": {"any": Request("https://graph.microsoft.com/v1.0/{resource}", "value", ("id",), ("createdDateTime",), paging="url", following="@odata.nextLink", filter=("$filter", "createdDateTime ge {since} and createdDateTime lt {until}"))},
+    "office365": {"content": Request("https://manage.office.com/api/v1.0/{tenant}/activity/feed/subscriptions/content", "", ("Id",), ("CreationTime",), "startTime", "endTime", paging="link", fixed={"contentType": "{content_type}"}, detail="{contentUri}")},
     "okta": {"log": Request("https://{host}/api/v1/logs", "", ("uuid",), ("published",), "since", "until", paging="link", fixed={"sortOrder": "ASCENDING"}, size=("limit", 1000))},
     "onepassword": {
-        "auditevents": Request("https://events.1password.com/api/v2/auditevents", "items", ("uuid",), ("timestamp",), "start_time", "end_time", paging="cursor", position="cursor", following="cursor"),
-        "itemusages": Request("https://events.1password.com/api/v2/itemusages", "items", ("uuid",), ("timestamp",), "start_time", "end_time", paging="cursor", position="cursor", following="cursor"),
-        "signinattempts": Request("https://events.1password.com/api/v2/signinattempts", "items", ("uuid",), ("timestamp",), "start_time", "end_time", paging="cursor", position="cursor", following="cursor"),
+        "auditevents": Request("https://events.1password.com/api/v2/auditevents", "items", ("uuid",), ("timestamp",), "start_time", "end_time", paging="cursor", position="cursor", following="cursor", size=("limit", 1000), body={}),
+        "itemusages": Request("https://events.1password.com/api/v2/itemusages", "items", ("uuid",), ("timestamp",), "start_time", "end_time", paging="cursor", position="cursor", following="cursor", size=("limit", 1000), body={}),
+        "signinattempts": Request("https://events.1password.com/api/v2/signinattempts", "items", ("uuid",), ("timestamp",), "start_time", "end_time", paging="cursor", position="cursor", following="cursor", size=("limit", 1000), body={}),
     },
     "pandadoc": {"logs": Request("https://api.pandadoc.com/public/v2/logs", "results", ("id",), ("request_time",), "since", "to", paging="page", position="page", size=("count", 100))},
     "proofpoint": {
@@ -44,34 +44,23 @@ FEEDS: dict[str, dict[str, Request]] = {
         name: Request("https://{host}/web/api/v2.1/" + path, "data", ("id",), ("createdAt",), "createdAt__gte", "createdAt__lt", paging="cursor", position="cursor", following="pagination/nextCursor", size=("limit", 1000))
         for name, path in {"activities": "activities", "alerts": "cloud-detection/alerts", "threats": "threats"}.items()
     },
-    "servicenow": {"table": Request("https://{instance}.service-now.com/api/now/table/{table}", "result", ("sys_id",), ("sys_created_on",), paging="offset", position="sysparm_offset", size=("sysparm_limit", 1000), fixed={"sysparm_query": "{query}^ORDERBYsys_created_on^ORDERBYsys_id"})},
-    "slack": {"audit": Request("https://api.slack.com/audit/v1/logs", "entries", ("id",), ("date_create",), "oldest", "latest", "s", "cursor", "cursor", "response_metadata/next_cursor")},
+    "servicenow": {"table": Request("https://{instance}.service-now.com/api/now/table/{table}", "result", ("sys_id",), ("sys_created_on",), bound="sql", paging="offset", position="sysparm_offset", size=("sysparm_limit", 1000), fixed={"sysparm_display_value": "false", "sysparm_exclude_reference_link": "true"}, filter=("sysparm_query", "{query}^sys_created_on>={since}^sys_created_on<{until}^ORDERBYsys_created_on^ORDERBYsys_id"))},
+    "slack": {"audit": Request("https://api.slack.com/audit/v1/logs", "entries", ("id",), ("date_create",), "oldest", "latest", "s", "cursor", "cursor", "response_metadata/next_cursor", newest_first=True)},
     "sophos": {"events": Request("https://{host}/siem/v1/events", "items", ("id",), ("created_at",), "from_date", None, "s", "cursor", "cursor", "next_cursor")},
     "sublime": {"audit": Request("https://platform.sublime.security/v0/audit-log/events", "events", ("id",), ("created_at",), "created_at[gte]", "created_at[lt]", paging="offset", position="offset", size=("limit", 500))},
-    "threatlocker": {"audit": Request("https://portalapi.{instance}.threatlocker.com/portalapi/{path}", "", ("actionId", "approvalRequestId", "id"), ("dateTime",), "startDate", "endDate", paging="page", position="pageNumber", size=("pageSize", 100))},
+    "threatlocker": {"audit": Request("https://portalapi.{instance}.threatlocker.com/portalapi/{path}", "", ("actionId", "approvalRequestId", "id"), ("dateTime",), "startDate", "endDate", paging="page", position="pageNumber", size=("pageSize", 100), body={"orderBy": "dateTime", "isAscending": True})},
     "trendmicro": {"alerts": Request("https://api.xdr.trendmicro.com/v3.0/workbench/alerts", "items", ("id",), ("createdDateTime",), "startDateTime", "endDateTime", paging="url", following="nextLink")},
-    "zendesk": {"audit": Request("https://{host}/api/v2/audit_logs.json", "audit_logs", ("id",), ("created_at",), "filter[created_at][]", None, paging="url", following="links/next")},
+    "zendesk": {"audit": Request("https://{host}/api/v2/audit_logs.json", "audit_logs", ("id",), ("created_at",), "filter[created_at][]", "filter[created_at][]", paging="url", following="links/next", size=("page[size]", 100))},
 }
 
-#: Sources whose client does more than page through addresses; each implements ``paged.Client`` or ``queues.Queue``.
-OTHER = {
-    "cato": "GraphQL events feed, paged by a marker",
-    "falconcloud": "one open stream for each of the service's partitions; refresh of its session",
-    "gmail": "message ids by search, then each message; history and settings by mailbox",
-    "harmony": "a task that runs a query, then its pages; entity queries by cursor",
-    "wiz": "GraphQL query with a path to its records",
-    "imap": "messages by ascending UID; mail_parts splits them",
-    "sqs": "queue_source with the service's client",
-    "sqs-files": "queue_source for notices, then files.lines or files.bundles of the keys in them",
-    "pubsub": "queue_source with the service's client",
-    "azure_event_hub": "Spark's Kafka source",
-    "syslog": "a receiver that writes files for line_stream; Spark's socket source for trials",
-}
-
-
 def requests(service: str, **settings: str) -> dict[str, Request]:
     """A service's requests with their addresses filled in."""
     from dataclasses import replace
 
-    fill = lambda text: text.format_map(settings) if "{" in text else text
-    return {name: replace(r, url=fill(r.url), fixed={k: fill(v) for k, v in r.fixed.items()}) for name, r in FEEDS[service].items()}
+    def fill(text: str) -> str:
+        for name, value in settings.items():
+            text = text.replace("{" + name + "}", value)
+        return text
+
+    filled = lambda r: {"url": fill(r.url), "fixed": {k: fill(v) for k, v in r.fixed.items()}, "filter": r.filter and (r.filter[0], fill(r.filter[1]).removeprefix("{query}^"))}
+    return {name: replace(r, **filled(r)) for name, r in FEEDS[service].items()}

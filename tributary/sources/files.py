@@ -119,11 +119,13 @@ def pd_arrow(kind: pa.DataType):
 def bundles(spark: SparkSession, path: str, glob: str | None = None, max_bytes: int = MAX_FILE_BYTES) -> DataFrame:
     """(path, offset, text, error): the records of small mixed files; a bad file gives one row with its error.
 
-    Files over ``max_bytes`` are left out, as the format's limit has it; large
-    Parquet and text files belong in ``parquet_rows`` and ``lines``.
+    Files over ``max_bytes`` aren't read: each gives one row with that for its
+    error. Large Parquet and text files belong in ``parquet_rows`` and ``lines``.
     """
     reader = spark.read.format("binaryFile")
-    files = (reader.option("pathGlobFilter", glob) if glob else reader).load(path).where(F.col("length") <= max_bytes).select("path", "content")
+    found = (reader.option("pathGlobFilter", glob) if glob else reader).load(path)
+    files = found.where(F.col("length") <= max_bytes).select("path", "content")
+    beyond = found.where(F.col("length") > max_bytes).select("path", F.lit(0).cast("long").alias("offset"), F.lit(None).cast("string").alias("text"), F.concat("length", F.lit(f" bytes, more than {max_bytes}")).alias("error"))
 
     def decoded(batches):
         for batch in batches:
@@ -136,7 +138,7 @@ def bundles(spark: SparkSession, path: str, glob: str | None = None, max_bytes:
                     part = texts[at : at + 10_000]
                     yield pa.record_batch([pa.array([name] * len(part)), pa.array(range(at, at + len(part)), pa.int64()), pa.array(part, pa.string()), pa.array([errors] * len(part), pa.string())], names=["path", "offset", "text", "error"])
 
-    return files.mapInArrow(decoded, "path string, offset long, text string, error string")
+    return files.mapInArrow(decoded, "path string, offset long, text string, error string").unionByName(beyond)
 
 
 def pod_logs(spark: SparkSession, root: str, include: str | None = None, exclude: str | None = None, newest_only: bool = True) -> DataFrame:
@@ -187,7 +189,3 @@ def query(spark: SparkSession, sql: str, **jdbc: str) -> DataFrame:
     """A query's rows with its own schema: of Spark's catalog, or of a database by JDBC options."""
     return spark.read.format("jdbc").options(query=sql, **jdbc).load() if jdbc else spark.sql(sql)
 
-
-def evtx(*_args, **_kwargs) -> DataFrame:
-    """Binary Windows event logs need a decoder that isn't among Spark's or Python's own libraries."""
-    raise NotImplementedError("no decoder for binary Windows event logs is installed; export them as XML and read that with lines()")

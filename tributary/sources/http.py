@@ -24,6 +24,13 @@ class Request:
     page is short; ``cursor`` takes the next cursor from ``following``, a path
     in the response; ``url`` takes the next page's address from there; ``link``
     from the response's Link header.
+
+    ``filter``: a parameter and its text, in which ``{since}`` and ``{until}``
+    stand for the bounds. ``since`` and ``until`` may name one parameter, which
+    is then given twice. With ``body`` the request is a POST of JSON: the fixed
+    members there and all parameters, each at its path of names parted by ``/``.
+    ``detail``: an address with ``{member}`` of a record; the record is replaced by
+    what is found there, an object or each object of a list.
     """
 
     url: str
@@ -32,12 +39,21 @@ class Request:
     time: tuple[str, ...] = ()
     since: str | None = None
     until: str | None = None
-    bound: str = "iso"  # how times are written: iso, ms, s
+    bound: str = "iso"  # how times are written: iso, ms, s, sql
     paging: str = "none"
     position: str | None = None
     following: str | None = None
     size: tuple[str, int] | None = None
     fixed: dict[str, str] = field(default_factory=dict)
+    filter: tuple[str, str] | None = None
+    body: dict[str, Any] | None = None
+    detail: str | None = None
+    newest_first: bool = False
+
+    @property
+    def bounded(self) -> bool:
+        """Whether both bounds are sent."""
+        return bool(self.since and self.until) or bool(self.filter and "{since}" in self.filter[1] and "{until}" in self.filter[1])
 
 
 def written(ms: int, form: str) -> str:
@@ -45,6 +61,8 @@ def written(ms: int, form: str) -> str:
         return str(ms)
     if form == "s":
         return str(ms // 1000)
+    if form == "sql":
+        return datetime.datetime.fromtimestamp(ms // 1000, datetime.timezone.utc).strftime("%Y-%m-%d %H:%M:%S")
     return datetime.datetime.fromtimestamp(ms / 1000, datetime.timezone.utc).strftime("%Y-%m-%dT%H:%M:%S.") + f"{ms % 1000:03d}Z"
 
 
@@ -71,43 +89,85 @@ def first_at(item: Any, paths: tuple[str, ...]) -> Any:
     return None
 
 
+def placed(body: dict[str, Any], path: str, value: Any) -> None:
+    """Sets the member at a path of names and ``[n]``; missing objects and lists are made."""
+    names = steps(path)
+    for name, after in zip(names, [*names[1:], None]):
+        key: Any = int(name[1:-1]) if name[:1] == "[" else name
+        if isinstance(key, int):
+            body.extend({} for _ in range(key + 1 - len(body)))
+        if after is None:
+            body[key] = value
+        else:
+            empty: Any = [] if after[:1] == "[" else {}
+            if isinstance(key, str) and key not in body:
+                body[key] = empty
+            body = body[key]
+
+
 class HttpClient:
     """A ``paged.Client``. ``headers`` gives a request's headers, tokens included, each time anew."""
 
     def __init__(self, requests: dict[str, Request], headers: Callable[[], dict[str, str]] = dict, timeout: float = 60.0):
         self.requests, self.headers, self.timeout = requests, headers, timeout
 
-    def _get(self, url: str) -> tuple[Any, str | None]:
+    def _get(self, url: str, body: dict[str, Any] | None = None) -> tuple[Any, str | None]:
         def call():
-            with urllib.request.urlopen(urllib.request.Request(url, headers=self.headers()), timeout=self.timeout) as response:
+            data = None if body is None else json.dumps(body).encode()
+            headers = self.headers() | ({} if body is None else {"Content-Type": "application/json"})
+            with urllib.request.urlopen(urllib.request.Request(url, data, headers), timeout=self.timeout) as response:
                 body, link = response.read(), response.headers.get("Link", "")
             found = re.search(r"<([^>]*)>\s*;[^,]*\brel=\"?next\"?", link or "")
             return (json.loads(body) if body.strip() else []), found and found[1]
 
         return persistently(call)
 
-    def fetch(self, feed: str, since: int, until: int, cursor: Any) -> Page:
+    def _detailed(self, r: Request, item: dict[str, Any]) -> list[dict[str, Any]]:
+        names = re.findall(r"\{(\w+)\}", r.detail or "")
+        if any(not isinstance(item.get(n), (str, int)) for n in names):
+            return [item]
+        # a member that is an address of its own stands alone in ``detail``
+        url = str(item[names[0]]) if r.detail == "{" + names[0] + "}" else r.detail.format(**{n: urllib.parse.quote(str(item[n]), safe="") for n in names})
+        found, _ = self._get(url)
+        return [i for i in (found if isinstance(found, list) else [found]) if isinstance(i, dict) and i]
+
+    def asked(self, feed: str, since: int, until: int, cursor: Any) -> tuple[str, dict[str, Any] | None]:
+        """The address and the JSON body, if any, of the request for a page."""
         r = self.requests[feed]
-        own = dict(r.fixed)
-        if r.since:
-            own[r.since] = written(since, r.bound)
-        if r.until:
-            own[r.until] = written(until, r.bound)
+        bounds = {"since": written(since, r.bound), "until": written(until, r.bound)}
+        own: list[tuple[str, Any]] = list(r.fixed.items())
+        own += [(name, bounds[which]) for which, name in (("since", r.since), ("until", r.until)) if name]
+        if r.filter:
+            own.append((r.filter[0], r.filter[1].format(**bounds)))
         if r.size:
-            own[r.size[0]] = str(r.size[1])
+            own.append((r.size[0], r.size[1]))
         if r.position and cursor is not None:
-            own[r.position] = str(cursor)
-        url = cursor if r.paging in ("url", "link") and cursor else r.url + ("?" + urllib.parse.urlencode(own) if own else "")
-        body, link = self._get(url)
+            own.append((r.position, cursor))
+        if r.paging in ("url", "link") and cursor:
+            return str(cursor), None
+        if r.body is None:
+            return r.url + ("?" + urllib.parse.urlencode(own) if own else ""), None
+        body = json.loads(json.dumps(r.body))
+        for path, value in own:
+            placed(body, path, value)
+        return r.url, body
+
+    def fetch(self, feed: str, since: int, until: int, cursor: Any) -> Page:
+        r = self.requests[feed]
+        url, sent = self.asked(feed, since, until, cursor)
+        body, link = self._get(url) if sent is None else self._get(url, sent)
         found = matches(body, steps(r.items)) if r.items else [body]
-        items = [i for group in found for i in (group if isinstance(group, list) else [group]) if isinstance(i, dict) and i]
+        given = [i for group in found for i in (group if isinstance(group, list) else [group])]
+        items = [i for i in given if isinstance(i, dict) and i]
         following = None
         if r.paging == "link":
             following = link
         elif r.paging in ("cursor", "url"):
             following = next((v for v in matches(body, steps(r.following or "")) if isinstance(v, (str, int)) and v), None)
-        elif r.paging in ("offset", "page") and r.size and len(items) >= r.size[1]:
-            following = (cursor or 0) + len(items) if r.paging == "offset" else (cursor or 1) + 1
+        elif r.paging in ("offset", "page") and r.size and len(given) >= r.size[1]:
+            following = (cursor or 0) + len(given) if r.paging == "offset" else (cursor or 1) + 1
+        if r.detail:
+            items = [d for i in items for d in self._detailed(r, i)]
         return Page(items, following)
 
 
@@ -115,6 +175,6 @@ def feeds_of(requests: dict[str, Request], **settings: int) -> list[Feed]:
     """Feeds for ``paged_source``, ids and times read as the requests say."""
 
     def feed(name: str, r: Request) -> Feed:
-        return Feed(name, lambda i: None if (v := first_at(i, r.id)) is None else str(v), lambda i: read_time(first_at(i, r.time)), **settings)
+        return Feed(name, lambda i: None if (v := first_at(i, r.id)) is None else str(v), lambda i: read_time(first_at(i, r.time)), **{"bounded": r.bounded, "newest_first": r.newest_first, **settings})
 
     return [feed(name, r) for name, r in requests.items()]

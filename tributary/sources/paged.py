@@ -7,11 +7,16 @@ the clock by the feed's lag, so that records that become visible late are not
 passed over, and the range before it may be read again by ``overlap``, for a
 de-duplicating query. A failed slice fails its task and is read anew: nothing is
 skipped, and nothing is marked as read before its batch is written.
+
+Services may ignore bounds: records outside the range that was asked for are
+dropped here, so each stands in one slice only. A feed whose service takes only
+one bound or none is read in one slice.
 """
 
 from __future__ import annotations
 
 import json
+import logging
 import time
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
@@ -19,6 +24,8 @@ from typing import Any, Protocol
 
 from pyspark.sql.datasource import DataSource, DataSourceReader, DataSourceStreamReader, GreaterThan, GreaterThanOrEqual, InputPartition, LessThan
 
+from .retry import Refused
+
 SCHEMA = "feed string, event_time timestamp, id string, text string"
 
 
@@ -38,7 +45,12 @@ class Client(Protocol):
 
 @dataclass(frozen=True)
 class Feed:
-    """A feed's name and how its records are read. Times are milliseconds."""
+    """A feed's name and how its records are read. Times are milliseconds.
+
+    ``bounded``: the service takes both bounds, so that slices of a range save
+    work. ``newest_first``: it gives its records in descending order, so that a
+    page before the range is the last one needed.
+    """
 
     name: str
     id_of: Callable[[dict[str, Any]], str | None]
@@ -47,6 +59,8 @@ class Feed:
     lag: int = 5 * 60_000
     overlap: int = 0
     slice: int = 60 * 60_000
+    bounded: bool = True
+    newest_first: bool = False
 
 
 @dataclass
@@ -57,6 +71,7 @@ class Slice(InputPartition):
 
 
 def slices(feed: str, since: int, until: int, width: int) -> list[Slice]:
+    """[since, until) in parts of ``width``."""
     return [Slice(feed, a, min(until, a + width)) for a in range(since, until, width)]
 
 
@@ -68,6 +83,10 @@ def walk(client: Client, feed: Feed, since: int, until: int) -> Iterator[dict[st
         yield from page.items
         if page.following is None:
             return
+        if feed.newest_first:
+            times = [t for i in page.items if (t := feed.time_of(i)) is not None]
+            if times and max(times) < since:
+                return
         mark = json.dumps(page.following, sort_keys=True, default=str)
         if mark in before:
             raise RuntimeError(f"{feed.name}: the cursor {mark} came twice")
@@ -75,13 +94,24 @@ def walk(client: Client, feed: Feed, since: int, until: int) -> Iterator[dict[st
         cursor = page.following
 
 
-def _rows(client: Client, feed: Feed, part: Slice):
+def _rows(client: Client, feed: Feed, part: Slice, skip_forbidden: bool = False):
     import datetime
 
+    try:
+        yield from _records(client, feed, part, datetime)
+    except Refused as refused:
+        if refused.stops_all or not skip_forbidden:
+            raise
+        logging.getLogger(__name__).error("%s: %s; the feed is left out", feed.name, refused)
+
+
+def _records(client: Client, feed: Feed, part: Slice, datetime):
     for item in walk(client, feed, part.since, part.until):
         if not isinstance(item, dict) or not item:
             continue
         at = feed.time_of(item)
+        if at is not None and not part.since <= at < part.until:
+            continue
         moment = None if at is None else datetime.datetime.fromtimestamp(at / 1000, datetime.timezone.utc)
         yield feed.name, moment, feed.id_of(item), json.dumps(item, ensure_ascii=False, separators=(",", ":"))
 
@@ -92,10 +122,16 @@ def paged_source(name: str, feeds: list[Feed], client: Client, clock: Callable[[
     Options: ``feed`` (default: all), ``since`` and ``until`` in milliseconds
     (batch: default is the feed's lookback, until now less its lag);
     ``push_filters=true``: bounds on event_time narrow a batch's range, for
-    which ``spark.sql.python.filterPushdown.enabled`` must be set.
+    which ``spark.sql.python.filterPushdown.enabled`` must be set;
+    ``skip_forbidden=true``: a feed that the service forbids (403) is left out, with
+    an error in the log, where it otherwise fails the read, as refused credentials
+    (401) always do.
     """
     by_name = {f.name: f for f in feeds}
 
+    def cut(feed: Feed, since: int, until: int) -> list[Slice]:
+        return slices(feed.name, since, until, feed.slice if feed.bounded else max(1, until - since))
+
     def chosen(options: dict[str, str]) -> list[Feed]:
         return [by_name[options["feed"]]] if "feed" in options else feeds
 
@@ -109,11 +145,11 @@ def paged_source(name: str, feeds: list[Feed], client: Client, clock: Callable[[
                 until = int(self.options.get("until", clock() - feed.lag))
                 since = int(self.options.get("since", until - feed.lookback))
                 since, until = max(since, self.since or since), min(until, self.until or until)
-                out += slices(feed.name, since, until, feed.slice)
+                out += cut(feed, since, until)
             return out or [Slice(feeds[0].name, 0, 0)]
 
         def read(self, partition):
-            return _rows(client, by_name[partition.feed], partition) if partition.until > partition.since else iter(())
+            return _rows(client, by_name[partition.feed], partition, self.options.get("skip_forbidden") == "true") if partition.until > partition.since else iter(())
 
     class Pushed(Batch):
         def pushFilters(self, filters):
@@ -142,11 +178,11 @@ def paged_source(name: str, feeds: list[Feed], client: Client, clock: Callable[[
             out = []
             for feed in chosen(self.options):
                 if end[feed.name] > start[feed.name]:
-                    out += slices(feed.name, start[feed.name] - feed.overlap, end[feed.name], feed.slice)
+                    out += cut(feed, start[feed.name] - feed.overlap, end[feed.name])
             return out
 
         def read(self, partition):
-            return _rows(client, by_name[partition.feed], partition)
+            return _rows(client, by_name[partition.feed], partition, self.options.get("skip_forbidden") == "true")
 
     class Source(DataSource):
         @classmethod

@@ -6,7 +6,7 @@ import tempfile
 import uuid
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 
@@ -29,10 +29,20 @@ def to_memory(rows: DataFrame, name: str) -> StreamingQuery:
     return rows.writeStream.format("memory").queryName(name).outputMode("append").start()
 
 
+def shared_folder(spark: SparkSession, label: str) -> str:
+    """A new folder's name under ``spark.checkpoint.dir``, which driver and executors share; unset, a local session gets a temporary one."""
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if not base:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
+        base = tempfile.mkdtemp(prefix="tributary-")
+        spark.conf.set("spark.checkpoint.dir", base)
+    return f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}"
+
+
 def run_once(rows: DataFrame) -> DataFrame:
     """What a stream gives for the input there is now, as a table in the session's shared folder."""
     spark = rows.sparkSession
-    base = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="tributary-")
-    path = f"{base.rstrip('/')}/stream-{uuid.uuid4().hex}"
+    path = shared_folder(spark, "stream")
     to_parquet(rows, f"{path}/rows", f"{path}/checkpoint", once=True).awaitTermination()
     return spark.read.schema(rows.schema).parquet(f"{path}/rows")
