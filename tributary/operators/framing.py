@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import brace_balance
-from .running import running_sum
+from .running import in_stretches, running_sum
 
 
 def lines(rows: DataFrame, text: str = "text", separator: str = "\n", out: str = "line", max_size: int | None = None) -> DataFrame:
@@ -29,6 +29,7 @@ def multi_line_json(rows: DataFrame, keys: list[str], place: str = "place", line
     balanced one are no object. ``place`` is the line's integer place in its file.
     """
     trimmed = rows.select(*keys, place, F.trim(F.col(line)).alias("_line")).where(F.length("_line") > 0)
+    trimmed = in_stretches(trimmed, place).repartition(*keys, "_stretch")  # once for both sums
     balanced = running_sum(trimmed, keys, place, brace_balance(F.col("_line")), "_open")
     numbered = running_sum(balanced, keys, place, (F.col("_open") == 0).cast("long"), "_ended")
     # a closing line has already counted itself
