@@ -24,7 +24,9 @@ from pyspark.sql import functions as F
 from .common import materialise, without_nulls
 
 #: Samples of a signature.
-SAMPLES = 32
+SAMPLES = 128
+#: Samples that a word draws in one row.
+BLOCK = 4
 #: Hexadecimal digits of a sample in a fingerprint.
 DIGITS = 4
 #: Partitions of texts for each shuffle partition: words take more room than texts.
@@ -66,16 +68,20 @@ def signatures(bodies: DataFrame, key: list[str], samples: int = SAMPLES) -> Dat
     words = bodies.select(*key, F.explode(terms(F.col("body"))).alias("word")).select(*key, F.xxhash64("word", F.lit(SEED)).alias("term"))
     counted = words.groupBy(*key, "term").agg(F.count("*").alias("n"))
     weighed = counted.select(*key, "term", F.log(1.0 + F.log(F.col("n").cast("double"))).alias("log_weight"))
-    # a short row for each word and sample runs in compiled code; one row with all samples outgrows what the JVM compiles
-    each = weighed.select(*key, "term", "log_weight", F.explode(F.array(*map(F.lit, range(samples)))).alias("sample"))
-    minima = each.groupBy(*key, "sample").agg(F.min(sample_value(F.col("term"), F.col("log_weight"), F.col("sample"))).alias("least"))
-    codes = minima.groupBy(*key).agg(F.sort_array(F.collect_list(F.struct("sample", _digits(F.col("least")).alias("code")))).alias("codes"))  # as many as samples
-    return codes.select(*key, F.array_join(F.col("codes.code"), "").alias("fingerprint"))
+    # a row for each word and few samples: one with all of them outgrows what the JVM compiles, one a sample looks its group up too often
+    blocks = F.explode(F.array(*map(F.lit, range(-(-samples // BLOCK))))).alias("block")
+    each = weighed.select(*key, "term", "log_weight", blocks)
+    value = lambda k: sample_value(F.col("term"), F.col("log_weight"), F.col("block") * BLOCK + k)
+    minima = each.groupBy(*key, "block").agg(*[F.min(value(k)).alias(f"least{k}") for k in range(BLOCK)])
+    code = F.concat(*[_digits(F.col(f"least{k}")) for k in range(BLOCK)]).alias("code")
+    codes = minima.groupBy(*key).agg(F.sort_array(F.collect_list(F.struct("block", code))).alias("codes"))  # as many as blocks
+    return codes.select(*key, F.array_join(F.col("codes.code"), "").substr(1, samples * DIGITS).alias("fingerprint"))
 
 
 def likeness(left: Column, right: Column, samples: int = SAMPLES) -> Column:
-    """The share of samples in which two fingerprints agree."""
-    part = lambda c, k: c.substr(k * DIGITS + 1, F.lit(DIGITS))
+    """The share of samples in which two fingerprints, given as bytes, agree."""
+    width = DIGITS // 2
+    part = lambda c, k: c.substr(k * width + 1, F.lit(width))
     agreeing = F.filter(F.sequence(F.lit(0), F.lit(samples - 1)), lambda k: part(left, k) == part(right, k))
     return F.size(agreeing) / F.lit(float(samples))
 
@@ -132,19 +138,20 @@ def fingerprint_edits(docs: DataFrame, samples: int = SAMPLES, id_column: str =
 
     bodies = pairs.select("kid", "h", F.posexplode(F.array("text", "edited")).alias("which", "body"))
     signed = signatures(bodies, ["kid", "h", "which"], samples)
-    of = lambda w: F.max(F.when(F.col("which") == w, F.col("fingerprint")))
-    prints = signed.groupBy("kid", "h").agg(of(0).alias("fingerprint"), of(1).alias("edited_fingerprint"))
+    of = lambda w: F.max(F.when(F.col("which") == w, F.unhex("fingerprint")))
+    prints = signed.groupBy("kid", "h").agg(of(0).alias("own"), of(1).alias("edited"))
     digests = pairs.select("kid", "h", F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"))
+    # signatures travel as bytes, half as long as their spelling
     made = materialise(digests.join(prints, ["kid", "h"]), "fingerprints")
 
-    after = made.select(F.col("kid").alias("next_kid"), F.col("h").alias("next_h"), F.col("fingerprint").alias("_after"))
+    after = made.select(F.col("kid").alias("next_kid"), F.col("h").alias("next_h"), F.col("own").alias("_after"))
     out = ids.join(made, ["kid", "h"]).join(after, ["next_kid", "next_h"])
     return out.select(
         F.col("doc_id").alias(id_column),
         "n_chars",
         "edited_sha256",
-        "fingerprint",
-        "edited_fingerprint",
-        likeness(F.col("fingerprint"), F.col("edited_fingerprint"), samples).alias("near_edited"),
-        likeness(F.col("fingerprint"), F.col("_after"), samples).alias("near_next"),
+        F.lower(F.hex("own")).alias("fingerprint"),
+        F.lower(F.hex("edited")).alias("edited_fingerprint"),
+        likeness(F.col("own"), F.col("edited"), samples).alias("near_edited"),
+        likeness(F.col("own"), F.col("_after"), samples).alias("near_next"),
     )
