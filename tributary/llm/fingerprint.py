@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from .common import materialise, without_nulls
 
 #: Samples of a signature.
-SAMPLES = 128
+SAMPLES = 64
 #: Samples that a word draws in one row.
 BLOCK = 4
 #: Hexadecimal digits of a sample in a fingerprint.
