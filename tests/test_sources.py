@@ -1,6 +1,7 @@
 import gzip
 import io
 import json
+from dataclasses import replace
 
 import pyarrow as pa
 import pyarrow.parquet as pq
@@ -11,7 +12,7 @@ from pyspark.sql import functions as F
 
 from tributary.operators.dedupe import unseen
 from tributary.plans import checkpoint, config, ingest
-from tributary.sources import catalogue, files, http, retry
+from tributary.sources import catalogue, files, http, retry, tasks
 from tributary.sources.paged import Feed, Page, paged_source, slices, walk
 from tributary.sources.queues import queue_source
 from tributary.streaming.dedupe import within_ttl, within_watermark
@@ -279,3 +280,137 @@ def test_nothing_is_lost_silently(spark, tmp_path):
     got = ingest.events(spark, [{"bundles": {"path": str(tmp_path / "in")}}]).collect()
     assert sorted(r.text for r in got if r.payload_kind == "text") == ["other", "same", "same"]
     assert [r.text.startswith("bad gzip") for r in got if r.payload_kind == "error"] == [True]
+
+
+@pytest.fixture
+def served():
+    """A service on this machine: answers by path, each a JSON value, a status, or a function of the JSON that was sent."""
+    import threading
+    from http.server import BaseHTTPRequestHandler, ThreadingHTTPServer
+
+    answers = {}
+
+    class Handler(BaseHTTPRequestHandler):
+        def do_GET(self):
+            sent = self.rfile.read(int(self.headers.get("Content-Length") or 0))
+            answer = answers.get(self.path, answers.get(self.path.split("?")[0], 404))
+            if callable(answer):
+                answer = answer(json.loads(sent) if sent else self.path)
+            self.send_response(answer if isinstance(answer, int) else 200)
+            self.end_headers()
+            self.wfile.write(b"" if isinstance(answer, int) else json.dumps(answer).encode())
+
+        do_POST = do_GET
+
+        def log_message(self, *_):
+            pass
+
+    server = ThreadingHTTPServer(("127.0.0.1", 0), Handler)
+    threading.Thread(target=server.serve_forever, daemon=True).start()
+    yield f"http://127.0.0.1:{server.server_port}", answers
+    server.shutdown()
+
+
+def test_upper_bounds_of_whole_seconds_lose_nothing():
+    assert http.written(20_500, "s") == "20" and http.written(20_500, "s", up=True) == "21" and http.written(21_000, "s", up=True) == "21"
+    records = [{"id": n, "date_create": n} for n in range(15, 25)]
+
+    class Seconds(http.HttpClient):
+        def _get(self, url, body=None):
+            low, high = (int(url.split(f"{name}=")[1].split("&")[0]) for name in ("oldest", "latest"))
+            return {"entries": [r for r in records if low <= r["date_create"] < high]}, None
+
+    client = Seconds(catalogue.requests("slack"))
+    feed = http.feeds_of(client.requests)[0]
+    got = [i["id"] for since, until in ((15_000, 20_500), (20_500, 25_000)) for i in walk(client, feed, since, until) if since <= feed.time_of(i) < until]
+    assert got == [r["id"] for r in records]
+
+
+@given(st.integers(0, 10**13), st.sampled_from(["iso", "ms", "s", "sql"]))
+def test_written_bounds_enclose_the_range(ms, form):
+    low, high = http.written(ms, form), http.written(ms, form, up=True)
+    assert low == high if ms % http.UNITS[form] == 0 else low < high or len(low) < len(high)
+
+
+def test_events_older_than_their_listing_are_kept(spark, served):
+    base, answers = served
+    answers["/content"] = [{"contentUri": f"{base}/blob/{n}", "contentCreated": at} for n, at in ((1, "1970-01-01T00:16:40Z"), (2, "1970-01-01T01:00:00Z"))]
+    answers["/blob/1"] = [{"Id": "old", "CreationTime": "1970-01-01T00:00:05"}, {"Id": "new", "CreationTime": "1970-01-01T00:16:00"}]
+    answers["/blob/2"] = [{"Id": "late", "CreationTime": "1970-01-01T00:16:45"}]
+    request = replace(catalogue.requests("office365", tenant="t", content_type="c")["content"], url=f"{base}/content")
+    feeds = http.feeds_of({"content": request})
+    assert not feeds[0].checked
+    spark.dataSource.register(paged_source("listed", feeds, http.HttpClient({"content": request}), clock=lambda: 0))
+    got = spark.read.format("listed").option("since", 1_000_000).option("until", 1_060_000).load().collect()
+    assert sorted(r.id for r in got) == ["new", "old"]
+
+
+def test_mail_messages_are_listed_and_fetched(served):
+    base, answers = served
+    request = catalogue.requests("gmail", user="me")["messages"]
+    request = replace(request, url=f"{base}/m", detail=f"{base}/m/{{id}}?format=full")
+    answers["/m"] = lambda asked: {"messages": [{"id": "c"}]} if "pageToken=2" in asked else {"messages": [{"id": "a"}, {"id": "gone"}], "nextPageToken": "2"}
+    answers |= {"/m/a": {"id": "a", "internalDate": "1700000000500"}, "/m/c": {"id": "c", "internalDate": "1700000003000"}}
+    client = http.HttpClient({"messages": request})
+    feed = http.feeds_of(client.requests)[0]
+    got = list(walk(client, feed, 1_700_000_000_000, 1_700_000_009_500))
+    assert [(i["id"], feed.time_of(i)) for i in got] == [("a", 1_700_000_000_500), ("gone", None), ("c", 1_700_000_003_000)]
+    assert "q=after%3A1699999999+before%3A1700000010&" in client.asked("messages", 1_700_000_000_000, 1_700_000_009_500, None)[0]
+
+
+def test_graphql_feeds(served, monkeypatch):
+    base, answers = served
+    records = [{"id": str(n), "createdAt": f"1970-01-01T00:00:{n:02d}Z"} for n in range(7)]
+
+    def issues(sent):
+        after = sent["variables"]["filterBy"]["createdAt"]["after"]
+        found, at = [r for r in records if http.read_time(r["createdAt"]) > http.read_time(after)], int(sent["variables"].get("after", 0))
+        return {"data": {"issues": {"nodes": found[at : at + 3], "pageInfo": {"endCursor": str(at + 3), "hasNextPage": True}}}}
+
+    answers["/graphql"] = issues
+    client = http.HttpClient(catalogue.requests("wiz", url=f"{base}/graphql", connection="data/issues", time_field="createdAt", query="query ($after: String) { issues { nodes { id } } }"))
+    feed = http.feeds_of(client.requests)[0]
+    assert "{ nodes { id } }" in client.requests["any"].body["query"]
+    assert [i["id"] for i in walk(client, feed, 2_000, 60_000)] == ["2", "3", "4", "5", "6"] and not feed.bounded
+
+    marks = {"": ("m1", records[:4]), "m1": ("m2", records[4:]), "m2": ("m2", [])}
+    answers["/cato"] = lambda sent: {"data": {"eventsFeed": {"marker": marks[sent["variables"]["marker"]][0], "accounts": [{"id": sent["variables"]["account"], "records": [{"time": r["createdAt"], "fieldsMap": r} for r in marks[sent["variables"]["marker"]][1]]}]}}}
+    request = catalogue.requests("cato", account="7")["events"]
+    client = http.HttpClient({"events": replace(request, url=f"{base}/cato")})
+    assert request.body["variables"]["account"] == "7"
+    assert [http.feeds_of(client.requests)[0].time_of(i) for i in walk(client, http.feeds_of(client.requests)[0], 0, 60_000)] == [n * 1000 for n in range(7)]
+
+    answers["/cato"] = {"errors": [{"message": "no such account"}]}
+    with pytest.raises(RuntimeError, match="no such account"):
+        client.fetch("events", 0, 1, None)
+    told = iter([{"errors": [{"message": "rate limit for operation: eventsFeed"}]}, {"data": {}}])
+    answers["/cato"] = lambda sent: next(told)
+    monkeypatch.setattr("tributary.sources.http.persistently", lambda call: retry.persistently(call, sleep=lambda _: None))
+    assert client.fetch("events", 0, 1, None).items == []
+
+
+def test_log_queries_that_run_as_tasks(spark, served):
+    base, answers = served
+    asked, states = [], {"mail": ["Processing", "Ready"], "idle": ["Done"], "absent": ["Canceled"]}
+
+    def submitted(sent):
+        asked.append(sent)
+        return {"data": {"taskId": sent["cloudService"]}}
+
+    for name, told in states.items():
+        left = list(told)
+        answers[f"{tasks.QUERY_PATH}/{name}"] = lambda _, left=left: {"data": {"state": left.pop(0) if len(left) > 1 else left[0], "pageTokens": ["p0"], "errors": ["not set up"]}}
+    answers[tasks.QUERY_PATH] = submitted
+    pages = {"p0": ([{"id": 0, "t": 0}, {"id": 1, "t": 1000}], "p1"), "p1": ([{"id": 2, "t": 2000}], "NULL")}
+    answers[tasks.RETRIEVE_PATH] = lambda sent: {"data": {"records": pages[sent["pageToken"]][0], "nextPageToken": pages[sent["pageToken"]][1]}}
+    client = tasks.TaskClient(base, wait=0.0)
+    feeds = [Feed(name, FEED.id_of, FEED.time_of, lag=0) for name in states]
+    assert [i["id"] for i in walk(client, feeds[0], 0, 3000)] == [0, 1, 2] and list(walk(client, feeds[1], 0, 3000)) == []
+    assert asked[0]["timeframe"] == {"startTime": "1970-01-01T00:00:00.000Z", "endTime": "1970-01-01T00:00:03.000Z"} and "filter" not in asked[0]
+    with pytest.raises(retry.Refused, match="not set up"):
+        list(walk(client, feeds[2], 0, 3000))
+    with pytest.raises(RuntimeError, match="no more than 3"):
+        list(walk(tasks.TaskClient(base, wait=0.0, most=3), feeds[0], 0, 3000))
+    spark.dataSource.register(paged_source("tasks", feeds, client, clock=lambda: 3000))
+    got = spark.read.format("tasks").option("since", 1000).option("skip_forbidden", "true").load().collect()
+    assert sorted((r.feed, r.id) for r in got) == [("mail", "1"), ("mail", "2")]

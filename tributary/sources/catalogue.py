@@ -7,14 +7,23 @@ in one slice, and what is outside the range is dropped.
 
 from __future__ import annotations
 
-from .http import Request
+from dataclasses import fields, replace
+from typing import Any
+
+from .http import Request, filled
 
 # The services' addresses and names.
 FEEDS: dict[str, dict[str, Request]] = {
     "bitwarden": {"events": Request("https://api.bitwarden.com/public/events", "data", ("itemId",), ("date",), "start", "end", paging="cursor", position="continuationToken", following="continuationToken")},
     "box": {"events": Request("https://api.box.com/2.0/events", "entries", ("event_id",), ("created_at",), "created_after", "created_before", paging="cursor", position="stream_position", following="next_stream_position", fixed={"stream_type": "admin_logs"})},
+    "cato": {
+        "events": Request(
+            "https://api.catonetworks.com/api/v1/graphql2", "data/eventsFeed/accounts/*/records", (), ("time",), paging="cursor", position="variables/marker", following="data/eventsFeed/marker", ends_empty=True,
+            body={"query": "query events($account: ID!, $marker: String) { eventsFeed(accountIDs: [$account], marker: $marker) { marker fetchedCount accounts { id records { time fieldsMap } } } }", "variables": {"account": "{account}", "marker": ""}},
+        )
+    },
     "cylance": {
-        "detections": Request("https://protectapi.cylance.com/detections/v2", "page_items", ("Id",), ("ReceivedTime",), "start", "end", paging="page", position="page", size=("page_size", 200), detail="https://protectapi.cylance.com/detections/v2/{Id}/details"),
+        "detections": Request("https://protectapi.cylance.com/detections/v2", "page_items", ("Id",), ("ReceivedTime",), "start", "end", paging="page", position="page", size=("page_size", 200), detail="https://protectapi.cylance.com/detections/v2/{Id}/details", listed=("ReceivedTime",)),
         "threats": Request("https://protectapi.cylance.com/threats/v2", "page_items", ("sha256",), ("last_found",), "start_time", "end_time", paging="page", position="page", size=("page_size", 200)),
         "memory": Request("https://protectapi.cylance.com/memoryprotection/v2", "page_items", ("device_image_file_event_id",), ("created",), "start_time", "end_time", paging="page", position="page", size=("page_size", 200)),
     },
@@ -24,11 +33,18 @@ FEEDS: dict[str, dict[str, Request]] = {
         "admin": Request("https://{host}/admin/v1/logs/administrator", "response", ("timestamp",), ("timestamp",), "mintime", None, "s"),
     },
     "entraid": {"risks": Request("https://graph.microsoft.com/v1.0/identityProtection/riskDetections", "value", ("id",), ("activityDateTime",), paging="url", following="@odata.nextLink", filter=("$filter", "activityDateTime ge {since} and activityDateTime lt {until}"))},
+    "gmail": {"messages": Request("https://gmail.googleapis.com/gmail/v1/users/{user}/messages", "messages", ("id",), ("internalDate",), bound="s", paging="cursor", position="pageToken", following="nextPageToken", size=("maxResults", 500), filter=("q", "{query} after:{since} before:{until}"), detail="https://gmail.googleapis.com/gmail/v1/users/{user}/messages/{id}?format=full", open_below=True)},
+    "harmony": {
+        "entities": Request(
+            "https://{host}/app/hec-api/v1.0/search/query", "responseData", ("entityInfo/entityId",), ("entityInfo/entityCreated",), "requestData/entityFilter/startDate", "requestData/entityFilter/endDate", paging="cursor", position="requestData/scrollId", following="responseEnvelope/scrollId", ends_empty=True,
+            body={"requestData": {"entityFilter": {"saas": "{saas}", "saasEntity": "{entity}"}, "entityExtendedFilter": [], "scrollId": ""}},
+        )
+    },
     "hubspot": {"audit": Request("https://api.hubapi.com/account-info/v3/activity/audit-logs", "results", ("id",), ("occurredAt",), "occurredAfter", "occurredBefore", paging="cursor", position="after", following="paging/next/after")},
     "itglue": {"logs": Request("https://api.itglue.com/logs", "data", ("id",), ("attributes/created-at",), "filter[created_at]", paging="url", following="links/next")},
     "mimecast": {"audit": Request("https://api.services.mimecast.com/api/audit/get-audit-events", "data", ("id",), ("eventTime",), "data/[0]/startDateTime", "data/[0]/endDateTime", paging="cursor", position="meta/pagination/pageToken", following="meta/pagination/next", size=("meta/pagination/pageSize", 100), body={})},
     "ms_graph": {"any": Request("https://graph.microsoft.com/v1.0/{resource}", "value", ("id",), ("createdDateTime",), paging="url", following="@odata.nextLink", filter=("$filter", "createdDateTime ge {since} and createdDateTime lt {until}"))},
-    "office365": {"content": Request("https://manage.office.com/api/v1.0/{tenant}/activity/feed/subscriptions/content", "", ("Id",), ("CreationTime",), "startTime", "endTime", paging="link", fixed={"contentType": "{content_type}"}, detail="{contentUri}")},
+    "office365": {"content": Request("https://manage.office.com/api/v1.0/{tenant}/activity/feed/subscriptions/content", "", ("Id",), ("CreationTime",), "startTime", "endTime", paging="link", fixed={"contentType": "{content_type}"}, detail="{contentUri}", listed=("contentCreated",))},
     "okta": {"log": Request("https://{host}/api/v1/logs", "", ("uuid",), ("published",), "since", "until", paging="link", fixed={"sortOrder": "ASCENDING"}, size=("limit", 1000))},
     "onepassword": {
         "auditevents": Request("https://events.1password.com/api/v2/auditevents", "items", ("uuid",), ("timestamp",), "start_time", "end_time", paging="cursor", position="cursor", following="cursor", size=("limit", 1000), body={}),
@@ -50,17 +66,21 @@ FEEDS: dict[str, dict[str, Request]] = {
     "sublime": {"audit": Request("https://platform.sublime.security/v0/audit-log/events", "events", ("id",), ("created_at",), "created_at[gte]", "created_at[lt]", paging="offset", position="offset", size=("limit", 500))},
     "threatlocker": {"audit": Request("https://portalapi.{instance}.threatlocker.com/portalapi/{path}", "", ("actionId", "approvalRequestId", "id"), ("dateTime",), "startDate", "endDate", paging="page", position="pageNumber", size=("pageSize", 100), body={"orderBy": "dateTime", "isAscending": True})},
     "trendmicro": {"alerts": Request("https://api.xdr.trendmicro.com/v3.0/workbench/alerts", "items", ("id",), ("createdDateTime",), "startDateTime", "endDateTime", paging="url", following="nextLink")},
+    "wiz": {
+        "any": Request("{url}", "{connection}/nodes", ("id",), ("{time_field}",), "variables/filterBy/{time_field}/after", paging="cursor", position="variables/after", following="{connection}/pageInfo/endCursor", body={"query": "{query}", "variables": {}}, open_below=True, ends_empty=True)
+    },
     "zendesk": {"audit": Request("https://{host}/api/v2/audit_logs.json", "audit_logs", ("id",), ("created_at",), "filter[created_at][]", "filter[created_at][]", paging="url", following="links/next", size=("page[size]", 100))},
 }
 
+
 def requests(service: str, **settings: str) -> dict[str, Request]:
-    """A service's requests with their addresses filled in."""
-    from dataclasses import replace
+    """A service's requests with the settings filled in, wherever their names stand in braces."""
 
-    def fill(text: str) -> str:
-        for name, value in settings.items():
-            text = text.replace("{" + name + "}", value)
-        return text
+    def fill(value: Any) -> Any:
+        if isinstance(value, str):
+            return filled(value, settings).removeprefix("{query}^").removeprefix("{query} ")
+        if isinstance(value, (tuple, list)):
+            return type(value)(map(fill, value))
+        return {k: fill(v) for k, v in value.items()} if isinstance(value, dict) else value
 
-    filled = lambda r: {"url": fill(r.url), "fixed": {k: fill(v) for k, v in r.fixed.items()}, "filter": r.filter and (r.filter[0], fill(r.filter[1]).removeprefix("{query}^"))}
-    return {name: replace(r, **filled(r)) for name, r in FEEDS[service].items()}
+    return {name: replace(r, **{f.name: fill(getattr(r, f.name)) for f in fields(r)}) for name, r in FEEDS[service].items()}

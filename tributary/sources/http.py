@@ -5,6 +5,7 @@ from __future__ import annotations
 import datetime
 import json
 import re
+import urllib.error
 import urllib.parse
 import urllib.request
 from collections.abc import Callable
@@ -13,7 +14,7 @@ from typing import Any
 
 from ..functions.json_path import matches, steps
 from .paged import Feed, Page
-from .retry import persistently
+from .retry import Busy, persistently
 
 
 @dataclass(frozen=True)
@@ -30,7 +31,14 @@ class Request:
     is then given twice. With ``body`` the request is a POST of JSON: the fixed
     members there and all parameters, each at its path of names parted by ``/``.
     ``detail``: an address with ``{member}`` of a record; the record is replaced by
-    what is found there, an object or each object of a list.
+    what is found there, an object or each object of a list; where nothing is found
+    any more (404) the record stays as it was listed. ``listed``: where a listed record
+    has the time that the bounds are of, for services that list by another time than
+    the records' own; only that one is held against the range then.
+
+    ``open_below``: the service leaves out records at the lower bound itself, so it is
+    asked from a unit before. ``ends_empty``: a page without records is the last,
+    although it has a cursor. The answer of a body with a ``query`` must have no ``errors``.
     """
 
     url: str
@@ -49,6 +57,9 @@ class Request:
     body: dict[str, Any] | None = None
     detail: str | None = None
     newest_first: bool = False
+    listed: tuple[str, ...] = ()
+    open_below: bool = False
+    ends_empty: bool = False
 
     @property
     def bounded(self) -> bool:
@@ -56,7 +67,14 @@ class Request:
         return bool(self.since and self.until) or bool(self.filter and "{since}" in self.filter[1] and "{until}" in self.filter[1])
 
 
-def written(ms: int, form: str) -> str:
+#: Milliseconds of the least time that a form of writing tells apart.
+UNITS = {"iso": 1, "ms": 1, "s": 1000, "sql": 1000}
+
+
+def written(ms: int, form: str, up: bool = False) -> str:
+    """A time as services take it. Whole seconds are rounded down, or ``up``, as an upper bound must be that loses nothing."""
+    if up:
+        ms += -ms % UNITS[form]
     if form == "ms":
         return str(ms)
     if form == "s":
@@ -89,6 +107,11 @@ def first_at(item: Any, paths: tuple[str, ...]) -> Any:
     return None
 
 
+def filled(text: str, values: dict[str, str]) -> str:
+    """A text with the values of the names in braces; braces around other names stay."""
+    return re.sub(r"\{(\w+)\}", lambda m: values.get(m[1], m[0]), text)
+
+
 def placed(body: dict[str, Any], path: str, value: Any) -> None:
     """Sets the member at a path of names and ``[n]``; missing objects and lists are made."""
     names = steps(path)
@@ -105,6 +128,24 @@ def placed(body: dict[str, Any], path: str, value: Any) -> None:
             body = body[key]
 
 
+def send(url: str, body: dict[str, Any] | None, headers: dict[str, str], timeout: float) -> tuple[Any, str | None]:
+    """The JSON that an address answers (to a POST of a body, if there is one), and its link to the next page."""
+    data = None if body is None else json.dumps(body).encode()
+    headers = headers | ({} if body is None else {"Content-Type": "application/json"})
+    with urllib.request.urlopen(urllib.request.Request(url, data, headers), timeout=timeout) as response:
+        content, link = response.read(), response.headers.get("Link", "")
+    found = re.search(r"<([^>]*)>\s*;[^,]*\brel=\"?next\"?", link or "")
+    return (json.loads(content) if content.strip() else []), found and found[1]
+
+
+def without_errors(answer: Any) -> Any:
+    """A GraphQL answer, which tells of failures within a response of status 200."""
+    if isinstance(answer, dict) and answer.get("errors"):
+        told = "; ".join(str(e.get("message", e)) if isinstance(e, dict) else str(e) for e in answer["errors"])
+        raise (Busy if "rate limit" in told.lower() else RuntimeError)(told)
+    return answer
+
+
 class HttpClient:
     """A ``paged.Client``. ``headers`` gives a request's headers, tokens included, each time anew."""
 
@@ -113,12 +154,8 @@ class HttpClient:
 
     def _get(self, url: str, body: dict[str, Any] | None = None) -> tuple[Any, str | None]:
         def call():
-            data = None if body is None else json.dumps(body).encode()
-            headers = self.headers() | ({} if body is None else {"Content-Type": "application/json"})
-            with urllib.request.urlopen(urllib.request.Request(url, data, headers), timeout=self.timeout) as response:
-                body, link = response.read(), response.headers.get("Link", "")
-            found = re.search(r"<([^>]*)>\s*;[^,]*\brel=\"?next\"?", link or "")
-            return (json.loads(body) if body.strip() else []), found and found[1]
+            answer, link = send(url, body, self.headers(), self.timeout)
+            return without_errors(answer) if body and "query" in body else answer, link
 
         return persistently(call)
 
@@ -127,18 +164,23 @@ class HttpClient:
         if any(not isinstance(item.get(n), (str, int)) for n in names):
             return [item]
         # a member that is an address of its own stands alone in ``detail``
-        url = str(item[names[0]]) if r.detail == "{" + names[0] + "}" else r.detail.format(**{n: urllib.parse.quote(str(item[n]), safe="") for n in names})
-        found, _ = self._get(url)
+        url = str(item[names[0]]) if r.detail == "{" + names[0] + "}" else filled(r.detail, {n: urllib.parse.quote(str(item[n]), safe="") for n in names})
+        try:
+            found, _ = self._get(url)
+        except urllib.error.HTTPError as error:
+            if error.code != 404:
+                raise
+            return [item]
         return [i for i in (found if isinstance(found, list) else [found]) if isinstance(i, dict) and i]
 
     def asked(self, feed: str, since: int, until: int, cursor: Any) -> tuple[str, dict[str, Any] | None]:
         """The address and the JSON body, if any, of the request for a page."""
         r = self.requests[feed]
-        bounds = {"since": written(since, r.bound), "until": written(until, r.bound)}
+        bounds = {"since": written(since - UNITS[r.bound] * r.open_below, r.bound), "until": written(until, r.bound, up=True)}
         own: list[tuple[str, Any]] = list(r.fixed.items())
         own += [(name, bounds[which]) for which, name in (("since", r.since), ("until", r.until)) if name]
         if r.filter:
-            own.append((r.filter[0], r.filter[1].format(**bounds)))
+            own.append((r.filter[0], filled(r.filter[1], bounds)))
         if r.size:
             own.append((r.size[0], r.size[1]))
         if r.position and cursor is not None:
@@ -166,6 +208,11 @@ class HttpClient:
             following = next((v for v in matches(body, steps(r.following or "")) if isinstance(v, (str, int)) and v), None)
         elif r.paging in ("offset", "page") and r.size and len(given) >= r.size[1]:
             following = (cursor or 0) + len(given) if r.paging == "offset" else (cursor or 1) + 1
+        if r.ends_empty and not given:
+            following = None
+        if r.listed:
+            at = [(i, read_time(first_at(i, r.listed))) for i in items]
+            items = [i for i, t in at if t is None or since <= t < until]
         if r.detail:
             items = [d for i in items for d in self._detailed(r, i)]
         return Page(items, following)
@@ -175,6 +222,6 @@ def feeds_of(requests: dict[str, Request], **settings: int) -> list[Feed]:
     """Feeds for ``paged_source``, ids and times read as the requests say."""
 
     def feed(name: str, r: Request) -> Feed:
-        return Feed(name, lambda i: None if (v := first_at(i, r.id)) is None else str(v), lambda i: read_time(first_at(i, r.time)), **{"bounded": r.bounded, "newest_first": r.newest_first, **settings})
+        return Feed(name, lambda i: None if (v := first_at(i, r.id)) is None else str(v), lambda i: read_time(first_at(i, r.time)), **{"bounded": r.bounded, "newest_first": r.newest_first, "checked": not r.listed, **settings})
 
     return [feed(name, r) for name, r in requests.items()]

@@ -49,7 +49,9 @@ class Feed:
 
     ``bounded``: the service takes both bounds, so that slices of a range save
     work. ``newest_first``: it gives its records in descending order, so that a
-    page before the range is the last one needed.
+    page before the range is the last one needed. ``checked``: records are held
+    against the range by their own times; not so where the client has done it by
+    another time, as that of a listing.
     """
 
     name: str
@@ -61,6 +63,7 @@ class Feed:
     slice: int = 60 * 60_000
     bounded: bool = True
     newest_first: bool = False
+    checked: bool = True
 
 
 @dataclass
@@ -110,7 +113,7 @@ def _records(client: Client, feed: Feed, part: Slice, datetime):
         if not isinstance(item, dict) or not item:
             continue
         at = feed.time_of(item)
-        if at is not None and not part.since <= at < part.until:
+        if feed.checked and at is not None and not part.since <= at < part.until:
             continue
         moment = None if at is None else datetime.datetime.fromtimestamp(at / 1000, datetime.timezone.utc)
         yield feed.name, moment, feed.id_of(item), json.dumps(item, ensure_ascii=False, separators=(",", ":"))

@@ -14,12 +14,16 @@ T = TypeVar("T")
 class Refused(Exception):
     """The service refuses the credentials (401) or this feed (403)."""
 
-    def __init__(self, status: int):
-        super().__init__(f"refused with status {status}")
+    def __init__(self, status: int, reason: str = ""):
+        super().__init__(f"refused with status {status}" + (f": {reason}" if reason else ""))
         self.status = status
         self.stops_all = status == 401
 
 
+class Busy(Exception):
+    """A service's answer says that it should be asked again later."""
+
+
 def passes_by(status: int | None) -> bool:
     """Of a status, or None for a failed connection."""
     return status is None or status == 429 or status >= 500
@@ -43,7 +47,7 @@ def persistently(call: Callable[[], T], attempts: int = 5, base: float = 1.0, sl
                 raise
             after = error.headers.get("Retry-After") if error.headers else None
             sleep(delay(attempt, base, retry_after=float(after) if after and after.isdigit() else None))
-        except (urllib.error.URLError, TimeoutError, ConnectionError):
+        except (Busy, urllib.error.URLError, TimeoutError, ConnectionError):
             if attempt + 1 == attempts:
                 raise
             sleep(delay(attempt, base))
