@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from tributary.operators.dedupe import unseen
 from tributary.plans import checkpoint, config, ingest
-from tributary.sources import catalogue, files, http, retry, tasks
+from tributary.sources import catalogue, files, http, retry, tail, tasks
 from tributary.sources.paged import Feed, Page, paged_source, slices, walk
 from tributary.sources.queues import queue_source
 from tributary.streaming.dedupe import within_ttl, within_watermark
@@ -414,3 +414,51 @@ def test_log_queries_that_run_as_tasks(spark, served):
     spark.dataSource.register(paged_source("tasks", feeds, client, clock=lambda: 3000))
     got = spark.read.format("tasks").option("since", 1000).option("skip_forbidden", "true").load().collect()
     assert sorted((r.feed, r.id) for r in got) == [("mail", "1"), ("mail", "2")]
+
+
+def test_tail_follows_growth_rotation_and_truncation(spark, tmp_path):
+    log, out = tmp_path / "logs/app.log", str(tmp_path / "out")
+    log.parent.mkdir()
+    spark.dataSource.register(tail.tail_source())
+
+    def rows(**options):
+        source = spark.readStream.format("tail").options(path=f"{log.parent}/app.log*", **options).load()
+        query = to_parquet(source, out, str(tmp_path / "c"))  # starts anew at its checkpoint
+        query.processAllAvailable()
+        query.stop()
+        return sorted(r.text for r in spark.read.parquet(out).collect())
+
+    log.write_text("one\n\ntwo\nthr")
+    assert rows(split=3) == ["one", "two"]
+    with log.open("a") as f:
+        f.write("ee\nfour\n")
+    log.rename(tmp_path / "logs/app.log.1")
+    log.write_text("five\n")
+    assert rows(split=3) == sorted(["one", "two", "three", "four", "five"])
+    log.write_text("6\n")
+    assert rows() == sorted(["one", "two", "three", "four", "five", "6"])
+
+
+@given(st.text(alphabet="ab\né", max_size=60), st.lists(st.integers(0, 80), max_size=5))
+def test_parts_of_a_file_give_each_finished_line_once(text, cuts):
+    import os
+    import tempfile
+
+    with tempfile.NamedTemporaryFile() as file:
+        file.write(text.encode())
+        file.flush()
+        size, same = os.path.getsize(file.name), next(iter(tail.sizes(file.name)))
+        edges = sorted({0, size, *(c for c in cuts if c < size)})
+        got = [r for a, b in zip(edges, edges[1:]) for r in tail.lines_of(tail.Part(same, file.name, a, b), file.name)]
+        assert [t for _, _, t in got] == [line for line in text.split("\n")[:-1] if line]
+        assert all(text.encode()[at:].startswith(t.encode() + b"\n") for _, at, t in got)
+
+
+def test_deleted_file_fails_a_tail_unless_told_otherwise(tmp_path):
+    gone = tail.Part("0:0", str(tmp_path / "gone.log"), 0, 10)
+    reader = lambda **options: tail.tail_source()({"path": str(tmp_path / "*.log"), **options}).streamReader(None)
+    with pytest.raises(FileNotFoundError):
+        list(reader().read(gone))
+    assert list(reader(fail_on_loss="false").read(gone)) == []
+    (tmp_path / "a.log").write_text("x\n")
+    assert reader().initialOffset() == {} and list(reader(backfill="false").initialOffset().values()) == [2]
