@@ -85,12 +85,22 @@ def test_equal_texts_have_equal_fingerprints(got):
 def test_repeats_nulls_and_empty(spark):
     rows = spark.createDataFrame([(1, "a b c"), (1, "a b c"), (1, "d e f"), (None, "g h i")], "doc_id long, text string")
     out = fingerprint_edits(rows).collect()
-    assert sorted((r.doc_id is None, r.n_chars) for r in out) == [(False, 5), (False, 5), (True, 5)]
+    assert sorted((r.doc_id is None, r.n_chars) for r in out) == [(False, 5)] * 3 + [(True, 5)]
+    assert len({tuple(r) for r in out}) == 3
     assert fingerprint_edits(rows.limit(0)).count() == 0
     single = fingerprint_edits(spark.createDataFrame([(9, "abc def")], "doc_id long, text string")).first()
     assert single.near_next == 1.0 and single.edited_sha256 == hashlib.sha256(b"abc dab").hexdigest()
 
 
+def test_every_row_has_a_row(spark, monkeypatch):
+    from tributary.llm import fingerprint
+
+    monkeypatch.setattr(fingerprint, "COPIES", 7)
+    rows = [(n % 3, f"text {n % 2} of it") for n in range(60)] + [(8, "once")]
+    got = Counter((r.doc_id, r.n_chars, r.fingerprint) for r in fingerprint_edits(spark.createDataFrame(rows, "doc_id long, text string")).collect())
+    assert sorted(got.values()) == [1] + [10] * 6
+
+
 def test_collisions_estimate_generalised_jaccard(spark):
     left, right = "a a a a b c d e f g h i", "a b b c d e f x y z w v"
     weigh = lambda t: {w: 1 + math.log(n) for w, n in Counter(t.split()).items()}

@@ -31,6 +31,8 @@ BLOCK = 4
 DIGITS = 4
 #: Partitions of texts for each shuffle partition: words take more room than texts.
 SPREAD = 4
+#: Copies of a repeated row that are given back at once.
+COPIES = 4096
 #: Seed of the words' hashes.
 SEED = 7
 #: White space, as Java's ``\\s`` has it.
@@ -104,6 +106,18 @@ def following(rows: DataFrame) -> DataFrame:
     return joined.select(*rows.columns, F.col("_next.kid").alias("next_kid"), F.col("_next.h").alias("next_h"))
 
 
+def _copied(rows: DataFrame, counted: DataFrame) -> DataFrame:
+    """Each row as often as its ``copies`` say, in blocks that are dealt out where a row has many."""
+    most = counted.agg(F.max("copies")).first()[0] or 1
+    if most == 1:
+        return rows
+    first = F.lit(COPIES) * F.col("_block")
+    blocks = rows.withColumn("_block", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("copies") - 1) / COPIES))))
+    dealt = blocks.repartition(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))) if most > COPIES else blocks
+    each = F.sequence(F.lit(1).cast("long"), F.least(F.lit(COPIES).cast("long"), F.col("copies") - first))
+    return dealt.withColumn("_copy", F.explode(each)).drop("_block", "_copy")
+
+
 def fingerprint_edits(docs: DataFrame, samples: int = SAMPLES, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """Per document the fingerprints of its text and of its edited text.
 
@@ -117,16 +131,16 @@ def fingerprint_edits(docs: DataFrame, samples: int = SAMPLES, id_column: str =
     Null texts are empty ones; empty and blank texts have the fingerprint of
     the empty word, so likenesses among them are 1. Rows with one id and
     different texts are documents of their own, in order of their texts'
-    hashes; rows that repeat id and text are one document. A null id comes
-    last. Equal texts have equal fingerprints. Other columns are ignored; an
+    hashes; rows that repeat id and text are one document for the order, and each
+    has a row of the result. A null id comes last. Equal texts have equal fingerprints. Other columns are ignored; an
     empty table gives an empty result.
     """
     spark = docs.sparkSession
     parts = SPREAD * int(spark.conf.get("spark.sql.shuffle.partitions"))
     rows = docs.select(F.col(id_column).alias("doc_id"), without_nulls(F.col(text_column)).alias("text"))
     rows = rows.withColumn("kid", F.xxhash64("doc_id")).withColumn("h", F.xxhash64("text"))
-    ids = rows.select("doc_id", "kid", "h", F.length("text").cast("long").alias("n_chars")).distinct()
-    ids = materialise(following(ids), "order")
+    ids = rows.select("doc_id", "kid", "h", F.length("text").cast("long").alias("n_chars"))
+    ids = materialise(following(ids.groupBy("doc_id", "kid", "h", "n_chars").agg(F.count("*").alias("copies"))), "order")
 
     texts = rows.select("kid", "h", "text").repartition(parts, "kid", "h").distinct()
     third = F.floor(F.col("n_chars") / 3).cast("int")
@@ -145,7 +159,7 @@ def fingerprint_edits(docs: DataFrame, samples: int = SAMPLES, id_column: str =
     made = materialise(digests.join(prints, ["kid", "h"]), "fingerprints")
 
     after = made.select(F.col("kid").alias("next_kid"), F.col("h").alias("next_h"), F.col("own").alias("_after"))
-    out = ids.join(made, ["kid", "h"]).join(after, ["next_kid", "next_h"])
+    out = _copied(ids.join(made, ["kid", "h"]).join(after, ["next_kid", "next_h"]), ids)
     return out.select(
         F.col("doc_id").alias(id_column),
         "n_chars",
