@@ -55,3 +55,16 @@ def test_empty_sides(spark):
     b = spark.createDataFrame([(1, "a b c d e f")], "item_id long, text string")
     assert find_contained(a, b.limit(0)).count() == 0 and find_contained(a.limit(0), b).count() == 0
     assert drop_contaminated(a, b.limit(0)).count() == 1 and drop_contaminated(a, b).count() == 0
+
+
+def test_item_ids_of_any_type(spark):
+    """Batches with and without hits; ids that are text, int, dates or null."""
+    import datetime
+
+    texts = ["nothing of the kind is here at all"] * 3 + ["so: the quick brown fox jumps over a lazy dog"]
+    docs = spark.createDataFrame([(f"d{n}", t) for n, t in enumerate(texts)], "doc_id string, text string").repartition(4)
+    for kind, ids in (("string", ["a", None]), ("int", [1, None]), ("date", [datetime.date(2024, 1, 1), None]), ("decimal(20,2)", [None, None])):
+        items = spark.createDataFrame([(i, t) for i, t in zip(ids, ["the quick brown fox jumps over", "a text that no one has"])], f"item_id {kind}, text string")
+        got = find_contained(docs, items).collect()
+        assert [(r.doc_id, r.item_id) for r in got] == [("d3", ids[0])] and find_contained(docs, items).schema["item_id"].dataType == items.schema["item_id"].dataType
+        assert sorted(r.doc_id for r in drop_contaminated(docs, items).collect()) == ["d0", "d1", "d2"]

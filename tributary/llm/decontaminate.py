@@ -26,6 +26,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
 from .common import by_small_batches, returning_memory, without_nulls
 
@@ -235,13 +236,14 @@ def find_contained(docs: DataFrame, items: DataFrame, words: int = 5, containmen
     one shingle, of all their words; null items and those without a word are in
     no document, and null documents contain nothing. Case, white space and
     ASCII punctuation don't matter. Of rows that repeat an item one counts;
-    each row that repeats a document gives its pairs. An empty table on either
-    side gives an empty result.
+    each row that repeats a document gives its pairs. Ids are of any type. An
+    empty table on either side gives an empty result.
     """
     spark = docs.sparkSession
     doc_kind, item_kind = docs.schema[id_column].dataType, items.schema[item_column].dataType
     schema = f"`{id_column}` {doc_kind.simpleString()}, `{item_column}` {item_kind.simpleString()}, shared long, shingles long"
     rows = docs.select(F.col(id_column), without_nulls(F.col(text_column)).alias("text"))
+    keys_kind = to_arrow_type(item_kind)
     found = None
     for block in _blocks(items, item_column, text_column):
         sent, built = spark.sparkContext.broadcast(block), []
@@ -252,8 +254,8 @@ def find_contained(docs: DataFrame, items: DataFrame, words: int = 5, containmen
             for batch in batches:
                 hits = list(built[0].matches(batch.column(1).to_pylist(), containment))
                 at, item, shared, size = zip(*hits) if hits else ((), (), (), ())
-                keys = pa.array([built[0].keys[i] for i in item])
-                yield pa.record_batch([batch.column(0).take(pa.array(at, pa.int64())), keys if len(keys) else pa.array([], pa.int64()), pa.array(shared, pa.int64()), pa.array(size, pa.int64())], names=[id_column, item_column, "shared", "shingles"])
+                keys = pa.array([built[0].keys[i] for i in item], keys_kind)
+                yield pa.record_batch([batch.column(0).take(pa.array(at, pa.int64())), keys, pa.array(shared, pa.int64()), pa.array(size, pa.int64())], names=[id_column, item_column, "shared", "shingles"])
 
         part = by_small_batches(rows).mapInArrow(returning_memory(search), schema)
         found = part if found is None else found.unionByName(part)
@@ -261,7 +263,12 @@ def find_contained(docs: DataFrame, items: DataFrame, words: int = 5, containmen
 
 
 def drop_contaminated(docs: DataFrame, items: DataFrame, words: int = 5, containment: float = 0.8, item_column: str = "item_id", text_column: str = "text") -> DataFrame:
-    """The rows of ``docs``, with all their columns, that contain no item."""
+    """The rows of ``docs``, with all their columns, that contain no item, as ``find_contained`` has it.
+
+    Rows with null or empty texts contain nothing and stay; of rows that repeat,
+    all stay or all go. Without items all rows stay. Column names may clash with those
+    of ``items``.
+    """
     spark, names = docs.sparkSession, docs.columns
     rows = docs.toDF(*[f"c{i}" for i in range(len(names))])
     kinds = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in rows.schema)
