@@ -113,3 +113,9 @@ def test_templates_equal_plain_counts(spark):
         if mark not in (h.PAGES, h.ARTICLES) and len(rests) >= max(h.TEMPLATE_PAGES, least):
             wanted[host].add(mark)
     assert got == dict(wanted) and any(m < 0 for m in got["h0.test"]) and any(m > 0 for m in got["h0.test"])
+
+
+def test_notices_within_articles():
+    """A box of a notice goes; a paragraph or a run of the text that is marked as one stays."""
+    page = "<body><article><p>One</p><div class='notice'><p>Mind this</p></div><p class=notice>Two</p><p>Three <span class=disclaimer>four</span></p><div class='related'>Five</div></article></body>"
+    assert text_of(page) == "One\n\nTwo\n\nThree four\n\nFive"

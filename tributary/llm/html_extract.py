@@ -57,7 +57,9 @@ BOILERPLATE = re.compile(
     r"(?:^|[\s_-])(?:ad|ads|advert|adverts|advertisement|advertising|banner|breadcrumb|breadcrumbs|comment|comments|commentlist|disqus|cookie|cookies|consent|gdpr|disclaimer|footer|masthead|login|menu|modal|nav|navbar|navigation|newsletter|notice|notices|notification|pager|pagination|popup|promo|related|recommended|replies|respond|search|share|sharing|sidebar|signup|skip|social|sponsor|sponsored|subscribe|subscription|tags|toolbar|widget|widgets|complementary|contentinfo|alert|alertdialog)(?:$|[\s_-])"
 )
 #: Such words that within an article may just as well mark its own text; boxes that recur there are found by their counts.
-_TEXT_MARKS = frozenset("search tags related recommended notice notices disclaimer complementary".split())
+_TEXT_MARKS = frozenset("search tags related recommended complementary".split())
+#: Such words that mark a notice if a box has them, but may mark a paragraph or a run of the text.
+_NOTICES = frozenset("notice notices disclaimer".split())
 _MARK = re.compile(r"[\s_-]+")
 #: Marks of a header; within the article it holds the headline, elsewhere it is site furniture.
 _HEADER = re.compile(r"(?:^|[\s_-])header(?:$|[\s_-])")
@@ -122,7 +124,7 @@ def parse(page: str) -> Node:
         marked = bool(kind) and marks is not None and bool(marks.search(kind))
         if marked and any(map(_is_main, stack)):
             own = _hyphened(k for n, k in kinds if n != "id" or tag not in TITLES)
-            marked = bool(marks.search(" ".join(w for w in _MARK.split(own) if w not in _TEXT_MARKS) if marks is BOILERPLATE else own))
+            marked = bool(marks.search(" ".join(w for w in _MARK.split(own) if w not in (_TEXT_MARKS if tag in BOXES else _TEXT_MARKS | _NOTICES)) if marks is BOILERPLATE else own))
         node = Node(tag, kind, tag in NEVER or marked or bool(attributes) and bool(_HIDDEN.search(attributes)))
         stack[-1].parts.append(node)
         if tag in VOID or attributes.rstrip().endswith("/") and tag not in BLOCKS:
