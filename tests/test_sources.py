@@ -125,6 +125,8 @@ def test_pod_logs_and_stream(spark, tmp_path):
 def test_mail_parts(spark):
     mail = "From: a\nMIME-Version: 1.0\nContent-Type: multipart/mixed; boundary=B\n\n--B\nContent-Type: text/plain\n\nhello\n--B\nContent-Type: application/pdf\nContent-Disposition: attachment; filename=x.pdf\nContent-Transfer-Encoding: base64\n\nAAEC\n--B--\n"
     got = files.mail_parts(spark.createDataFrame([(1, mail), (2, None)], "i int, text string")).where("i = 1").orderBy("part_no").collect()
+    odd = "Content-Type: text/plain; charset=x-unknown\nContent-Transfer-Encoding: 8bit\n\nhello"
+    assert [r.body for r in files.mail_parts(spark.createDataFrame([(1, odd)], "i int, text string")).collect()] == ["hello"]
     assert got[0].body.strip() == "hello" and bytes(got[1].attachment) == b"\x00\x01\x02" and got[1].name == "x.pdf"
 
 
@@ -191,8 +193,38 @@ def test_config():
 
 def test_ingest_plan(spark, tmp_path):
     (tmp_path / "one.txt").write_text('{"id":1,"kind":"a"}\n{"id":1,"kind":"a"}\n{"id":2,"kind":"b"}\n')
-    settings = [{"file": {"file_path": str(tmp_path / "one.txt"), "client_options": {"mapping": {"event_type_path": "kind"}}}}]
-    assert sorted((r.dedupe_key, r.event_type) for r in ingest.events(spark, settings).select("dedupe_key", "event_type").collect()) == [("1", "a"), ("2", "b")]
+    (tmp_path / "two.txt").write_text('{"id":1,"kind":"c"}\nbare\nbare\n')
+    own = {"client_options": {"mapping": {"event_type_path": "kind"}}}
+    settings = [{"file": {"file_path": str(tmp_path / "one.txt"), **own}}, {"file": {"file_path": str(tmp_path / "two.txt"), **own}}]
+    got = lambda **how: sorted((r.text if r.payload_kind == "text" else r.dedupe_key, r.event_type) for r in ingest.events(spark, settings, **how).select("payload_kind", "text", "dedupe_key", "event_type").collect())
+    assert got() == [("1", "a"), ("1", "a"), ("1", "c"), ("2", "b"), ("bare", None), ("bare", None)]
+    assert got(dedupe=True) == [("1", "a"), ("1", "c"), ("2", "b"), ("bare", None), ("bare", None)]
+    settings[0]["file"]["dedupe"] = False
+    assert got(dedupe=True) == got()
+
+
+def test_parquet_cells_keep_all_they_have():
+    import datetime
+    import decimal
+
+    at = datetime.datetime(2024, 1, 2, 3, 4, 5, 678901)
+    table = pa.table({
+        "d": pa.array([0.1234567890123456, 1e-12, float("nan"), 1e300]), "n": pa.array([decimal.Decimal("12345678901234567.89"), None, decimal.Decimal("-0.01"), decimal.Decimal("0")], pa.decimal128(38, 2)),
+        "t": pa.array([at] * 4, pa.timestamp("us", "America/New_York")), "z": pa.array([at] * 4, pa.timestamp("us")), "ns": pa.array([1_700_000_000_123_456_789] * 4, pa.timestamp("ns")), "b": [b"\x00\xff"] * 4,
+        "day": [at.date()] * 4, "l": [[1, None]] * 4, "s": [{"x": "é\n"}] * 4, "m": pa.array([[("k", 2**63 - 1)]] * 4, pa.map_(pa.string(), pa.int64())), "u": pa.array([2**64 - 1] * 4, pa.uint64()),
+    })
+    buffer = io.BytesIO()
+    pq.write_table(table, buffer)
+    rows = list(files.records("x.parquet", buffer.getvalue()))
+    assert '"d":0.1234567890123456,"n":12345678901234567.89,"t":"2024-01-02T03:04:05.678901Z","z":"2024-01-02T03:04:05.678901","ns":"2023-11-14T22:13:20.123456789","b":"AP8="' in rows[0]
+    assert '"day":"2024-01-02","l":[1,null],"s":{"x":"é\\n"},"m":{"k":9223372036854775807},"u":18446744073709551615}' in rows[0]
+    assert rows[1].startswith('{"d":1.0e-12,"n":null,') and rows[2].startswith('{"d":"NaN","n":-0.01') and json.loads(rows[3])["d"] == 1e300
+    assert list(files.decoded("x.parquet", b"PAR1 broken PAR1"))[0][1] == [None]
+
+
+def test_json_rows_keep_microseconds(spark):
+    rows = spark.sql("select timestamp'2024-01-02 03:04:05.678901' t, timestamp_ntz'2024-01-02 03:04:05.000001' z, X'00FF' b, 1e-12D d, null n")
+    assert files.json_rows(rows).first().text == '{"t":"2024-01-02T03:04:05.678901Z","z":"2024-01-02T03:04:05.000001","b":"AP8=","d":1.0E-12,"n":null}'
 
 
 def test_http_reading(monkeypatch):

@@ -2,14 +2,14 @@
 
 from __future__ import annotations
 
+from functools import reduce
 from typing import Any
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.text import content_hash
 from ..operators.events import ID_FIELDS, Mapping, to_events
-from ..operators.feeds import union_tagged
 from ..sources import files
 
 
@@ -45,30 +45,32 @@ def raw(spark: SparkSession, source: str, settings: dict[str, Any]) -> DataFrame
     raise ValueError(f"{source!r} isn't a source of files; read it by spark.read.format() with paged_source() or queue_source()")
 
 
-def events(spark: SparkSession, settings: list[dict[str, dict[str, Any]]], dedupe: bool = True) -> DataFrame:
+def events(spark: SparkSession, settings: list[dict[str, dict[str, Any]]], dedupe: bool = False) -> DataFrame:
     """All sources of all settings, united.
 
     A bundle that can't be decoded gives an event of kind ``error`` with the
-    reason for its text. With ``dedupe``, of records that share source and id
-    the first by time stays; records without an id of their own (lines of a log
-    that repeat, for one) are all kept.
+    reason for its text. Every record is an event, for files are read once; a
+    setting with ``dedupe: true`` (``dedupe`` sets it for those that don't say) is of a feed that is read
+    again in part: of its records that share an id the first by time stays, and
+    records without an id of their own are all kept. Settings are never held
+    against each other, whatever ids their records have.
     """
-    found = {}
-    for n, document in enumerate(settings):
+    tables = []
+    for document in settings:
         for source, own in document.items():
             rows = raw(spark, source, own)
             failed = F.col("error") if "error" in rows.columns else F.lit(None).cast("string")
             rows = rows.select("path", F.coalesce("text", failed).alias("text"), failed.isNotNull().alias("_failed"), content_hash(F.coalesce("text", failed)).alias("_hash"))
             table = to_events(rows, mapping_of(source, own), path="path", keep=("_failed", "_hash"))
             table = table.withColumn("payload_kind", F.when(F.col("_failed"), "error").otherwise(F.col("payload_kind")))
-            found[f"{source}-{n}"] = table.withColumn("_named", F.col("dedupe_key") != F.col("_hash")).drop("_failed", "_hash")
-    rows = union_tagged(found, "_feed").drop("_feed")
-    if not dedupe:
-        return rows.drop("_named")
-    # rows without an id are counted, for they are alike, and given back as often
-    columns = [c for c in rows.columns if c != "_named"]
-    plain = rows.withColumn("payload", F.to_json("payload"))
-    place = F.when(~F.col("_named"), F.col("provenance.path"))
-    first = plain.groupBy("source", "dedupe_key", "_named", place.alias("_place")).agg(F.min_by(F.struct(*columns), F.struct("event_time", "text")).alias("row"), F.count("*").alias("n"))
-    copies = F.when(F.col("_named"), F.array(F.lit(1))).otherwise(F.sequence(F.lit(1), F.col("n").cast("int")))
-    return first.select("row", F.explode(copies).alias("_copy")).select("row.*").withColumn("payload", F.try_parse_json("payload"))
+            named = F.col("dedupe_key") != F.col("_hash")
+            table = _once(table, named) if own.get("dedupe", dedupe) else table
+            tables.append(table.drop("_failed", "_hash"))
+    return reduce(lambda a, b: a.unionByName(b), tables)
+
+
+def _once(table: DataFrame, named: Column) -> DataFrame:
+    """Of rows that share a key of their own the first by time; the others are not grouped."""
+    plain = table.withColumn("payload", F.to_json("payload"))  # a variant can't be compared
+    first = plain.where(named).groupBy("dedupe_key").agg(F.min_by(F.struct(*plain.columns), F.struct("event_time", "text")).alias("row"))
+    return first.select("row.*").unionByName(plain.where(~named)).withColumn("payload", F.try_parse_json("payload"))

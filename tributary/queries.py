@@ -393,16 +393,24 @@ def parquet_marks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "part").select("p_partkey", files.is_parquet(name, content.cast("binary")).alias("parquet"))
 
 
-@query("SELECT kind, c_custkey, c_name FROM customer, (SELECT unnest(['packed', 'rows', 'plain']) AS kind)")
+@query("""
+SELECT kind, c_custkey, c_name, c_acctbal / 3e14 AS small, CAST(c_custkey + 1 AS VARCHAR) || '12345678901234.0625' AS exact, c_custkey * 1000003 AS micros, c_name AS raw
+FROM customer, (SELECT unnest(['packed', 'rows', 'plain']) AS kind)
+""")
 def bundle_routing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Small files of three kinds, each read as its kind is."""
-    rows = table(spark, sf_dir, "customer").select("c_custkey", "c_name")
+    """Small files of three kinds, each read as its kind is: doubles, decimals, times and bytes keep all their digits."""
+    rows = table(spark, sf_dir, "customer").select(
+        "c_custkey", "c_name", (F.col("c_acctbal").cast("double") / 3e14).alias("small"), F.concat(F.col("c_custkey") + 1, F.lit("12345678901234.0625")).cast("decimal(38,4)").alias("exact"), F.timestamp_micros(F.col("c_custkey") * 1000003).alias("at"), F.col("c_name").cast("binary").alias("raw")
+    )
     path = shared_folder(spark, "bundles")
     rows.coalesce(2).write.parquet(f"{path}/rows")
     files.json_rows(rows).coalesce(2).write.option("compression", "gzip").text(f"{path}/packed")
     files.json_rows(rows).coalesce(2).write.text(f"{path}/plain")
     found = files.bundles(spark, f"{path}/*", "part-*").where("error is null").withColumn("v", F.try_parse_json("text"))
-    return found.select(F.regexp_extract("path", "/(rows|packed|plain)/", 1).alias("kind"), field(F.col("v"), "c_custkey", "int").cast("long").alias("c_custkey"), field(F.col("v"), "c_name").alias("c_name"))
+    return found.select(
+        F.regexp_extract("path", "/(rows|packed|plain)/", 1).alias("kind"), field(F.col("v"), "c_custkey", "int").cast("long").alias("c_custkey"), field(F.col("v"), "c_name").alias("c_name"),
+        F.regexp_extract("text", '"small":([^,]*)', 1).cast("double").alias("small"), F.regexp_extract("text", '"exact":([^,]*)', 1).alias("exact"), F.unix_micros(field(F.col("v"), "at").cast("timestamp")).alias("micros"), F.unbase64(field(F.col("v"), "raw")).cast("string").alias("raw"),
+    )
 
 
 @query("SELECT c_custkey, CASE WHEN c_custkey % 5 > 0 THEN c_mktsegment END AS namespace, CASE WHEN c_custkey % 5 > 0 THEN 'pod-' || c_custkey END AS pod_name, CASE WHEN c_custkey % 5 > 0 THEN 'n' || c_nationkey END AS container_name FROM customer")
@@ -442,17 +450,20 @@ def provenance_of_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("""
 SELECT 'json' AS kind, CAST(c_custkey AS VARCHAR) AS name, CAST(1 AS BIGINT) AS n, 'host-' || c_nationkey AS hostname FROM customer
+UNION ALL SELECT 'json' AS kind, CAST(s_suppkey AS VARCHAR) AS name, CAST(2 AS BIGINT) AS n, 'supplier-' || s_nationkey AS hostname FROM supplier
 UNION ALL SELECT 'text' AS kind, 'line ' || c_nationkey AS name, 2 * count(*) AS n, NULL AS hostname FROM customer GROUP BY c_nationkey
 """)
 def ingest_plan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Settings to events: records with an id once, equal lines of a log each."""
-    rows = table(spark, sf_dir, "customer")
-    path = shared_folder(spark, "plan")
-    record = F.to_json(F.struct(F.col("c_custkey").alias("id"), F.struct(F.concat(F.lit("host-"), "c_nationkey").alias("name")).alias("host")))
-    twice = F.explode(F.array(F.lit(1), F.lit(2)))
-    rows.select(record.alias("value")).select("value", twice.alias("c")).select("value").write.text(f"{path}/records")
-    rows.select(F.concat(F.lit("line "), "c_nationkey").alias("value"), twice.alias("c")).select("value").write.text(f"{path}/lines")
-    settings = [{"file": {"file_path": f"{path}/records", "client_options": {"mapping": {"sensor_hostname_path": "host/name"}}}}, {"file": {"file_path": f"{path}/lines"}}]
+    """Settings to events: two of one kind whose records share ids, one of them read again; equal lines of a log each."""
+    rows, path = table(spark, sf_dir, "customer"), shared_folder(spark, "plan")
+    record = lambda i, host: F.to_json(F.struct(F.col(i).alias("id"), F.struct(host.alias("name")).alias("host"))).alias("value")
+    twice = F.explode(F.array(F.lit(1), F.lit(2))).alias("c")
+    rows.select(record("c_custkey", F.concat(F.lit("host-"), "c_nationkey"))).select("value", twice).select("value").write.text(f"{path}/records")
+    suppliers = table(spark, sf_dir, "supplier")
+    suppliers.select(record("s_suppkey", F.concat(F.lit("supplier-"), "s_nationkey"))).select("value", twice).select("value").write.text(f"{path}/suppliers")
+    rows.select(F.concat(F.lit("line "), "c_nationkey").alias("value"), twice).select("value").write.text(f"{path}/lines")
+    mapping = {"client_options": {"mapping": {"sensor_hostname_path": "host/name"}}}
+    settings = [{"file": {"file_path": f"{path}/records", "dedupe": True, **mapping}}, {"file": {"file_path": f"{path}/suppliers", **mapping}}, {"file": {"file_path": f"{path}/lines"}}]
     found = ingest.events(spark, settings)
     name = F.when(F.col("payload_kind") == "json", F.col("dedupe_key")).otherwise(F.col("text"))
     return found.groupBy(F.col("payload_kind").alias("kind"), name.alias("name"), "hostname").agg(F.count("*").alias("n"))
@@ -499,11 +510,11 @@ def mailbox_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "customer").select("c_custkey", address(F.concat(F.lit("  "), F.upper("c_name"), F.lit(" "))).alias("mailbox"))
 
 
-@query("SELECT c_custkey, 'start' AS action FROM (SELECT c_custkey FROM customer WHERE c_acctbal > 0 EXCEPT SELECT o_custkey FROM orders)")
+@query("SELECT c_custkey, 'start' AS action FROM (SELECT c_custkey FROM customer WHERE c_acctbal > 0 EXCEPT SELECT o_custkey FROM orders WHERE o_orderstatus = 'P')")
 def reconcile_truncated(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A listing that broke off starts what is new and stops nothing."""
     desired = table(spark, sf_dir, "customer").where("c_acctbal > 0").select("c_custkey")
-    active = table(spark, sf_dir, "orders").select(F.col("o_custkey").alias("c_custkey"))
+    active = table(spark, sf_dir, "orders").where("o_orderstatus = 'P'").select(F.col("o_custkey").alias("c_custkey"))
     start, stop = feeds.reconcile(active, desired, ["c_custkey"], complete=False)
     return start.withColumn("action", F.lit("start")).unionByName(stop.withColumn("action", F.lit("stop")))
 

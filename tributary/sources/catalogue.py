@@ -2,7 +2,8 @@
 
 Addresses in braces are filled from the settings, ``{since}``, ``{until}`` and the
 members of records aside. A service that takes no upper bound, or none, is read
-in one slice, and what is outside the range is dropped.
+in one slice, and what is outside the range is dropped. Feeds without an id of
+an event's own have none: the content's hash tells their records apart.
 """
 
 from __future__ import annotations
@@ -14,7 +15,7 @@ from .http import Request, filled
 
 # The services' addresses and names.
 FEEDS: dict[str, dict[str, Request]] = {
-    "bitwarden": {"events": Request("https://api.bitwarden.com/public/events", "data", ("itemId",), ("date",), "start", "end", paging="cursor", position="continuationToken", following="continuationToken")},
+    "bitwarden": {"events": Request("https://api.bitwarden.com/public/events", "data", (), ("date",), "start", "end", paging="cursor", position="continuationToken", following="continuationToken")},
     "box": {"events": Request("https://api.box.com/2.0/events", "entries", ("event_id",), ("created_at",), "created_after", "created_before", paging="cursor", position="stream_position", following="next_stream_position", fixed={"stream_type": "admin_logs"})},
     "cato": {
         "events": Request(
@@ -24,13 +25,13 @@ FEEDS: dict[str, dict[str, Request]] = {
     },
     "cylance": {
         "detections": Request("https://protectapi.cylance.com/detections/v2", "page_items", ("Id",), ("ReceivedTime",), "start", "end", paging="page", position="page", size=("page_size", 200), detail="https://protectapi.cylance.com/detections/v2/{Id}/details", listed=("ReceivedTime",)),
-        "threats": Request("https://protectapi.cylance.com/threats/v2", "page_items", ("sha256",), ("last_found",), "start_time", "end_time", paging="page", position="page", size=("page_size", 200)),
-        "memory": Request("https://protectapi.cylance.com/memoryprotection/v2", "page_items", ("device_image_file_event_id",), ("created",), "start_time", "end_time", paging="page", position="page", size=("page_size", 200)),
+        "threats": Request("https://protectapi.cylance.com/threats/v2", "page_items", ("sha256",), ("last_found",), "start_time", "end_time", paging="page", position="page", size=("page_size", 200), detail="https://protectapi.cylance.com/threats/v2/{sha256}", listed=("last_found",)),
+        "memory": Request("https://protectapi.cylance.com/memoryprotection/v2", "page_items", ("device_image_file_event_id",), ("created",), "start_time", "end_time", paging="page", position="page", size=("page_size", 200), detail="https://protectapi.cylance.com/memoryprotection/v2/{device_image_file_event_id}", listed=("created",)),
     },
     "defender": {"alerts": Request("https://graph.microsoft.com/v1.0/security/alerts_v2", "value", ("id",), ("createdDateTime",), paging="url", following="@odata.nextLink", filter=("$filter", "createdDateTime ge {since} and createdDateTime lt {until}"))},
     "duo": {
         "auth": Request("https://{host}/admin/v2/logs/authentication", "response/authlogs", ("txid",), ("isotimestamp",), "mintime", "maxtime", "ms", "cursor", "next_offset", "response/metadata/next_offset"),
-        "admin": Request("https://{host}/admin/v1/logs/administrator", "response", ("timestamp",), ("timestamp",), "mintime", None, "s"),
+        "admin": Request("https://{host}/admin/v1/logs/administrator", "response", (), ("timestamp",), "mintime", None, "s"),
     },
     "entraid": {"risks": Request("https://graph.microsoft.com/v1.0/identityProtection/riskDetections", "value", ("id",), ("activityDateTime",), paging="url", following="@odata.nextLink", filter=("$filter", "activityDateTime ge {since} and activityDateTime lt {until}"))},
     "gmail": {"messages": Request("https://gmail.googleapis.com/gmail/v1/users/{user}/messages", "messages", ("id",), ("internalDate",), bound="s", paging="cursor", position="pageToken", following="nextPageToken", size=("maxResults", 500), filter=("q", "{query} after:{since} before:{until}"), detail="https://gmail.googleapis.com/gmail/v1/users/{user}/messages/{id}?format=full", open_below=True)},

@@ -2,9 +2,16 @@
 
 from __future__ import annotations
 
+import base64
+import datetime
+import decimal
 import gzip
 import io
+import json
+import math
 import zlib
+from collections.abc import Iterator
+from typing import Any
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -65,8 +72,9 @@ def versions(spark: SparkSession, path: str, glob: str | None = None) -> DataFra
 
 
 def json_rows(rows: DataFrame, out: str = "text") -> DataFrame:
-    """Each row of a table as JSON text; nulls stay, as nulls."""
-    return rows.select(F.to_json(F.struct(*rows.columns), {"ignoreNullFields": "false"}).alias(out))
+    """Each row of a table as JSON text; nulls stay, as nulls, and times keep their microseconds."""
+    options = {"ignoreNullFields": "false", "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX", "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"}
+    return rows.select(F.to_json(F.struct(*rows.columns), options).alias(out))
 
 
 def parquet_rows(spark: SparkSession, path: str) -> DataFrame:
@@ -93,7 +101,37 @@ def unpacked(content: bytes, most: int = MAX_UNPACKED_BYTES) -> bytes:
     return b"".join(out)
 
 
-def records(name: str, content: bytes, most: int = MAX_UNPACKED_BYTES) -> list[str]:
+def as_json(value: Any) -> str:
+    """A value of a Parquet cell as JSON, without loss.
+
+    Doubles and decimals keep all digits (a double always has a dot), times their
+    fractions of a second, in UTC if they have a zone; bytes become base64. What isn't a number
+    or is infinite is spelled as a text.
+    """
+    if isinstance(value, bool) or value is None or isinstance(value, (str, int)):
+        return json.dumps(value, ensure_ascii=False)
+    if isinstance(value, float):
+        text = repr(value)
+        if not math.isfinite(value):
+            return json.dumps({"nan": "NaN", "inf": "Infinity", "-inf": "-Infinity"}[text])
+        return text if "." in text else text.replace("e", ".0e")
+    if isinstance(value, decimal.Decimal):
+        return format(value, "f") if value.is_finite() else json.dumps(str(value))
+    if isinstance(value, dict):
+        return "{" + ",".join(f"{json.dumps(str(k), ensure_ascii=False)}:{as_json(v)}" for k, v in value.items()) + "}"
+    if isinstance(value, (list, tuple)):
+        return "[" + ",".join(map(as_json, value)) + "]"
+    if isinstance(value, (bytes, bytearray)):
+        return json.dumps(base64.b64encode(value).decode())
+    if isinstance(value, datetime.datetime):
+        fine = "nanoseconds" if getattr(value, "nanosecond", 0) else "microseconds"
+        if value.tzinfo is None:
+            return json.dumps(value.isoformat(timespec=fine))
+        return json.dumps(value.astimezone(datetime.timezone.utc).replace(tzinfo=None).isoformat(timespec=fine) + "Z")
+    return json.dumps(value.isoformat() if hasattr(value, "isoformat") else str(value))
+
+
+def records(name: str, content: bytes, most: int = MAX_UNPACKED_BYTES) -> Iterator[str]:
     """The records of one bundle: rows of Parquet as JSON, packed or not, else lines of text."""
     low = name.lower()
     if low.endswith(".gz"):
@@ -102,18 +140,29 @@ def records(name: str, content: bytes, most: int = MAX_UNPACKED_BYTES) -> list[s
     if low.endswith(".parquet") or len(content) >= 8 and content[:4] == content[-4:] == _PARQUET_MARK:
         import pyarrow.parquet as pq
 
-        out = []
         for batch in pq.ParquetFile(io.BytesIO(content)).iter_batches(1024):
-            out += batch.to_pandas(types_mapper=pd_arrow).to_json(orient="records", lines=True, date_format="iso", date_unit="ms", force_ascii=False).splitlines()
-        return [r for r in out if r]
-    return [line for line in content.decode("utf-8", "replace").split("\n") if line.strip("\r")]
+            yield from map(as_json, batch.to_pylist(maps_as_pydicts="strict"))
+    else:
+        yield from (line for line in content.decode("utf-8", "replace").split("\n") if line.strip("\r"))
 
 
-def pd_arrow(kind: pa.DataType):
-    """Keeps integers whole where a column has nulls."""
-    import pandas as pd
-
-    return pd.ArrowDtype(kind)
+def decoded(name: str, content: bytes, size: int = 10_000) -> Iterator[tuple[int, list[str | None], str | None]]:
+    """(place of the first, texts, error) for the records of a bundle; what can't be decoded ends it by one row with the error."""
+    held: list[str | None] = []
+    at = 0
+    try:
+        for text in records(name, content):
+            held.append(text)
+            if len(held) == size:
+                yield at, held, None
+                at, held = at + size, []
+    except (ValueError, pa.ArrowException) as error:
+        if held:
+            yield at, held, None
+        yield at + len(held), [None], str(error)
+        return
+    if held:
+        yield at, held, None
 
 
 def bundles(spark: SparkSession, path: str, glob: str | None = None, max_bytes: int = MAX_FILE_BYTES) -> DataFrame:
@@ -127,18 +176,13 @@ def bundles(spark: SparkSession, path: str, glob: str | None = None, max_bytes:
     files = found.where(F.col("length") <= max_bytes).select("path", "content")
     beyond = found.where(F.col("length") > max_bytes).select("path", F.lit(0).cast("long").alias("offset"), F.lit(None).cast("string").alias("text"), F.concat("length", F.lit(f" bytes, more than {max_bytes}")).alias("error"))
 
-    def decoded(batches):
+    def rows(batches):
         for batch in batches:
             for name, content in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                try:
-                    texts, errors = records(name, content), None
-                except (ValueError, pa.ArrowException) as error:
-                    texts, errors = [None], str(error)
-                for at in range(0, len(texts), 10_000):
-                    part = texts[at : at + 10_000]
-                    yield pa.record_batch([pa.array([name] * len(part)), pa.array(range(at, at + len(part)), pa.int64()), pa.array(part, pa.string()), pa.array([errors] * len(part), pa.string())], names=["path", "offset", "text", "error"])
+                for at, part, error in decoded(name, content):
+                    yield pa.record_batch([pa.array([name] * len(part)), pa.array(range(at, at + len(part)), pa.int64()), pa.array(part, pa.string()), pa.array([error] * len(part), pa.string())], names=["path", "offset", "text", "error"])
 
-    return files.mapInArrow(decoded, "path string, offset long, text string, error string").unionByName(beyond)
+    return files.mapInArrow(rows, "path string, offset long, text string, error string").unionByName(beyond)
 
 
 def pod_logs(spark: SparkSession, root: str, include: str | None = None, exclude: str | None = None, newest_only: bool = True) -> DataFrame:
@@ -154,6 +198,14 @@ def pod_logs(spark: SparkSession, root: str, include: str | None = None, exclude
     return rows.drop("_changed")
 
 
+def _text(content: bytes, charset: str | None) -> str:
+    """A mail's text; in a charset that isn't known it is read as UTF-8."""
+    try:
+        return content.decode(charset or "utf-8", "replace")
+    except LookupError:
+        return content.decode("utf-8", "replace")
+
+
 def mail_parts(mails: DataFrame, raw: str = "text") -> DataFrame:
     """(columns, part_no, content_type, name, sha256, body, attachment): the parts of RFC 822 messages.
 
@@ -174,7 +226,7 @@ def mail_parts(mails: DataFrame, raw: str = "text") -> DataFrame:
                 for n, part in enumerate(p for p in message.walk() if not p.is_multipart()):
                     content = part.get_payload(decode=True) or b""
                     plain = part.get_content_type() in ("text/plain", "text/html")
-                    rows.append((n, part.get_content_type(), part.get_filename(), hashlib.sha256(content).hexdigest(), content.decode(part.get_content_charset() or "utf-8", "replace") if plain else None, None if plain else content))
+                    rows.append((n, part.get_content_type(), part.get_filename(), hashlib.sha256(content).hexdigest(), _text(content, part.get_content_charset()) if plain else None, None if plain else content))
                     at.append(i)
             columns = list(zip(*rows)) if rows else [()] * 6
             types = [pa.int32(), pa.string(), pa.string(), pa.string(), pa.string(), pa.binary()]
