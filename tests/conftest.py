@@ -1,3 +1,4 @@
+import json
 import os
 import sys
 
@@ -27,3 +28,32 @@ def spark(tmp_path_factory):
     session.sparkContext.setLogLevel("ERROR")
     yield session
     session.stop()
+
+
+@pytest.fixture
+def served():
+    """A service on this machine: answers by path, each a JSON value, a status, or a function of the JSON that was sent."""
+    import threading
+    from http.server import BaseHTTPRequestHandler, ThreadingHTTPServer
+
+    answers = {}
+
+    class Handler(BaseHTTPRequestHandler):
+        def do_GET(self):
+            sent = self.rfile.read(int(self.headers.get("Content-Length") or 0))
+            answer = answers.get(self.path, answers.get(self.path.split("?")[0], 404))
+            if callable(answer):
+                answer = answer(json.loads(sent) if sent else self.path)
+            self.send_response(answer if isinstance(answer, int) else 200)
+            self.end_headers()
+            self.wfile.write(b"" if isinstance(answer, int) else json.dumps(answer).encode())
+
+        do_POST = do_GET
+
+        def log_message(self, *_):
+            pass
+
+    server = ThreadingHTTPServer(("127.0.0.1", 0), Handler)
+    threading.Thread(target=server.serve_forever, daemon=True).start()
+    yield f"http://127.0.0.1:{server.server_port}", answers
+    server.shutdown()

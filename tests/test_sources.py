@@ -14,7 +14,6 @@ from tributary.operators.dedupe import unseen
 from tributary.plans import checkpoint, config, ingest
 from tributary.sources import catalogue, files, http, retry, tail, tasks
 from tributary.sources.paged import Feed, Page, paged_source, slices, walk
-from tributary.sources.queues import queue_source
 from tributary.streaming.dedupe import within_ttl, within_watermark
 from tributary.streaming.sinks import to_each, to_memory, to_parquet
 
@@ -59,24 +58,6 @@ def test_cursor_that_comes_back_fails():
     assert [(s.since, s.until) for s in slices("f", 0, 25, 10)] == [(0, 10), (10, 20), (20, 25)]
 
 
-def test_queue_is_acknowledged_after_the_batch(spark, tmp_path):
-    class Queue:
-        left, done = [("r1", "a"), ("r2", "b"), ("r3", "c")], []
-
-        def receive(self, most):
-            out, Queue.left = Queue.left[:2], Queue.left[2:]
-            return out
-
-        def acknowledge(self, receipts):
-            Queue.done += receipts
-
-    spark.dataSource.register(queue_source("fake_queue", Queue(), 2))
-    query = to_memory(spark.readStream.format("fake_queue").load(), "queued")
-    query.processAllAvailable()
-    query.stop()
-    assert sorted(r.body for r in spark.table("queued").collect()) == ["a", "b", "c"]
-
-
 def test_files(spark, tmp_path):
     (tmp_path / "in").mkdir()
     table = pa.table({"a": ["x", None], "b": pa.array([2**53 + 1, None])})
@@ -314,35 +295,6 @@ def test_nothing_is_lost_silently(spark, tmp_path):
     assert [r.text.startswith("bad gzip") for r in got if r.payload_kind == "error"] == [True]
 
 
-@pytest.fixture
-def served():
-    """A service on this machine: answers by path, each a JSON value, a status, or a function of the JSON that was sent."""
-    import threading
-    from http.server import BaseHTTPRequestHandler, ThreadingHTTPServer
-
-    answers = {}
-
-    class Handler(BaseHTTPRequestHandler):
-        def do_GET(self):
-            sent = self.rfile.read(int(self.headers.get("Content-Length") or 0))
-            answer = answers.get(self.path, answers.get(self.path.split("?")[0], 404))
-            if callable(answer):
-                answer = answer(json.loads(sent) if sent else self.path)
-            self.send_response(answer if isinstance(answer, int) else 200)
-            self.end_headers()
-            self.wfile.write(b"" if isinstance(answer, int) else json.dumps(answer).encode())
-
-        do_POST = do_GET
-
-        def log_message(self, *_):
-            pass
-
-    server = ThreadingHTTPServer(("127.0.0.1", 0), Handler)
-    threading.Thread(target=server.serve_forever, daemon=True).start()
-    yield f"http://127.0.0.1:{server.server_port}", answers
-    server.shutdown()
-
-
 def test_upper_bounds_of_whole_seconds_lose_nothing():
     assert http.written(20_500, "s") == "20" and http.written(20_500, "s", up=True) == "21" and http.written(21_000, "s", up=True) == "21"
     records = [{"id": n, "date_create": n} for n in range(15, 25)]

@@ -14,9 +14,10 @@ from .functions.timestamps import millis, parsed
 from .operators import dedupe, envelopes, events, feeds, framing, predicates
 from .plans import ingest
 from .plans.checkpoint import watermark
-from .sources import files, paged
+from .sources import cursors, files, objects, paged, queues, spool
+from .sources.spool import opened
 from .streaming.dedupe import within_watermark
-from .streaming.sinks import run_once, shared_folder
+from .streaming.sinks import run_once, shared_folder, to_parquet
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -469,15 +470,160 @@ def ingest_plan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.groupBy(F.col("payload_kind").alias("kind"), name.alias("name"), "hostname").agg(F.count("*").alias("n"))
 
 
-class _HeldService:
-    """A service that gives all its records, newest first, whatever the range that is asked for."""
+class _TableService:
+    """A fake service whose records are rows (feed, n, text) of a Parquet table in the shared folder, which tasks read; ``n`` is time and place."""
 
-    def __init__(self, records: list[dict]):
-        self.records = records
+    def __init__(self, path: str, upto: int, lost: tuple[str, ...] = (), page: int = 1000):
+        self.path, self.upto, self.lost, self.page = path, upto, lost, page
+
+    def _rows(self, feed: str, since: int, until: int) -> list[dict]:
+        import pyarrow.compute as pc
+        import pyarrow.dataset as ds
+
+        system, root = opened(self.path)
+        places = root if not feed else f"{root}/feed={feed}"
+        if system.get_file_info(places).type.name == "NotFound":
+            return []
+        wanted = (pc.field("n") >= since) & (pc.field("n") < min(until, self.upto))
+        found = ds.dataset(places, filesystem=system, format="parquet").to_table(columns=["n", "id"], filter=wanted)
+        return found.sort_by("n").to_pylist()
+
+    # paged.Client: the bounds that are asked for are ignored, all there is comes newest first
 
     def fetch(self, feed: str, since: int, until: int, cursor) -> paged.Page:
-        at = cursor or 0
-        return paged.Page(self.records[at : at + 100], at + 100 if at + 100 < len(self.records) else None)
+        rows, at = self._rows("", 0, self.upto)[::-1], cursor or 0
+        return paged.Page(rows[at : at + self.page], at + self.page if at + self.page < len(rows) else None)
+
+
+class _CursorService(_TableService):
+    """The same, by cursors; those of the feeds in ``lost`` have expired."""
+
+    def baseline(self, member: str) -> int:
+        return self.upto
+
+    def fetch(self, member: str, cursor) -> cursors.Reading:
+        if cursor is not None and member in self.lost:
+            raise cursors.Expired(f"{cursor}")
+        rows = self._rows(member, cursor or 0, self.upto)[: self.page + 1]
+        more = len(rows) > self.page
+        return cursors.Reading(rows[: self.page], rows[self.page - 1]["n"] + 1 if more else self.upto, more)
+
+
+class _FolderQueue:
+    """A fake queue: a message is a text file in the shared folder, taken by renaming it and acknowledged by moving it away."""
+
+    def __init__(self, path: str):
+        self.path = path
+
+    def receive(self, most: int) -> list[queues.Message]:
+        system, root = opened(self.path)
+        out = []
+        for name in spool.Folder(f"{self.path}/ready").names():
+            if len(out) == most:
+                break
+            if not name.startswith("part-"):
+                continue
+            try:
+                system.move(f"{root}/ready/{name}", f"{root}/taken-{name}")
+            except OSError:  # another task has it
+                continue
+            out.append(queues.Message(name, name, (spool.Folder(self.path).read(f"taken-{name}") or b"").decode()))
+        return out
+
+    def acknowledge(self, receipts: list[str]) -> None:
+        for name in receipts:
+            spool.Folder(self.path).remove(f"taken-{name}")
+
+
+#: A moment after which the services' records are, and what parts their batches.
+_START, _BATCH = 1_700_000_000_000, 1_000_000_000
+
+
+def _served(spark: SparkSession, sf_dir: str, label: str) -> str:
+    """Customers as a service's records: by nation, those of each batch after those of the one before."""
+    path = shared_folder(spark, label)
+    rows = table(spark, sf_dir, "customer").select(F.col("c_nationkey").alias("feed"), (F.col("c_custkey") % 3 * _BATCH + F.col("c_custkey")).alias("n"), F.col("c_custkey").alias("id"))
+    rows.repartition("feed").write.partitionBy("feed").parquet(f"{path}/service")
+    return path
+
+
+def _polled(spark: SparkSession, path: str, sources: list) -> DataFrame:
+    """What a stream gives over several batches, one for each source; each goes on from the checkpoint of the one before."""
+    for source in sources:
+        spark.dataSource.register(source)
+        rows = spark.readStream.format(source.name()).option("state", f"{path}/state").option("backfill", "true").load()
+        to_parquet(rows, f"{path}/rows", f"{path}/checkpoint", once=True).awaitTermination()
+    return spark.read.schema(rows.schema).parquet(f"{path}/rows")
+
+
+def _cursor_batch(path: str, n: int, members, lost: tuple[str, ...] = ()):
+    service = _CursorService(f"{path}/service", (n + 1) * _BATCH, lost)
+    return cursors.cursor_source("cursor_service", service, members, lambda r: str(r["id"]), lambda r: _START + r["n"] // _BATCH, clock=lambda: (n + 1) * 60_000)
+
+
+@query("""
+SELECT c_nationkey AS feed, c_custkey, 1700000000000 + c_custkey % 3 AS ms, FALSE AS gap FROM customer WHERE c_nationkey <> 7 OR c_custkey % 3 < 2
+UNION ALL SELECT 7 AS feed, -1 AS c_custkey, -1 AS ms, TRUE AS gap
+""")
+def cursor_feeds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three polls of feeds that go on from their own cursors; before the third one feed's has expired, which a row tells."""
+    path = _served(spark, sf_dir, "cursors")
+    members = [str(k) for k in range(25)]
+    rows = _polled(spark, path, [_cursor_batch(path, n, members, ("7",) if n == 2 else ()) for n in range(3)])
+    return rows.select(F.col("feed").cast("int").alias("feed"), F.coalesce(F.col("id").cast("long"), F.lit(-1)).alias("c_custkey"), F.coalesce(millis(F.col("event_time")), F.lit(-1)).alias("ms"), F.col("error").isNotNull().alias("gap"))
+
+
+@query("""
+SELECT c_nationkey AS feed, c_custkey FROM customer
+WHERE c_nationkey BETWEEN 5 AND 14 OR c_nationkey = 20 OR c_nationkey < 5 AND c_custkey % 3 < 2
+""")
+def discovered_members(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Members that a listing finds: a broken one starts 12 and stops nothing; then 0 to 4 are gone, and 10 to 14 there. 20 is always read."""
+    path = _served(spark, sf_dir, "members")
+    listings = [([str(k) for k in range(10)], True), (["12"], False), ([str(k) for k in range(5, 15)], True)]
+    rows = _polled(spark, path, [_cursor_batch(path, n, lambda told=told: (["20", *told[0]], told[1])) for n, told in enumerate(listings)])
+    return rows.where("error is null").select(F.col("feed").cast("int").alias("feed"), F.col("id").cast("long").alias("c_custkey"))
+
+
+@query("SELECT c_custkey, c_name, 0 AS left_over FROM customer")
+def queue_by_tasks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Messages that tasks receive, each of many records; all are acknowledged in the end."""
+    path, parts = shared_folder(spark, "queue"), 4 * spark.sparkContext.defaultParallelism
+    files.json_rows(table(spark, sf_dir, "customer").select("c_custkey", "c_name")).repartition(parts).write.text(f"{path}/queue/ready")
+    held = _FolderQueue(f"{path}/queue")
+    rows = _polled(spark, path, [queues.queue_source("folder_queue", held, clock=lambda n=n: 5.0 * n) for n in (1, 2)])
+    lines = framing.lines(rows, text="body").withColumn("v", F.try_parse_json("line"))
+    left = len([n for n in spool.Folder(f"{path}/queue").names() if n.startswith("taken-")])
+    # what the second batch received, nothing, is not acknowledged before a third one
+    return lines.select(field(F.col("v"), "c_custkey", "int").cast("long").alias("c_custkey"), field(F.col("v"), "c_name").alias("c_name"), F.lit(left).alias("left_over"))
+
+
+@query("""
+SELECT c_custkey, c_name, FALSE AS missing FROM customer
+UNION ALL SELECT -1 AS c_custkey, 'no such object' AS c_name, TRUE AS missing FROM nation
+UNION ALL SELECT -1 AS c_custkey, 'no JSON' AS c_name, TRUE AS missing FROM region
+""")
+def notified_objects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Objects that a queue's notifications name, in JSON within JSON with encoded paths; some aren't there, some name nothing."""
+    path, rows = shared_folder(spark, "objects"), table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_nationkey")
+    of = lambda k: rows.where(F.col("c_nationkey") % 3 == k).repartition(2).drop("c_nationkey")
+    of(0).write.parquet(f"{path}/bucket/a b/rows")
+    files.json_rows(of(1)).write.option("compression", "gzip").text(f"{path}/bucket/a b/packed")
+    files.json_rows(of(2)).write.text(f"{path}/bucket/a b/plain")
+    found = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "part-*").load(f"{path}/bucket").select("path")
+    keys = found.select(F.url_encode(F.concat(F.lit("a b/"), F.regexp_extract("path", "([^/]+/[^/]+)$", 1))).alias("key"))
+    keys = keys.unionByName(table(spark, sf_dir, "nation").select(F.concat(F.lit("gone/"), "n_nationkey").alias("key")))
+    inner = F.to_json(F.struct(F.lit("bucket").alias("bucket"), F.array(F.struct(F.col("key").alias("path"))).alias("files")))
+    notices = keys.select(F.to_json(F.struct(inner.alias("Message"))).alias("value"))
+    notices = notices.unionByName(table(spark, sf_dir, "region").select(F.concat(F.lit("no JSON "), "r_regionkey").alias("value")))
+    notices.repartition(8).write.text(f"{path}/queue/ready")
+    spark.dataSource.register(queues.queue_source("notices", _FolderQueue(f"{path}/queue")))
+    stream = spark.readStream.format("notices").option("state", f"{path}/state").load()
+    named = objects.named_objects(framing.lines(stream, text="body", out="notice"), "notice", bucket_path="Message/bucket", file_path="Message/files/path", base=f"{path}/", decode=True)
+    got = run_once(objects.object_records(named.select("message_id", "path", "notice_error"), error="notice_error"))
+    v, missing = F.try_parse_json("text"), F.col("error").isNotNull()
+    name = F.when(F.col("path").contains("/gone/"), "no such object").when(missing, "no JSON").otherwise(field(v, "c_name"))
+    return got.select(F.coalesce(field(v, "c_custkey", "int").cast("long"), F.lit(-1)).alias("c_custkey"), name.alias("c_name"), missing.alias("missing"))
 
 
 @query("""
@@ -486,13 +632,12 @@ WHERE c_custkey >= 20 AND c_custkey < 140
 """)
 def feed_range(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A range of two feeds of a service that ignores bounds: each record once, sliced or whole."""
-    ids = [r[0] for r in table(spark, sf_dir, "customer").select("c_custkey").collect()]  # the fake service's records
-    start = 1_700_000_000_000
-    service = _HeldService([{"id": i, "t": start + 60_000 * i} for i in sorted(ids, reverse=True)])
-    of = lambda name, **own: paged.Feed(name, lambda r: str(r["id"]), lambda r: r["t"], **own)
-    source = paged.paged_source("held_service", [of("bounded", slice=1_000_000), of("whole", bounded=False, newest_first=True)], service)
+    path = shared_folder(spark, "service")
+    table(spark, sf_dir, "customer").select((F.lit(_START) + 60_000 * F.col("c_custkey")).alias("n"), F.col("c_custkey").alias("id")).write.parquet(f"{path}/rows")
+    of = lambda name, **own: paged.Feed(name, lambda r: str(r["id"]), lambda r: r["n"], **own)
+    source = paged.paged_source("table_service", [of("bounded", slice=1_000_000), of("whole", bounded=False, newest_first=True)], _TableService(f"{path}/rows", 1 << 62))
     spark.dataSource.register(source)
-    rows = spark.read.format("held_service").option("since", start + 60_000 * 20).option("until", start + 60_000 * 140).load()
+    rows = spark.read.format("table_service").option("since", _START + 60_000 * 20).option("until", _START + 60_000 * 140).load()
     return rows.select(F.col("id").cast("long").alias("c_custkey"), millis(F.col("event_time")).alias("ms"), F.col("feed").alias("slice"))
 
 

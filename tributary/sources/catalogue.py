@@ -8,9 +8,12 @@ an event's own have none: the content's hash tells their records apart.
 
 from __future__ import annotations
 
+import urllib.parse
+from collections.abc import Callable
 from dataclasses import fields, replace
 from typing import Any
 
+from .cursors import CursorRequest
 from .http import Request, filled
 
 # The services' addresses and names.
@@ -74,14 +77,53 @@ FEEDS: dict[str, dict[str, Request]] = {
 }
 
 
+def _filled(value: Any, settings: dict[str, str]) -> Any:
+    if isinstance(value, str):
+        return filled(value, settings).removeprefix("{query}^").removeprefix("{query} ")
+    if isinstance(value, (tuple, list)):
+        return type(value)(_filled(v, settings) for v in value)
+    return {k: _filled(v, settings) for k, v in value.items()} if isinstance(value, dict) else value
+
+
 def requests(service: str, **settings: str) -> dict[str, Request]:
     """A service's requests with the settings filled in, wherever their names stand in braces."""
+    return {name: replace(r, **{f.name: _filled(getattr(r, f.name), settings) for f in fields(r)}) for name, r in FEEDS[service].items()}
+
+
+# The addresses and names of services that give a cursor to go on from.
+CURSORS: dict[str, CursorRequest] = {
+    "box": CursorRequest("https://api.box.com/2.0/events", "entries", "stream_position", "next_stream_position", "0", "now", fixed={"stream_type": "admin_logs_streaming", "limit": 500}),
+    "cato": CursorRequest(FEEDS["cato"]["events"].url, FEEDS["cato"]["events"].items, "variables/marker", "data/eventsFeed/marker", "", body=FEEDS["cato"]["events"].body),
+    "gmail_history": CursorRequest(
+        "https://gmail.googleapis.com/gmail/v1/users/{member}/history", "history", "startHistoryId", "historyId", profile=("https://gmail.googleapis.com/gmail/v1/users/{member}/profile", "historyId"), page=("pageToken", "nextPageToken"),
+        fixed={"maxResults": 500, "historyTypes": ["messageDeleted", "labelAdded", "labelRemoved"]},
+    ),
+} | {
+    f"onepassword_{name}": CursorRequest(f"https://events.1password.com/api/v2/{name}", "items", "cursor", "cursor", more="has_more", body={"limit": 1000})
+    for name in ("auditevents", "itemusages", "signinattempts")
+}
+
+#: Settings of a mailbox by kind: its path below the mailbox, and where the records are; changes show by ``dedupe.first_contents``.
+MAILBOX_SETTINGS = {"filters": "filter", "forwardingAddresses": "forwardingAddresses", "autoForwarding": "", "sendAs": "sendAs", "delegates": "delegates", "imap": "", "pop": "", "vacation": ""}
+FEEDS["gmail"] |= {kind: Request(f"https://gmail.googleapis.com/gmail/v1/users/{{user}}/settings/{kind}", items, (), ()) for kind, items in MAILBOX_SETTINGS.items()}
+
+
+def cursor_request(service: str, **settings: str) -> CursorRequest:
+    """A service's request with the settings filled in; ``{member}`` stays."""
+    return replace(CURSORS[service], **{f.name: _filled(getattr(CURSORS[service], f.name), settings) for f in fields(CursorRequest)})
 
-    def fill(value: Any) -> Any:
-        if isinstance(value, str):
-            return filled(value, settings).removeprefix("{query}^").removeprefix("{query} ")
-        if isinstance(value, (tuple, list)):
-            return type(value)(map(fill, value))
-        return {k: fill(v) for k, v in value.items()} if isinstance(value, dict) else value
 
-    return {name: replace(r, **{f.name: fill(getattr(r, f.name)) for f in fields(r)}) for name, r in FEEDS[service].items()}
+def mailboxes(get: Callable[[str], Any], customer: str = "my_customer", domain: str | None = None, query: str | None = None, suspended: bool = False, most_pages: int = 100, url: str = "https://admin.googleapis.com/admin/directory/v1/users") -> tuple[list[str], bool]:
+    """The mailboxes of a domain, and whether the listing is complete; ``get`` gives an address' JSON. For ``cursor_source``'s members."""
+    found, token = {}, None
+    for _ in range(most_pages):
+        own = {"maxResults": 500, **({"domain": domain} if domain else {"customer": customer}), "query": query, "pageToken": token}
+        answer = get(url + "?" + urllib.parse.urlencode({k: v for k, v in own.items() if v}))
+        for user in answer.get("users") or []:
+            mailbox = str(user.get("primaryEmail") or "").strip().lower()
+            if mailbox and (suspended or not user.get("suspended")):
+                found[mailbox] = True
+        token = answer.get("nextPageToken")
+        if not token:
+            return list(found), True
+    return list(found), False
