@@ -155,7 +155,6 @@ def test_services_by_cursors(served, tmp_path):
     request = catalogue.cursor_request("gmail_history")
     request = replace(request, url=f"{base}/users/{{member}}/history", profile=(f"{base}/users/{{member}}/profile", "historyId"))
     client = cursors.HttpCursors(request, lambda member: {"Authorization": f"Bearer of {member}"})
-    step = lambda n: batch(reader(client, tmp_path, members=("me@x",), backfill="false"), n, n + 1)
     source = lambda: cursors.cursor_source("h", client, ["me@x"], lambda i: i["id"], lambda i: None)({"state": str(tmp_path)}).streamReader(None)
     assert batch(source(), 0, 1) == [] and batch(source(), 1, 2) == ["100", "101", "102", "103", "104"] and batch(source(), 2, 3) == []
     state |= {"oldest": 200, "profile": "300"}
@@ -165,7 +164,7 @@ def test_services_by_cursors(served, tmp_path):
     box = cursors.HttpCursors(replace(catalogue.cursor_request("box"), url=f"{base}/box"))
     at = box.baseline("")
     first = box.fetch("", at)
-    assert at == ["7", None, None] or at == [7, None, None]
+    assert at == [7, None, None]
     assert first.items == [{"event_id": "e"}] and first.more and not box.fetch("", first.cursor).more
 
     answers["/op"] = lambda sent: {"items": [{"uuid": "2"}], "cursor": "c2", "has_more": False} if sent.get("cursor") == "c1" else {"items": [{"uuid": "1"}], "cursor": "c1", "has_more": True}
@@ -264,3 +263,170 @@ def test_objects_that_notices_name(spark, tmp_path):
     got = objects.object_records(named.drop("body"), error="notice_error", max_bytes=4000).collect()
     assert sorted((r.n, r.offset, r.text) for r in got if r.error is None) == [(0, 0, "one"), (0, 1, "two")]
     assert sorted((r.n, r.error.split(":")[0].split(" [")[0]) for r in got if r.error) == sorted([(0, "bad gzip"), (0, "5000 bytes, more than 4000"), (0, next(r.error for r in got if r.error and "none" in r.error).split(":")[0].split(" [")[0]), (0, "the path can't be decoded"), (2, "the notification names no bucket"), (3, "the notification isn't JSON")])
+
+
+def test_tokens_are_renewed_in_time_and_once_when_refused(served):
+    import pickle
+
+    from tributary.sources import http, retry, tokens
+
+    base, answers = served
+    given, now = [], [1000.0]
+
+    def fetch():
+        given.append(len(given))
+        return f"t{given[-1]}", 100.0
+
+    held = tokens.Tokens(fetch, margin=10.0, clock=lambda: now[0])
+    assert held() == held() == {"Authorization": "Bearer t0"}
+    now[0] = 1091.0
+    assert held() == {"Authorization": "Bearer t1"}
+    told = tokens.Tokens(lambda: (tokens.signed_jwt({"exp": 5000}, "s"), None), clock=lambda: now[0])
+    told()
+    assert told._ends == 5000.0 and tokens.expiry("a.b.c") is None and tokens.expiry("plain") is None
+    seen = []
+
+    def call(headers):
+        seen.append(headers["Authorization"])
+        if len(seen) == 1:
+            raise retry.Refused(401)
+        return "read"
+
+    assert tokens.authorised(held, call) == "read" and seen == ["Bearer t1", "Bearer t2"]
+    with pytest.raises(retry.Refused):
+        tokens.authorised(held, lambda headers: (_ for _ in ()).throw(retry.Refused(401)))
+    with pytest.raises(retry.Refused):
+        tokens.authorised(held, lambda headers: (_ for _ in ()).throw(retry.Refused(403)))
+    answers["/token"] = lambda sent: {"data": {"token": f"for {json.loads(base64.urlsafe_b64decode(sent['auth_token'].split('.')[1] + '=='))['sub']}", "lasts": 50}}
+    posted = tokens.Tokens(tokens.PostedToken(f"{base}/token", tokens.SignedClaims({"sub": "app"}, "secret"), "data/token", "data/lasts"))
+    assert pickle.loads(pickle.dumps(posted))() == posted() == {"Authorization": "Bearer for app"}
+    answers["/rows"] = {"data": [{"id": 1}]}
+    client = http.HttpClient({"r": http.Request(f"{base}/rows", "data")}, posted)
+    assert client.fetch("r", 0, 1, None).items == [{"id": 1}]
+
+
+def test_conditions_in_the_languages_of_services(served):
+    from pyspark.sql.datasource import EqualTo, GreaterThan, GreaterThanOrEqual, In, IsNotNull, IsNull, LessThan, Not, StringContains, StringEndsWith, StringStartsWith
+
+    from tributary.sources import http, pushdown
+
+    columns = {"s": ("of/s", "string"), "n": ("n", "long"), "t": ("t", "timestamp")}
+    at = datetime.datetime(2024, 1, 2, 3, 4, 5, 678901, datetime.timezone.utc)
+    filters = [EqualTo(("s",), "it's"), In(("s",), ("a", "b,c")), StringContains(("s",), "x^y"), StringStartsWith(("s",), "p"), IsNull(("s",)), Not(EqualTo(("s",), "q")), Not(StringContains(("s",), "r")), GreaterThan(("n",), 3), GreaterThanOrEqual(("n",), 4), LessThan(("n",), 9), GreaterThan(("t",), at), LessThan(("t",), at)]
+    unsure = [IsNotNull(("s",)), GreaterThan(("s",), "a"), StringEndsWith(("s",), "z"), EqualTo(("t",), at), EqualTo(("other",), 1), EqualTo(("s", "below"), 1), Not(In(("s",), ("a",)))]
+    assert pushdown.tests_of(unsure, columns, exact=True) == []
+    assert len(pushdown.tests_of(filters, columns)) == len(filters) - 2 and len(pushdown.tests_of(filters + unsure, columns, exact=True)) == len(filters)
+    tests = pushdown.tests_of(filters, columns, exact=True)
+    assert " and ".join(pushdown.written(tests, "odata")) == "of/s eq 'it''s' and (of/s eq 'a' or of/s eq 'b,c') and contains(of/s,'x^y') and startswith(of/s,'p') and of/s eq null and of/s ne 'q' and n gt 3 and n ge 4 and n lt 9 and t ge 2024-01-02T03:04:05.678Z and t le 2024-01-02T03:04:05.679Z"
+    assert "^".join(pushdown.written(tests, "encoded")) == "of/s=it's^of/sLIKEx^^y^of/sSTARTSWITHp^of/sISEMPTY^of/s!=q^of/sNOT LIKEr^n>3^n>=4^n<9^t>=2024-01-02 03:04:05^t<=2024-01-02 03:04:06"
+    extended = pushdown.written(tests, "extended")
+    assert extended[0] == {"saasAttrName": "of/s", "saasAttrOp": "is", "saasAttrValue": "it's"} and extended[-1]["saasAttrValue"] == "2024-01-02T03:04:05.680Z" and [e["saasAttrOp"] for e in extended][1:6] == ["contains", "startsWith", "isEmpty", "isNot", "notContains"]
+    assert pushdown.written(tests, "members") == [("of/s", "it's")]
+
+    asked = lambda service, tests, feed=None, **own: (lambda c: c.where(tests).asked(feed or next(iter(c.requests)), 0, 1000, None))(http.HttpClient(catalogue.requests(service, **own)))
+    assert "sysparm_query=a%3Db%5Ex%3D1%5Esys_created_on" in asked("servicenow", [("a", "is", "b")], instance="i", table="t", query="x=1")[0]
+    assert "%24filter=a+eq+%27b%27+and+createdDateTime" in asked("defender", [("a", "is", "b")])[0]
+    assert asked("threatlocker", [("computer", "is", "c"), ("x", "contains", "y")], instance="i", path="p")[1]["computer"] == "c"
+    assert asked("harmony", [("a", "is", "b")], host="h", saas="s", entity="e")[1]["requestData"]["entityExtendedFilter"] == [{"saasAttrName": "a", "saasAttrOp": "is", "saasAttrValue": "b"}]
+
+
+def test_mailboxes_by_number():
+    from tributary.sources import mailbox
+
+    class Held:
+        validity, last = 1, 7
+
+        def status(self):
+            return self.validity, self.last + 1
+
+        def since(self, day):
+            return [4, 5] if day <= datetime.date(2024, 1, 7) else []
+
+        def fetch(self, low, high):
+            yield from ((n, [], b"m%d" % n) for n in range(low - 1, high + 2) if 0 < n <= self.last)
+
+    held = Held()
+    new = lambda **options: mailbox.mailbox_source("m", lambda: held, lambda: datetime.date(2024, 1, 10))({"span": "3", **options}).streamReader(None)
+    r = new()
+    assert r.initialOffset() == {"validity": 1, "uid": 5} and new(from_zero="true").initialOffset()["uid"] == 0
+    rows = lambda a, b: [row[1] for p in r.partitions(a, b) for row in r.read(p)]
+    end = r.latestOffset()
+    assert rows(r.initialOffset(), end) == [6, 7] and rows({"validity": 1, "uid": 0}, end) == [1, 2, 3, 4, 5, 6, 7] and rows(end, end) == []
+    held.validity, held.last = 2, 4
+    assert rows(end, r.latestOffset()) == [1, 2, 3, 4]
+    old = [row for p in r.partitions({"validity": 1, "uid": 0}, end) for row in r.read(p)]
+    assert old == []
+    held.since = lambda day: []
+    assert mailbox.last_known(held, datetime.date(2024, 1, 1)) == 0
+
+
+def test_what_imap_servers_say():
+    from tributary.sources import mailbox
+
+    class Server:
+        def select(self, folder, readonly):
+            assert readonly and folder == '"IN BOX"'
+            return "OK", [b"9"]
+
+        def status(self, folder, items):
+            return "OK", [b'"IN BOX" (UIDVALIDITY 77 UIDNEXT 31)']
+
+        def uid(self, what, *own):
+            if what == "SEARCH":
+                return "OK", [b"3 4" if own[1] == "05-Mar-2024" else b""]
+            low, high = own[0].split(":")
+            return ("OK", [(f"1 (UID {low} FLAGS (\\Seen) BODY[] {{3}}".encode(), b"abc"), b")"]) if int(high) < 40 else ("NO", [b"gone"])
+
+    box = mailbox.ImapMailbox(Server(), "IN BOX")
+    assert box.status() == (77, 31) and box.since(datetime.date(2024, 3, 5)) == [3, 4] and box.since(datetime.date(2024, 3, 6)) == []
+    assert list(box.fetch(1, 30)) == [(1, ["\\Seen"], b"abc"), (21, ["\\Seen"], b"abc")]
+    with pytest.raises(ConnectionError):
+        list(box.fetch(30, 45))
+
+
+def test_streams_that_push(tmp_path):
+    import threading
+    from http.server import BaseHTTPRequestHandler, ThreadingHTTPServer
+
+    from tributary.sources import push
+
+    events = [{"metadata": {"offset": n, "eventCreationTime": 1_700_000_000_000 + n}} for n in range(1, 8)]
+
+    class Handler(BaseHTTPRequestHandler):
+        protocol_version = "HTTP/1.1"
+
+        def do_GET(self):
+            after = int(self.path.split("offset=")[1])
+            if after > 100:
+                self.send_response(404)
+                self.send_header("Content-Length", "0")
+                self.end_headers()
+                return
+            self.send_response(200)
+            self.send_header("Transfer-Encoding", "chunked")
+            self.end_headers()
+            text = "".join(json.dumps(e) + "\n\n" for e in events if e["metadata"]["offset"] >= after).encode()
+            for at in range(0, len(text), 50):
+                piece = text[at : at + 50]
+                self.wfile.write(b"%x\r\n%s\r\n" % (len(piece), piece))
+            self.wfile.flush()
+            stop.wait(5)  # the connection stays open
+
+        def log_message(self, *_):
+            pass
+
+    stop = threading.Event()
+    server = ThreadingHTTPServer(("127.0.0.1", 0), Handler)
+    threading.Thread(target=server.serve_forever, daemon=True).start()
+    client = push.PushClient(f"http://127.0.0.1:{server.server_port}/{{member}}?offset={{offset}}", seconds=0.3, quiet=0.3, not_before=1_700_000_000_003)
+    source = cursors.cursor_source("p", client, ["x"], lambda e: str(e["metadata"]["offset"]), lambda e: e["metadata"]["eventCreationTime"])
+    new = lambda: source({"state": str(tmp_path), "backfill": "true"}).streamReader(None)
+    try:
+        assert batch(new(), 0, 1) == [str(n) for n in range(3, 8)]
+        events.append({"metadata": {"offset": 8, "eventCreationTime": 1_700_000_000_008}})
+        assert batch(new(), 0, 1) == [str(n) for n in range(3, 8)] and batch(new(), 1, 2) == ["8"] and batch(new(), 2, 3) == []
+        with pytest.raises(cursors.Expired):
+            client.fetch("x", 500)
+    finally:
+        stop.set()
+        server.shutdown()

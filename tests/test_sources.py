@@ -369,7 +369,7 @@ def test_graphql_feeds(served, monkeypatch):
         client.fetch("events", 0, 1, None)
     told = iter([{"errors": [{"message": "rate limit for operation: eventsFeed"}]}, {"data": {}}])
     answers["/cato"] = lambda sent: next(told)
-    monkeypatch.setattr("tributary.sources.http.persistently", lambda call: retry.persistently(call, sleep=lambda _: None))
+    monkeypatch.setattr("tributary.sources.tokens.persistently", lambda call: retry.persistently(call, sleep=lambda _: None))
     assert client.fetch("events", 0, 1, None).items == []
 
 

@@ -14,7 +14,7 @@ from .functions.timestamps import millis, parsed
 from .operators import dedupe, envelopes, events, feeds, framing, predicates
 from .plans import ingest
 from .plans.checkpoint import watermark
-from .sources import cursors, files, objects, paged, queues, spool
+from .sources import cursors, files, mailbox, objects, paged, queues, spool
 from .sources.spool import opened
 from .streaming.dedupe import within_watermark
 from .streaming.sinks import run_once, shared_folder, to_parquet
@@ -473,8 +473,11 @@ def ingest_plan(spark: SparkSession, sf_dir: str) -> DataFrame:
 class _TableService:
     """A fake service whose records are rows (feed, n, text) of a Parquet table in the shared folder, which tasks read; ``n`` is time and place."""
 
-    def __init__(self, path: str, upto: int, lost: tuple[str, ...] = (), page: int = 1000):
-        self.path, self.upto, self.lost, self.page = path, upto, lost, page
+    def __init__(self, path: str, upto: int, lost: tuple[str, ...] = (), page: int = 1000, tests: tuple = ()):
+        self.path, self.upto, self.lost, self.page, self.tests = path, upto, lost, page, tests
+
+    def where(self, tests: list) -> _TableService:
+        return type(self)(self.path, self.upto, self.lost, self.page, tuple(tests))
 
     def _rows(self, feed: str, since: int, until: int) -> list[dict]:
         import pyarrow.compute as pc
@@ -485,8 +488,11 @@ class _TableService:
         if system.get_file_info(places).type.name == "NotFound":
             return []
         wanted = (pc.field("n") >= since) & (pc.field("n") < min(until, self.upto))
-        found = ds.dataset(places, filesystem=system, format="parquet").to_table(columns=["n", "id"], filter=wanted)
-        return found.sort_by("n").to_pylist()
+        of = {"is": lambda c, v: c == v, "in": lambda c, v: c.isin(v), "startsWith": lambda c, v: pc.starts_with(c, v), "contains": lambda c, v: pc.match_substring(c, v), "greaterThan": lambda c, v: c > v, "lessThan": lambda c, v: c < v, "atLeast": lambda c, v: c >= v}
+        for name, op, value in self.tests:
+            wanted = wanted & of[op](pc.field(name), value)
+        table_ = ds.dataset(places, filesystem=system, format="parquet")
+        return table_.to_table(filter=wanted).sort_by("n").to_pylist()
 
     # paged.Client: the bounds that are asked for are ignored, all there is comes newest first
 
@@ -641,6 +647,59 @@ def feed_range(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select(F.col("id").cast("long").alias("c_custkey"), millis(F.col("event_time")).alias("ms"), F.col("feed").alias("slice"))
 
 
+@query("""
+SELECT c_custkey, c_mktsegment AS segment, 4 AS sent FROM customer
+WHERE c_mktsegment IN ('BUILDING', 'MACHINERY', 'FURNITURE') AND c_mktsegment LIKE '%U%' AND c_nationkey >= 3 AND c_acctbal < 5000
+""")
+def pushed_predicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Four conditions that reach a service's requests, and one (a length) that doesn't: each record that the service gives tells how many it was held against."""
+    path = shared_folder(spark, "service")
+    rows = table(spark, sf_dir, "customer").select((F.lit(_START) + 60_000 * F.col("c_custkey")).alias("n"), F.col("c_custkey").alias("id"), F.col("c_mktsegment").alias("segment"), F.col("c_nationkey").cast("long").alias("nation"), F.col("c_acctbal").cast("double").alias("balance"))
+    rows.write.parquet(f"{path}/rows")
+    columns = {"segment": ("segment", "string"), "nation": ("nation", "long"), "balance": ("balance", "double"), "held": ("held", "long")}
+    spark.dataSource.register(paged.paged_source("conditional", [paged.Feed("rows", lambda r: str(r["id"]), lambda r: r["n"], bounded=False)], _ConditionService(f"{path}/rows", 1 << 62), columns=columns))
+    spark.conf.set("spark.sql.python.filterPushdown.enabled", "true")
+    found = spark.read.format("conditional").option("push_filters", "true").option("since", 0).option("until", 1 << 62).load()
+    found = found.where("segment in ('BUILDING', 'MACHINERY', 'FURNITURE') and segment like '%U%' and nation >= 3 and balance < 5000 and length(segment) > 1")
+    return found.select(F.col("id").cast("long").alias("c_custkey"), "segment", F.col("held").cast("int").alias("sent"))
+
+
+class _ConditionService(_TableService):
+    def fetch(self, feed: str, since: int, until: int, cursor) -> paged.Page:
+        page = super().fetch(feed, since, until, cursor)
+        return paged.Page([i | {"held": len(self.tests)} for i in page.items], page.following)
+
+
+class _TableMailbox:
+    """A fake mailbox: message n is the n-th customer, as long as it is among the first ``upto`` ones."""
+
+    def __init__(self, path: str, validity: int, upto: int):
+        self.path, self.validity, self.upto = path, validity, upto
+
+    def status(self) -> tuple[int, int]:
+        return self.validity, self.upto + 1
+
+    def fetch(self, low: int, high: int):
+        rows = _TableService(self.path, self.upto + 1)._rows("", low - 3, high + 2)  # some servers give neighbours too
+        for r in rows:
+            yield r["n"], ["\\Seen"], f"Subject: {r['id']}\n\nto {r['n']}".encode()
+
+
+@query("SELECT CAST(v AS BIGINT) AS validity, c_custkey, 'to ' || (c_custkey + 1) AS body FROM customer, (SELECT unnest([1, 2]) AS v)")
+def mailbox_uids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A mailbox read by ranges of UIDs in two batches, and from its first message again when its validity has changed."""
+    path, rows = shared_folder(spark, "mailbox"), table(spark, sf_dir, "customer")
+    rows.select((F.col("c_custkey") + 1).alias("n"), F.col("c_custkey").alias("id")).write.parquet(f"{path}/rows")
+    last = rows.agg(F.max("c_custkey")).first()[0] + 1
+    for validity, upto in ((1, last // 2), (1, last), (2, last)):
+        held = _TableMailbox(f"{path}/rows", validity, upto)
+        spark.dataSource.register(mailbox.mailbox_source("table_mailbox", lambda held=held: held))
+        mails = spark.readStream.format("table_mailbox").options(from_zero="true", span=max(10, last // 8)).load()
+        to_parquet(mails, f"{path}/mails", f"{path}/checkpoint", once=True).awaitTermination()
+    parts = files.mail_parts(spark.read.schema(mails.schema).parquet(f"{path}/mails"), raw="content")
+    return parts.select("validity", (F.col("uid") - 1).alias("c_custkey"), F.trim("body").alias("body"))
+
+
 @query("SELECT c_custkey, CASE WHEN c_custkey % 7 > 0 THEN 1700000000 + c_custkey ELSE -1 END AS expires FROM customer")
 def token_expiry(spark: SparkSession, sf_dir: str) -> DataFrame:
     """When JSON web tokens end; broken ones don't say."""

@@ -31,23 +31,24 @@ FEEDS: dict[str, dict[str, Request]] = {
         "threats": Request("https://protectapi.cylance.com/threats/v2", "page_items", ("sha256",), ("last_found",), "start_time", "end_time", paging="page", position="page", size=("page_size", 200), detail="https://protectapi.cylance.com/threats/v2/{sha256}", listed=("last_found",)),
         "memory": Request("https://protectapi.cylance.com/memoryprotection/v2", "page_items", ("device_image_file_event_id",), ("created",), "start_time", "end_time", paging="page", position="page", size=("page_size", 200), detail="https://protectapi.cylance.com/memoryprotection/v2/{device_image_file_event_id}", listed=("created",)),
     },
-    "defender": {"alerts": Request("https://graph.microsoft.com/v1.0/security/alerts_v2", "value", ("id",), ("createdDateTime",), paging="url", following="@odata.nextLink", filter=("$filter", "createdDateTime ge {since} and createdDateTime lt {until}"))},
+    "defender": {"alerts": Request("https://graph.microsoft.com/v1.0/security/alerts_v2", "value", ("id",), ("createdDateTime",), paging="url", following="@odata.nextLink", filter=("$filter", "createdDateTime ge {since} and createdDateTime lt {until}"), conditions=("odata", "$filter"))},
     "duo": {
         "auth": Request("https://{host}/admin/v2/logs/authentication", "response/authlogs", ("txid",), ("isotimestamp",), "mintime", "maxtime", "ms", "cursor", "next_offset", "response/metadata/next_offset"),
         "admin": Request("https://{host}/admin/v1/logs/administrator", "response", (), ("timestamp",), "mintime", None, "s"),
     },
-    "entraid": {"risks": Request("https://graph.microsoft.com/v1.0/identityProtection/riskDetections", "value", ("id",), ("activityDateTime",), paging="url", following="@odata.nextLink", filter=("$filter", "activityDateTime ge {since} and activityDateTime lt {until}"))},
+    "entraid": {"risks": Request("https://graph.microsoft.com/v1.0/identityProtection/riskDetections", "value", ("id",), ("activityDateTime",), paging="url", following="@odata.nextLink", filter=("$filter", "activityDateTime ge {since} and activityDateTime lt {until}"), conditions=("odata", "$filter"))},
     "gmail": {"messages": Request("https://gmail.googleapis.com/gmail/v1/users/{user}/messages", "messages", ("id",), ("internalDate",), bound="s", paging="cursor", position="pageToken", following="nextPageToken", size=("maxResults", 500), filter=("q", "{query} after:{since} before:{until}"), detail="https://gmail.googleapis.com/gmail/v1/users/{user}/messages/{id}?format=full", open_below=True)},
     "harmony": {
         "entities": Request(
             "https://{host}/app/hec-api/v1.0/search/query", "responseData", ("entityInfo/entityId",), ("entityInfo/entityCreated",), "requestData/entityFilter/startDate", "requestData/entityFilter/endDate", paging="cursor", position="requestData/scrollId", following="responseEnvelope/scrollId", ends_empty=True,
             body={"requestData": {"entityFilter": {"saas": "{saas}", "saasEntity": "{entity}"}, "entityExtendedFilter": [], "scrollId": ""}},
+            conditions=("extended", "requestData/entityExtendedFilter"),
         )
     },
     "hubspot": {"audit": Request("https://api.hubapi.com/account-info/v3/activity/audit-logs", "results", ("id",), ("occurredAt",), "occurredAfter", "occurredBefore", paging="cursor", position="after", following="paging/next/after")},
     "itglue": {"logs": Request("https://api.itglue.com/logs", "data", ("id",), ("attributes/created-at",), "filter[created_at]", paging="url", following="links/next")},
     "mimecast": {"audit": Request("https://api.services.mimecast.com/api/audit/get-audit-events", "data", ("id",), ("eventTime",), "data/[0]/startDateTime", "data/[0]/endDateTime", paging="cursor", position="meta/pagination/pageToken", following="meta/pagination/next", size=("meta/pagination/pageSize", 100), body={})},
-    "ms_graph": {"any": Request("https://graph.microsoft.com/v1.0/{resource}", "value", ("id",), ("createdDateTime",), paging="url", following="@odata.nextLink", filter=("$filter", "createdDateTime ge {since} and createdDateTime lt {until}"))},
+    "ms_graph": {"any": Request("https://graph.microsoft.com/v1.0/{resource}", "value", ("id",), ("createdDateTime",), paging="url", following="@odata.nextLink", filter=("$filter", "createdDateTime ge {since} and createdDateTime lt {until}"), conditions=("odata", "$filter"))},
     "office365": {"content": Request("https://manage.office.com/api/v1.0/{tenant}/activity/feed/subscriptions/content", "", ("Id",), ("CreationTime",), "startTime", "endTime", paging="link", fixed={"contentType": "{content_type}"}, detail="{contentUri}", listed=("contentCreated",))},
     "okta": {"log": Request("https://{host}/api/v1/logs", "", ("uuid",), ("published",), "since", "until", paging="link", fixed={"sortOrder": "ASCENDING"}, size=("limit", 1000))},
     "onepassword": {
@@ -64,11 +65,11 @@ FEEDS: dict[str, dict[str, Request]] = {
         name: Request("https://{host}/web/api/v2.1/" + path, "data", ("id",), ("createdAt",), "createdAt__gte", "createdAt__lt", paging="cursor", position="cursor", following="pagination/nextCursor", size=("limit", 1000))
         for name, path in {"activities": "activities", "alerts": "cloud-detection/alerts", "threats": "threats"}.items()
     },
-    "servicenow": {"table": Request("https://{instance}.service-now.com/api/now/table/{table}", "result", ("sys_id",), ("sys_created_on",), bound="sql", paging="offset", position="sysparm_offset", size=("sysparm_limit", 1000), fixed={"sysparm_display_value": "false", "sysparm_exclude_reference_link": "true"}, filter=("sysparm_query", "{query}^sys_created_on>={since}^sys_created_on<{until}^ORDERBYsys_created_on^ORDERBYsys_id"))},
+    "servicenow": {"table": Request("https://{instance}.service-now.com/api/now/table/{table}", "result", ("sys_id",), ("sys_created_on",), bound="sql", paging="offset", position="sysparm_offset", size=("sysparm_limit", 1000), fixed={"sysparm_display_value": "false", "sysparm_exclude_reference_link": "true"}, filter=("sysparm_query", "{query}^sys_created_on>={since}^sys_created_on<{until}^ORDERBYsys_created_on^ORDERBYsys_id"), conditions=("encoded", "sysparm_query"))},
     "slack": {"audit": Request("https://api.slack.com/audit/v1/logs", "entries", ("id",), ("date_create",), "oldest", "latest", "s", "cursor", "cursor", "response_metadata/next_cursor", newest_first=True)},
     "sophos": {"events": Request("https://{host}/siem/v1/events", "items", ("id",), ("created_at",), "from_date", None, "s", "cursor", "cursor", "next_cursor")},
     "sublime": {"audit": Request("https://platform.sublime.security/v0/audit-log/events", "events", ("id",), ("created_at",), "created_at[gte]", "created_at[lt]", paging="offset", position="offset", size=("limit", 500))},
-    "threatlocker": {"audit": Request("https://portalapi.{instance}.threatlocker.com/portalapi/{path}", "", ("actionId", "approvalRequestId", "id"), ("dateTime",), "startDate", "endDate", paging="page", position="pageNumber", size=("pageSize", 100), body={"orderBy": "dateTime", "isAscending": True})},
+    "threatlocker": {"audit": Request("https://portalapi.{instance}.threatlocker.com/portalapi/{path}", "", ("actionId", "approvalRequestId", "id"), ("dateTime",), "startDate", "endDate", paging="page", position="pageNumber", size=("pageSize", 100), body={"orderBy": "dateTime", "isAscending": True}, conditions=("members", ""))},
     "trendmicro": {"alerts": Request("https://api.xdr.trendmicro.com/v3.0/workbench/alerts", "items", ("id",), ("createdDateTime",), "startDateTime", "endDateTime", paging="url", following="nextLink")},
     "wiz": {
         "any": Request("{url}", "{connection}/nodes", ("id",), ("{time_field}",), "variables/filterBy/{time_field}/after", paging="cursor", position="variables/after", following="{connection}/pageInfo/endCursor", body={"query": "{query}", "variables": {}}, open_below=True, ends_empty=True)

@@ -33,8 +33,8 @@ from pyspark.sql.datasource import DataSource, DataSourceStreamReader, InputPart
 
 from ..functions.json_path import matches, steps
 from .http import filled, placed, send
-from .retry import persistently
 from .spool import Folder
+from .tokens import authorised
 
 SCHEMA = "feed string, event_time timestamp, id string, text string, error string"
 
@@ -225,13 +225,13 @@ def _first(answer: Any, path: str) -> Any:
 
 
 class HttpCursors:
-    """A ``CursorClient`` of one request. Its cursors are lists: position, page's token, and the newest position that was told."""
+    """A ``CursorClient`` of one request; ``headers`` are by member, or ``tokens.Tokens`` for all. Its cursors are lists: position, page's token, and the newest position that was told."""
 
     def __init__(self, request: CursorRequest, headers: Callable[[str], dict[str, str]] = lambda member: {}, timeout: float = 60.0):
         self.request, self.headers, self.timeout = request, headers, timeout
 
     def _ask(self, member: str, url: str, body: dict[str, Any] | None = None) -> Any:
-        return persistently(lambda: send(url, body, self.headers(member), self.timeout))[0]
+        return authorised(self.headers if hasattr(self.headers, "renew") else lambda: self.headers(member), lambda headers: send(url, body, headers, self.timeout))[0]
 
     def baseline(self, member: str) -> Any:
         r = self.request

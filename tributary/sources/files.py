@@ -207,7 +207,7 @@ def _text(content: bytes, charset: str | None) -> str:
 
 
 def mail_parts(mails: DataFrame, raw: str = "text") -> DataFrame:
-    """(columns, part_no, content_type, name, sha256, body, attachment): the parts of RFC 822 messages.
+    """(columns, part_no, content_type, name, sha256, body, attachment): the parts of RFC 822 messages, texts or bytes.
 
     ``attachment``: parts other than text/plain and text/html, as bytes with
     their SHA-256; the others have a text body.
@@ -222,7 +222,7 @@ def mail_parts(mails: DataFrame, raw: str = "text") -> DataFrame:
         for batch in batches:
             rows, at = [], []
             for i, text in enumerate(batch.column(batch.schema.get_field_index(raw)).to_pylist()):
-                message = email.message_from_string(text or "", policy=email.policy.default)
+                message = (email.message_from_bytes if isinstance(text, bytes) else email.message_from_string)(text or "", policy=email.policy.default)
                 for n, part in enumerate(p for p in message.walk() if not p.is_multipart()):
                     content = part.get_payload(decode=True) or b""
                     plain = part.get_content_type() in ("text/plain", "text/html")

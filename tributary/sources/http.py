@@ -14,7 +14,9 @@ from typing import Any
 
 from ..functions.json_path import matches, steps
 from .paged import Feed, Page
-from .retry import Busy, persistently
+from .pushdown import Test
+from .pushdown import written as conditions
+from .retry import Busy
 
 
 @dataclass(frozen=True)
@@ -39,6 +41,8 @@ class Request:
     ``open_below``: the service leaves out records at the lower bound itself, so it is
     asked from a unit before. ``ends_empty``: a page without records is the last,
     although it has a cursor. The answer of a body with a ``query`` must have no ``errors``.
+    ``conditions``: the language of a query's conditions (``pushdown.LANGUAGES``) and the parameter
+    that takes them: before the bounds of ``filter`` if that has the same one.
     """
 
     url: str
@@ -60,6 +64,7 @@ class Request:
     listed: tuple[str, ...] = ()
     open_below: bool = False
     ends_empty: bool = False
+    conditions: tuple[str, str] | None = None
 
     @property
     def bounded(self) -> bool:
@@ -147,17 +152,35 @@ def without_errors(answer: Any) -> Any:
 
 
 class HttpClient:
-    """A ``paged.Client``. ``headers`` gives a request's headers, tokens included, each time anew."""
+    """A ``paged.Client``. ``headers`` gives a request's headers; ``tokens.Tokens`` among them are renewed once when refused."""
 
-    def __init__(self, requests: dict[str, Request], headers: Callable[[], dict[str, str]] = dict, timeout: float = 60.0):
-        self.requests, self.headers, self.timeout = requests, headers, timeout
+    def __init__(self, requests: dict[str, Request], headers: Callable[[], dict[str, str]] = dict, timeout: float = 60.0, tests: tuple[Test, ...] = ()):
+        self.requests, self.headers, self.timeout, self.tests = requests, headers, timeout, tests
+
+    def where(self, tests: list[Test]) -> HttpClient:
+        """The same client with conditions that its services are asked to hold records against."""
+        return HttpClient(self.requests, self.headers, self.timeout, (*self.tests, *tests))
 
     def _get(self, url: str, body: dict[str, Any] | None = None) -> tuple[Any, str | None]:
-        def call():
-            answer, link = send(url, body, self.headers(), self.timeout)
+        from .tokens import authorised
+
+        def call(headers):
+            answer, link = send(url, body, headers, self.timeout)
             return without_errors(answer) if body and "query" in body else answer, link
 
-        return persistently(call)
+        return authorised(self.headers, call)
+
+    def _conditions(self, r: Request, own: list[tuple[str, Any]]) -> list[tuple[str, Any]]:
+        """The parameters with the conditions among them."""
+        if not r.conditions or not (told := conditions(self.tests, r.conditions[0])):
+            return own
+        language, place = r.conditions
+        if language == "members":
+            return [*told, *own]
+        value = told if language == "extended" else {"odata": " and ", "encoded": "^"}[language].join(told)
+        if isinstance(value, str) and any(name == place for name, _ in own):
+            return [(name, {"odata": " and ", "encoded": "^"}[language].join((value, v)) if name == place else v) for name, v in own]
+        return [*own, (place, value)]
 
     def _detailed(self, r: Request, item: dict[str, Any]) -> list[dict[str, Any]]:
         names = re.findall(r"\{(\w+)\}", r.detail or "")
@@ -181,6 +204,7 @@ class HttpClient:
         own += [(name, bounds[which]) for which, name in (("since", r.since), ("until", r.until)) if name]
         if r.filter:
             own.append((r.filter[0], filled(r.filter[1], bounds)))
+        own = self._conditions(r, own)
         if r.size:
             own.append((r.size[0], r.size[1]))
         if r.position and cursor is not None:

@@ -15,6 +15,7 @@ one bound or none is read in one slice.
 
 from __future__ import annotations
 
+import datetime
 import json
 import logging
 import time
@@ -24,6 +25,8 @@ from typing import Any, Protocol
 
 from pyspark.sql.datasource import DataSource, DataSourceReader, DataSourceStreamReader, GreaterThan, GreaterThanOrEqual, InputPartition, LessThan
 
+from ..functions.json_path import matches, steps
+from .pushdown import tests_of
 from .retry import Refused
 
 SCHEMA = "feed string, event_time timestamp, id string, text string"
@@ -51,7 +54,8 @@ class Feed:
     work. ``newest_first``: it gives its records in descending order, so that a
     page before the range is the last one needed. ``checked``: records are held
     against the range by their own times; not so where the client has done it by
-    another time, as that of a listing.
+    another time, as that of a listing. ``exact``: the service's comparisons tell cases apart,
+    so that negated conditions may be sent to it.
     """
 
     name: str
@@ -64,6 +68,7 @@ class Feed:
     bounded: bool = True
     newest_first: bool = False
     checked: bool = True
+    exact: bool = False
 
 
 @dataclass
@@ -97,18 +102,34 @@ def walk(client: Client, feed: Feed, since: int, until: int) -> Iterator[dict[st
         cursor = page.following
 
 
-def _rows(client: Client, feed: Feed, part: Slice, skip_forbidden: bool = False):
-    import datetime
+#: Kinds of columns that a source may take out of its records.
+_KINDS: dict[str, Callable[[Any], Any]] = {
+    "string": lambda v: v if isinstance(v, str) else json.dumps(v, ensure_ascii=False),
+    "long": lambda v: v if isinstance(v, int) and not isinstance(v, bool) else None,
+    "double": lambda v: float(v) if isinstance(v, (int, float)) and not isinstance(v, bool) else None,
+    "timestamp": lambda v: None if (t := _read_time(v)) is None else datetime.datetime.fromtimestamp(t / 1000, datetime.timezone.utc),
+}
 
+
+def _read_time(value: Any) -> int | None:
+    from .http import read_time
+
+    return read_time(value)
+
+
+def _rows(client: Client, feed: Feed, part: Slice, skip_forbidden: bool = False, columns: dict[str, tuple[str, str]] = {}):  # noqa: B006
+    own = [(steps(path), _KINDS[kind]) for path, kind in columns.values()]
     try:
-        yield from _records(client, feed, part, datetime)
+        for item, *row in _records(client, feed, part):
+            found = [next((v for v in matches(item, path) if v is not None), None) for path, _ in own]
+            yield (*row, *(None if v is None else of(v) for v, (_, of) in zip(found, own)))
     except Refused as refused:
         if refused.stops_all or not skip_forbidden:
             raise
         logging.getLogger(__name__).error("%s: %s; the feed is left out", feed.name, refused)
 
 
-def _records(client: Client, feed: Feed, part: Slice, datetime):
+def _records(client: Client, feed: Feed, part: Slice):
     for item in walk(client, feed, part.since, part.until):
         if not isinstance(item, dict) or not item:
             continue
@@ -116,21 +137,26 @@ def _records(client: Client, feed: Feed, part: Slice, datetime):
         if feed.checked and at is not None and not part.since <= at < part.until:
             continue
         moment = None if at is None else datetime.datetime.fromtimestamp(at / 1000, datetime.timezone.utc)
-        yield feed.name, moment, feed.id_of(item), json.dumps(item, ensure_ascii=False, separators=(",", ":"))
+        yield item, feed.name, moment, feed.id_of(item), json.dumps(item, ensure_ascii=False, separators=(",", ":"))
 
 
-def paged_source(name: str, feeds: list[Feed], client: Client, clock: Callable[[], int] = lambda: int(time.time() * 1000)) -> type[DataSource]:
+def paged_source(name: str, feeds: list[Feed], client: Client, clock: Callable[[], int] = lambda: int(time.time() * 1000), columns: dict[str, tuple[str, str]] | None = None) -> type[DataSource]:
     """A data source to be registered by ``spark.dataSource.register``.
 
+    ``columns``: more columns by name, each with the path of its value in the records, which is also the
+    service's name for it, and its kind: string, long, double or timestamp.
+
     Options: ``feed`` (default: all), ``since`` and ``until`` in milliseconds
     (batch: default is the feed's lookback, until now less its lag);
-    ``push_filters=true``: bounds on event_time narrow a batch's range, for
-    which ``spark.sql.python.filterPushdown.enabled`` must be set;
+    ``push_filters=true``: bounds on event_time narrow a batch's range, and conditions on
+    ``columns`` go to a client that takes them (``where``), for which
+    ``spark.sql.python.filterPushdown.enabled`` must be set. Spark keeps one set of
+    pushed conditions for a loaded table, so load one for each query that has them;
     ``skip_forbidden=true``: a feed that the service forbids (403) is left out, with
     an error in the log, where it otherwise fails the read, as refused credentials
     (401) always do.
     """
-    by_name = {f.name: f for f in feeds}
+    by_name, taken = {f.name: f for f in feeds}, columns or {}
 
     def cut(feed: Feed, since: int, until: int) -> list[Slice]:
         return slices(feed.name, since, until, feed.slice if feed.bounded else max(1, until - since))
@@ -140,7 +166,7 @@ def paged_source(name: str, feeds: list[Feed], client: Client, clock: Callable[[
 
     class Batch(DataSourceReader):
         def __init__(self, options):
-            self.options, self.since, self.until = options, None, None
+            self.options, self.since, self.until, self.client = options, None, None, client
 
         def partitions(self):
             out = []
@@ -152,11 +178,14 @@ def paged_source(name: str, feeds: list[Feed], client: Client, clock: Callable[[
             return out or [Slice(feeds[0].name, 0, 0)]
 
         def read(self, partition):
-            return _rows(client, by_name[partition.feed], partition, self.options.get("skip_forbidden") == "true") if partition.until > partition.since else iter(())
+            return _rows(self.client, by_name[partition.feed], partition, self.options.get("skip_forbidden") == "true", taken) if partition.until > partition.since else iter(())
 
     class Pushed(Batch):
         def pushFilters(self, filters):
-            """Bounds on event_time narrow what is asked of the service; Spark checks them again."""
+            """Bounds on event_time narrow what is asked of the service, other conditions go to it; Spark checks all of them again."""
+            tests = tests_of(filters, taken, all(f.exact for f in chosen(self.options)))
+            if tests and hasattr(client, "where"):
+                self.client = client.where(tests)
             for f in filters:
                 bound = getattr(f, "value", None)
                 if getattr(f, "attribute", None) == ("event_time",) and hasattr(bound, "timestamp"):
@@ -185,7 +214,7 @@ def paged_source(name: str, feeds: list[Feed], client: Client, clock: Callable[[
             return out
 
         def read(self, partition):
-            return _rows(client, by_name[partition.feed], partition, self.options.get("skip_forbidden") == "true")
+            return _rows(client, by_name[partition.feed], partition, self.options.get("skip_forbidden") == "true", taken)
 
     class Source(DataSource):
         @classmethod
@@ -193,7 +222,7 @@ def paged_source(name: str, feeds: list[Feed], client: Client, clock: Callable[[
             return name
 
         def schema(self):
-            return SCHEMA
+            return SCHEMA + "".join(f", `{n}` {kind}" for n, (_, kind) in taken.items())
 
         def reader(self, schema):
             return (Pushed if self.options.get("push_filters") == "true" else Batch)(self.options)

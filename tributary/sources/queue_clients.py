@@ -15,6 +15,7 @@ from typing import Any
 from .http import send
 from .queues import Message
 from .retry import persistently
+from .tokens import authorised
 
 
 def signed(method: str, url: str, headers: dict[str, str], content: bytes, key: str, secret: str, region: str, service: str, at: datetime.datetime) -> dict[str, str]:
@@ -70,7 +71,7 @@ class PubSubQueue:
         self.url, self.headers = f"{base}/{subscription}", headers
 
     def _ask(self, action: str, body: dict[str, Any]) -> dict[str, Any]:
-        return persistently(lambda: send(f"{self.url}:{action}", body, self.headers(), 60.0))[0] or {}
+        return authorised(self.headers, lambda headers: send(f"{self.url}:{action}", body, headers, 60.0))[0] or {}
 
     def receive(self, most: int) -> list[Message]:
         found = self._ask("pull", {"maxMessages": most}).get("receivedMessages") or []

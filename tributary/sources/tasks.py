@@ -8,7 +8,8 @@ from typing import Any
 
 from .http import send, written
 from .paged import Page
-from .retry import Refused, persistently
+from .retry import Refused
+from .tokens import authorised
 
 # The service's paths.
 QUERY_PATH, RETRIEVE_PATH = "/app/laas-logs-api/api/logs_query", "/app/laas-logs-api/api/logs_query/retrieve"
@@ -29,7 +30,7 @@ class TaskClient:
         self.patience, self.wait = patience, wait
 
     def _ask(self, path: str, body: dict[str, Any] | None = None) -> dict[str, Any]:
-        answer, _ = persistently(lambda: send(self.base + path, body, self.headers(), 60.0))
+        answer, _ = authorised(self.headers, lambda headers: send(self.base + path, body, headers, 60.0))
         return answer.get("data") or {}
 
     def _submitted(self, feed: str, since: int, until: int) -> str:
