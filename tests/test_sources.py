@@ -421,6 +421,8 @@ def test_tail_follows_growth_rotation_and_truncation(spark, tmp_path):
     assert rows(split=3) == sorted(["one", "two", "three", "four", "five"])
     log.write_text("6\n")
     assert rows() == sorted(["one", "two", "three", "four", "five", "6"])
+    log.write_text("another file on the inode of the old one\nwhich it has outgrown\n")
+    assert rows() == sorted(["one", "two", "three", "four", "five", "6", "another file on the inode of the old one", "which it has outgrown"])
 
 
 @given(st.text(alphabet="ab\né", max_size=60), st.lists(st.integers(0, 80), max_size=5))
@@ -445,4 +447,38 @@ def test_deleted_file_fails_a_tail_unless_told_otherwise(tmp_path):
         list(reader().read(gone))
     assert list(reader(fail_on_loss="false").read(gone)) == []
     (tmp_path / "a.log").write_text("x\n")
-    assert reader().initialOffset() == {} and list(reader(backfill="false").initialOffset().values()) == [2]
+    assert reader().initialOffset() == {} and [size for size, _ in reader(backfill="false").initialOffset().values()] == [2]
+
+
+@given(st.binary(max_size=9000), st.integers(0, 9000), st.binary(min_size=1, max_size=40))
+def test_a_file_is_known_by_its_beginning(content, cut, other):
+    import tempfile
+
+    def own(raw):
+        with tempfile.NamedTemporaryFile() as file:
+            file.write(raw)
+            file.flush()
+            return [len(raw), tail.head(file.name, len(raw))]
+
+    cut = min(cut, len(content))
+    assert tail.continues(own(content[:cut]), own(content)) and (cut == len(content) or not tail.continues(own(content), own(content[:cut])))
+    changed = other + content[len(other) :]
+    if len(changed) == len(content) and content[:1] != other[:1]:
+        assert not tail.continues(own(content), own(changed + b"more"))
+
+
+def test_inactive_files_are_not_opened(tmp_path, monkeypatch):
+    import os
+
+    (tmp_path / "a.log").write_text("x\n")
+    (tmp_path / "b.log").write_text("y\n")
+    os.utime(tmp_path / "a.log", (1_000_000, 1_000_000))
+    reader = tail.tail_source()({"path": str(tmp_path / "*.log"), "inactive_seconds": "60"}).streamReader(None)
+    first, opened = reader.latestOffset(), []
+    plain = tail.head
+    monkeypatch.setattr(tail, "head", lambda path, size: opened.append(path) or plain(path, size))
+    assert reader.latestOffset() == first and [p.rsplit("/")[-1] for p in opened] == ["b.log"]
+    with (tmp_path / "a.log").open("a") as file:
+        file.write("z\n")
+    after = reader.latestOffset()
+    assert [(p.start, p.end) for p in reader.partitions(first, after)] == [(2, 4)]

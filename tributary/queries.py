@@ -7,14 +7,14 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .functions import clean_json
+from .functions import clean_json, typed
 from .functions.json_path import field, find, find_first, find_one, has, keys, values
 from .functions.text import address, composite_key, content_hash, jwt_expiry, named_groups, pod_of, url_decoded, xml_value
 from .functions.timestamps import millis, parsed
 from .operators import dedupe, envelopes, events, feeds, framing, predicates
 from .plans import ingest
 from .plans.checkpoint import watermark
-from .sources import cursors, files, mailbox, objects, paged, queues, spool
+from .sources import artifacts, cursors, files, mailbox, objects, paged, queues, spool
 from .sources.spool import opened
 from .streaming.dedupe import within_watermark
 from .streaming.sinks import run_once, shared_folder, to_parquet
@@ -700,6 +700,41 @@ def mailbox_uids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return parts.select("validity", (F.col("uid") - 1).alias("c_custkey"), F.trim("body").alias("body"))
 
 
+@query("SELECT sha256(text) AS sha256, CAST(strlen(text) AS BIGINT) AS size, count(*) AS mails FROM conversations WHERE text IS NOT NULL GROUP BY text")
+def artifact_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Attachments stored by their contents, the second time nothing more; each file's rows by its path."""
+    path = f"{shared_folder(spark, 'artifacts')}/files"
+    rows = table(spark, sf_dir, "conversations").where("text is not null").select("conv_id", F.col("text").cast("binary").alias("attachment"))
+    artifacts.store(rows, path)
+    named = artifacts.store(rows, path).groupBy(F.regexp_extract("artifact", "([^/]+)$", 1).alias("sha256")).agg(F.count("*").alias("mails"))
+    held = artifacts.artifacts(spark, path).where(F.sha2("content", 256) == F.col("sha256")).select("sha256", F.col("length").alias("size"))
+    return held.join(named, "sha256")
+
+
+@query("""
+SELECT c_custkey, c_name AS message, CASE WHEN c_custkey % 4 < 2 THEN CAST(c_nationkey AS BIGINT) ELSE -1 END AS thread, c_custkey % 4 > 1 AS misfit,
+  CASE WHEN c_custkey % 4 < 2 THEN CAST(c_custkey + 1 AS BIGINT) ELSE -1 END AS frame FROM customer
+""")
+def typed_log_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Records of a log's known shape; in every other pair of them a thread has a text for its number and a frame a fraction, which makes them misfits."""
+    of = F.col("c_custkey") % 4
+    frames = F.struct(F.array(F.struct(F.when(of < 2, (F.col("c_custkey") + 1).cast("string")).otherwise("1.5").alias("imageOffset"), F.lit("u").alias("imageUUID"))).alias("frames"))
+    record = F.to_json(F.struct(F.col("c_name").alias("eventMessage"), F.when(of < 2, F.col("c_nationkey").cast("string")).otherwise("none").alias("threadID"), frames.alias("backtrace"), F.lit(1).alias("unknown")))
+    plain = F.regexp_replace(F.regexp_replace(record, '"threadID":"(\\d+)"', '"threadID":$1'), '"imageOffset":"([\\d.]+)"', '"imageOffset":$1')
+    rows = table(spark, sf_dir, "customer").select("c_custkey", typed.typed(plain, typed.UNIFIED_LOG).alias("r"))
+    offset = F.col("r.backtrace.frames")[0]["imageOffset"]
+    return rows.select("c_custkey", F.col("r.eventMessage").alias("message"), F.coalesce("r.threadID", F.lit(-1)).alias("thread"), F.col("r._misfit").isNotNull().alias("misfit"), F.coalesce(offset, F.lit(-1)).alias("frame"))
+
+
+@query("SELECT s_suppkey, CASE WHEN s_suppkey % 5 > 0 THEN s_name END AS name, CASE WHEN s_suppkey % 5 > 0 THEN '[' || s_nationkey || ',' || (s_nationkey + 1) || ']' END AS items, CASE WHEN s_suppkey % 5 > 0 THEN 4 ELSE -1 END AS members FROM supplier")
+def xml_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whole XML records: attributes, repeated and empty elements; broken ones are null."""
+    record = F.concat(F.lit("<Event Kind='k'><Data Name='n'>"), "s_name", F.lit("</Data><Item>"), "s_nationkey", F.lit("</Item><Item>"), F.col("s_nationkey") + 1, F.lit("</Item><Empty/>"), F.when(F.col("s_suppkey") % 5 > 0, "</Event>").otherwise("</Even>"))
+    v = typed.xml_record(record)
+    rows = table(spark, sf_dir, "supplier").select("s_suppkey", v.alias("v"))
+    return rows.select("s_suppkey", field(F.col("v"), "Data/_VALUE").alias("name"), F.try_variant_get(F.col("v"), "$.Item", "variant").cast("string").alias("items"), F.when(F.col("v").isNotNull(), F.size(keys(F.col("v")))).otherwise(-1).cast("int").alias("members"))
+
+
 @query("SELECT c_custkey, CASE WHEN c_custkey % 7 > 0 THEN 1700000000 + c_custkey ELSE -1 END AS expires FROM customer")
 def token_expiry(spark: SparkSession, sf_dir: str) -> DataFrame:
     """When JSON web tokens end; broken ones don't say."""
