@@ -29,6 +29,4 @@ def xml_record(document: Column) -> Column:
     Numbers and booleans are read as such, so ``007`` is 7: what must keep its spelling is taken by ``text.xml_value``.
     Empty elements are null. A document that isn't well formed, an empty and a null one give null.
     """
-    broken = F.from_xml(document, "_broken string, _any string", {"columnNameOfCorruptRecord": "_broken"})["_broken"]
-    whole = document.isNotNull() & (F.length(F.trim(document)) > 0) & broken.isNull()
-    return F.when(whole, F.from_xml(document, F.lit("variant")))
+    return F.from_xml(document, "v variant", {"singleVariantColumn": "v", "mode": "PERMISSIVE"})["v"]
