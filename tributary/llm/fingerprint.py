@@ -65,19 +65,29 @@ def _digits(value: Column) -> Column:
     return F.lower(F.lpad(F.hex(code), DIGITS, "0"))
 
 
-def signatures(bodies: DataFrame, key: list[str], samples: int = SAMPLES) -> DataFrame:
-    """(key, fingerprint) of rows (key, body), which are partitioned by the key or a part of it."""
-    words = bodies.select(*key, F.explode(terms(F.col("body"))).alias("word")).select(*key, F.xxhash64("word", F.lit(SEED)).alias("term"))
-    counted = words.groupBy(*key, "term").agg(F.count("*").alias("n"))
-    weighed = counted.select(*key, "term", F.log(1.0 + F.log(F.col("n").cast("double"))).alias("log_weight"))
+def signatures(pairs: DataFrame, key: list[str], samples: int = SAMPLES) -> DataFrame:
+    """(key, own, edited): the fingerprints, as bytes, of the columns ``text`` and ``edited``, by rows that are partitioned by the key.
+
+    The two texts of a row share most of their words: a word that both have equally often
+    draws its samples once for both.
+    """
+    bodies = pairs.select(*key, F.posexplode(F.array("text", "edited")).alias("which", "body"))
+    words = bodies.select(*key, "which", F.explode(terms(F.col("body"))).alias("word")).select(*key, "which", F.xxhash64("word", F.lit(SEED)).alias("term"))
+    counted = words.groupBy(*key, "term").agg(F.sum(1 - F.col("which")).alias("n0"), F.sum("which").alias("n1"))
+    drawn = lambda n, own, edited: F.struct(F.col(n).alias("n"), F.lit(own).alias("own"), F.lit(edited).alias("edited"))
+    draws = F.when(F.expr("n0 = n1"), F.array(drawn("n0", True, True))).when(F.expr("n0 = 0"), F.array(drawn("n1", False, True)))
+    draws = draws.when(F.expr("n1 = 0"), F.array(drawn("n0", True, False))).otherwise(F.array(drawn("n0", True, False), drawn("n1", False, True)))
+    weighed = counted.select(*key, "term", F.explode(draws).alias("d")).select(*key, "term", F.log(1.0 + F.log(F.col("d.n").cast("double"))).alias("log_weight"), "d.own", "d.edited")
     # a row for each word and few samples: one with all of them outgrows what the JVM compiles, one a sample looks its group up too often
     blocks = F.explode(F.array(*map(F.lit, range(-(-samples // BLOCK))))).alias("block")
-    each = weighed.select(*key, "term", "log_weight", blocks)
-    value = lambda k: sample_value(F.col("term"), F.col("log_weight"), F.col("block") * BLOCK + k)
-    minima = each.groupBy(*key, "block").agg(*[F.min(value(k)).alias(f"least{k}") for k in range(BLOCK)])
-    code = F.concat(*[_digits(F.col(f"least{k}")) for k in range(BLOCK)]).alias("code")
-    codes = minima.groupBy(*key).agg(F.sort_array(F.collect_list(F.struct("block", code))).alias("codes"))  # as many as blocks
-    return codes.select(*key, F.array_join(F.col("codes.code"), "").substr(1, samples * DIGITS).alias("fingerprint"))
+    each = weighed.select(*key, "term", "log_weight", "own", "edited", blocks)
+    values = [sample_value(F.col("term"), F.col("log_weight"), F.col("block") * BLOCK + k).alias(f"value{k}") for k in range(BLOCK)]
+    minima = each.select(*key, "block", "own", "edited", *values).groupBy(*key, "block")
+    minima = minima.agg(*[F.min(F.when(F.col(side), F.col(f"value{k}"))).alias(f"{side}{k}") for side in ("own", "edited") for k in range(BLOCK)])
+    code = lambda side: F.concat(*[_digits(F.col(f"{side}{k}")) for k in range(BLOCK)]).alias(side)
+    codes = minima.groupBy(*key).agg(F.sort_array(F.collect_list(F.struct("block", code("own"), code("edited")))).alias("codes"))  # as many as blocks
+    # signatures travel as bytes, half as long as their spelling
+    return codes.select(*key, *[F.unhex(F.array_join(F.col(f"codes.{side}"), "").substr(1, samples * DIGITS)).alias(side) for side in ("own", "edited")])
 
 
 def likeness(left: Column, right: Column, samples: int = SAMPLES) -> Column:
@@ -150,12 +160,8 @@ def fingerprint_edits(docs: DataFrame, samples: int = SAMPLES, id_column: str =
     n = F.length("text")
     pairs = texts.join(leads, ["kid", "h"]).withColumn("edited", F.concat(F.substring("text", F.lit(1), (n - F.floor(n / 3)).cast("int")), "lead"))
 
-    bodies = pairs.select("kid", "h", F.posexplode(F.array("text", "edited")).alias("which", "body"))
-    signed = signatures(bodies, ["kid", "h", "which"], samples)
-    of = lambda w: F.max(F.when(F.col("which") == w, F.unhex("fingerprint")))
-    prints = signed.groupBy("kid", "h").agg(of(0).alias("own"), of(1).alias("edited"))
+    prints = signatures(pairs, ["kid", "h"], samples)
     digests = pairs.select("kid", "h", F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"))
-    # signatures travel as bytes, half as long as their spelling
     made = materialise(digests.join(prints, ["kid", "h"]), "fingerprints")
 
     after = made.select(F.col("kid").alias("next_kid"), F.col("h").alias("next_h"), F.col("own").alias("_after"))
