@@ -27,42 +27,52 @@ from .warc import page_archives
 
 
 def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tokens of all documents, by the vocabulary of 49,000 words."""
     return count_tokens(spread(read_table(spark, sf_dir, "documents")), public_tokenizers.path("word_bpe_49k.json"), limit=2048)
 
 
 def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Benchmark items that documents contain, of all documents."""
     return find_contained(spread(read_table(spark, sf_dir, "documents")), read_table(spark, sf_dir, "benchmark"), words=5, containment=0.8)
 
 
 def op3_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of all documents and of their edited texts."""
     return fingerprint_edits(spread(read_table(spark, sf_dir, "documents")))
 
 
 def op4_license_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Licences that documents hold, of all documents."""
     return scan_licenses(spread(read_table(spark, sf_dir, "documents")), coverage=0.8)
 
 
 def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Perplexity of all documents under a model of the trusted ones, and who is kept."""
     return classify(spread(read_table(spark, sf_dir, "documents")), read_table(spark, sf_dir, "labels"))
 
 
 def op6_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The main text of all pages."""
     return extract(spread(read_table(spark, sf_dir, "pages")))
 
 
 def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of all documents, linked at 2 bits or fewer."""
     return near_duplicates(spread(read_table(spark, sf_dir, "documents")), words=3, radius=2)
 
 
 def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of all documents; nothing is learned from the held-out ones."""
     return score_documents(spread(read_table(spark, sf_dir, "documents")), read_table(spark, sf_dir, "labels"), threshold=0.3)
 
 
 def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents packed to sequences of 2,048 tokens."""
     return pack_documents(spread(read_table(spark, sf_dir, "documents")), public_tokenizers.path("byte_bpe_50k.json"), capacity=2048, end_id=0)
 
 
 def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The language of all documents; nothing is learned from the held-out ones."""
     return identify(spread(read_table(spark, sf_dir, "documents")))
 
 
