@@ -96,3 +96,20 @@ def test_xml_records(spark):
     documents = ["<E x='1'><D N='n'>a</D><D N='m'>b</D><F/><S><T>2.50</T></S></E>", "<broken", "plain", "", "  ", None, "<a><b></a>"]
     rows = spark.createDataFrame([(d,) for d in documents], "d string").select(typed.xml_record(__import__("pyspark").sql.functions.col("d")).cast("string").alias("v"))
     assert [r.v for r in rows.collect()] == ['{"D":[{"_N":"n","_VALUE":"a"},{"_N":"m","_VALUE":"b"}],"F":null,"S":{"T":2.5},"_x":1}'] + [None] * 6
+
+
+def test_settings_of_spooled_and_exported_logs(spark, tmp_path):
+    from tributary.plans import ingest
+    from tributary.sources.event_hub import kafka_options
+
+    spool = receiver.Spool(str(tmp_path / "syslog"))
+    spool.add(b"<34>two\nlines", "h")
+    spool.tick(now=True)
+    (tmp_path / "unified.log").write_text('Filtering the log data\n{"eventMessage":"m","traceID":7}\n')
+    (tmp_path / "wel.xml").write_text("<Event><Id>4</Id></Event>\n")
+    got = ingest.events(spark, [{"syslog": {"path": str(tmp_path / "syslog")}}, {"mac_unified_logging": {"path": str(tmp_path / "unified.log")}}, {"wel": {"path": str(tmp_path / "wel.xml")}}])
+    assert sorted((r.source, r.payload_kind, r.text) for r in got.select("source", "payload_kind", "text").collect()) == [("mac_unified_logging", "json", '{"eventMessage":"m","traceID":7}'), ("syslog", "text", "<34>two\nlines"), ("wel", "text", "<Event><Id>4</Id></Event>")]
+    options = kafka_options('Endpoint=sb://ns.servicebus.windows.net/;SharedAccessKeyName=n;SharedAccessKey=a"b=;EntityPath=hub')
+    assert options["kafka.bootstrap.servers"] == "ns.servicebus.windows.net:9093" and options["subscribe"] == "hub" and options["startingOffsets"] == "latest" and 'a\\"b=' in options["kafka.sasl.jaas.config"]
+    with pytest.raises(ValueError):
+        kafka_options("Endpoint=sb://ns.servicebus.windows.net/")

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ..functions import clean_json
 from ..functions.json_path import field
 
-#: Names under which responses hold their records, in order of precedence.
+#: Names under which responses hold their records, in order of precedence.
 ITEM_KEYS = ("data", "pageItems", "items", "value", "result", "results", "records")
 
 

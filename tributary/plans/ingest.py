@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from ..functions.text import content_hash
 from ..operators.events import ID_FIELDS, Mapping, to_events
-from ..sources import files
+from ..sources import files, receiver
 
 
 def mapping_of(source: str, settings: dict[str, Any]) -> Mapping:
@@ -38,11 +38,17 @@ def raw(spark: SparkSession, source: str, settings: dict[str, Any]) -> DataFrame
         return files.parquet_rows(spark, path).withColumn("path", F.lit(path)) if path.lower().endswith(".parquet") else files.lines(spark, path, settings.get("glob"))
     if source == "bundles":
         return files.bundles(spark, path, settings.get("glob")).select("path", "text", "error")
+    if source == "syslog":  # what a receiver has spooled
+        spooled = spark.read.format("binaryFile").option("pathGlobFilter", "*.frames").load(path)
+        return receiver.received(spooled).select("path", "text")
+    if source in ("wel", "mac_unified_logging"):  # exported as a record a line; the latter begins with a line that is none
+        rows = files.lines(spark, path, settings.get("glob"))
+        return rows if source == "wel" else rows.where(F.col("text").startswith("{"))
     if source == "k8s_pods":
         return files.pod_logs(spark, path, settings.get("include_pods_re"), settings.get("exclude_pods_re"))
     if source == "bigquery":
         return files.json_rows(files.query(spark, settings["sql_query"])).withColumn("path", F.lit(None).cast("string"))
-    raise ValueError(f"{source!r} isn't a source of files; read it by spark.read.format() with paged_source() or queue_source()")
+    raise ValueError(f"{source!r} isn't a source of files; read it by spark.read.format() with paged_source(), cursor_source(), queue_source() or mailbox_source()")
 
 
 def events(spark: SparkSession, settings: list[dict[str, dict[str, Any]]], dedupe: bool = False) -> DataFrame:
