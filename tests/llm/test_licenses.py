@@ -96,3 +96,34 @@ def test_longer_notices_of_other_versions():
     assert names(gpl) == ["GPL-3.0"] and names(gpl.replace("version 3", "version 2")) == ["GPL-2.0"]
     assert names(gpl.replace("GNU General", "GNU Lesser General")) == ["LGPL-3.0"] and names(gpl.replace("version 3", "version 9")) == []
     assert names(TEMPLATES["Apache-2.0"][0].replace("Version 2.0", "Version 1.1")) == []
+
+
+def test_headings_and_short_notices():
+    assert names("BSD 3-Clause License\n\nSome text") == ["BSD-3-Clause"] and names("under a 2-clause BSD license, as is") == ["BSD-2-Clause"]
+    assert names("Distributed under the terms of the GNU GPL v3.") == ["GPL-3.0"] == names("Distributed under the terms of the GNU GPL 3.0.")
+    assert names("Distributed under the terms of the GNU GPL v2.") == ["GPL-2.0"] and names("Distributed under the terms of the GNU GPL v4.") == []
+    assert names("Licensed under the GNU Affero General Public License v3.0.") == ["AGPL-3.0"] and names("Distributed under the MIT License.") == ["MIT"]
+    assert names("Released under the Mozilla Public License, version 2.0.") == ["MPL-2.0"] and names("Released under the Mozilla Public License, version 1.1.") == []
+    assert names("Licensed under the BSD 4-Clause License.") == [] == names("The BSD systems have a clause on their license.")
+
+
+def test_every_passage_that_a_window_of_every_place_finds():
+    """Against aligning every template at every place: what reaches the coverage in a window of the template's size, names included, is found."""
+    rng, scanner = random.Random(9), Scanner()
+    short = [(n, t) for n, texts in TEMPLATES.items() for t in texts if len(tokens(t)) <= 14]
+    noise = lambda n: ["".join(rng.choices("bcdfgaeiou", k=6)) for _ in range(n)]
+    for _ in range(60):
+        words = noise(rng.randrange(12))
+        for _, t in rng.sample(short, rng.choice([0, 1, 2])):
+            own = tokens(t)
+            if rng.random() < 0.5:
+                own[rng.randrange(len(own))] = noise(1)[0]
+            words += [*own, *noise(rng.randrange(20))]
+        text = " ".join(words)
+        found, words = scanner.scan(text), tokens(text)
+        spans = [(len(text[:a].split()), len(text[:b].split())) for _, _, a, b, _ in found]
+        for k, (name, template) in enumerate(scanner.templates):
+            for at in range(max(1, len(words) - len(template) + 1)):
+                matched = patience(words[at : at + len(template)], template)
+                if len(matched) >= scanner.needed[k] and scanner._named(k, words[at : at + len(template)], matched):
+                    assert any(a <= at + matched[-1][0] and at + matched[0][0] < b for a, b in spans), (name, text)

@@ -80,14 +80,33 @@ TEMPLATES["GPL-2.0"] += (_GPL.replace("version 3", "version 2"),)
 TEMPLATES["LGPL-3.0"] += (_GPL.replace("GNU General", "GNU Lesser General"),)
 TEMPLATES["AGPL-3.0"] += (_GPL.replace("GNU General", "GNU Affero General"),)
 
+
+# Headings and short notices, by the licence's names: with a version where they have one.
+_NAMED = {
+    "MIT": ("MIT License",),
+    "Apache-2.0": ("Apache License 2.0", "Apache License, Version 2.0"),
+    "GPL-3.0": ("GNU GPL v3", "GNU General Public License v3.0", "GNU General Public License version 3"),
+    "GPL-2.0": ("GNU GPL v2", "GNU General Public License v2.0", "GNU General Public License version 2"),
+    "LGPL-3.0": ("GNU LGPL v3", "GNU Lesser General Public License v3.0", "GNU Lesser General Public License version 3"),
+    "AGPL-3.0": ("GNU AGPL v3", "GNU Affero General Public License v3.0", "GNU Affero General Public License version 3"),
+    "MPL-2.0": ("Mozilla Public License 2.0", "Mozilla Public License, version 2.0"),
+    "BSD-3-Clause": ("BSD 3-Clause License", "3-Clause BSD License"),
+    "BSD-2-Clause": ("BSD 2-Clause License", "2-Clause BSD License"),
+}
+for _name, _titles in _NAMED.items():
+    for _title in _titles:
+        TEMPLATES[_name] += tuple(t for t in (f"Licensed under the {_title}.", f"Released under the {_title}.", f"Distributed under the {_title}.", f"Distributed under the terms of the {_title}.") if t not in TEMPLATES[_name])
+    if "BSD" in _name:
+        TEMPLATES[_name] += _titles
+
 #: Words that name a licence, as versions do.
-NAMES = frozenset("mit apache gnu lesser affero mozilla cc by by-sa by-nc creative attribution attribution-sharealike attribution-noncommercial".split())
+NAMES = frozenset("mit apache gnu gpl lgpl agpl lesser affero mozilla bsd 2-clause 3-clause cc by by-sa by-nc creative attribution attribution-sharealike attribution-noncommercial".split())
 #: Words that make another licence of a name that they stand within.
 QUALIFIERS = frozenset("lesser library affero noncommercial non-commercial sharealike share-alike noderivatives noderivs no-derivatives".split())
 #: Words of a notice at most; in longer texts a name may be missing, but not be another.
 NOTICE = 40
 
-_VERSION = re.compile(r"\d+(?:\.\d+)*")
+_VERSION = re.compile(r"v?\d+(?:\.\d+)*")
 _TOKEN = re.compile(r"[^\W_]+(?:[.\-'][^\W_]+)*")
 
 
@@ -145,7 +164,7 @@ def patience(text: list[str], template: list[str]) -> list[tuple[int, int]]:
 
 def _plain(word: str) -> str:
     """A name or version without the ways in which it may be spelled."""
-    return word.removesuffix(".0").replace(".", "")
+    return (word[1:] if _VERSION.fullmatch(word) and word[0] == "v" else word).removesuffix(".0").replace(".", "")
 
 
 class Scanner:
