@@ -127,3 +127,14 @@ def test_every_passage_that_a_window_of_every_place_finds():
                 matched = patience(words[at : at + len(template)], template)
                 if len(matched) >= scanner.needed[k] and scanner._named(k, words[at : at + len(template)], matched):
                     assert any(a <= at + matched[-1][0] and at + matched[0][0] < b for a, b in spans), (name, text)
+
+
+SCANNER = Scanner()
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.one_of(st.sampled_from(sorted(SCANNER.keys)), st.sampled_from([" ", "-", "_", ".", "'", "İ", "ß", "é", "7", "x", "\n"]), st.text(max_size=3)), max_size=12))
+def test_a_text_with_a_key_is_never_passed_over(parts):
+    text = "".join(parts)
+    if not SCANNER.keys.isdisjoint(tokens(text)):
+        assert SCANNER._may_match(text.lower())

@@ -21,6 +21,7 @@ from collections.abc import Iterator
 from itertools import groupby
 from operator import itemgetter
 
+import ahocorasick
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -195,6 +196,19 @@ class Scanner:
                 picked.add(w)
                 held += n
             self.keys |= picked
+        self.finder = ahocorasick.Automaton()
+        for key in self.keys:
+            self.finder.add_word(key, len(key))
+        self.finder.make_automaton()
+
+    def _may_match(self, low: str) -> bool:
+        """Whether one of the keys stands in a lower-cased text with no letter or digit beside it, as every key that is a word does."""
+        if not self.keys:
+            return False
+        for last, size in self.finder.iter(low):
+            if (last < size or not low[last - size].isalnum()) and (last + 1 == len(low) or not low[last + 1].isalnum()):
+                return True
+        return False
 
     def _passages(self, words: list[str]) -> Iterator[tuple[int, int, int]]:
         """(template, first, end) of runs of shared neighbours."""
@@ -248,7 +262,8 @@ class Scanner:
 
         Of passages that overlap, the one with most matched words stays.
         """
-        if self.keys.isdisjoint(words := tokens(text)):
+        low = text.lower()
+        if not self._may_match(low) or self.keys.isdisjoint(words := _TOKEN.findall(low)):
             return []
         spans = None
         found = []
