@@ -192,6 +192,94 @@ def test_threats_in_each_language():
         assert at(text) == 0, text
 
 
+def test_inflected_threats_in_each_language():
+    reader = Reader(Grammar())
+    at = lambda text: reader.features(text)[FEATURES.index("threats")]
+    for text in (
+        *("I killed you", "he kills you", "I am going to shoot you", "They're killing you", "we stabbed you", "You'll see, we destroy them", "I shot you"),
+        *("ich töte dich", "er tötet euch", "ich habe dich getötet", "ich erschieße ihn", "sie zerstören euch"),
+        *("je te tue", "je t'ai frappé", "je t’ai tué", "nous vous détruirons", "je vais les massacrer"),
+        *("te mato", "te mataré", "voy a matarte", "os destruyen", "quiero aplastarlos"),
+    ):
+        assert at(text) == 1, text
+    for text in (
+        *("The flood killed 12 people.", "smoking kills people", "he shot them a look", "I don't kill you", "I won't hurt you", "he told me he would kill you"),
+        *("die Krankheit tötet Menschen", "er tötete ihn", "nicht dich töte ich"),
+        *("je ne te tue pas", "il tue le temps", "je n’ai tué elle", "un ataque mató a ellos", "no te mato", "su mata"),
+    ):
+        assert at(text) == 0, text
+
+
+def test_word_forms_equal_a_plain_list():
+    from tributary.llm.toxicity import FORMS, STEMS_AND_ENDINGS, symbol_of
+
+    plain = {}
+    for symbol, listed in FORMS.items():
+        for form in listed.split():
+            assert plain.setdefault(form, symbol) == symbol, form
+    for stems, endings in STEMS_AND_ENDINGS:
+        for stem in stems.split():
+            for symbol, listed in endings.items():
+                for ending in listed.split():
+                    form = stem if ending == "-" else stem + ending
+                    assert plain.setdefault(form, symbol) == symbol, form
+    for form, symbol in plain.items():
+        assert symbol_of(form) == symbol
+        for other in (form[:-1], form + "x", form + form[-1], ""):
+            assert symbol_of(other) == plain.get(other, "OTHER")
+
+
+def test_toxicity_scores_equal_a_plain_reckoning(spark):
+    """Induction, events and scores against loops over whole texts: each machine of the cascade in turn, words from the list."""
+    import random
+    import re
+
+    from tributary.llm import toxicity as t
+
+    rng, plain = random.Random(3), "the cat a house we see is it on mat".split()
+    docs = []
+    for i in range(240):
+        words = [rng.choice(plain) for _ in range(rng.randrange(4, 14))]
+        if i % 3 == 0:
+            words[rng.randrange(len(words))] = rng.choice(("dolt", "blender", "blending"))
+            words.insert(rng.randrange(len(words)), rng.choice(("you", "not", "said", "you")))
+        docs.append((i, " ".join(words) + rng.choice((".", "", "! I kill you"))))
+    labels = [(i, int(i % 3 == 0)) for i in range(200)]
+    got = {r.doc_id: r for r in score_documents(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(labels, "doc_id long, toxic int")).collect()}
+    fitted = [(text, y) for (i, text), (_, y) in zip(docs, labels) if not held_out(i)]
+    tokens = lambda text: re.findall(r"[^\W\d_]+|[.!?]", text.lower())
+    features = lambda w: {w + "$"} | {w[:n] for n in t.STEMS if len(w) >= n}
+    contexts, in_texts, n_of = {}, {0: Counter(), 1: Counter()}, Counter(y for _, y in fitted)
+    for text, y in fitted:
+        words = [w for w in tokens(text) if w not in ".!?"]
+        in_texts[y].update(set().union(*map(features, words)))
+        for before, w, after in zip(["", *words], words, [*words[1:], ""]):
+            for f in features(w) if y else ():
+                contexts.setdefault(f, set()).add((before, w, after))
+    kept = {f for f, own in contexts.items() if len(own) >= t.MIN_CONTEXTS and in_texts[0][f] / n_of[0] <= t.MAX_CLEAN * in_texts[1][f] / n_of[1]}
+    assert {"dolt$", "blend"} <= kept and not {f for f in kept if f.rstrip("$") in plain}
+
+    def events(text):
+        total, clauses = Counter(), re.split(r"[.!?]", text.lower())
+        for clause in clauses:
+            symbols = ["INSULT" if features(w) & kept else t.symbol_of(w) for w in re.findall(r"[^\W\d_]+", clause)]
+            for make in CASCADE:
+                symbols, own = make().run(symbols)
+                total += own
+        return np.log1p([float(total[f]) for f in FEATURES])
+
+    x, y = np.array([events(text) for text, _ in fitted]), np.array([y for _, y in fitted], float)
+    weights, bias = np.array(t.PRIOR), 0.0
+    for _ in range(200):  # Newton's steps, each component in full form
+        p = 1 / (1 + np.exp(-(x @ weights + bias)))
+        slope = np.append(x.T @ (p - y) + (weights - t.PRIOR), (p - y).sum() + 1e-3 * bias)
+        x1 = np.column_stack([x, np.ones(len(x))])
+        change = np.linalg.solve((x1.T * (p * (1 - p))) @ x1 + np.diag([1.0] * len(FEATURES) + [1e-3]), slope)
+        weights, bias = weights - 0.5 * change[:-1], bias - 0.5 * change[-1]
+    for i, text in docs:
+        assert got[i].score == pytest.approx(1 / (1 + np.exp(-(events(text) @ weights + bias))), abs=1e-4), text
+
+
 @given(st.lists(st.sampled_from(SYMBOLS), max_size=40))
 def test_the_composed_transducer_does_what_the_cascade_does(symbols):
     passed, events = list(symbols), Counter()

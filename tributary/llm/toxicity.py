@@ -1,18 +1,23 @@
 """Toxicity by a weighted finite-state pattern grammar.
 
-A text's words become symbols: INSULT, THREAT, TARGET, OBJECT and CLITIC (who is
-addressed), NEGATION, REPORT and OTHER; punctuation and line ends part clauses.
-Five transducers, written as tables of arcs (state and input to output, weight
-and next state), read the symbols of a clause in turn, each the output of the one
-before:
+A text's words become symbols. A transducer over characters knows stems with the
+endings that they take, and gives a form its symbol: THREAT (infinitives and first
+persons), TOLD (other forms of such verbs), AIMED (with its object in the word), YOU
+and ADDRESSED (second persons, as they stand alone and beside verbs), TARGET and
+OBJECT (third ones), CLITIC, NEGATION, REPORT; induced insults are INSULT, the rest
+OTHER. Punctuation and line ends part clauses. Five more transducers, written as
+tables of arcs (state and input to output, weight and next state), read the symbols
+of a clause in turn, each the output of the one before:
 
 * reported speech: an insult or threat after a verb of saying is a quotation;
 * negation: one shortly after a negation is taken back;
 * threat: a threat word with somebody threatened within a few words, on either side;
+  what is told of others (``it killed people``) is none, but told of who is addressed it is;
 * target: an addressee beside the insult makes it an attack;
 * insult: an insult that is left is affirmed, more than one repeated.
 
-They are composed once to one transducer, which runs over each clause. A weight
+They are composed once to one transducer, which runs over each clause; the words'
+one is composed with it as texts are read, a word at a time and remembered. A weight
 is a vector of events, which add up along a path. A logistic regression fitted to
 labelled rows gives each event its part in the score: so isolated words never
 score alone, but matched clauses by the weights of their paths.
@@ -38,17 +43,47 @@ from pyspark.sql import functions as F
 
 from .common import by_small_batches, discard, fold_of, materialise, returning_memory, without_nulls
 
-# Word lists of the grammar (English, German, French, Spanish). An object form is threatened on
-# either side of the threat; a clitic, else an article, only right before it.
-THREATS = frozenset("kill destroy hurt punish crush murder strangle töten umbringen vernichten schlagen tuer frapper détruire écraser matar destruir golpear aplastar".split())
-TARGETS = frozenset("you your youre he she they him her them people du ihr er tu toi il elle ils elles tú ti usted ustedes él ella ellos ellas".split())
-OBJECTS = frozenset("dich dir euch sie ihn ihm ihnen te vous os".split())
-CLITICS = frozenset("le la les lo los las se nous nos".split())
-NEGATIONS = frozenset("not never no isn't aren't wasn't nicht nie kein keine niemals ne pas jamais aucun nunca jamás tampoco".split())
-REPORTS = frozenset("said says called calls wrote writes claimed reported quoted sagte sagt nannte schrieb dit appelle écrit dijo dice llamó escribió".split())
+# Word lists of the grammar (English, German, French, Spanish). Forms by symbol: an
+# object form is threatened on either side of the threat, a clitic, else an article, only right before it.
+FORMS = {
+    "THREAT": "umbringen schlagen",
+    "TOLD": "shot umgebracht geschlagen erschossen getötet",
+    "YOU": "you your youre ti toi usted ustedes",
+    "TARGET": "they he she him her them people du ihr er tu il elle ils elles tú él ella ellos ellas",
+    "ADDRESSED": "dich dir euch te vous os",
+    "OBJECT": "sie ihn ihm ihnen",
+    "CLITIC": "le la les lo los las se nous nos",
+    "NEGATION": "not never no cannot nicht nie kein keine niemals ne pas jamais aucun nunca jamás tampoco",
+    "REPORT": "said says wrote writes told tells sagt sagte sagten nannte nannten schrieb schrieben dit disait appelle écrit dijo dice dijeron escribió",
+}
+# Stems, and the endings that they take, by symbol; "-" is no ending.
+STEMS_AND_ENDINGS = (
+    ("kill destroy murder slaughter", {"THREAT": "-", "TOLD": "s ed ing"}),
+    ("punish crush", {"THREAT": "-", "TOLD": "es ed ing"}),
+    ("strangl", {"THREAT": "e", "TOLD": "es ed ing"}),
+    ("hurt shoot", {"THREAT": "-", "TOLD": "s ing"}),
+    ("stab", {"THREAT": "-", "TOLD": "s bed bing"}),
+    ("töt vernicht", {"THREAT": "en e", "TOLD": "est et ete etest eten etet"}),
+    ("erwürg zerstör", {"THREAT": "en e", "TOLD": "st t te test ten tet"}),
+    ("erschieß", {"THREAT": "en e", "TOLD": "t"}),
+    ("tu frapp écras étrangl massacr", {"THREAT": "er erai", "TOLD": "e es ons ez ent eras era erons erez eront ais ait aient é ée és ées"}),
+    ("détrui", {"THREAT": "re rai", "TOLD": "s t sons sez sent ras ra rons rez ront sais sait saient ts te tes"}),
+    ("mat golpe aplast", {"THREAT": "ar aré o", "TOLD": "as a amos an arás ará aremos arán é aste ó aron ado ando", "AIMED": "arte aros arlo arla arlos arlas"}),
+    ("destru", {"THREAT": "ir iré yo", "TOLD": "yes ye imos yen irás irá irán í iste yó yeron ido yendo", "AIMED": "irte iros irlo irla irlos irlas"}),
+    ("you", {"YOU": "'re 'll 've 'd"}),
+    ("they he she", {"TARGET": "'re 's 'll 've 'd"}),
+    ("t'", {"ADDRESSED": "ai as a avons avez ont aurai aura auront"}),
+    ("is are was were do does did have has had wo would ca could should must", {"NEGATION": "n't"}),
+    ("n'", {"NEGATION": "ai as a avons avez ont es est était"}),
+    ("call claim report shout", {"REPORT": "s ed"}),
+    ("quot", {"REPORT": "es ed"}),
+    ("llam", {"REPORT": "a an ó aron"}),
+)
 
 #: Input symbols.
-SYMBOLS = ("OTHER", "INSULT", "THREAT", "TARGET", "OBJECT", "CLITIC", "NEGATION", "REPORT")
+SYMBOLS = ("OTHER", "INSULT", "THREAT", "TOLD", "AIMED", "TARGET", "YOU", "OBJECT", "ADDRESSED", "CLITIC", "NEGATION", "REPORT")
+#: Symbols of what makes an event.
+MARKED = ("INSULT", "THREAT", "TOLD", "AIMED")
 #: Symbols that transducers write for later ones.
 INNER = ("DENIED", "QUOTED")
 #: Events, in order: the components of a weight.
@@ -56,7 +91,7 @@ FEATURES = ("affirmed", "targeted", "denied", "reported", "threats", "clauses",
 #: Words over which a negation or a threat reaches; a report reaches twice as far.
 REACH = 4
 
-_TOKENS = re.compile(r"[^\W\d_]+(?:'[^\W\d_]+)?|[.!?;:\n]").findall
+_TOKENS = re.compile(r"[^\W\d_]+(?:['’][^\W\d_]+)?|[.!?;:\n]").findall
 _BREAKS = frozenset(".!?;:\n")
 
 #: Labelled rows of each label that the lexicon and the regression are fitted on at most,
@@ -133,29 +168,32 @@ def _shortly_after(mark: str, reach: int, changed: dict[str, tuple[str, Events]]
 
 
 def reported_speech(reach: int = 2 * REACH) -> Transducer:
-    return _shortly_after("REPORT", reach, {"INSULT": ("QUOTED", ("reported",)), "THREAT": ("QUOTED", ("reported",))})
+    return _shortly_after("REPORT", reach, dict.fromkeys(MARKED, ("QUOTED", ("reported",))) | {"TOLD": ("OTHER", ())})
 
 
 def negation(reach: int = REACH) -> Transducer:
-    return _shortly_after("NEGATION", reach, {"INSULT": ("DENIED", ("denied",)), "THREAT": ("DENIED", ("denied",))})
+    return _shortly_after("NEGATION", reach, dict.fromkeys(MARKED, ("DENIED", ("denied",))) | {"TOLD": ("OTHER", ())})
 
 
 def threat(reach: int = REACH) -> Transducer:
-    """States: 0 nothing; 1 .. reach, so many words since an object; reach + 1 a clitic just before; then, so many words since a threat."""
-    clitic, arcs = reach + 1, {}
-    since = lambda k: clitic + k
-    for state in range(2 * reach + 2):
-        after_object, after_threat = 1 <= state <= reach, state > clitic
-        later = 0
-        if after_object and state < reach or after_threat and state < since(reach):
-            later = state + 1
+    """States: nothing; so many words since an object, one addressed, a threat, a told one; a clitic just before."""
+    waiting = ("OBJECT", "ADDRESSED", "THREAT", "TOLD")
+    number = {state: i for i, state in enumerate([("", 0), *((kind, k) for kind in waiting for k in range(1, reach + 1)), ("CLITIC", 1)])}
+    victims = {"THREAT": ("TARGET", "YOU", "OBJECT", "ADDRESSED"), "TOLD": ("YOU", "ADDRESSED")}
+    before = {"THREAT": ("OBJECT", "ADDRESSED", "CLITIC"), "TOLD": ("ADDRESSED",)}
+    arcs = {}
+    for (kind, k), state in number.items():
+        later = number[kind, k + 1] if kind in waiting and k < reach else 0
         for symbol in (*SYMBOLS, *INNER):
             arcs[state, symbol] = (symbol, (), later)
-        met = ("threats",) if after_threat else ()
-        arcs[state, "TARGET"] = ("TARGET", met, 0 if after_threat else later)
-        arcs[state, "OBJECT"] = ("TARGET", met, 1)
-        arcs[state, "CLITIC"] = ("OTHER", (), later or clitic)
-        arcs[state, "THREAT"] = ("OTHER", ("threats",), 0) if after_object or state == clitic else ("OTHER", (), since(1))
+        for symbol in ("TARGET", "YOU", "OBJECT", "ADDRESSED"):
+            met = symbol in victims.get(kind, ())
+            following = number[symbol, 1] if symbol in waiting else 0 if met else later
+            arcs[state, symbol] = ("TARGET", ("threats",) if met else (), following)
+        arcs[state, "CLITIC"] = ("OTHER", (), later or number["CLITIC", 1])
+        for symbol, kinds in before.items():
+            arcs[state, symbol] = ("OTHER", ("threats",), 0) if kind in kinds else ("OTHER", (), number[symbol, 1])
+        arcs[state, "AIMED"] = ("OTHER", ("threats",), 0)
     return Transducer(arcs)
 
 
@@ -191,6 +229,32 @@ def insult() -> Transducer:
 CASCADE: tuple[Callable[[], Transducer], ...] = (reported_speech, negation, threat, target, insult)
 
 
+@lru_cache(maxsize=1)
+def word_forms() -> tuple[Transducer, dict[int, str]]:
+    """The transducer of the characters of words, and its end states' symbols: stems composed with their endings, so that states are beginnings of forms."""
+    forms = {form: symbol for symbol, listed in FORMS.items() for form in listed.split()}
+    for stems, endings in STEMS_AND_ENDINGS:
+        for symbol, listed in endings.items():
+            forms |= {stem + ending.strip("-"): symbol for stem in stems.split() for ending in listed.split()}
+    number, arcs = {"": 0}, {}
+    for form in forms:
+        for n, letter in enumerate(form):
+            state = number.setdefault(form[: n + 1], len(number))
+            arcs[number[form[:n]], letter] = ("", (), state)
+    return Transducer(arcs), {number[form]: symbol for form, symbol in forms.items()}
+
+
+def symbol_of(word: str) -> str:
+    """The symbol of a word's form; no arc leads on from what is no beginning of a form."""
+    machine, ends = word_forms()
+    state = 0
+    for letter in word.replace("’", "'"):
+        if (state, letter) not in machine.arcs:
+            return "OTHER"
+        state = machine.arcs[state, letter][2]
+    return ends.get(state, "OTHER")
+
+
 @lru_cache(maxsize=1)
 def composed() -> tuple[list[list[tuple[np.ndarray | None, int]]], list[np.ndarray | None]]:
     """The composed cascade as tables: by state and symbol (weight, next state), and by state the final weight; no weight is None."""
@@ -214,12 +278,7 @@ class Grammar:
         return word in self.words or any(word[:n] in self.stems for n in STEMS if len(word) >= n)
 
     def symbol(self, word: str) -> str:
-        if self.insult(word):
-            return "INSULT"
-        for name, words in (("THREAT", THREATS), ("NEGATION", NEGATIONS), ("REPORT", REPORTS), ("TARGET", TARGETS), ("OBJECT", OBJECTS), ("CLITIC", CLITICS)):
-            if word in words:
-                return name
-        return "OTHER"
+        return "INSULT" if self.insult(word) else symbol_of(word)
 
 
 class Reader:
@@ -229,7 +288,7 @@ class Reader:
 
     def __init__(self, grammar: Grammar):
         self.grammar, self.memo = grammar, {}
-        self.starts = {SYMBOLS.index("INSULT"), SYMBOLS.index("THREAT")}
+        self.starts = {SYMBOLS.index(s) for s in MARKED}
 
     def _code(self, word: str) -> int:
         return self.BREAK if word in _BREAKS else SYMBOLS.index(self.grammar.symbol(word))
