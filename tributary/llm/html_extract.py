@@ -12,6 +12,14 @@ within articles and outside them are kept apart. Within an article only whole
 containers (boxes, lists, sections) can be template: a heading, a paragraph or a
 run of words that several articles share is their text, and so is a container
 that holds over half of its article.
+
+Furniture whose words differ from page to page recurs in form alone. So on pages
+without an ``article`` or ``main`` skeletons are counted too: tag, kind and the
+forms of the blocks and links below, without text, equal siblings folded. With each skeleton
+go the text that it holds, its spread and its links. A container whose place holds
+half of its pages' text is the article's; boxes outside it whose skeleton recurs
+with little text are furniture, and boxes of links wherever they are. Headings and
+paragraphs never are.
 """
 
 from __future__ import annotations
@@ -36,6 +44,13 @@ PAGES, ARTICLES = 0, -1
 LONGEST = 3
 #: Text under this many characters recurs by chance and is template only with its surroundings.
 TEMPLATE_CHARS = 8
+#: A skeleton's box is a menu if so much of its text is links, and furniture if it holds so little of its pages' text, on average and in spread.
+LINK_SHARE, SMALL_SHARE = 0.5, 0.2
+#: So much of its pages' text the article's container holds.
+CONTAINER_SHARE = 0.5
+#: What a row of counts is of, and the last two bits of what skeletons are found to be.
+EXACT, SKELETON, PLACE = 0, 1, 2
+LINKS, SMALL, CONTAINER = 1, 2, 3
 #: Most bytes of template hashes that are sent to all tasks; more are joined by host.
 BROADCAST_BYTES = 32 << 20
 
@@ -48,6 +63,10 @@ BLOCKS = frozenset(
 NEVER = frozenset("script style noscript template iframe svg canvas head title nav aside footer form menu select button input textarea dialog object embed audio video map".split())
 #: What can be template within an article.
 BOXES = frozenset("address aside center details div dl fieldset figure footer header hgroup menu ol section table ul".split())
+#: What can be furniture by its skeleton.
+FURNITURE = BOXES | frozenset("nav form menu dir".split())
+#: No text at all, whatever tags and classes are held to mean.
+UNSEEN = frozenset("script style noscript template iframe svg canvas head title textarea".split())
 #: Within the article an id of these names a place in the text.
 TITLES = frozenset("h1 h2 h3 h4 h5 h6 p".split())
 #: ``p`` ends where one of these begins.
@@ -72,19 +91,19 @@ _CAMEL = re.compile(r"([a-z])([A-Z])")
 
 
 class Node:
-    __slots__ = ("tag", "kind", "parts", "hash", "chars", "drop")
+    __slots__ = ("tag", "kind", "parts", "hash", "chars", "drop", "skeleton", "place", "links")
 
     def __init__(self, tag: str, kind: str = "", drop: bool = False):
         self.tag, self.kind, self.parts, self.drop = tag, kind, [], drop
-        self.hash, self.chars = 0, 0
+        self.hash = self.chars = self.skeleton = self.place = self.links = 0
 
 
 def _hyphened(kinds) -> str:
     return _CAMEL.sub(r"\1-\2", " ".join(kinds)).lower()
 
 
-def parse(page: str) -> Node:
-    """A tree of the page; end tags may be missing, and stray ones are ignored."""
+def parse(page: str, known: bool = True) -> Node:
+    """A tree of the page; end tags may be missing, and stray ones are ignored. ``known``: whether tags and classes tell what is no article text."""
     root = Node("#root")
     stack, at = [root], 0
     while True:
@@ -125,7 +144,7 @@ def parse(page: str) -> Node:
         if marked and any(map(_is_main, stack)):
             own = _hyphened(k for n, k in kinds if n != "id" or tag not in TITLES)
             marked = bool(marks.search(" ".join(w for w in _MARK.split(own) if w not in (_TEXT_MARKS if tag in BOXES else _TEXT_MARKS | _NOTICES)) if marks is BOILERPLATE else own))
-        node = Node(tag, kind, tag in NEVER or marked or bool(attributes) and bool(_HIDDEN.search(attributes)))
+        node = Node(tag, kind, tag in NEVER or marked or bool(attributes) and bool(_HIDDEN.search(attributes)) if known else tag in UNSEEN)
         stack[-1].parts.append(node)
         if tag in VOID or attributes.rstrip().endswith("/") and tag not in BLOCKS:
             continue
@@ -162,6 +181,58 @@ def hash_subtrees(root: Node) -> None:
         node.hash = xxhash.xxh64_intdigest("\x1f".join(held), 42) >> 1
 
 
+_DIGITS = re.compile(r"\d+")
+
+
+def hash_skeletons(root: Node) -> None:
+    """Sets each node's ``skeleton``, ``place`` (tags and kinds from the root on; the last two bits of both are 0) and ``links`` (characters); ``chars`` must be set."""
+    above: dict[Node, int] = {}
+    order = list(_walk(root))
+    for node in reversed(order):  # parents before children
+        node.place = xxhash.xxh64_intdigest(f"{above.get(node, 0)} {node.tag} {_DIGITS.sub('#', node.kind)}", 42) >> 3 << 2
+        above.update((part, node.place) for part in node.parts if isinstance(part, Node))
+    for node in order:
+        below = [part for part in node.parts if isinstance(part, Node) and not part.drop]
+        node.links = node.chars if node.tag == "a" else sum(part.links for part in below)
+        forms = dict.fromkeys(part.skeleton for part in below if part.tag in BLOCKS or part.tag == "a")
+        node.skeleton = xxhash.xxh64_intdigest(" ".join([node.tag, _DIGITS.sub("#", node.kind), *map(str, forms)]), 43) >> 3 << 2
+
+
+def skeleton_candidates(root: Node) -> dict[tuple[int, int], list[int]]:
+    """By (SKELETON or PLACE, hash) the characters of text and of links of a page's boxes and places, those alike added up."""
+    found: dict[tuple[int, int], list[int]] = {}
+    todo = [root]
+    while todo:
+        node = todo.pop()
+        todo += [p for p in node.parts if isinstance(p, Node) and not p.drop]
+        keys = [(PLACE, node.place)] if node.tag in BLOCKS and node.tag not in TITLES else []
+        if node.tag in FURNITURE and node.chars:
+            keys.append((SKELETON, node.skeleton))
+        for key in keys:
+            sums = found.setdefault(key, [0, 0])
+            sums[0] += node.chars
+            sums[1] += node.links
+    return found
+
+
+def drop_furniture(root: Node, found: frozenset[int] | set[int]) -> None:
+    """Marks the boxes that ``found`` holds: of links anywhere, small ones outside the innermost container of the article; never half of the page."""
+    inner, todo = None, [root]
+    while todo:
+        node = todo.pop()
+        if node.place | CONTAINER in found and 2 * node.chars >= root.chars:
+            inner = node
+        todo += [p for p in reversed(node.parts) if isinstance(p, Node) and not p.drop and 2 * p.chars >= root.chars]
+    steps = [(root, inner is None)]
+    while steps:
+        node, within = steps.pop()
+        within = within or node is inner
+        if node.tag in FURNITURE and 2 * node.chars < root.chars and (node.skeleton | LINKS in found and node.links >= LINK_SHARE * node.chars or not within and node.skeleton | SMALL in found):
+            node.drop = True
+        else:
+            steps += [(p, within) for p in node.parts if isinstance(p, Node) and not p.drop]
+
+
 def _is_main(node: Node) -> bool:
     return node.tag in ("article", "main") or node.kind == "main"
 
@@ -231,12 +302,16 @@ def article_candidates(top: Node) -> set[tuple[int, int]]:
     return found
 
 
-def main_text(root: Node, template: frozenset[int] | set[int] = frozenset()) -> str:
+def main_text(root: Node, template: frozenset[int] | set[int] = frozenset(), known: bool = True) -> str:
     """The article's blocks, trimmed and joined by empty lines.
 
-    ``template``: hashes outside articles, inverted ones within them.
+    ``template``: hashes outside articles, inverted ones within them, and what
+    skeletons are found to be. ``known``: as in ``parse``.
     """
-    mains = _mains(root)
+    mains = _mains(root) if known else []
+    if template and not mains:
+        hash_skeletons(root)
+        drop_furniture(root, template)
     inside = bool(mains)
     blocks: list[str] = []
     line: list[str] = []
@@ -257,7 +332,7 @@ def main_text(root: Node, template: frozenset[int] | set[int] = frozenset()) ->
                 flush()
             elif step.drop or (~step.hash in template and step is not top and _is_box(step, top) if inside else step.hash in template):
                 continue
-            elif not inside and (step.tag == "header" or _HEADER.search(step.kind)) and step.tag not in ("html", "body"):
+            elif known and not inside and (step.tag == "header" or _HEADER.search(step.kind)) and step.tag not in ("html", "body"):
                 continue
             elif step.tag == "br":
                 line.append(" ")
@@ -275,8 +350,8 @@ def _host(url) -> F.Column:
     return F.coalesce(F.lower(F.try_parse_url(F.regexp_replace(url, r"[\s\\^`{}|<>\"]", ""), F.lit("HOST"))), F.lit(""))
 
 
-def site_templates(pages: DataFrame) -> DataFrame:
-    """(host, hashes): subtrees that recur on many pages, or in many articles (inverted), of the host.
+def site_templates(pages: DataFrame, known: bool = True) -> DataFrame:
+    """(host, hashes): subtrees that recur on many pages, or in many articles (inverted), of the host, and its skeletons.
 
     ``pages`` has columns host and html. A page's share is bounded by its
     elements, so a host has at most (elements of a page) / SECTION_SHARE of
@@ -284,41 +359,60 @@ def site_templates(pages: DataFrame) -> DataFrame:
     """
     def hashed(batches):
         for batch in batches:
-            hosts, hashes, rests = [], [], []
+            rows: list[tuple] = []
             for host, page in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                root = parse(page)
+                root = parse(page, known)
                 hash_subtrees(root)
                 own = template_candidates(root)
                 own |= {(PAGES, rest) for node, _, rest in _surroundings(root) if node is root}
-                for top in _mains(root):
+                mains = _mains(root) if known else []
+                for top in mains:
                     own |= article_candidates(top)
-                hosts += [host] * len(own)
-                hashes += [h for h, _ in own]
-                rests += [r for _, r in own]
-            yield pa.record_batch([pa.array(hosts, pa.string()), pa.array(hashes, pa.int64()), pa.array(rests, pa.int64())], names=["host", "hash", "rest"])
-
-    each = by_small_batches(pages).select("host", "html").mapInArrow(returning_memory(hashed), "host string, hash long, rest long").distinct()
-    counts = each.groupBy("host", "hash").agg(F.count("*").alias("n"))
+                rows += [(host, EXACT, h, rest, 0, 0, 0.0, 0.0) for h, rest in own]
+                if not mains and root.chars:
+                    hash_skeletons(root)
+                    rows.append((host, SKELETON, PAGES, 0, 0, 0, 0.0, 0.0))
+                    rows += [(host, what, h, 0, c, links, c / root.chars, (c / root.chars) ** 2) for (what, h), (c, links) in skeleton_candidates(root).items()]
+            yield pa.Table.from_pylist([dict(zip(schema.names, r)) for r in rows], schema).combine_chunks().to_batches()[0] if rows else pa.record_batch([[]] * len(schema), schema)
+
+    kinds = {"host": pa.string(), "what": pa.int32(), "hash": pa.int64(), "rest": pa.int64(), "chars": pa.int64(), "links": pa.int64(), "share": pa.float64(), "square": pa.float64()}
+    schema, sums = pa.schema(kinds), ("chars", "links", "share", "square")
+    each = by_small_batches(pages).select("host", "html").mapInArrow(returning_memory(hashed), "host string, what int, hash long, rest long, chars long, links long, share double, square double")
+    # an exact subtree counts once in each of its surroundings, a skeleton on each page
+    each = each.groupBy("host", "what", "hash", "rest").agg(F.count("*").alias("n"), *(F.sum(c).alias(c) for c in sums))
+    counts = each.groupBy("host", "what", "hash").agg(F.sum(F.when(F.col("what") == EXACT, 1).otherwise(F.col("n"))).alias("n"), *(F.sum(c).alias(c) for c in sums))
     often = counts.where(F.col("n") >= TEMPLATE_PAGES)
     often = materialise(often, "subtrees")
-    totals = often.where(F.col("hash").isin(PAGES, ARTICLES)).select("host", (F.col("hash") == ARTICLES).alias("within"), F.col("n").alias("pages"))
-    rest = often.where(~F.col("hash").isin(PAGES, ARTICLES)).withColumn("within", F.col("hash") < 0)
+    is_total = F.col("hash").isin(PAGES, ARTICLES)
+    often = often.withColumn("of", F.when(F.col("what") != EXACT, SKELETON).when(F.col("hash") < 0, ARTICLES).otherwise(PAGES))
+    totals = often.where(is_total).select("host", "of", F.col("n").alias("pages"))
     least = F.least(TEMPLATE_SHARE * F.col("pages"), F.greatest(F.lit(float(SECTION_PAGES)), SECTION_SHARE * F.col("pages")))
-    return rest.join(totals, ["host", "within"]).where(F.col("n") >= least).groupBy("host").agg(F.collect_list("hash").alias("hashes"))
-
-
-def extract(pages: DataFrame, id_column: str = "page_id", url_column: str = "url", html_column: str = "html") -> DataFrame:
+    mean, n = F.col("share") / F.col("n"), F.col("n")
+    spread = F.sqrt(F.greatest(F.col("square") / n - mean * mean, F.lit(0.0)))
+    meaning = (
+        F.when(F.col("what") == EXACT, F.col("hash"))
+        .when(F.col("what") == PLACE, F.when(mean >= CONTAINER_SHARE, F.col("hash").bitwiseOR(F.lit(CONTAINER))))
+        .when(F.col("links") >= LINK_SHARE * F.col("chars"), F.col("hash").bitwiseOR(F.lit(LINKS)))
+        .when((mean <= SMALL_SHARE) & (spread <= SMALL_SHARE), F.col("hash").bitwiseOR(F.lit(SMALL)))
+    )
+    enough = n >= F.when(F.col("what") == EXACT, least).otherwise(TEMPLATE_SHARE * F.col("pages"))
+    kept = often.where(~is_total).join(totals, ["host", "of"]).where(enough).select("host", meaning.alias("hash")).where("hash is not null")
+    return kept.groupBy("host").agg(F.collect_list("hash").alias("hashes"))
+
+
+def extract(pages: DataFrame, id_column: str = "page_id", url_column: str = "url", html_column: str = "html", known: bool = True) -> DataFrame:
     """Per row: page_id, url, ``text`` and ``n_chars`` (code points).
 
     Null and empty pages give an empty text. Pages without a host (null or odd
     addresses) share one nameless host. Repeated rows are extracted each, and
     count as pages of their host. Other columns are ignored. Character
     references are decoded, white space within a block becomes one space, and
-    nothing of the article is cut.
+    nothing of the article is cut. ``known``: whether tags and classes tell what
+    is no article text; without it the counts alone do.
     """
     spark = pages.sparkSession
     rows = pages.select(F.col(id_column).alias("page_id"), F.col(url_column).alias("url"), _host(F.col(url_column)).alias("host"), without_nulls(F.col(html_column)).alias("html"))
-    templates = materialise(site_templates(rows), "templates")
+    templates = materialise(site_templates(rows, known), "templates")
     size = templates.agg(F.coalesce(F.sum(8 * F.size("hashes") + 64 + F.length("host")), F.lit(0)).alias("bytes")).first()["bytes"]
     kind = rows.schema["page_id"].dataType.simpleString()
     small = None
@@ -336,10 +430,10 @@ def extract(pages: DataFrame, id_column: str = "page_id", url_column: str = "url
                 texts = []
                 for host, page, own in zip(*(part.column(part.schema.get_field_index(c)).to_pylist() for c in ("host", "html", "hashes"))):
                     template = small.value.get(host, frozenset()) if small else frozenset(own or ())
-                    root = parse(page)
+                    root = parse(page, known)
                     if template:
                         hash_subtrees(root)
-                    texts.append(main_text(root, template))
+                    texts.append(main_text(root, template, known))
                 ids, urls = (part.column(part.schema.get_field_index(c)) for c in ("page_id", "url"))
                 yield pa.record_batch([ids, urls, pa.array(texts, pa.string()), pa.array(list(map(len, texts)), pa.int64())], names=["page_id", "url", "text", "n_chars"])
 
