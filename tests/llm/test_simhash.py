@@ -127,13 +127,17 @@ def test_repeated_lines_and_tiny_sets_are_no_reason_to_miss_a_near_copy(spark):
     assert [got[i] for i in range(len(texts))] == [i - i % 2 for i in range(len(texts))]
 
 
-@pytest.mark.parametrize("tile", [2, 5])
-def test_small_tiles_give_the_same_groups(spark, monkeypatch, tile):
+@pytest.mark.parametrize("tile, size", [(2, 1 << 24), (5, 1 << 24), (2048, 700)])
+def test_small_tiles_give_the_same_groups(spark, monkeypatch, tile, size):
+    """Tiles by members and by bytes; texts that grow by shares share keys with longer and shorter ones."""
     texts = near_texts(random.Random(7), 2, 24, 80)
+    long = near_texts(random.Random(8), 1, 1, 300)[0].split()
+    texts += [" ".join(long[: 60 + 12 * k]) for k in range(20)]
     rows = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
     wanted = {r.doc_id: r.group_id for r in sh.similar_groups(rows).collect()}
     links = sh.similarity_links
     monkeypatch.setattr(sh, "similarity_links", lambda distinct, rows, similarity: links(distinct, rows, similarity, tile))
+    monkeypatch.setattr(sh, "TILE_BYTES", size)
     assert {r.doc_id: r.group_id for r in sh.similar_groups(rows).collect()} == wanted
 
 
@@ -144,3 +148,26 @@ def test_parities_differ_in_no_more_bits_than_the_sets_in_members():
         b = np.unique(np.concatenate([a[n // 10 :], rng.integers(0, 1 << 32, n // 5, dtype=np.uint32)]))
         x, y = sh.parities([a, b])
         assert int(np.bitwise_count(x ^ y).sum()) <= len(np.setxor1d(a, b))
+
+
+def test_size_ranks_and_runs_lose_no_pair_of_that_similarity(spark):
+    for similarity in (0.5, 0.8, 0.95):
+        sizes = np.unique(np.concatenate([np.arange(1, 80), (4 * 1.25 ** np.arange(60)).astype(int)]))
+        rank, radius = sh.size_ranks(F.col("id"), similarity)
+        at = np.array([r[0] for r in spark.createDataFrame([(int(n),) for n in sizes], "id long").select(rank).collect()])
+        fit = np.minimum.outer(sizes, sizes) >= similarity * np.maximum.outer(sizes, sizes)
+        assert (np.abs(np.subtract.outer(at, at))[fit] <= radius).all()
+        one = {(x, int(y)) for i, j in sh.sized_pairs(sizes, len(sizes), similarity) for x, y in zip(i, j)}
+        assert {(x, y) for x, y in np.argwhere(fit).tolist() if x < y} <= one
+        both = np.concatenate([sizes[::2], sizes[1::2]])
+        half = len(sizes[::2])
+        two = {(x, int(y)) for i, j in sh.sized_pairs(both, half, similarity) for x, y in zip(i, j)}
+        assert {(x, y + half) for x, y in np.argwhere(fit[::2, 1::2]).tolist()} <= two and all(x < half <= y for x, y in two)
+    assert sh.size_ranks(F.col("id"), 1.0)[1] == 0
+
+
+def test_a_key_that_many_sizes_share_makes_no_square_of_tile_pairs(spark):
+    keyed = spark.range(2000).selectExpr("0 as band", "1L as key", "int(id % 200) as rank", "400L as bytes", "id as node")
+    dealt = sh._bucketed(keyed, 3, 10, ["node"])
+    assert dealt.select("pair").distinct().count() == 200 * 4 - (3 + 2 + 1)
+    assert dealt.where("side = 0").select("node").distinct().count() == 2000

@@ -6,29 +6,35 @@ bits (two fingerprints at k bits or fewer agree in two blocks at least); for
 shingle similarity, min-wise keys of the shingles. Within a bucket, fingerprints
 stand in tiles by population count, and tiles are compared exactly by exclusive-or
 and bit counts in numpy. Tile pairs whose population counts differ beyond the
-radius are skipped, for they can hold no link. For shingle similarity a
-fingerprint only says in which tile a set stands; what is compared are parities
-of the sets, whose differing bits are never more than the sets' differing shingles.
-
-A bucket larger than a tile is dealt out, tile pair by tile pair, to tasks of
-its own. Each task hands on a spanning forest of the links it finds, never all
-pairs, so a group of thousands of near copies gives as many edges as members.
+radius are skipped, for they can hold no link. For shingle similarity, sets stand
+in tiles by size, and tile pairs whose sizes differ beyond the similarity are
+skipped; what is compared are parities of the sets, whose differing bits are
+never more than the sets' differing shingles.
+
+A bucket larger than a tile, in members or in bytes, is dealt out, tile pair by
+tile pair, to tasks of its own. Each task hands on a spanning forest of the links
+it finds, never all pairs, so a group of thousands of near copies gives as many
+edges as members.
 """
 
 from __future__ import annotations
 
+import math
 from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import by_small_batches, materialise, returning_memory, without_nulls
+from .common import by_small_batches, discard, materialise, returning_memory, without_nulls
 
-#: Fingerprints of a tile.
+#: Members of a tile.
 TILE = 2048
+#: Bytes of a tile's sets; a task holds two tiles.
+TILE_BYTES = 16 << 20
 #: Cells of one exclusive-or block.
 _CELLS = 1 << 22
 SEED = 42
@@ -122,37 +128,36 @@ def forest_edges(n: int, blocks, verified=None):
                     yield x, y
 
 
-def _bucketed(keyed: DataFrame, tile: int, payload: list[str]) -> DataFrame:
-    """(pair, side, fp, payload): the members of every tile pair to be compared.
+def _bucketed(keyed: DataFrame, radius: int, tile: int, payload: list[str]) -> DataFrame:
+    """(pair, side, payload): the members of every tile pair to be compared.
 
-    ``keyed`` has (band, key, fp, payload), a row for each distinct member of a
-    bucket. Buckets of one member are dropped. Buckets up to ``tile`` are one
-    tile; larger ones are cut by population count and by a hash of the
-    member to tiles of about that size, and only pairs of tiles within the
-    radius (column ``radius``) are made.
+    ``keyed`` has (band, key, rank, bytes, payload), a row for each distinct
+    member of a bucket; the first of ``payload`` tells members apart. Buckets of
+    one member are dropped. Buckets up to ``tile`` members and TILE_BYTES are one
+    tile; larger ones are cut by rank and by a hash of the member to tiles of
+    about that size, and only pairs of tiles within ``radius`` ranks are made.
     """
-    ones = F.bit_count("fp").cast("int")
-    counted = keyed.withColumn("ones", ones).groupBy("band", "key", "ones").agg(F.count("*").alias("n"), F.first("radius").alias("radius"))
-    totals = counted.groupBy("band", "key").agg(F.sum("n").alias("total")).where("total > 1")
-    small = keyed.join(totals.where(F.col("total") <= tile).select("band", "key"), ["band", "key"])
-    single = small.select(F.struct("band", "key", F.lit(0).cast("long").alias("a"), F.lit(0).cast("long").alias("b")).alias("pair"), F.lit(0).alias("side"), "fp", *payload)
-    large = totals.where(F.col("total") > tile).select("band", "key")
-    tiles = counted.join(large, ["band", "key"]).withColumn("cuts", F.ceil(F.col("n") / tile).cast("int"))
-    tiles = tiles.select("band", "key", "ones", "radius", "cuts", F.explode(F.sequence(F.lit(0), F.col("cuts") - 1)).alias("cut"))
-    code = lambda o, c: o.cast("long") * (1 << 32) + c
-    a = tiles.select("band", "key", "radius", F.col("ones").alias("ones_a"), code(F.col("ones"), F.col("cut")).alias("a"))
-    b = tiles.select("band", "key", F.col("ones").alias("ones_b"), code(F.col("ones"), F.col("cut")).alias("b"))
-    pairs = a.join(b, ["band", "key"]).where("a <= b and ones_b - ones_a <= radius").select("band", "key", "a", "b")
-    own = keyed.join(large, ["band", "key"]).withColumn("ones", ones)
-    own = own.join(tiles.select("band", "key", "ones", "cuts").distinct(), ["band", "key", "ones"])
-    own = own.withColumn("tile", code(F.col("ones"), F.pmod(F.xxhash64((payload or ["fp"])[0], F.lit(7)), F.col("cuts"))))
-    dealt = None
+    counted = keyed.groupBy("band", "key", "rank").agg(F.count("*").alias("n"), F.sum("bytes").alias("bytes"))
+    totals = counted.groupBy("band", "key").agg(F.sum("n").alias("total"), F.sum("bytes").alias("bytes")).where("total > 1")
+    is_large = (F.col("total") > tile) | (F.col("bytes") > TILE_BYTES)
+    small = keyed.join(totals.where(~is_large).select("band", "key"), ["band", "key"])
+    single = small.select(F.struct("band", "key", F.lit(0).cast("long").alias("a"), F.lit(0).cast("long").alias("b")).alias("pair"), F.lit(0).alias("side"), *payload)
+    large = totals.where(is_large).select("band", "key")
+    cuts = F.least("n", F.greatest(F.ceil(F.col("n") / tile), F.ceil(F.col("bytes") / TILE_BYTES))).cast("int")
+    ranks = counted.join(large, ["band", "key"]).select("band", "key", "rank", cuts.alias("cuts"))
+    tiles = ranks.select("band", "key", "rank", F.explode(F.sequence(F.lit(0), F.col("cuts") - 1)).alias("cut"))
+    tiles = tiles.select("band", "key", "rank", (F.col("rank").cast("long") * (1 << 32) + F.col("cut")).alias("tile"))
+    # an equal join on the ranks in reach, so that no pair is made to be skipped
+    a = tiles.select("band", "key", F.col("tile").alias("a"), F.explode(F.sequence(F.col("rank"), F.col("rank") + radius)).alias("rank"))
+    pairs = a.join(tiles.withColumnRenamed("tile", "b"), ["band", "key", "rank"]).where("a <= b").select("band", "key", "a", "b")
+    own = keyed.select("band", "key", "rank", *payload).join(ranks, ["band", "key", "rank"])
+    own = own.withColumn("tile", F.col("rank").cast("long") * (1 << 32) + F.pmod(F.xxhash64(payload[0], F.lit(7)), F.col("cuts")))
+    dealt = single
     for side, name in enumerate("ab"):
         of = pairs if side == 0 else pairs.where("a < b")
         part = own.join(of.withColumn("tile", F.col(name)), ["band", "key", "tile"])
-        part = part.select(F.struct("band", "key", "a", "b").alias("pair"), F.lit(side).alias("side"), "fp", *payload)
-        dealt = part if dealt is None else dealt.unionByName(part)
-    return single.unionByName(dealt)
+        dealt = dealt.unionByName(part.select(F.struct("band", "key", "a", "b").alias("pair"), F.lit(side).alias("side"), *payload))
+    return dealt
 
 
 def _groups(batches, columns: int):
@@ -195,8 +200,8 @@ def radius_links(distinct: DataFrame, radius: int, tile: int = TILE) -> DataFram
     cuts = [64 * i // blocks for i in range(blocks + 1)]
     part = lambda i: F.expr(f"shiftrightunsigned(fp, {cuts[i]}) & {(1 << (cuts[i + 1] - cuts[i])) - 1}L")
     keys = [F.struct(F.lit(k).alias("band"), F.xxhash64(part(i), part(j)).alias("key")) for k, (i, j) in enumerate(combinations(range(blocks), 2))]
-    keyed = distinct.select("fp", F.explode(F.array(*keys)).alias("k")).select("k.band", "k.key", "fp", F.lit(radius).alias("radius"))
-    dealt = _bucketed(keyed, tile, [])
+    keyed = distinct.select("fp", F.explode(F.array(*keys)).alias("k")).select("k.band", "k.key", F.bit_count("fp").cast("int").alias("rank"), F.lit(8).cast("long").alias("bytes"), "fp")
+    dealt = _bucketed(keyed, radius, tile, ["fp"])
 
     def linked(batches):
         for _, (side, fps) in _groups(batches, 3):
@@ -211,6 +216,12 @@ def radius_links(distinct: DataFrame, radius: int, tile: int = TILE) -> DataFram
     return sorted_.mapInArrow(returning_memory(linked), "src long, dst long").distinct()
 
 
+def _state(pairs: DataFrame):
+    """Number and hash sums of distinct rows: equal for equal tables, and for others with a chance of 2^-64."""
+    hashed = F.xxhash64("u", "v")
+    return pairs.agg(F.count("*"), F.bit_xor(hashed), F.sum(hashed.cast("decimal(38,0)"))).first()
+
+
 def component_labels(nodes: DataFrame, edges: DataFrame) -> DataFrame:
     """(node, label): the smallest node reachable from each node that has an edge.
 
@@ -222,6 +233,7 @@ def component_labels(nodes: DataFrame, edges: DataFrame) -> DataFrame:
     """
     pairs = edges.select(F.greatest("src", "dst").alias("u"), F.least("src", "dst").alias("v")).where("u != v").distinct()
     pairs = materialise(pairs, "links")
+    state = _state(pairs)
     while True:
         both = pairs.unionByName(pairs.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
@@ -233,13 +245,15 @@ def component_labels(nodes: DataFrame, edges: DataFrame) -> DataFrame:
         small = large.join(floor, "u")
         small = small.select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(floor.select("u", F.col("m").alias("v")))
         after = materialise(small.where("u != v").distinct(), "links")
-        changed = after.exceptAll(pairs).limit(1).count() or pairs.exceptAll(after).limit(1).count()
-        pairs = after
-        if not changed:
+        discard(pairs)
+        pairs, before, state = after, state, _state(after)
+        if state == before:
             break
     stars = pairs.groupBy("u").agg(F.min("v").alias("label")).select(F.col("u").alias("node"), "label")
     roots = pairs.select(F.col("v").alias("node"), F.col("v").alias("label")).distinct()
-    return stars.unionByName(roots.join(stars, "node", "left_anti"))
+    labels = materialise(stars.unionByName(roots.join(stars, "node", "left_anti")), "labels")
+    discard(pairs)
+    return labels
 
 
 def near_duplicates(docs: DataFrame, words: int = 3, radius: int = 2, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
@@ -255,6 +269,7 @@ def near_duplicates(docs: DataFrame, words: int = 3, radius: int = 2, id_column:
     distinct = materialise(rows.groupBy("fp").agg(F.min("id").alias("first")), "distinct")
     edges = materialise(radius_links(distinct.select("fp"), radius), "edges")
     labels = component_labels(distinct.select("fp"), edges)
+    discard(edges)
     member = distinct.join(labels.withColumnRenamed("node", "fp"), "fp", "left").withColumn("label", F.coalesce("label", "fp"))
     least = member.groupBy("label").agg(F.min("first").alias("component_id"))
     named = member.join(least, "label").select("fp", "component_id")
@@ -282,7 +297,7 @@ def _band_keys(hashes: np.ndarray) -> list[int]:
 
 
 def described(docs: DataFrame, words: int, id_column: str, text_column: str) -> DataFrame:
-    """(id, h, node, fp, bands, shingles): ``h`` is a hash of the text, ``node`` of its set of shingles.
+    """(id, h, node, bands, shingles): ``h`` is a hash of the text, ``node`` of its set of shingles.
 
     ``shingles``: that set as sorted 32-bit hashes. Texts without words have an empty set.
     """
@@ -293,25 +308,40 @@ def described(docs: DataFrame, words: int, id_column: str, text_column: str) ->
         distinct = np.unique(hashes)
         node = _signed(xxhash.xxh64_intdigest(distinct.tobytes(), SEED))
         bands = _band_keys(distinct) if len(distinct) else [0] * BANDS
-        return node, _signed(simhash(distinct)), bands, np.unique((distinct >> np.uint64(32)).astype("<u4")).tobytes()
+        return node, bands, np.unique((distinct >> np.uint64(32)).astype("<u4")).tobytes()
 
     def all_of(batches):
         for batch in batches:
             for at in range(0, batch.num_rows, 1000):
                 part = batch.slice(at, 1000)
                 columns = list(zip(*map(one, part.column(2).to_pylist())))
-                types = [pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.binary()]
-                yield pa.record_batch([part.column(0), part.column(1), *(pa.array(c, t) for c, t in zip(columns, types))], names=["id", "h", "node", "fp", "bands", "shingles"])
+                types = [pa.int64(), pa.list_(pa.int64()), pa.binary()]
+                yield pa.record_batch([part.column(0), part.column(1), *(pa.array(c, t) for c, t in zip(columns, types))], names=["id", "h", "node", "bands", "shingles"])
 
     text = without_nulls(F.col(text_column))
     rows = docs.select(F.col(id_column), F.xxhash64(text).alias("h"), text.alias("text"))
-    return by_small_batches(rows).mapInArrow(returning_memory(all_of), f"id {kind}, h long, node long, fp long, bands array<long>, shingles binary")
+    return by_small_batches(rows).mapInArrow(returning_memory(all_of), f"id {kind}, h long, node long, bands array<long>, shingles binary")
+
 
+def size_ranks(size, similarity: float) -> tuple[F.Column, int]:
+    """A rank of sizes, finer than the similarity, and how many ranks two sets of that similarity differ by at most."""
+    if similarity >= 1:
+        return size.cast("int"), 0
+    steps = 8  # the larger of two such sets is at most 1 / similarity times the smaller
+    rank = F.floor(F.log(F.greatest(size, F.lit(1))) * (steps / -math.log(similarity))).cast("int")
+    return rank, steps + 1  # one more, for rounding
 
-def all_pairs(n: int, split: int):
-    """Blocks of index pairs: of the first ``split`` with the rest, or of all ``n`` if there is no rest."""
+
+def sized_pairs(sizes: np.ndarray, split: int, similarity: float):
+    """Blocks of index pairs whose sizes allow the similarity: of the first ``split`` with the rest, or of all if there is no rest.
+
+    Both parts are in order of size, so each member's partners are one run.
+    """
+    start = split if split < len(sizes) else 0
+    low = start + np.searchsorted(sizes[start:], sizes[:split] * (similarity * (1 - 1e-9)), "left")
+    high = start + np.searchsorted(sizes[start:], sizes[:split] * ((1 + 1e-9) / similarity), "right")
     for x in range(split):
-        ys = np.arange(split if split < n else x + 1, n)
+        ys = np.arange(low[x] if start else x + 1, high[x])
         yield np.full(len(ys), x), ys
 
 
@@ -321,28 +351,30 @@ def parities(sets: list[np.ndarray]) -> np.ndarray:
     A member that only one of two sets has changes one bit, so the rows of two
     sets differ in no more bits than the sets differ in members.
     """
-    odd = np.array([np.bincount(s & np.uint32(PARITY_BITS - 1), minlength=PARITY_BITS) & 1 for s in sets], np.uint8)
-    return np.packbits(odd, axis=1).view(np.uint64)
+    odd = lambda s: (np.bincount(s & np.uint32(PARITY_BITS - 1), minlength=PARITY_BITS) & 1).astype(np.uint8)
+    return np.stack([np.packbits(odd(s)) for s in sets]).view(np.uint64)
 
 
 def similarity_links(distinct: DataFrame, rows: DataFrame, similarity: float, tile: int = TILE) -> DataFrame:
     """(src, dst): forest edges that connect all nodes whose shingle sets have that Jaccard similarity.
 
-    ``distinct`` has (node, fp, bands), a row for each node; ``rows`` has (node, shingles).
+    ``distinct`` has (node, size, bands), a row for each node; ``rows`` has
+    (node, bands, shingles). The links are a written table.
     """
-    light = distinct.select("node", "fp", "bands", F.posexplode("bands").alias("band", "key"), F.lit(64).alias("radius"))
-    dealt = materialise(_bucketed(light, tile, ["node", "bands"]), "dealt")
+    rank, radius = size_ranks(F.col("size"), similarity)
+    light = distinct.select("node", rank.alias("rank"), (F.col("size") * 4).alias("bytes"), F.posexplode("bands").alias("band", "key"))
+    dealt = materialise(_bucketed(light, radius, tile, ["node"]), "dealt")
     # only the sets of nodes that share a bucket are shuffled
     wanted = dealt.select("node").distinct()
     if wanted.count() <= BROADCAST_NODES:
         wanted = F.broadcast(wanted)
-    sets = rows.select("node", "shingles").join(wanted, "node", "left_semi").groupBy("node").agg(F.first("shingles").alias("shingles"))
-    full = dealt.join(sets, "node").select("pair", "side", "fp", "node", "bands", "shingles")
+    sets = rows.select("node", "bands", "shingles").join(wanted, "node", "left_semi").groupBy("node").agg(F.first("bands").alias("bands"), F.first("shingles").alias("shingles"))
+    full = dealt.join(sets, "node").select("pair", "side", "node", "bands", "shingles")
 
     def linked(batches):
-        for (band, *_), (side, fps, nodes, bands, shingles) in _groups(batches, 6):
+        for (band, *_), (side, nodes, bands, shingles) in _groups(batches, 5):
             side = side.to_numpy()
-            order = np.lexsort((nodes.to_numpy(), side))
+            order = np.lexsort((nodes.to_numpy(), pc.binary_length(shingles).to_numpy(), side))
             nodes = nodes.to_numpy()[order]
             before = bands.flatten().to_numpy().reshape(len(nodes), -1)[order][:, :band]
             sets = [np.frombuffer(shingles[int(k)].as_py(), "<u4") for k in order]
@@ -366,24 +398,30 @@ def similarity_links(distinct: DataFrame, rows: DataFrame, similarity: float, ti
                     mask[own] = shared >= similarity * (n + sizes[x] - shared)
                 return mask
 
-            blocks = all_pairs(len(nodes), int((side == 0).sum()))
+            blocks = sized_pairs(sizes, int((side == 0).sum()), similarity)
             edges = list(forest_edges(len(nodes), blocks, alike))
             if edges:
                 src, dst = np.array(edges).T
                 yield pa.record_batch([pa.array(nodes[src]), pa.array(nodes[dst])], names=["src", "dst"])
 
-    return full.repartition("pair").sortWithinPartitions("pair").mapInArrow(returning_memory(linked), "src long, dst long").distinct()
+    found = full.repartition("pair").sortWithinPartitions("pair").mapInArrow(returning_memory(linked), "src long, dst long").distinct()
+    edges = materialise(found, "edges")
+    discard(dealt)
+    return edges
 
 
 def _grouped(docs: DataFrame, words: int, similarity: float, id_column: str, text_column: str) -> DataFrame:
     """(id, h, label): ``label`` names the connected group of each row's text."""
     rows = materialise(described(docs, words, id_column, text_column), "described")
-    # rows of one node have the same set, and so the same fingerprint and bands
-    distinct = materialise(rows.groupBy("node").agg(F.min("fp").alias("fp"), F.min("bands").alias("bands")), "nodes")
-    edges = materialise(similarity_links(distinct, rows, similarity), "edges")
+    # rows of one node have the same set, and so the same size and bands
+    size = (F.length("shingles") / 4).cast("long")
+    distinct = materialise(rows.groupBy("node").agg(F.min(size).alias("size"), F.min("bands").alias("bands")), "nodes")
+    edges = similarity_links(distinct, rows, similarity)
     labels = component_labels(distinct.select("node"), edges)
     named = distinct.select("node").join(labels, "node", "left").select("node", F.coalesce("label", "node").alias("label"))
-    return materialise(rows.select("id", "h", "node").join(named, "node").select("id", "h", "label"), "groups")
+    groups = materialise(rows.select("id", "h", "node").join(named, "node").select("id", "h", "label"), "groups")
+    discard(rows, distinct, edges, labels)
+    return groups
 
 
 def similar_groups(docs: DataFrame, words: int = 5, similarity: float = 0.8, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
