@@ -9,6 +9,7 @@ from dataclasses import replace
 import pytest
 from hypothesis import given
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from tributary.sources import catalogue, cursors, objects, queue_clients, queues, spool
 
@@ -430,3 +431,34 @@ def test_streams_that_push(tmp_path):
     finally:
         stop.set()
         server.shutdown()
+
+
+def test_fake_services_read_each_page_once(spark, tmp_path, monkeypatch):
+    """All pages of a service together take one reading of its table, not one a page."""
+    import pyarrow.parquet as pq
+
+    from tributary import queries as core
+
+    path, taken = str(tmp_path / "rows"), []
+    core._stored(spark.range(6500).select(F.col("id").alias("n"), "id"), path)
+    read = pq.ParquetFile.read_row_group
+    monkeypatch.setattr(pq.ParquetFile, "read_row_group", lambda *a, **k: (got := read(*a, **k), taken.append(got.num_rows))[0])
+    service, cursor, found = core._TableService(path, 6000), None, []
+    while True:
+        page = service.fetch("", 0, 10, cursor)
+        found += [r["id"] for r in page.items]
+        if (cursor := page.following) is None:
+            break
+    assert found == list(range(6000))[::-1]
+    assert sum(taken) == 6500 and max(taken) <= core._PAGE
+    taken.clear()
+    assert [r["id"] for r in service._rows("", 2995, 3005)] == list(range(2995, 3005))
+    assert sum(taken) <= 3 * core._PAGE
+    taken.clear()
+    reading, members = core._CursorService(path, 6000), []
+    cursor, more = None, True
+    while more:
+        got = reading.fetch("", cursor)
+        members, cursor, more = members + [r["id"] for r in got.items], got.cursor, got.more
+    assert members == list(range(6000))
+    assert sum(taken) <= 3 * 6500

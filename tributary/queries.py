@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+import bisect
+import functools
+from collections.abc import Callable, Iterator
+from itertools import islice
+from typing import Any, NamedTuple
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -470,35 +474,80 @@ def ingest_plan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.groupBy(F.col("payload_kind").alias("kind"), name.alias("name"), "hostname").agg(F.count("*").alias("n"))
 
 
+#: Records of a page of the fake services, and of a row group of the tables they read.
+_PAGE = 1000
+
+
+def _stored(rows: DataFrame, path: str, by: list[str] = []) -> None:  # noqa: B006
+    """Writes a fake service's records in order of ``n``, in row groups of a page, so that it reads no more than the page that is asked for."""
+    rows.repartitionByRange(*by, "n").sortWithinPartitions(*by, "n").write.option("parquet.block.row.count.limit", _PAGE).partitionBy(*by).parquet(path)
+
+
+class _Group(NamedTuple):
+    """A row group: the least and the largest ``n``, and where it stands."""
+
+    low: int
+    high: int
+    name: str
+    place: int
+    metadata: Any
+
+
+@functools.lru_cache(maxsize=32)
+def _groups(path: str) -> list[_Group]:
+    """The row groups of a table of ``_stored``, in order; the table doesn't change any more."""
+    import pyarrow.fs as pafs
+    import pyarrow.parquet as pq
+
+    (system, root), out = opened(path), []
+    for info in system.get_file_info(pafs.FileSelector(root, allow_not_found=True)):
+        if not info.base_name.endswith(".parquet"):
+            continue
+        with system.open_input_file(info.path) as file:
+            metadata = pq.read_metadata(file)
+        column = metadata.schema.names.index("n")
+        for place in range(metadata.num_row_groups):
+            told = metadata.row_group(place).column(column).statistics
+            if told is not None and told.has_min_max:
+                out.append(_Group(told.min, told.max, info.path, place, metadata))
+    return sorted(out, key=lambda g: g[:4])
+
+
 class _TableService:
-    """A fake service whose records are rows (feed, n, text) of a Parquet table in the shared folder, which tasks read; ``n`` is time and place."""
+    """A fake service whose records are rows (feed, n, text) of a table of ``_stored`` in the shared folder, which tasks read; ``n`` is time and place."""
 
-    def __init__(self, path: str, upto: int, lost: tuple[str, ...] = (), page: int = 1000, tests: tuple = ()):
+    def __init__(self, path: str, upto: int, lost: tuple[str, ...] = (), page: int = _PAGE, tests: tuple = ()):
         self.path, self.upto, self.lost, self.page, self.tests = path, upto, lost, page, tests
 
     def where(self, tests: list) -> _TableService:
         return type(self)(self.path, self.upto, self.lost, self.page, tuple(tests))
 
-    def _rows(self, feed: str, since: int, until: int) -> list[dict]:
+    def _read(self, group: _Group, since: int, until: int) -> list[dict]:
         import pyarrow.compute as pc
-        import pyarrow.dataset as ds
+        import pyarrow.parquet as pq
 
-        system, root = opened(self.path)
-        places = root if not feed else f"{root}/feed={feed}"
-        if system.get_file_info(places).type.name == "NotFound":
-            return []
         wanted = (pc.field("n") >= since) & (pc.field("n") < min(until, self.upto))
         of = {"is": lambda c, v: c == v, "in": lambda c, v: c.isin(v), "startsWith": lambda c, v: pc.starts_with(c, v), "contains": lambda c, v: pc.match_substring(c, v), "greaterThan": lambda c, v: c > v, "lessThan": lambda c, v: c < v, "atLeast": lambda c, v: c >= v}
         for name, op, value in self.tests:
             wanted = wanted & of[op](pc.field(name), value)
-        table_ = ds.dataset(places, filesystem=system, format="parquet")
-        return table_.to_table(filter=wanted).sort_by("n").to_pylist()
+        with opened(self.path)[0].open_input_file(group.name) as file:
+            return pq.ParquetFile(file, metadata=group.metadata).read_row_group(group.place).filter(wanted).to_pylist()
+
+    def _rows(self, feed: str, since: int, until: int) -> Iterator[dict]:
+        """In order; what stands outside the range isn't read, nor what stands after the last row that is taken."""
+        groups = _groups(self.path if not feed else f"{self.path}/feed={feed}")
+        for group in groups[bisect.bisect_left(groups, since, key=lambda g: g.high) :]:
+            if group.low >= min(until, self.upto):
+                return
+            yield from self._read(group, since, until)
 
     # paged.Client: the bounds that are asked for are ignored, all there is comes newest first
 
     def fetch(self, feed: str, since: int, until: int, cursor) -> paged.Page:
-        rows, at = self._rows("", 0, self.upto)[::-1], cursor or 0
-        return paged.Page(rows[at : at + self.page], at + self.page if at + self.page < len(rows) else None)
+        groups, at = _groups(self.path), cursor or 0
+        if not groups:
+            return paged.Page([])
+        return paged.Page(self._read(groups[-1 - at], 0, self.upto)[::-1], at + 1 if at + 1 < len(groups) else None)
 
 
 class _CursorService(_TableService):
@@ -510,7 +559,7 @@ class _CursorService(_TableService):
     def fetch(self, member: str, cursor) -> cursors.Reading:
         if cursor is not None and member in self.lost:
             raise cursors.Expired(f"{cursor}")
-        rows = self._rows(member, cursor or 0, self.upto)[: self.page + 1]
+        rows = list(islice(self._rows(member, cursor or 0, self.upto), self.page + 1))
         more = len(rows) > self.page
         return cursors.Reading(rows[: self.page], rows[self.page - 1]["n"] + 1 if more else self.upto, more)
 
@@ -549,7 +598,7 @@ def _served(spark: SparkSession, sf_dir: str, label: str) -> str:
     """Customers as a service's records: by nation, those of each batch after those of the one before."""
     path = shared_folder(spark, label)
     rows = table(spark, sf_dir, "customer").select(F.col("c_nationkey").alias("feed"), (F.col("c_custkey") % 3 * _BATCH + F.col("c_custkey")).alias("n"), F.col("c_custkey").alias("id"))
-    rows.repartition("feed").write.partitionBy("feed").parquet(f"{path}/service")
+    _stored(rows, f"{path}/service", ["feed"])
     return path
 
 
@@ -639,7 +688,7 @@ WHERE c_custkey >= 20 AND c_custkey < 140
 def feed_range(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A range of two feeds of a service that ignores bounds: each record once, sliced or whole."""
     path = shared_folder(spark, "service")
-    table(spark, sf_dir, "customer").select((F.lit(_START) + 60_000 * F.col("c_custkey")).alias("n"), F.col("c_custkey").alias("id")).write.parquet(f"{path}/rows")
+    _stored(table(spark, sf_dir, "customer").select((F.lit(_START) + 60_000 * F.col("c_custkey")).alias("n"), F.col("c_custkey").alias("id")), f"{path}/rows")
     of = lambda name, **own: paged.Feed(name, lambda r: str(r["id"]), lambda r: r["n"], **own)
     source = paged.paged_source("table_service", [of("bounded", slice=1_000_000), of("whole", bounded=False, newest_first=True)], _TableService(f"{path}/rows", 1 << 62))
     spark.dataSource.register(source)
@@ -655,7 +704,7 @@ def pushed_predicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Four conditions that reach a service's requests, and one (a length) that doesn't: each record that the service gives tells how many it was held against."""
     path = shared_folder(spark, "service")
     rows = table(spark, sf_dir, "customer").select((F.lit(_START) + 60_000 * F.col("c_custkey")).alias("n"), F.col("c_custkey").alias("id"), F.col("c_mktsegment").alias("segment"), F.col("c_nationkey").cast("long").alias("nation"), F.col("c_acctbal").cast("double").alias("balance"))
-    rows.write.parquet(f"{path}/rows")
+    _stored(rows, f"{path}/rows")
     columns = {"segment": ("segment", "string"), "nation": ("nation", "long"), "balance": ("balance", "double"), "held": ("held", "long")}
     spark.dataSource.register(paged.paged_source("conditional", [paged.Feed("rows", lambda r: str(r["id"]), lambda r: r["n"], bounded=False)], _ConditionService(f"{path}/rows", 1 << 62), columns=columns))
     spark.conf.set("spark.sql.python.filterPushdown.enabled", "true")
@@ -689,7 +738,7 @@ class _TableMailbox:
 def mailbox_uids(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A mailbox read by ranges of UIDs in two batches, and from its first message again when its validity has changed."""
     path, rows = shared_folder(spark, "mailbox"), table(spark, sf_dir, "customer")
-    rows.select((F.col("c_custkey") + 1).alias("n"), F.col("c_custkey").alias("id")).write.parquet(f"{path}/rows")
+    _stored(rows.select((F.col("c_custkey") + 1).alias("n"), F.col("c_custkey").alias("id")), f"{path}/rows")
     last = rows.agg(F.max("c_custkey")).first()[0] + 1
     for validity, upto in ((1, last // 2), (1, last), (2, last)):
         held = _TableMailbox(f"{path}/rows", validity, upto)
