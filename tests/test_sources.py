@@ -482,3 +482,16 @@ def test_inactive_files_are_not_opened(tmp_path, monkeypatch):
         file.write("z\n")
     after = reader.latestOffset()
     assert [(p.start, p.end) for p in reader.partitions(first, after)] == [(2, 4)]
+
+
+def test_bundles_of_a_larger_table_are_more_files(spark, monkeypatch):
+    """The query's files stay below the cap however many rows the table has."""
+    import functools
+
+    from tributary import queries as core
+
+    monkeypatch.setattr(core, "_FILE_ROWS", 50)
+    monkeypatch.setattr(core.files, "bundles", functools.partial(files.bundles, max_bytes=15_000))
+    sf = "/root/testdata/sf0.001"
+    wanted = 3 * core.table(spark, sf, "customer").count()
+    assert core.bundle_routing(spark, sf).count() == wanted > 300

@@ -8,7 +8,7 @@ from collections.abc import Callable, Iterator
 from itertools import islice
 from typing import Any, NamedTuple
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, DataFrameWriter, SparkSession
 from pyspark.sql import functions as F
 
 from .functions import clean_json, typed
@@ -398,6 +398,14 @@ def parquet_marks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "part").select("p_partkey", files.is_parquet(name, content.cast("binary")).alias("parquet"))
 
 
+#: Most rows of a file that is to be decoded whole, so that a larger table gives more files, and none beyond the cap.
+_FILE_ROWS = 50_000
+
+
+def _small_files(rows: DataFrame) -> DataFrameWriter:
+    return rows.write.option("maxRecordsPerFile", _FILE_ROWS)
+
+
 @query("""
 SELECT kind, c_custkey, c_name, c_acctbal / 3e14 AS small, CAST(c_custkey + 1 AS VARCHAR) || '12345678901234.0625' AS exact, c_custkey * 1000003 AS micros, c_name AS raw
 FROM customer, (SELECT unnest(['packed', 'rows', 'plain']) AS kind)
@@ -408,9 +416,9 @@ def bundle_routing(spark: SparkSession, sf_dir: str) -> DataFrame:
         "c_custkey", "c_name", (F.col("c_acctbal").cast("double") / 3e14).alias("small"), F.concat(F.col("c_custkey") + 1, F.lit("12345678901234.0625")).cast("decimal(38,4)").alias("exact"), F.timestamp_micros(F.col("c_custkey") * 1000003).alias("at"), F.col("c_name").cast("binary").alias("raw")
     )
     path = shared_folder(spark, "bundles")
-    rows.coalesce(2).write.parquet(f"{path}/rows")
-    files.json_rows(rows).coalesce(2).write.option("compression", "gzip").text(f"{path}/packed")
-    files.json_rows(rows).coalesce(2).write.text(f"{path}/plain")
+    _small_files(rows).parquet(f"{path}/rows")
+    _small_files(files.json_rows(rows)).option("compression", "gzip").text(f"{path}/packed")
+    _small_files(files.json_rows(rows)).text(f"{path}/plain")
     found = files.bundles(spark, f"{path}/*", "part-*").where("error is null").withColumn("v", F.try_parse_json("text"))
     return found.select(
         F.regexp_extract("path", "/(rows|packed|plain)/", 1).alias("kind"), field(F.col("v"), "c_custkey", "int").cast("long").alias("c_custkey"), field(F.col("v"), "c_name").alias("c_name"),
@@ -662,9 +670,9 @@ def notified_objects(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Objects that a queue's notifications name, in JSON within JSON with encoded paths; some aren't there, some name nothing."""
     path, rows = shared_folder(spark, "objects"), table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_nationkey")
     of = lambda k: rows.where(F.col("c_nationkey") % 3 == k).repartition(2).drop("c_nationkey")
-    of(0).write.parquet(f"{path}/bucket/a b/rows")
-    files.json_rows(of(1)).write.option("compression", "gzip").text(f"{path}/bucket/a b/packed")
-    files.json_rows(of(2)).write.text(f"{path}/bucket/a b/plain")
+    _small_files(of(0)).parquet(f"{path}/bucket/a b/rows")
+    _small_files(files.json_rows(of(1))).option("compression", "gzip").text(f"{path}/bucket/a b/packed")
+    _small_files(files.json_rows(of(2))).text(f"{path}/bucket/a b/plain")
     found = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "part-*").load(f"{path}/bucket").select("path")
     keys = found.select(F.url_encode(F.concat(F.lit("a b/"), F.regexp_extract("path", "([^/]+/[^/]+)$", 1))).alias("key"))
     keys = keys.unionByName(table(spark, sf_dir, "nation").select(F.concat(F.lit("gone/"), "n_nationkey").alias("key")))
