@@ -171,3 +171,22 @@ def test_a_key_that_many_sizes_share_makes_no_square_of_tile_pairs(spark):
     dealt = sh._bucketed(keyed, 3, 10, ["node"])
     assert dealt.select("pair").distinct().count() == 200 * 4 - (3 + 2 + 1)
     assert dealt.where("side = 0").select("node").distinct().count() == 2000
+
+
+def test_similar_texts_are_found_by_their_fingerprints(spark):
+    """Sets at two bits or fewer need no min-wise key in common, and are still held against the similarity."""
+    from pyspark.sql import functions as F
+
+    from tributary.llm import simhash
+    from tributary.llm.common import materialise
+
+    words = [f"w{i}" for i in range(4000)]
+    texts = [" ".join(words), " ".join([*words[:3999], "other"]), " ".join(f"v{i}" for i in range(4000))]
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string")
+    rows = simhash.described(docs, 5, "doc_id", "text")
+    keys = F.expr(f"concat(slice(bands, 1, size(bands) - {simhash.BANDS}), transform(sequence(1, {simhash.BANDS}), i -> node + i))")
+    rows = materialise(rows.withColumn("bands", keys), "rows")
+    node = {r["id"]: r["node"] for r in rows.collect()}
+    distinct = rows.select("node", (F.length("shingles") / 4).cast("long").alias("size"), "bands")
+    for similarity, wanted in ((0.8, [{node[0], node[1]}]), (1.0, [])):
+        assert [set(r) for r in simhash.similarity_links(distinct, rows, similarity).collect()] == wanted

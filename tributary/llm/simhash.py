@@ -3,7 +3,8 @@
 Distinct fingerprints (or texts) are dealt to buckets by keys that any linked
 pair shares: for a radius of k bits, two of k + 2 blocks of the fingerprint's
 bits (two fingerprints at k bits or fewer agree in two blocks at least); for
-shingle similarity, min-wise keys of the shingles. Within a bucket, fingerprints
+shingle similarity, the same of the fingerprints of the sets, and min-wise keys of the shingles for
+sets whose fingerprints are further apart. Within a bucket, fingerprints
 stand in tiles by population count, and tiles are compared exactly by exclusive-or
 and bit counts in numpy. Tile pairs whose population counts differ beyond the
 radius are skipped, for they can hold no link. For shingle similarity, sets stand
@@ -281,6 +282,9 @@ def near_duplicates(docs: DataFrame, words: int = 3, radius: int = 2, id_column:
 PARITY_BITS = 2048
 #: Min-wise keys: bands of so many minima each. Of pairs at 0.8, all but 5 in a million share one.
 BANDS, MINIMA = 12, 2
+#: Differing bits up to which sets are found by their fingerprints, and the keys that such fingerprints share.
+NEAR_BITS = 2
+NEAR_KEYS = math.comb(NEAR_BITS + 2, 2)
 #: Most nodes whose keys are sent to all tasks to pick out their sets; more are picked out by a shuffle.
 BROADCAST_NODES = 4_000_000
 
@@ -296,10 +300,19 @@ def _band_keys(hashes: np.ndarray) -> list[int]:
     return keys.view(np.int64).tolist()
 
 
+def _block_keys(fp: int) -> list[int]:
+    """NEAR_KEYS keys: each two of NEAR_BITS + 2 blocks of a fingerprint's bits. Fingerprints at NEAR_BITS or fewer share one."""
+    blocks = NEAR_BITS + 2
+    cuts = [64 * i // blocks for i in range(blocks + 1)]
+    part = [fp >> a & (1 << (b - a)) - 1 for a, b in zip(cuts, cuts[1:])]
+    return [part[i] | part[j] << 32 for i, j in combinations(range(blocks), 2)]
+
+
 def described(docs: DataFrame, words: int, id_column: str, text_column: str) -> DataFrame:
-    """(id, h, node, bands, shingles): ``h`` is a hash of the text, ``node`` of its set of shingles.
+    """(id, h, node, fp, bands, shingles): ``h`` is a hash of the text, ``node`` of its set of shingles, ``fp`` that set's SimHash.
 
-    ``shingles``: that set as sorted 32-bit hashes. Texts without words have an empty set.
+    ``bands``: the keys of the fingerprint, then the min-wise ones. ``shingles``: the
+    set as sorted 32-bit hashes. Texts without words have an empty set.
     """
     kind = docs.schema[id_column].dataType.simpleString()
 
@@ -307,20 +320,21 @@ def described(docs: DataFrame, words: int, id_column: str, text_column: str) ->
         hashes = shingle_hashes(text, words)
         distinct = np.unique(hashes)
         node = _signed(xxhash.xxh64_intdigest(distinct.tobytes(), SEED))
-        bands = _band_keys(distinct) if len(distinct) else [0] * BANDS
-        return node, bands, np.unique((distinct >> np.uint64(32)).astype("<u4")).tobytes()
+        fp = simhash(distinct)
+        bands = _block_keys(fp) + (_band_keys(distinct) if len(distinct) else [0] * BANDS)
+        return node, _signed(fp), bands, np.unique((distinct >> np.uint64(32)).astype("<u4")).tobytes()
 
     def all_of(batches):
         for batch in batches:
             for at in range(0, batch.num_rows, 1000):
                 part = batch.slice(at, 1000)
                 columns = list(zip(*map(one, part.column(2).to_pylist())))
-                types = [pa.int64(), pa.list_(pa.int64()), pa.binary()]
-                yield pa.record_batch([part.column(0), part.column(1), *(pa.array(c, t) for c, t in zip(columns, types))], names=["id", "h", "node", "bands", "shingles"])
+                types = [pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.binary()]
+                yield pa.record_batch([part.column(0), part.column(1), *(pa.array(c, t) for c, t in zip(columns, types))], names=["id", "h", "node", "fp", "bands", "shingles"])
 
     text = without_nulls(F.col(text_column))
     rows = docs.select(F.col(id_column), F.xxhash64(text).alias("h"), text.alias("text"))
-    return by_small_batches(rows).mapInArrow(returning_memory(all_of), f"id {kind}, h long, node long, bands array<long>, shingles binary")
+    return by_small_batches(rows).mapInArrow(returning_memory(all_of), f"id {kind}, h long, node long, fp long, bands array<long>, shingles binary")
 
 
 def size_ranks(size, similarity: float) -> tuple[F.Column, int]:
@@ -358,8 +372,12 @@ def parities(sets: list[np.ndarray]) -> np.ndarray:
 def similarity_links(distinct: DataFrame, rows: DataFrame, similarity: float, tile: int = TILE) -> DataFrame:
     """(src, dst): forest edges that connect all nodes whose shingle sets have that Jaccard similarity.
 
+    Sets whose fingerprints differ in NEAR_BITS or fewer are found by the tiled
+    comparison of fingerprints, as in ``radius_links``; of the others, those that
+    share a min-wise key are compared. The exact similarity decides on both.
+
     ``distinct`` has (node, size, bands), a row for each node; ``rows`` has
-    (node, bands, shingles). The links are a written table.
+    (node, fp, bands, shingles). The links are a written table.
     """
     rank, radius = size_ranks(F.col("size"), similarity)
     light = distinct.select("node", rank.alias("rank"), (F.col("size") * 4).alias("bytes"), F.posexplode("bands").alias("band", "key"))
@@ -368,15 +386,19 @@ def similarity_links(distinct: DataFrame, rows: DataFrame, similarity: float, ti
     wanted = dealt.select("node").distinct()
     if wanted.count() <= BROADCAST_NODES:
         wanted = F.broadcast(wanted)
-    sets = rows.select("node", "bands", "shingles").join(wanted, "node", "left_semi").groupBy("node").agg(F.first("bands").alias("bands"), F.first("shingles").alias("shingles"))
-    full = dealt.join(sets, "node").select("pair", "side", "node", "bands", "shingles")
+    own = ["fp", "bands", "shingles"]
+    sets = rows.select("node", *own).join(wanted, "node", "left_semi").groupBy("node").agg(*[F.first(c).alias(c) for c in own])
+    full = dealt.join(sets, "node").select("pair", "side", "node", *own)
 
     def linked(batches):
-        for (band, *_), (side, nodes, bands, shingles) in _groups(batches, 5):
-            side = side.to_numpy()
-            order = np.lexsort((nodes.to_numpy(), pc.binary_length(shingles).to_numpy(), side))
-            nodes = nodes.to_numpy()[order]
-            before = bands.flatten().to_numpy().reshape(len(nodes), -1)[order][:, :band]
+        for (band, *_), (side, nodes, fps, bands, shingles) in _groups(batches, 6):
+            side, near = side.to_numpy(), band < NEAR_KEYS
+            if near:
+                order, blocks = _compared(side, fps.to_numpy(), NEAR_BITS)
+            else:
+                order = np.lexsort((nodes.to_numpy(), pc.binary_length(shingles).to_numpy(), side))
+            nodes, bits = nodes.to_numpy()[order], fps.to_numpy()[order].view(np.uint64)
+            before = bands.flatten().to_numpy().reshape(len(nodes), -1)[order][:, 0 if near else NEAR_KEYS : band]
             sets = [np.frombuffer(shingles[int(k)].as_py(), "<u4") for k in order]
             sizes = np.array([len(s) for s in sets])
             odd = parities(sets) if len(sets) > 16 else None
@@ -385,6 +407,8 @@ def similarity_links(distinct: DataFrame, rows: DataFrame, similarity: float, ti
                 mask = ~(before[ys] == before[x]).any(axis=1)  # an earlier band compares these
                 small, large = np.minimum(sizes[ys], sizes[x]), np.maximum(sizes[ys], sizes[x])
                 mask &= small >= similarity * large
+                if not near:  # the fingerprints' bands compare these
+                    mask &= np.bitwise_count(bits[ys] ^ bits[x]) > NEAR_BITS
                 if odd is not None:  # sets of that similarity differ in so many members at most
                     mask &= np.bitwise_count(odd[ys] ^ odd[x]).sum(axis=1) <= (1 - similarity) / (1 + similarity) * (sizes[ys] + sizes[x]) + 1e-6
                 own = np.flatnonzero(mask)
@@ -398,7 +422,8 @@ def similarity_links(distinct: DataFrame, rows: DataFrame, similarity: float, ti
                     mask[own] = shared >= similarity * (n + sizes[x] - shared)
                 return mask
 
-            blocks = sized_pairs(sizes, int((side == 0).sum()), similarity)
+            if not near:
+                blocks = sized_pairs(sizes, int((side == 0).sum()), similarity)
             edges = list(forest_edges(len(nodes), blocks, alike))
             if edges:
                 src, dst = np.array(edges).T
@@ -427,8 +452,9 @@ def _grouped(docs: DataFrame, words: int, similarity: float, id_column: str, tex
 def similar_groups(docs: DataFrame, words: int = 5, similarity: float = 0.8, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """(id, group_id): connected groups of texts with that similarity of their shingle sets.
 
-    ``group_id`` is the group's smallest id. Candidates share a min-wise key;
-    all that do are compared, tile by tile, and verified by the Jaccard
+    ``group_id`` is the group's smallest id. Candidates are sets whose SimHash
+    fingerprints differ in NEAR_BITS or fewer, and beyond these, sets that share a
+    min-wise key; all are compared, tile by tile, and verified by the Jaccard
     similarity of their whole sets. Null, empty and white texts
     have the empty set and form one group. Repeated rows collapse first; an
     empty table gives an empty result.
