@@ -87,3 +87,18 @@ def test_documents(spark):
         assert own[0][0] == 0 and all(a + n == b for (a, n), (b, _) in zip(own, own[1:])) and sum(n for _, n in own) <= 2048
     assert len(places) == -(-sum(n for own in places.values() for _, n in own) // 2048)
     assert pack_documents(rows.limit(0), FILE).count() == 0
+
+
+def test_plain_texts_are_cut_to_pre_tokens(monkeypatch):
+    """Units that differ in marks and white space alone share their words: what is merged and kept is a pre-token."""
+    import public_tokenizers
+
+    from tributary.llm import packing
+
+    encoder = packing.UnitEncoder(public_tokenizers.path("byte_bpe_50k.json"))
+    odd = ["it's 'twas ''s' don't I'LL we're'd  x", "  a  b\n\n c\t d ", "é'sœ 'ŝ12½²x ª º", "<|x|> a", "日本 it's", "a\x1cb", "", " ", " a \u0085b", "'", " 's x's", "ɏɐ ǅ"]
+    assert encoder.encode(odd) == [encoder.whole(t) for t in odd]
+    encoder = packing.UnitEncoder(public_tokenizers.path("byte_bpe_50k.json"))
+    texts = [f"strange{mark} {mark}strange words{mark}" for mark in "!?.,;:+*#~"]
+    assert encoder.encode(texts) == [encoder.whole(t) for t in texts]
+    assert sorted(p for p in encoder.memo if "words" in p) == [" words"] and sum("strange" in p for p in encoder.memo) == 1

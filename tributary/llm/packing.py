@@ -43,14 +43,18 @@ _PRE_TOKEN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(
 _ASCII_PRE_TOKEN = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?[A-Za-z]+| ?[0-9]+| ?[^\sA-Za-z0-9]+|\s+(?!\S)|\s+")
 
 
+_BEYOND_LATIN = re.compile(f"[^\0-{LAST_LATIN}]")
+
+
 #: What this module knows to do by itself; files that say otherwise are left to the library.
 KNOWN = {"normalizer": None, "pre_tokenizer": {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": True}, "end_of_word_suffix": None}
 
 
 class UnitEncoder:
-    """Token ids of whole texts as little-endian 32-bit bytes, by memos over units and pre-tokens.
+    """Token ids of whole texts as little-endian 32-bit bytes, by a memo over pre-tokens and units.
 
-    A unit is a run of white space with the visible run after it. Units are
+    Texts of characters up to LAST_LATIN without marks of special tokens are cut to
+    pre-tokens; the others to units. A unit is a run of white space with the visible run after it. Units are
     encoded apart, which gives the ids of the whole text because the
     tokenizer's pre-tokens never cross from one unit to the next.
     """
@@ -61,6 +65,10 @@ class UnitEncoder:
         self.tokenizer, self.limit, self.memo, self.known = _tokenizer(path), memo_entries, {}, is_as_known(path, KNOWN)
         self.merger = Merger(self.tokenizer, memo_entries)
         self.find = regex.compile(_PRE_TOKEN).findall
+        known = [chr(c) for c in range(ord(LAST_LATIN) + 1)]
+        letters, numbers = ("".join(re.escape(c) for c in known if regex.match(kind, c)) for kind in (r"\p{L}", r"\p{N}"))
+        # words first: they are the most, and no contraction begins with a letter or a space
+        self.latin_find = re.compile(rf" ?[{letters}]+|'s|'t|'re|'ve|'m|'ll|'d| ?[{numbers}]+| ?[^\s{letters}{numbers}]+|\s+(?!\S)|\s+").findall
 
     def whole(self, text: str) -> bytes:
         """By the tokenizer alone."""
@@ -75,16 +83,33 @@ class UnitEncoder:
                 pre = ascii_find(unit) if unit.isascii() else find(unit)
                 memo[unit] = ids(pre[0]) if len(pre) == 1 else b"".join([ids(p) for p in pre])
 
+    def _cut(self, texts: list[str]) -> tuple[list[list[str] | None], set[str], set[str]]:
+        """The parts of each text (None: it isn't cut), and which pre-tokens and units there are."""
+        cut: list[list[str] | None] = []
+        pre_tokens: set[str] = set()
+        units: set[str] = set()
+        for t in texts:
+            if not self.known or _ODD_SPACE.search(t):
+                cut.append(None)
+            elif "<|" in t or not t.isascii() and _BEYOND_LATIN.search(t):
+                cut.append(_UNITS(t))
+                units.update(cut[-1])
+            else:
+                cut.append(self.latin_find(t))
+                pre_tokens.update(cut[-1])
+        return cut, pre_tokens, units
+
     def encode(self, texts: list[str]) -> list[bytes]:
-        cut = [None if not self.known or _ODD_SPACE.search(t) else _UNITS(t) for t in texts]
-        unseen: set[str] = set()
-        for units in cut:
-            unseen.update(units or ())
+        cut, pre_tokens, units = self._cut(texts)
+        unseen = pre_tokens | units
         new = unseen.difference(self.memo)
         if len(self.memo) + len(new) > self.limit:
             self.memo.clear()
             new = unseen
-        self._learn(new)
+        memo, merged = self.memo, self.merger.merged
+        for pre in new - units:
+            memo[pre] = merged(pre)
+        self._learn(new & units)
         get = self.memo.__getitem__
         found = [self.whole(t) if c is None else b"".join(map(get, c)) for t, c in zip(texts, cut)]
         for unit in unseen:

@@ -103,12 +103,16 @@ class Merger:
         self.merge, self.entries, self.memo = tokenizer.model.tokenize, entries, {}
         self.spelled = {b: c for c, b in _byte_alphabet().items()}
 
+    def merged(self, pre: str) -> bytes:
+        """Little-endian 32-bit ids, without the memo."""
+        text = pre.encode("utf-8").decode("latin-1").translate(self.spelled)
+        return array("I", [t.id for t in self.merge(text)]).tobytes()
+
     def ids(self, pre: str) -> bytes:
         """Little-endian 32-bit ids."""
         found = self.memo.get(pre)
         if found is None:
-            text = pre.encode("utf-8").decode("latin-1").translate(self.spelled)
-            found = array("I", [t.id for t in self.merge(text)]).tobytes()
+            found = self.merged(pre)
             if len(pre) <= MEMO_CHARS:
                 if len(self.memo) >= self.entries:
                     self.memo.clear()
