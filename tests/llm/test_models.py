@@ -77,6 +77,19 @@ def test_smoothing_is_the_definition(spark, order):
     assert (got[0].copies, got[1].copies, got[9].length) == (2, 1, 0)
 
 
+def test_scores_of_each_order_have_a_plan_of_their_own(spark, monkeypatch):
+    """All orders in one plan took the driver more memory than it has."""
+    order, joins = 4, []
+    count = lambda df: df._jdf.queryExecution().optimizedPlan().toString().count("Join ")
+    model = charlm.smoothed(charlm.gram_counts(spark.createDataFrame([("x", "abcab ca b")], "class string, text string"), evened, order), order)
+    grams = charlm.gram_counts(spark.createDataFrame([("", "abc xab")], "class string, text string"), evened, order).select("gram")
+    write = charlm.materialise
+    monkeypatch.setattr(charlm, "materialise", lambda df, label: joins.append(count(df)) or write(df, label))
+    scores = charlm.scored_grams(grams, model, ["x"])
+    assert count(scores) == 0 and max(joins) == 3
+    assert sorted(r.gram for r in scores.collect()) == sorted(r.gram for r in grams.collect())
+
+
 def test_windows_cover_long_texts():
     texts = ["ab" * 40, "", "c", "de" * 17]
     for chars in (5, 7, 1000):

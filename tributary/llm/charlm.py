@@ -233,14 +233,17 @@ def scored_grams(grams: DataFrame, model: Smoothed, classes: list[str]) -> DataF
 
     From the shortest to the longest suffix: a gram that was seen has its
     interpolated probability, another what its context leaves times the
-    probability of its suffix. The tables are joined by class and gram.
+    probability of its suffix. The tables are joined by class and gram. Each
+    order's rows are written before the next ones are joined to them: in one plan,
+    all orders hold each other's joins, and the driver has dozens of exchanges
+    under way at once.
     """
     suffix = F.substring("gram", 2, 1 << 20)
     wanted = {model.order: grams.select("gram")}
     for k in range(model.order - 1, 0, -1):
-        wanted[k] = wanted[k + 1].select(suffix.alias("gram")).distinct()
+        wanted[k] = materialise(wanted[k + 1].select(suffix.alias("gram")).distinct(), "wanted")
     each = F.explode(F.array(*map(F.lit, classes)))
-    below = model.floor.withColumnRenamed("logp", "below")
+    below, found = model.floor.withColumnRenamed("logp", "below"), None
     for k in range(1, model.order + 1):
         own = wanted[k].select(each.alias("class"), "gram")
         own = own.withColumn("context", F.expr("left(gram, length(gram) - 1)")).withColumn("suffix", suffix)
@@ -248,8 +251,10 @@ def scored_grams(grams: DataFrame, model: Smoothed, classes: list[str]) -> DataF
         own = own.join(model.grams[k], ["class", "gram"], "left")
         own = own.join(model.rests[k - 1].select("class", F.col("gram").alias("context"), "log_rest"), ["class", "context"], "left")
         own = own.select("class", "gram", F.coalesce("logp", F.coalesce("log_rest", F.lit(0.0)) + F.col("below")).alias("logp"))
-        below = own.select("class", F.col("gram").alias("suffix"), F.col("logp").alias("below"))
-    return own
+        last, found = found, materialise(own, "grams")
+        discard(wanted[k], *([last] if last is not None else []))
+        below = found.select("class", F.col("gram").alias("suffix"), F.col("logp").alias("below"))
+    return found
 
 
 def score_by_joins(rows: DataFrame, scores: DataFrame, spelled: Callable[[str], str], order: int, classes: list[str]) -> DataFrame:

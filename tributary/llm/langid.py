@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import charlm
-from .common import by_small_batches, fold_of, materialise, returning_memory, without_nulls
+from .common import by_small_batches, discard, fold_of, materialise, returning_memory, without_nulls
 
 UNDETERMINED = "und"
 #: Characters of an n-gram.
@@ -97,6 +97,7 @@ def score_by_joins(rows: DataFrame, model: charlm.Smoothed, classes: list[str],
     grams = materialise(charlm.gram_counts(spelled.select(F.lit("").alias("class"), "text"), letters, model.order), "grams")
     scores = charlm.scored_grams(grams.select("gram"), model, classes)
     found = charlm.score_by_joins(spelled, scores, letters, model.order, classes)
+    discard(grams, scores)
     totals = F.array(*[F.col(f"total_{i}") for i in range(len(classes))])
     found = found.withColumn("_all", totals).withColumn("_top", F.array_max("_all")).withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))))
     heard = F.col("length") > 0

@@ -63,7 +63,7 @@ def scored(docs: DataFrame, labels: DataFrame, order: int = ORDER) -> DataFrame:
     grams = materialise(charlm.gram_counts(rows.select(role.alias("class"), "text"), evened, order), "grams")
     counts = grams.where("class = 'trusted' and gram <> ''")
     model = charlm.smoothed(counts, order)
-    scores = materialise(charlm.scored_grams(grams.select("gram").distinct(), model, ["trusted"]), "grams")
+    scores = charlm.scored_grams(grams.select("gram").distinct(), model, ["trusted"])
     model.discard()
     n_tokens = F.size(F.expr(r"filter(split(text, '\\s+'), w -> w <> '')"))
     found = charlm.score_by_joins(rows.select("k", "doc_id", "lang", "trusted", "held_out", n_tokens.alias("n_tokens"), "text"), scores, evened, order, ["trusted"])
