@@ -90,6 +90,40 @@ def test_scores_of_each_order_have_a_plan_of_their_own(spark, monkeypatch):
     assert sorted(r.gram for r in scores.collect()) == sorted(r.gram for r in grams.collect())
 
 
+@pytest.fixture
+def no_small_broadcasts(spark):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    yield
+    spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def shuffled(spark):
+    """Bytes written to shuffles so far."""
+    return spark._jsc.sc().statusStore().executorList(False).apply(0).totalShuffleWrite()
+
+
+def test_only_rare_grams_are_shuffled(spark, monkeypatch, no_small_broadcasts):
+    """Beyond the bound every n-gram of every text was shuffled, some 20 times the input."""
+    import random
+
+    rng = random.Random(5)
+    plain = [" ".join("".join(rng.choice("abcdefgh") for _ in range(rng.randrange(2, 8))) for _ in range(9)) for _ in range(30)]
+    docs = [(i, " ".join(rng.choice(plain) for _ in range(40)) + " " + "".join(rng.choice("uvwxyz") for _ in range(12))) for i in range(300)]
+    rows = spark.createDataFrame([*docs, docs[7], (400, "x" * 700_000 + "zuyvwx"), (401, None)], "i int, text string").repartition(4).localCheckpoint()
+    grams = charlm.gram_counts(rows.select(F.lit("x").alias("class"), "text"), evened, 4)
+    scores = charlm.scored_grams(grams.select("gram", "n"), charlm.smoothed(grams, 4), ["x"])
+    found, moved = [], []
+    for most in (charlm.BROADCAST_ROWS, 2500, 0):
+        monkeypatch.setattr(charlm, "BROADCAST_ROWS", most)
+        before = shuffled(spark)
+        found.append({r.i: r for r in charlm.score_by_joins(rows, scores, evened, 4, ["x"]).collect()})
+        moved.append(shuffled(spark) - before)
+    assert scores.count() > 2500 and moved[1] < moved[2] / 4
+    for other in found[1:]:
+        assert other.keys() == found[0].keys() and other[7].copies == 2 and other[401].length == 0
+        assert [other[i].total_0 for i in found[0]] == pytest.approx([r.total_0 for r in found[0].values()], rel=1e-9)
+
+
 def test_windows_cover_long_texts():
     texts = ["ab" * 40, "", "c", "de" * 17]
     for chars in (5, 7, 1000):

@@ -6,7 +6,9 @@ context and by suffix, sharded by those keys. Texts are scored in one of two
 ways, with the same results:
 
 * ``score_by_joins``: the distinct n-grams of the texts are joined to the count
-  tables, each text's n-grams to their scores, and summed by text;
+  tables; the scores of the most frequent ones are sent to all tasks as arrays
+  and looked up there, each text's other ones are joined to theirs, and summed
+  by text;
 * ``Model``: sorted hash arrays of all n-grams with full 64-bit keys, for models
   up to a stated size, which are sent to all tasks.
 
@@ -33,15 +35,12 @@ BEGIN, END = "\x02", "\x03"
 _MARKS = str.maketrans({BEGIN: " ", END: " "})
 #: Most rows (class, n-gram) of a model that is sent to all tasks as arrays, of 16 bytes a row or so.
 ARRAY_ROWS = 3_000_000
-#: Most scored n-grams that are sent to all tasks; more are joined by a shuffle.
+#: Most scored n-grams of one class that are sent to all tasks, the most frequent ones, of 16 bytes each; of several classes fewer. The others' occurrences are joined by a shuffle.
 BROADCAST_ROWS = 2_000_000
 #: Characters of a window, and cells of a block of scores.
 WINDOW_CHARS, CELLS = 1 << 19, 1 << 21
 #: Distinct n-grams whose counts a task holds before it hands them on.
 COUNTED_GRAMS = 300_000
-#: Stands among a text's n-grams for the text itself.
-TEXT_KEY = 0
-
 _P = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -229,7 +228,7 @@ def smoothed(counts: DataFrame, order: int) -> Smoothed:
 
 
 def scored_grams(grams: DataFrame, model: Smoothed, classes: list[str]) -> DataFrame:
-    """(class, gram, logp) of each gram of ``grams`` (distinct, of full order) under each class.
+    """(class, gram, logp) of each gram of ``grams`` (distinct, of full order) under each class; with its ``n``, if ``grams`` has it.
 
     From the shortest to the longest suffix: a gram that was seen has its
     interpolated probability, another what its context leaves times the
@@ -239,69 +238,104 @@ def scored_grams(grams: DataFrame, model: Smoothed, classes: list[str]) -> DataF
     under way at once.
     """
     suffix = F.substring("gram", 2, 1 << 20)
-    wanted = {model.order: grams.select("gram")}
+    wanted = {model.order: grams}
     for k in range(model.order - 1, 0, -1):
         wanted[k] = materialise(wanted[k + 1].select(suffix.alias("gram")).distinct(), "wanted")
     each = F.explode(F.array(*map(F.lit, classes)))
     below, found = model.floor.withColumnRenamed("logp", "below"), None
     for k in range(1, model.order + 1):
-        own = wanted[k].select(each.alias("class"), "gram")
+        counts = [c for c in wanted[k].columns if c == "n"]
+        own = wanted[k].select(each.alias("class"), "gram", *counts)
         own = own.withColumn("context", F.expr("left(gram, length(gram) - 1)")).withColumn("suffix", suffix)
         own = own.join(F.broadcast(below), "class") if k == 1 else own.join(below, ["class", "suffix"])
         own = own.join(model.grams[k], ["class", "gram"], "left")
         own = own.join(model.rests[k - 1].select("class", F.col("gram").alias("context"), "log_rest"), ["class", "context"], "left")
-        own = own.select("class", "gram", F.coalesce("logp", F.coalesce("log_rest", F.lit(0.0)) + F.col("below")).alias("logp"))
+        own = own.select("class", "gram", F.coalesce("logp", F.coalesce("log_rest", F.lit(0.0)) + F.col("below")).alias("logp"), *counts)
         last, found = found, materialise(own, "grams")
         discard(wanted[k], *([last] if last is not None else []))
         below = found.select("class", F.col("gram").alias("suffix"), F.col("logp").alias("below"))
     return found
 
 
+def least_count(keyed: DataFrame, rows: int) -> int | None:
+    """The least ``_n`` that at most so many rows of ``keyed`` reach, to within a tenth; None if more have the largest one."""
+    steps = keyed.groupBy(F.floor(8 * F.log2("_n")).alias("step")).agg(F.min("_n").alias("least"), F.count("*").alias("many"))
+    least = None
+    for step in sorted(steps.collect(), reverse=True):  # one row for each step
+        rows -= step["many"]
+        if rows < 0:
+            break
+        least = step["least"]
+    return least
+
+
 def score_by_joins(rows: DataFrame, scores: DataFrame, spelled: Callable[[str], str], order: int, classes: list[str]) -> DataFrame:
     """The distinct rows of ``rows`` with ``copies``, ``length`` and, for each class, ``total_i``: the summed log probability.
 
     ``rows`` has (text, and columns that don't identify it alone); ``scores``
-    (class, gram, logp) covers all their n-grams. ``length`` is the number of
-    characters and end marks that are scored; a text that is spelled empty has 0. Each
-    text's distinct n-grams are joined to their scores and summed by text; the
-    scores go to all tasks if they are at most BROADCAST_ROWS, else both
-    sides are shuffled by n-gram.
+    (class, gram, logp, and n: how often it occurs) covers all their n-grams. ``length`` is the number of
+    characters and end marks that are scored; a text that is spelled empty has 0. The
+    scores of the most frequent n-grams, BROADCAST_ROWS at most, go to all tasks,
+    which look them up and sum them by text. What is left of a text, its rare
+    n-grams, is joined to their scores by a shuffle and summed by text: that
+    moves as many rows as the rare n-grams occur, not each n-gram of each text.
     """
     keep = [c for c in rows.columns if c != "text"]
     kinds = ", ".join(f"`{c}` {rows.schema[c].dataType.simpleString()}" for c in keep)
     pairs = pa.struct([("key", pa.int64()), ("n", pa.int32())])
+    columns = [f"_p{i}" for i in range(len(classes))]
 
-    def cut(batches):
+    picks = [F.max(F.when(F.col("class") == c, F.col("logp"))).alias(p) for p, c in zip(columns, classes)]
+    often = F.max("n") if "n" in scores.columns else F.lit(1)
+    keyed = scores.withColumn("_key", F.pandas_udf(gram_keys, "long")("gram")).groupBy("_key").agg(often.alias("_n"), *picks)
+    keyed = materialise(keyed, "scores")
+    least = least_count(keyed, 2 * BROADCAST_ROWS // (1 + len(classes)))
+    head = keyed.where(F.col("_n") >= least if least is not None else F.lit(False)).select("_key", *columns).toArrow()
+    keys = head.column("_key").to_numpy().view(np.uint64)
+    by_key = np.argsort(keys)
+    sent = rows.sparkSession.sparkContext.broadcast((keys[by_key], [head.column(p).to_numpy()[by_key] for p in columns]))
+    del head, keys, by_key
+
+    def summed(batches):
+        known, values = sent.value
         for batch in batches:
             texts = [spelled(unmarked(t)) for t in batch.column(batch.schema.get_field_index("text")).to_pylist()]
             sizes = np.array([len(t) + 1 if t else 0 for t in texts], np.int64)
-            held = [i for i, t in enumerate(texts) if t]
-            for i in range(0, len(texts), 1 << 16):  # one entry for each text itself
-                own = np.arange(i, min(len(texts), i + (1 << 16)))
-                ones = pa.StructArray.from_arrays([pa.array(np.full(len(own), TEXT_KEY, np.int64)), pa.array(np.ones(len(own), np.int32))], fields=list(pairs))
-                lists = pa.ListArray.from_arrays(pa.array(np.arange(len(own) + 1), pa.int32()), ones)
-                yield record(batch, own, sizes, lists)
+            totals = np.zeros((len(classes), len(texts)))
+            held = np.flatnonzero(sizes)
             for w in windows([texts[i] for i in held], order):
-                at, keys, n = counts_by_text(w.text, _mixed(_top(w.codes, order)[w.place]))
-                own, first = np.unique(at, return_index=True)
-                entries = pa.StructArray.from_arrays([pa.array(keys.view(np.int64)), pa.array(n.astype(np.int32))], fields=list(pairs))
-                lists = pa.ListArray.from_arrays(pa.array(np.append(first, len(at)), pa.int32()), entries)
-                yield record(batch, np.array(held)[own], sizes, lists)
-
-    def record(batch, own, sizes, lists):
+                text = held[w.text]
+                distinct, place = np.unique(_mixed(_top(w.codes, order)[w.place]), return_inverse=True)
+                at = np.searchsorted(known, distinct)
+                at[at == len(known)] = 0
+                found = known[at] == distinct if len(known) else np.zeros(len(distinct), bool)
+                for total, value in zip(totals, values):
+                    if len(known):
+                        total += np.bincount(text, np.where(found, value[at], 0.0)[place], len(texts))
+                if not found.all():
+                    rare = np.flatnonzero(~found[place])
+                    owner, key, n = counts_by_text(text[rare], distinct[place[rare]])
+                    own, first = np.unique(owner, return_index=True)
+                    entries = pa.StructArray.from_arrays([pa.array(key.view(np.int64)), pa.array(n.astype(np.int32))], fields=list(pairs))
+                    lists = pa.ListArray.from_arrays(pa.array(np.append(first, len(key)), pa.int32()), entries)
+                    yield record(batch, own, sizes, 0, np.zeros((len(classes), len(own))), lists)
+            yield record(batch, np.arange(len(texts)), sizes, 1, totals, pa.nulls(len(texts), pa.list_(pairs)))
+
+    def record(batch, own, sizes, copies, totals, lists):
         kept = [batch.column(batch.schema.get_field_index(c)).take(pa.array(own)) for c in keep]
-        return pa.record_batch([*kept, pa.array(sizes[own]), lists], names=[*keep, "_length", "_grams"])
-
-    spread = by_small_batches(rows).mapInArrow(returning_memory(cut), f"{kinds}, _length long, _grams array<struct<key: long, n: int>>")
-    spread = spread.select(*keep, "_length", F.explode("_grams").alias("_g")).select(*keep, "_length", F.col("_g.key").alias("_key"), F.col("_g.n").alias("_n"))
-    picks = [F.max(F.when(F.col("class") == c, F.col("logp"))).alias(f"_p{i}") for i, c in enumerate(classes)]
-    keyed = scores.withColumn("_key", F.pandas_udf(gram_keys, "long")("gram")).groupBy("_key").agg(*picks)
-    keyed = materialise(keyed, "scores")
-    joined = spread.join(if_small(keyed, BROADCAST_ROWS), "_key", "left")
-    sums = [F.coalesce(F.sum(F.col("_n") * F.col(f"_p{i}")), F.lit(0.0)).alias(f"total_{i}") for i in range(len(classes))]
-    copies = F.sum(F.when(F.col("_key") == TEXT_KEY, F.col("_n")).otherwise(0))
-    found = joined.groupBy(*keep, "_length").agg(copies.alias("copies"), *sums)
-    return found.select(*keep, "copies", F.col("_length").alias("length"), *[(F.col(f"total_{i}") / F.col("copies")).alias(f"total_{i}") for i in range(len(classes))])
+        return pa.record_batch([*kept, pa.array(sizes[own]), pa.array(np.full(len(own), copies, np.int64)), *map(pa.array, totals), lists], names=[*keep, "_length", "_copies", *columns, "_rare"])
+
+    kinds = f"{kinds}, _length long, _copies long, {', '.join(f'{p} double' for p in columns)}, _rare array<struct<key: long, n: int>>"
+    parts = materialise(by_small_batches(rows).mapInArrow(returning_memory(summed), kinds), "parts")
+    sent.destroy()
+    row = F.xxhash64(*keep, "_length")
+    found = parts.groupBy(*keep, "_length").agg(F.sum("_copies").alias("copies"), *[F.sum(p).alias(p) for p in columns])
+    left = keyed if least is None else keyed.where(F.col("_n") < least)
+    if not left.isEmpty():
+        rare = parts.where("_rare is not null").select(row.alias("_row"), F.explode("_rare").alias("_g")).select("_row", F.col("_g.key").alias("_key"), F.col("_g.n").alias("_times"))
+        more = rare.join(left, "_key").groupBy("_row").agg(*[F.sum(F.col("_times") * F.col(p)).alias(f"{p}_rare") for p in columns])
+        found = found.withColumn("_row", row).join(more, "_row", "left").withColumns({p: F.col(p) + F.coalesce(f"{p}_rare", F.lit(0.0)) for p in columns})
+    return found.select(*keep, "copies", F.col("_length").alias("length"), *[(F.col(p) / F.col("copies")).alias(f"total_{i}") for i, p in enumerate(columns)])
 
 
 class Model:

@@ -95,7 +95,7 @@ def score_by_joins(rows: DataFrame, model: charlm.Smoothed, classes: list[str],
     names = [c for c in rows.columns if c != "text"]
     spelled = rows.withColumn("text", without_nulls(F.col("text"))).withColumn("_text", F.xxhash64("text"))
     grams = materialise(charlm.gram_counts(spelled.select(F.lit("").alias("class"), "text"), letters, model.order), "grams")
-    scores = charlm.scored_grams(grams.select("gram"), model, classes)
+    scores = charlm.scored_grams(grams.select("gram", "n"), model, classes)
     found = charlm.score_by_joins(spelled, scores, letters, model.order, classes)
     discard(grams, scores)
     totals = F.array(*[F.col(f"total_{i}") for i in range(len(classes))])

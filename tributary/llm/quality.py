@@ -5,7 +5,7 @@ characters of texts with evened white space, trained on all documents with a
 label of good quality but a held-out fold. Its contexts reach over the ends of
 words. All is done by joins of counts (``charlm``): the n-grams of all documents
 are joined to the smoothed counts by context and by suffix, each document's
-n-grams to their scores, and summed to its perplexity.
+n-grams get their scores, and these are summed to its perplexity.
 
 A document's cross-entropy a character spreads about its language's centre as
 one over the root of its number of tokens. So the deviation is scaled by that
@@ -63,7 +63,7 @@ def scored(docs: DataFrame, labels: DataFrame, order: int = ORDER) -> DataFrame:
     grams = materialise(charlm.gram_counts(rows.select(role.alias("class"), "text"), evened, order), "grams")
     counts = grams.where("class = 'trusted' and gram <> ''")
     model = charlm.smoothed(counts, order)
-    scores = charlm.scored_grams(grams.select("gram").distinct(), model, ["trusted"])
+    scores = charlm.scored_grams(grams.groupBy("gram").agg(F.sum("n").alias("n")), model, ["trusted"])
     model.discard()
     n_tokens = F.size(F.expr(r"filter(split(text, '\\s+'), w -> w <> '')"))
     found = charlm.score_by_joins(rows.select("k", "doc_id", "lang", "trusted", "held_out", n_tokens.alias("n_tokens"), "text"), scores, evened, order, ["trusted"])
