@@ -220,6 +220,31 @@ def test_quality_without_labels_or_text(spark):
     assert classify(docs.limit(0), none).count() == 0
 
 
+@pytest.mark.parametrize("kind", ["long", "string"])
+def test_many_ids_move_no_texts(spark, monkeypatch, no_small_broadcasts, kind):
+    """More trusted or poor ids than are sent as a table made a shuffle of all documents with their texts."""
+    from tributary.llm import common, quality
+
+    docs = [(i, f"the cat {'sat on the mat' if i % 3 else 'saw a hat'} " * (1 + i % 4), "en") for i in range(80)] + [(None, "the cat", "en"), (90, "qx zzq xqz " * 9, "en"), (0, "the hat", None)]
+    rows = spark.createDataFrame(docs, "doc_id long, text string, lang string").withColumn("doc_id", F.col("doc_id").cast(kind))
+    labels = spark.createDataFrame([(i, int(i != 3)) for i in range(70)], "doc_id int, quality int")
+    labels = labels.withColumn("doc_id", F.col("doc_id").cast("string")) if kind == "string" else labels
+    rows = common.materialise(rows, "rows")  # few files, read alike
+    plans, count = [], charlm.gram_counts
+    plan = lambda df: df._jdf.queryExecution().executedPlan().toString()
+    monkeypatch.setattr(charlm, "gram_counts", lambda df, *a: plans.append(plan(df)) or count(df, *a))
+    found = []
+    for few, listed in ((quality.BROADCAST_ROWS, 99), (0, 99), (0, -1))[: 3 if kind == "long" else 2]:
+        monkeypatch.setattr(quality, "BROADCAST_ROWS", few)
+        monkeypatch.setattr(common, "LISTED_KEYS", listed)
+        kept = drop_poor(rows, labels)
+        plans.append(plan(kept))
+        found.append(sorted(map(repr, kept.collect())))
+    assert all(rows == found[0] for rows in found) and 0 < len(found[0]) < len(docs)
+    moves = ["Exchange hashpartitioning" in p.replace("BroadcastExchange", "") for p in plans]
+    assert not any(moves[2:4]) and all(moves[4:])
+
+
 def test_grammar_scores_clauses():
     reader = Reader(Grammar(words=frozenset(["dolt"]), stems=frozenset(["blen"])))
     at = lambda text, f: reader.features(text)[FEATURES.index(f)]

@@ -8,6 +8,8 @@ import uuid
 import weakref
 from collections.abc import Callable
 
+import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -74,6 +76,31 @@ def if_small(table: DataFrame, rows: int) -> DataFrame:
     return F.broadcast(table) if table.count() <= rows else table
 
 
+#: Most keys that are sent to all tasks as an array, of 8 bytes each.
+LISTED_KEYS = 8_000_000
+
+
+def flagged(rows: DataFrame, key: str, keys: DataFrame, name: str, few: int) -> DataFrame:
+    """``rows`` with the boolean ``name``: whether their long ``key`` is among ``keys``, a written table of only that column, without nulls.
+
+    A few keys are sent to all tasks as a table, up to LISTED_KEYS as a sorted
+    array, for a shuffle moves whole rows with their texts. More are joined by one.
+    """
+    many = keys.count()
+    if few < many <= LISTED_KEYS:
+        sent = rows.sparkSession.sparkContext.broadcast(np.sort(keys.toArrow().column(0).to_numpy()))
+
+        @F.pandas_udf("boolean")
+        def listed(column: pd.Series) -> pd.Series:
+            at = np.searchsorted(sent.value, column.to_numpy())
+            at[at == len(sent.value)] = 0
+            return pd.Series(sent.value[at] == column.to_numpy())
+
+        return rows.withColumn(name, listed(F.coalesce(key, F.lit(0))) & F.col(key).isNotNull())
+    marks = keys.distinct().withColumn(name, F.lit(True))
+    return rows.join(F.broadcast(marks) if many <= few else marks, key, "left").withColumn(name, F.coalesce(name, F.lit(False)))
+
+
 def returning_memory(batches_to_batches: Callable) -> Callable:
     """The function for ``mapInArrow``, which gives freed memory back to the system when a task ends.
 

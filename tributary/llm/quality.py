@@ -18,17 +18,19 @@ text that the model finds too strange and text that repeats a few easy words.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import charlm
-from .common import discard, fold_of, if_small, materialise, without_nulls
+from .common import discard, flagged, fold_of, if_small, materialise, without_nulls
 
 #: Share of a language's trusted held-out documents within each bound.
 QUANTILE = 0.9995
 #: Characters of an n-gram.
 ORDER = 5
-#: Most rows (ids of trusted or poor documents, bounds of languages) that are sent to all tasks; more are joined by a shuffle.
+#: Most rows (ids of trusted or poor documents, bounds of languages) that are sent to all tasks as a table; more ids go as an array, more bounds are joined by a shuffle.
 BROADCAST_ROWS = 1_000_000
 
 
@@ -44,9 +46,17 @@ def _key(doc_id, lang, text) -> F.Column:
 
 
 def trusted_ids(labels: DataFrame) -> DataFrame:
-    """(id, trusted) of the documents with a label of good quality and none of poor quality."""
+    """(id) of the documents with a label of good quality and none of poor quality."""
     rows = labels.where("doc_id is not null and quality is not null").groupBy(F.col("doc_id").alias("id")).agg(F.min("quality").alias("q"))
-    return rows.where("q = 1").select("id", F.lit(True).alias("trusted"))
+    return rows.where("q = 1").select("id")
+
+
+def _comparable(*columns: tuple[DataFrame, str]) -> Callable[[F.Column], F.Column]:
+    """How ids of these columns become longs that are equal if the ids are: integers are taken themselves, other ids' 64-bit hash."""
+    kinds = {rows.schema[name].dataType.simpleString() for rows, name in columns}
+    if kinds <= {"tinyint", "smallint", "int", "bigint"}:
+        return lambda c: c.cast("long")
+    return lambda c: F.when(c.isNotNull(), F.xxhash64(c if len(kinds) == 1 else c.cast("string")))
 
 
 def scored(docs: DataFrame, labels: DataFrame, order: int = ORDER) -> DataFrame:
@@ -54,22 +64,25 @@ def scored(docs: DataFrame, labels: DataFrame, order: int = ORDER) -> DataFrame:
 
     ``cross_entropy`` (nats a character) is null without tokens or without any trusted text.
     """
-    ids = materialise(trusted_ids(labels), "trusted")
+    ids = trusted_ids(labels)
+    as_key = _comparable((docs, "doc_id"), (ids, "id"))
+    keys = materialise(ids.select(as_key(F.col("id")).alias("_key")), "trusted")
+    with_trust = lambda rows: flagged(rows.withColumn("_key", as_key(F.col("doc_id"))), "_key", keys, "trusted", BROADCAST_ROWS)
     key = _key(F.col("doc_id"), F.col("lang"), F.col("text"))
     rows = docs.select(key.alias("k"), "doc_id", without_nulls(F.col("text")).alias("text"), F.coalesce("lang", F.lit("")).alias("lang"))
     rows = rows.withColumn("held_out", F.coalesce(fold_of(F.col("doc_id")) == 2, F.lit(False)))
-    rows = rows.join(if_small(ids.withColumnRenamed("id", "doc_id"), BROADCAST_ROWS), "doc_id", "left").withColumn("trusted", F.coalesce("trusted", F.lit(False)))
     role = F.when(F.col("trusted") & ~F.col("held_out"), "trusted")
-    grams = materialise(charlm.gram_counts(rows.select(role.alias("class"), "text"), evened, order), "grams")
+    grams = materialise(charlm.gram_counts(with_trust(rows).select(role.alias("class"), "text"), evened, order), "grams")
     counts = grams.where("class = 'trusted' and gram <> ''")
     model = charlm.smoothed(counts, order)
     scores = charlm.scored_grams(grams.groupBy("gram").agg(F.sum("n").alias("n")), model, ["trusted"])
     model.discard()
     n_tokens = F.size(F.expr(r"filter(split(text, '\\s+'), w -> w <> '')"))
-    found = charlm.score_by_joins(rows.select("k", "doc_id", "lang", "trusted", "held_out", n_tokens.alias("n_tokens"), "text"), scores, evened, order, ["trusted"])
+    found = charlm.score_by_joins(rows.select("k", "doc_id", "lang", "held_out", n_tokens.alias("n_tokens"), "text"), scores, evened, order, ["trusted"])
     entropy = F.when((F.col("length") > 0) & (F.col("total_0") < 0), -F.col("total_0") / F.col("length"))
-    found = materialise(found.select("k", "doc_id", "lang", "trusted", "held_out", "n_tokens", "copies", entropy.alias("cross_entropy")), "scored")
-    discard(ids, grams, scores)
+    found = with_trust(found).select("k", "doc_id", "lang", "trusted", "held_out", "n_tokens", "copies", entropy.alias("cross_entropy"))
+    found = materialise(found, "scored")
+    discard(keys, grams, scores)
     return found
 
 
@@ -127,5 +140,5 @@ def drop_poor(docs: DataFrame, labels: DataFrame, quantile: float = QUANTILE) ->
     rows = docs.toDF(*own)
     plain = rows.select(F.col(own[doc_id]).alias("doc_id"), F.col(own[text]).alias("text"), F.col(own[lang]).cast("string").alias("lang"))
     poor = materialise(judge(plain, labels, quantile).where("not kept").select("k"), "poor")
-    kept = rows.withColumn("k", _key(F.col(own[doc_id]), F.col(own[lang]), F.col(own[text]))).join(if_small(poor, BROADCAST_ROWS), "k", "left_anti")
+    kept = flagged(rows.withColumn("k", _key(F.col(own[doc_id]), F.col(own[lang]), F.col(own[text]))), "k", poor, "_poor", BROADCAST_ROWS).where("not _poor")
     return kept.select(*[F.col(c).alias(n) for c, n in zip(own, names)])
